@@ -39,9 +39,16 @@ def summary_stats(long: DataFrame, keys: Sequence[str] = ("feature",), places: i
 
 
 def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Index of the equal-width bin; the last bin includes its upper edge."""
-    at = F.floor((value - low) / (high - low) * bins)
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), at)).cast("int")
+    """Index of the equal-width bin; the last bin includes its upper edge.
+
+    The scaled position is checked against the edges ``low + i * width``, as a
+    value on an edge may land one bin off by rounding.
+    """
+    width = (high - low) / bins
+    at = F.least(F.lit(bins - 1), F.floor((value - low) / (high - low) * bins)).cast("int")
+    down = (value < low + at * width).cast("int")
+    up = ((value >= low + (at + 1) * width) & (at < bins - 1)).cast("int")
+    return at - down + up
 
 
 def widened(stats: DataFrame) -> DataFrame:

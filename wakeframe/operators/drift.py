@@ -70,12 +70,8 @@ def drift_scores(
         .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
     )
     score = drift_score(F.col("n"), F.col("m"), F.col("v"), F.col("base_mean"), F.col("base_var"), least)
-    loaded = base.select(F.lit(True).alias("loaded")).limit(1)
-    return (
-        with_baseline(stats, base)
-        .join(F.broadcast(loaded), F.col("loaded"))  # at most one row
-        .select(*keys, "feature", "n", score.alias("score"))
-    )
+    scored = with_baseline(stats, base).select(*keys, "feature", "n", score.alias("score"))
+    return scored.limit(0) if base.isEmpty() else scored
 
 
 def overall_drift(scores: DataFrame, keys: Sequence[str] = (), limit: float = DRIFT_LIMIT) -> DataFrame:

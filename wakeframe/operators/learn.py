@@ -88,11 +88,9 @@ def train_boosted(
     rows = train.filter(usable(features)).withColumn(
         "__weight", F.when(F.col(label) == 1, F.lit(float(given))).otherwise(F.lit(1.0))
     )
-    model = GBTClassifier(
+    learner = GBTClassifier(
         featuresCol="__vector",
         labelCol=label,
-        probabilityCol="__probability",
-        rawPredictionCol="__raw",
         predictionCol="__prediction",
         weightCol="__weight",
         maxIter=trees,
@@ -102,7 +100,11 @@ def train_boosted(
         featureSubsetStrategy=str(column_share),
         checkpointInterval=10,
         seed=seed,
-    ).fit(_assembled(rows, features).select(F.col(label).cast("double").alias(label), "__vector", "__weight"))
+    )
+    learner.setProbabilityCol("__probability").setRawPredictionCol("__raw")
+    model = learner.fit(
+        _assembled(rows, features).select(F.col(label).cast("double").alias(label), "__vector", "__weight")
+    )
     return BoostedTrees(list(features), model)
 
 

@@ -110,9 +110,11 @@ def buffered_drift(
     at that frame. Without it the rows themselves are counted.
     """
     keys = list(keys)
+    small = False
     if seq is None:
         seq = "seq"
-        live = KeyedRows(live, keys, order, rows_per_segment=rows_per_segment).position(seq).rows()
+        numbered = KeyedRows(live, keys, order, rows_per_segment=rows_per_segment).position(seq)
+        live, small = numbered.rows(), numbered.small_keys
     present = [c for c in columns if c in live.columns]
     long = accepted_values(live, present, [*keys, seq])
     # a closing row per key and feature stands for the end of the data
@@ -139,6 +141,7 @@ def buffered_drift(
         halo=buffer,
         rows_per_segment=rows_per_segment,
         derived=True,
+        small_keys=small,
     ).frame(before)
     # the state before a value holds for the reports since the value before it
     first = (F.ceil(F.col("__since") / every) * every).cast("long")

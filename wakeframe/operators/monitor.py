@@ -80,6 +80,7 @@ def counter_increase(
     order: Sequence[str] | None = None,
     rows_per_segment: int | None = None,
     derived: bool = False,
+    small_keys: bool = False,
 ) -> DataFrame:
     """Reset-aware increase of counters: ``series, eval_at, increase, rate``.
 
@@ -87,7 +88,13 @@ def counter_increase(
     of the range is done.
     """
     rows = KeyedRows(
-        samples, series, order or [ts], halo=1, rows_per_segment=rows_per_segment, derived=derived
+        samples,
+        series,
+        order or [ts],
+        halo=1,
+        rows_per_segment=rows_per_segment,
+        derived=derived,
+        small_keys=small_keys,
     ).frame(lambda w: {"__prev": F.lag(value).over(w)})
     cur, prev = F.col(value), F.col("__prev")
     grown = F.when(cur < prev, cur).otherwise(cur - prev)
@@ -225,5 +232,5 @@ def apply_rules(
         .select("alert", "severity", "hold_seconds", "series", "eval_at", "value", met.alias("met"))
     )
     return hold(
-        matched, ["alert", "series"], "eval_at", "met", F.col("hold_seconds"), step, rows_per_segment
+        matched, ["alert", "series"], "eval_at", "met", F.col("hold_seconds"), step, rows_per_segment, derived=True
     ).drop("hold_seconds")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wakeframe.constants import DECIMATION, EAR_CLOSED, FEATURES, WINDOW
 from wakeframe.plans.ordered import KeyedRows
+from wakeframe.session import cut_lineage
 
 
 def circular_mean(angle: Column, frame: WindowSpec) -> Column:
@@ -69,8 +70,12 @@ def decimate(
     rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key and mark each ``every``-th as processed."""
-    rows = KeyedRows(df, keys, order, rows_per_segment=rows_per_segment).position("seq").rows()
-    return rows.withColumn("processed", F.col("seq") % every == 0)
+    return _decimate(df, keys, order, every, rows_per_segment)[0]
+
+
+def _decimate(df, keys, order, every, rows_per_segment):
+    rows = KeyedRows(df, keys, order, rows_per_segment=rows_per_segment).position("seq")
+    return rows.rows().withColumn("processed", F.col("seq") % every == 0), rows.small_keys
 
 
 def live_windows(
@@ -81,6 +86,7 @@ def live_windows(
     window: int = WINDOW,
     ear_closed: float = EAR_CLOSED,
     rows_per_segment: int | None = None,
+    small_keys: bool = False,
 ) -> DataFrame:
     """Live rules over the last ``window`` slots.
 
@@ -117,7 +123,8 @@ def live_windows(
             "now_perclos": F.round(F.avg((seen & (F.col("ear") < ear_closed)).cast("int")).over(f), 4),
         }
 
-    return KeyedRows(df, keys, order, halo=back, rows_per_segment=rows_per_segment).frame(build).rows()
+    rows = KeyedRows(df, keys, order, halo=back, rows_per_segment=rows_per_segment, small_keys=small_keys)
+    return rows.frame(build).rows()
 
 
 def live_features(
@@ -137,9 +144,11 @@ def live_features(
     when it shows a face and the window is full; the skipped frames after it
     repeat the vector of the window as it stands.
     """
-    numbered = decimate(df, keys, order, every, rows_per_segment)
+    numbered, small = _decimate(df, keys, order, every, rows_per_segment)
+    if not small:
+        numbered = cut_lineage(numbered)
     slots = live_windows(
-        numbered.filter("processed"), keys, ["seq"], face, window, ear_closed, rows_per_segment
+        numbered.filter("processed"), keys, ["seq"], face, window, ear_closed, rows_per_segment, small_keys=small
     )
     emitted = slots.filter(F.col("features").isNotNull())
     direct = emitted.filter(F.col(face)).select(*keys, *order, "seq", "features.*")

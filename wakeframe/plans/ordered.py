@@ -200,7 +200,9 @@ class KeyedRows:
 
     ``halo`` is the largest number of preceding rows any bounded frame needs.
     ``derived`` says that ``df`` is expensive to recompute: it is then written
-    once before a split, which reads its keys several times.
+    once, as finding and splitting hot keys reads the keys several times.
+    ``small_keys`` says that no key has more rows than a segment (because a
+    larger table with these keys was checked before), so nothing is counted.
     """
 
     def __init__(
@@ -211,20 +213,25 @@ class KeyedRows:
         halo: int = 0,
         rows_per_segment: int | None = None,
         derived: bool = False,
+        small_keys: bool = False,
     ):
-        self._one_key = not keys
-        if self._one_key:
+        if not keys:
             df = df.withColumn(ONE_KEY, F.lit(0))
         self.keys = list(keys) or [ONE_KEY]
         self.order = list(order)
         self.halo = halo
         limit = max(rows_per_segment or ROWS_PER_SEGMENT, halo, 1)
-        hot = hot_keys(df.select(*self.keys), self.keys, limit)
-        if hot and derived:
+        if derived and not small_keys:
             df = cut_lineage(df)
+        hot = [] if small_keys else hot_keys(df.select(*self.keys), self.keys, limit)
         self.layout = lay_out(df, self.keys, self.order, rows_per_segment, halo, hot) if hot else None
         self.df = self.layout.assign(df, halo) if self.layout else df
 
+    @property
+    def small_keys(self) -> bool:
+        """No key was found to need a split."""
+        return self.layout is None
+
     @property
     def window(self) -> WindowSpec:
         parts = self.keys + ([SEG] if self.layout else [])

@@ -50,12 +50,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back.
 
-
-def rename(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Select and rename in one step: new name -> SQL expression."""
-    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+    Later passes read only the columns they need and do not depend on the
+    executors that computed the rows. The table stays until the folder is
+    cleaned.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

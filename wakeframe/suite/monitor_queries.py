@@ -128,17 +128,19 @@ def _counter(spark, folder, failed: bool):
     """Running totals per endpoint as counter samples."""
     ev = samples(spark, folder).filter((F.col("event_type") == "error") == F.lit(failed))
     rows = KeyedRows(ev, ["user_id"], ["ts", "event_id"]).running(total=("sum", F.lit(1)))
-    return rows.rows().withColumnRenamed("user_id", "endpoint")
+    return rows.rows().withColumnRenamed("user_id", "endpoint"), rows.small_keys
 
 
 def _ratio(spark, folder, step, window):
-    rates = [
-        M.counter_increase(
-            _counter(spark, folder, failed), ["endpoint"], "t", "total", step, window, ["ts", "event_id"], derived=True
+    rates = []
+    for failed in (True, False):
+        counter, small = _counter(spark, folder, failed)
+        rates.append(
+            M.counter_increase(
+                counter, ["endpoint"], "t", "total", step, window, ["ts", "event_id"], derived=True, small_keys=small
+            )
         )
-        for failed in (True, False)
-    ]
-    return M.error_ratio(rates[0], rates[1], limit=0.05)
+    return M.error_ratio(*rates, limit=0.05)
 
 
 RATIO = f"""

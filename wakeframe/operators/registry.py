@@ -82,18 +82,16 @@ def best_model(
     candidates: DataFrame, keys: Sequence[str] = (), f1: str = "f1_weighted", priority: str = "priority"
 ) -> DataFrame:
     """The candidate with the highest F1; a tie goes to the one listed first."""
-    by = [F.col(k) for k in keys] or [F.lit(0)]
     best = F.max_by(F.struct(*candidates.columns), F.struct(F.col(f1), -F.col(priority)))
-    return candidates.groupBy(*by).agg(best.alias("b")).select("b.*")
+    return candidates.groupBy(*keys).agg(best.alias("b")).filter("b IS NOT NULL").select("b.*")
 
 
 def current_production(
     runs: DataFrame, keys: Sequence[str] = (), stage: str = "stage", order: str = "position"
 ) -> DataFrame:
     """The first run in production, else the first run."""
-    by = [F.col(k) for k in keys] or [F.lit(0)]
     first = F.min_by(F.struct(*runs.columns), F.struct(F.when(F.col(stage) == PRODUCTION, 0).otherwise(1), F.col(order)))
-    return runs.groupBy(*by).agg(first.alias("b")).select("b.*")
+    return runs.groupBy(*keys).agg(first.alias("b")).filter("b IS NOT NULL").select("b.*")
 
 
 def promotion(winner_f1: Column, production_f1: Column, gain: float = PROMOTE_GAIN) -> dict[str, Column]:

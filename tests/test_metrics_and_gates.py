@@ -121,9 +121,9 @@ def test_checks(spark, tmp_path):
     full = spark.range(4).select(*[F.rand(1).alias(f) for f in FEATURES], (F.col("id") % 2).alias("label"))
     tables.write_table(full, str(tmp_path / "f"))
     Q.require(Q.check_path(spark, str(tmp_path / "f"), Q.CHECKS))
-    Q.require(Q.check_features(full, B.summary_stats(B.to_long(full))))
+    Q.require(Q.check_features(full, B.summary_stats(full)))
     with pytest.raises(Q.QualityError, match="missing: perclos"):
-        Q.require(Q.check_features(full, B.summary_stats(B.to_long(full.drop("perclos")))))
+        Q.require(Q.check_features(full, B.summary_stats(full.drop("perclos"))))
 
 
 def test_range_reasons(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wakeframe.plans.ordered import KeyedRows, count_at_or_below, lay_out, top_rows
-from wakeframe.plans.select_rank import pick_ranks, quantiles
+from wakeframe.plans.select_rank import group_sizes, pick_ranks, quantiles
 
 HALO = 4
 
@@ -58,8 +58,8 @@ def test_segments_hold_the_halo_and_stay_small(rows):
     assert "hot" in sizes
     for by_segment in sizes.values():
         last = max(by_segment)
-        assert all(n >= 30 for s, n in by_segment.items() if s != last)
-        assert max(by_segment.values()) <= 200
+        assert all(n >= 50 for s, n in by_segment.items() if s != last)
+        assert max(by_segment.values()) <= 100
 
 
 def test_timestamps_order_segments(spark):
@@ -117,5 +117,5 @@ def test_quantiles_with_a_frequent_value(spark):
 
 def test_pick_ranks(spark):
     df = spark.range(500).select(F.lit("x").alias("g"), (F.col("id") * 3).alias("v"))
-    got = pick_ranks(df, ["g"], ["v"], {("x",): [0, 250, 499]}, rows_per_segment=30)
+    got = pick_ranks(df, ["g"], ["v"], {("x",): [0, 250, 499]}, group_sizes(df, ["g"]), rows_per_segment=30)
     assert sorted((r["__rank"], r["v"]) for r in got.collect()) == [(0, 0), (250, 750), (499, 1497)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,23 +21,57 @@ def to_long(df: DataFrame, columns: Sequence[str] = FEATURES, keep: Sequence[str
     return wide.unpivot(list(keep), present, "feature", "value")
 
 
-def summary_stats(long: DataFrame, keys: Sequence[str] = ("feature",), places: int = 6) -> DataFrame:
+def column_stats(
+    df: DataFrame, columns: Sequence[str], aggregates: dict[str, Callable[[Column], Column]], keys: Sequence[str] = ()
+) -> DataFrame:
+    """The same aggregates over several columns as rows ``keys, feature, ...``.
+
+    The columns are aggregated side by side, so no row is multiplied before
+    the shuffle; one output row per key is then taken apart. Columns without
+    any value have no row.
+    """
+    present = [c for c in columns if c in df.columns]
+    values = {c: nan_to_null(F.col(c).cast("double")) for c in present}
+    wide = df.groupBy(*keys).agg(
+        *[fn(values[c]).alias(f"{c}__{name}") for c in present for name, fn in aggregates.items()],
+        *[F.count(values[c]).alias(f"{c}__n") for c in present],
+    )
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.col(f"{c}__n").alias("n"),
+                *[F.col(f"{c}__{name}").alias(name) for name in aggregates],
+            )
+            for c in present
+        ]
+    )
+    return wide.select(*keys, F.inline(entries)).filter(F.col("n") > 0)
+
+
+def summary_stats(df: DataFrame, columns: Sequence[str] = FEATURES, places: int = 6) -> DataFrame:
     """Count, mean, sample deviation and variance, bounds; nulls are skipped."""
-    v = F.col("value")
-    return (
-        long.filter(v.isNotNull())
-        .groupBy(*keys)
-        .agg(
-            F.count(v).alias("n"),
-            F.round(F.avg(v), places).alias("mean"),
-            F.round(F.stddev_samp(v), places).alias("std"),
-            F.round(F.var_samp(v), places).alias("variance"),
-            F.min(v).alias("lo"),
-            F.max(v).alias("hi"),
-        )
+    return column_stats(
+        df,
+        columns,
+        {
+            "mean": lambda v: F.round(F.avg(v), places),
+            "std": lambda v: F.round(F.stddev_samp(v), places),
+            "variance": lambda v: F.round(F.var_samp(v), places),
+            "lo": F.min,
+            "hi": F.max,
+        },
     )
 
 
+def gathered(stats: DataFrame) -> DataFrame:
+    """A small table computed once and held on the driver.
+
+    Meant for one row per feature column, so its size is bounded by the schema.
+    """
+    return stats.sparkSession.createDataFrame(stats.collect(), stats.schema)
+
+
 def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
     """Index of the equal-width bin; the last bin includes its upper edge.
 
@@ -71,21 +105,29 @@ def density_histogram(
     bounded by the schema. All bins are counted by map-side partial sums.
     """
     ranges = widened(stats).select("feature", "n", "low", "high")
-    placed = (
+    counts = (
         long.filter(F.col("value").isNotNull())
         .join(F.broadcast(ranges), "feature")
-        .select("feature", bin_number(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
-    )
-    counts = placed.groupBy("feature").agg(
-        *[F.count_if(F.col("bin") == b).alias(f"b{b}") for b in range(bins)]
+        .groupBy("feature", bin_number(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("k"))
+        .groupBy("feature")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "k"))).alias("by_bin"))  # at most ``bins`` entries
     )
     width = (F.col("high") - F.col("low")) / bins
-    joined = counts.join(F.broadcast(ranges), "feature")
-    density = F.array(*[F.round(F.col(f"b{b}") / (F.col("n") * width), places) for b in range(bins)])
-    edges = F.array(
-        *[F.round(F.col("low") + width * b if b < bins else F.col("high"), places) for b in range(bins + 1)]
+    at = F.sequence(F.lit(0), F.lit(bins - 1))
+    density = F.transform(
+        at,
+        lambda b: F.round(
+            F.coalesce(F.try_element_at("by_bin", b), F.lit(0)) / (F.col("n") * width), places
+        ),
+    )
+    edges = F.transform(
+        F.sequence(F.lit(0), F.lit(bins)),
+        lambda b: F.round(F.when(b < bins, F.col("low") + width * b).otherwise(F.col("high")), places),
+    )
+    return counts.join(F.broadcast(ranges), "feature").select(
+        "feature", density.alias("histogram_density"), edges.alias("histogram_bins")
     )
-    return joined.select("feature", density.alias("histogram_density"), edges.alias("histogram_bins"))
 
 
 def baseline(
@@ -98,8 +140,9 @@ def baseline(
 ) -> DataFrame:
     """One row per feature: statistics, five quantiles, density histogram."""
     long = to_long(df, columns)
-    stats = summary_stats(long, places=places)
-    q = quantiles(long, ["feature"], "value", list(QUANTILES.values()), rows_per_segment, approximate)
+    stats = gathered(summary_stats(df, columns, places))
+    sizes = stats.select("feature", F.col("n").alias("__n")).collect()
+    q = quantiles(long, ["feature"], "value", list(QUANTILES.values()), rows_per_segment, approximate, sizes)
     hist = density_histogram(long, stats, bins, places)
     spread = q.select(
         "feature", *[F.round(F.get("q", F.lit(i)), places).alias(p) for i, p in enumerate(QUANTILES)]

@@ -19,8 +19,8 @@ from wakeframe.constants import (
     VARIANCE_FLOOR,
 )
 from wakeframe.functions.parsing import drop_first
-from wakeframe.functions.scalars import clamp_feature, is_finite
-from wakeframe.operators.baseline import to_long
+from wakeframe.functions.scalars import clamp_feature, finite_or_null, is_finite
+from wakeframe.operators.baseline import column_stats, gathered, to_long
 from wakeframe.plans.ordered import KeyedRows, top_rows
 
 
@@ -47,9 +47,10 @@ def accepted_values(df: DataFrame, columns: Sequence[str] = FEATURES, keep: Sequ
 def with_baseline(scored: DataFrame, base: DataFrame) -> DataFrame:
     """Attach the baseline mean and variance of each feature.
 
-    ``base`` has one row per feature column, bounded by the schema.
+    ``base`` has one row per feature column, bounded by the schema; it is
+    computed once.
     """
-    slim = base.select("feature", F.col("mean").alias("base_mean"), F.col("variance").alias("base_var"))
+    slim = gathered(base.select("feature", F.col("mean").alias("base_mean"), F.col("variance").alias("base_var")))
     return scored.join(F.broadcast(slim), "feature", "left")
 
 
@@ -64,11 +65,9 @@ def drift_scores(
 
     An empty baseline disables scoring: the result is then empty.
     """
-    stats = (
-        accepted_values(live, columns, keys)
-        .groupBy(*keys, "feature")
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
-    )
+    base = gathered(base.select("feature", "mean", "variance"))
+    finite = live.withColumns({c: finite_or_null(F.col(c).cast("double")) for c in columns if c in live.columns})
+    stats = column_stats(finite, columns, {"m": F.avg, "v": F.var_pop}, keys)
     score = drift_score(F.col("n"), F.col("m"), F.col("v"), F.col("base_mean"), F.col("base_var"), least)
     scored = with_baseline(stats, base).select(*keys, "feature", "n", score.alias("score"))
     return scored.limit(0) if base.isEmpty() else scored
@@ -110,20 +109,20 @@ def buffered_drift(
     at that frame. Without it the rows themselves are counted.
     """
     keys = list(keys)
-    small = False
-    if seq is None:
+    small, counted = False, seq is None
+    if counted:
         seq = "seq"
         numbered = KeyedRows(live, keys, order, rows_per_segment=rows_per_segment).position(seq)
+        ends = live.groupBy(*keys).agg((F.count(F.lit(1)) + 1).alias(seq))
         live, small = numbered.rows(), numbered.small_keys
+    else:
+        ends = live.groupBy(*keys).agg((F.max(seq) + 1).cast("long").alias(seq))
     present = [c for c in columns if c in live.columns]
     long = accepted_values(live, present, [*keys, seq])
     # a closing row per key and feature stands for the end of the data
-    closing = (
-        live.groupBy(*keys)
-        .agg((F.max(seq) + 1).alias(seq))
-        .select(*keys, seq, F.explode(F.array(*[F.lit(c) for c in present])).alias("feature"))
-        .withColumn("value", F.lit(None).cast("double"))
-    )
+    closing = ends.select(
+        *keys, seq, F.explode(F.array(*[F.lit(c) for c in present])).alias("feature")
+    ).withColumn("value", F.lit(None).cast("double"))
 
     def before(w):
         f = w.rowsBetween(-buffer, -1)
@@ -152,7 +151,8 @@ def buffered_drift(
         .withColumn(seq, F.explode(due))
         .select(*keys, seq, "feature", "n", "m", "v")
     )
-    reports = reports.join(live.filter(F.col(seq) % every == 0).select(*keys, seq), [*keys, seq], "left_semi")
+    if not counted:
+        reports = reports.join(live.filter(F.col(seq) % every == 0).select(*keys, seq), [*keys, seq], "left_semi")
     score = drift_score(F.col("n"), F.col("m"), F.col("v"), F.col("base_mean"), F.col("base_var"), least)
     return with_baseline(reports, base).select(*keys, seq, "feature", "n", score.alias("score"))
 

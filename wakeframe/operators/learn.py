@@ -158,10 +158,10 @@ def train_kernel(
     weight and margins become probabilities by a logistic fit (Platt 1999).
     """
     rows = _assembled(train.filter(usable(features)), features)
-    weights = {r[label]: r["weight"] for r in balanced_weights(rows, label).collect()}  # one row per class
+    classes = balanced_weights(rows, label).collect()  # one row per class
     weight = F.lit(1.0)
-    for c, w in weights.items():
-        weight = F.when(F.col(label) == c, F.lit(float(w))).otherwise(weight)
+    for r in classes:
+        weight = F.when(F.col(label) == r[label], F.lit(float(r["weight"]))).otherwise(weight)
     rows = rows.select(F.col(label).cast("double").alias(label), "__vector", weight.alias("__weight"))
     scaler = StandardScaler(inputCol="__vector", outputCol="__scaled", withMean=True, withStd=True).fit(rows)
     gamma = 1.0 / len(features)  # 1 / (n * variance), variance 1 after scaling
@@ -173,7 +173,7 @@ def train_kernel(
         weightCol="__weight",
         rawPredictionCol="__raw",
         predictionCol="__svc",
-        regParam=1.0 / (cost * max(1, rows.count())),
+        regParam=1.0 / (cost * max(1, sum(r["n_class"] for r in classes))),
         maxIter=iterations,
         standardization=False,
     ).fit(lifted)

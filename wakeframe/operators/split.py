@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from wakeframe.constants import SEED, TEST_SHARE
 from wakeframe.plans.ordered import same_key
-from wakeframe.plans.select_rank import MAX_GROUPS, pick_ranks
+from wakeframe.plans.select_rank import MAX_GROUPS, group_sizes, pick_ranks
+from wakeframe.session import cut_lineage
 
 
 def seeded_hash(columns: Sequence[str], seed: int) -> Column:
@@ -47,13 +48,13 @@ def stratified_split(
     """
     ids = list(ids)
     slim = df.select(label, *ids).withColumn("__h", seeded_hash(ids, seed))
-    sizes = slim.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
+    sizes = group_sizes(slim, [label])
     if len(sizes) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} classes")
-    take = quotas({r[label]: r["n"] for r in sizes}, share)
+    take = quotas({r[label]: r["__n"] for r in sizes}, share)
     order = ["__h", *ids]
     ranks = {(c,): [q - 1] for c, q in take.items() if q > 0}
-    last = pick_ranks(slim, [label], order, ranks, rows_per_segment).collect()  # one row per class
+    last = pick_ranks(slim, [label], order, ranks, sizes, rows_per_segment).collect()  # one row per class
     fields = [T.StructField("__class", df.schema[label].dataType)] + [
         T.StructField(f"__t{i}", slim.schema[c].dataType) for i, c in enumerate(order)
     ]
@@ -72,13 +73,14 @@ def group_split(
     rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Adds ``is_test`` so that all rows of a group are on one side."""
-    groups = df.select(group).distinct().withColumns(
+    groups = cut_lineage(df.select(group).distinct(), "groups").withColumns(
         {"__h": seeded_hash([group], seed), "__all": F.lit(0)}
     )
-    wanted = math.ceil(share * groups.count())
+    sizes = group_sizes(groups, ["__all"])
+    wanted = math.ceil(share * sum(r["__n"] for r in sizes))
     if not wanted:
         return df.withColumn("is_test", F.lit(False))
-    last = pick_ranks(groups, ["__all"], ["__h", group], {(0,): [wanted - 1]}, rows_per_segment).first()
+    last = pick_ranks(groups, ["__all"], ["__h", group], {(0,): [wanted - 1]}, sizes, rows_per_segment).first()
     return df.withColumn("is_test", seeded_hash([group], seed) <= F.lit(last["__h"]))
 
 

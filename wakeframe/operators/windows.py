@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from wakeframe.constants import DECIMATION, EAR_CLOSED, FEATURES, WINDOW
 from wakeframe.plans.ordered import KeyedRows
-from wakeframe.session import cut_lineage
 
 
 def circular_mean(angle: Column, frame: WindowSpec) -> Column:
@@ -70,12 +69,37 @@ def decimate(
     rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key and mark each ``every``-th as processed."""
-    return _decimate(df, keys, order, every, rows_per_segment)[0]
+    rows = KeyedRows(df, keys, order, rows_per_segment=rows_per_segment).position("seq").rows()
+    return rows.withColumn("processed", F.col("seq") % every == 0)
 
 
-def _decimate(df, keys, order, every, rows_per_segment):
-    rows = KeyedRows(df, keys, order, rows_per_segment=rows_per_segment).position("seq")
-    return rows.rows().withColumn("processed", F.col("seq") % every == 0), rows.small_keys
+def live_columns(f: WindowSpec, face: str, window: int, ear_closed: float) -> dict[str, Column]:
+    """Live statistics over a row frame of at most ``window`` slots."""
+    seen = F.col(face)
+    closed = F.avg((seen & (F.col("ear") < ear_closed)).cast("int")).over(f)
+
+    def valid(c: str) -> Column:
+        return F.when(seen, F.col(c))
+
+    vector = F.struct(
+        F.round(F.avg(valid("ear")).over(f), 6).alias("ear_mean"),
+        F.round(F.min(valid("ear")).over(f), 6).alias("ear_min"),
+        F.round(F.stddev_pop(valid("ear")).over(f), 6).alias("ear_std"),
+        F.round(closed, 6).alias("perclos"),
+        F.round(F.avg(valid("mar")).over(f), 6).alias("mar_mean"),
+        F.round(F.max(valid("mar")).over(f), 6).alias("mar_max"),
+        F.round(F.avg(valid("head_pitch")).over(f), 4).alias("head_pitch_mean"),
+        F.round(F.avg(valid("head_yaw")).over(f), 4).alias("head_yaw_mean"),
+        F.round(F.avg(valid("head_roll")).over(f), 4).alias("head_roll_mean"),
+    )
+    full = F.count(F.lit(1)).over(f) >= window
+    any_face = F.max(seen.cast("int")).over(f) == 1
+    return {
+        "features": F.when(full & any_face, vector),
+        "last_ear": F.last(valid("ear"), ignorenulls=True).over(f),
+        "last_mar": F.last(valid("mar"), ignorenulls=True).over(f),
+        "now_perclos": F.round(closed, 4),
+    }
 
 
 def live_windows(
@@ -86,7 +110,6 @@ def live_windows(
     window: int = WINDOW,
     ear_closed: float = EAR_CLOSED,
     rows_per_segment: int | None = None,
-    small_keys: bool = False,
 ) -> DataFrame:
     """Live rules over the last ``window`` slots.
 
@@ -95,36 +118,8 @@ def live_windows(
     and while no slot has a face. ``last_ear`` and ``last_mar`` are the most
     recent values with a face inside the window.
     """
-    back = window - 1
-    seen = F.col(face)
-
-    def valid(c: str) -> Column:
-        return F.when(seen, F.col(c))
-
-    def build(w: WindowSpec) -> dict[str, Column]:
-        f = w.rowsBetween(-back, 0)
-        vector = F.struct(
-            F.round(F.avg(valid("ear")).over(f), 6).alias("ear_mean"),
-            F.round(F.min(valid("ear")).over(f), 6).alias("ear_min"),
-            F.round(F.stddev_pop(valid("ear")).over(f), 6).alias("ear_std"),
-            F.round(F.avg((seen & (F.col("ear") < ear_closed)).cast("int")).over(f), 6).alias("perclos"),
-            F.round(F.avg(valid("mar")).over(f), 6).alias("mar_mean"),
-            F.round(F.max(valid("mar")).over(f), 6).alias("mar_max"),
-            F.round(F.avg(valid("head_pitch")).over(f), 4).alias("head_pitch_mean"),
-            F.round(F.avg(valid("head_yaw")).over(f), 4).alias("head_yaw_mean"),
-            F.round(F.avg(valid("head_roll")).over(f), 4).alias("head_roll_mean"),
-        )
-        full = F.count(F.lit(1)).over(f) >= window
-        any_face = F.max(seen.cast("int")).over(f) == 1
-        return {
-            "features": F.when(full & any_face, vector),
-            "last_ear": F.last(valid("ear"), ignorenulls=True).over(f),
-            "last_mar": F.last(valid("mar"), ignorenulls=True).over(f),
-            "now_perclos": F.round(F.avg((seen & (F.col("ear") < ear_closed)).cast("int")).over(f), 4),
-        }
-
-    rows = KeyedRows(df, keys, order, halo=back, rows_per_segment=rows_per_segment, small_keys=small_keys)
-    return rows.frame(build).rows()
+    rows = KeyedRows(df, keys, order, halo=window - 1, rows_per_segment=rows_per_segment)
+    return rows.frame(lambda w: live_columns(w.rowsBetween(1 - window, 0), face, window, ear_closed)).rows()
 
 
 def live_features(
@@ -143,23 +138,24 @@ def live_features(
     Only each ``every``-th frame enters the window. A processed frame emits
     when it shows a face and the window is full; the skipped frames after it
     repeat the vector of the window as it stands.
+
+    All steps keep the partitioning by key, so the rows are shuffled once.
     """
-    numbered, small = _decimate(df, keys, order, every, rows_per_segment)
-    if not small:
-        numbered = cut_lineage(numbered)
-    slots = live_windows(
-        numbered.filter("processed"), keys, ["seq"], face, window, ear_closed, rows_per_segment, small_keys=small
-    )
-    emitted = slots.filter(F.col("features").isNotNull())
-    direct = emitted.filter(F.col(face)).select(*keys, *order, "seq", "features.*")
-    if not repeat_skipped:
-        return direct
-    # a processed frame and the frames skipped after it form one block
-    block = F.floor(F.col("seq") / every).cast("long")
-    skipped = numbered.filter(~F.col("processed")).select(*keys, *order, "seq", block.alias("__block"))
-    held = emitted.select(*keys, block.alias("__block"), "features")
-    repeated = skipped.join(held, [*keys, "__block"]).select(*keys, *order, "seq", "features.*")
-    return direct.unionByName(repeated)
+    rows = KeyedRows(df, keys, order, halo=window * every, rows_per_segment=rows_per_segment).position("seq")
+    rows.with_columns(__processed=F.col("seq") % every == 0)
+    # skipped frames stand alone, the processed ones of a key follow each other
+    lane = F.when(F.col("__processed"), F.lit(0).cast("long")).otherwise(F.col("seq"))
+    rows.with_columns(__lane=lane)
+    slots = Window.partitionBy(*rows.parts, "__lane").orderBy("seq").rowsBetween(1 - window, 0)
+    vector = live_columns(slots, face, window, ear_closed)["features"]
+    rows.with_columns(__own=F.when(F.col("__processed"), F.struct(vector.alias("features"))))
+    if repeat_skipped:
+        rows.frame(lambda w: {"__held": F.last("__own", ignorenulls=True).over(w.rowsBetween(1 - every, 0))})
+        shown, emits = F.col("__held.features"), ~F.col("__processed") | F.col(face)
+    else:
+        shown, emits = F.col("__own.features"), F.col("__processed") & F.col(face)
+    out = rows.with_columns(__shown=shown).rows().filter(emits & F.col("__shown").isNotNull())
+    return out.select(*keys, *order, "seq", "__shown.*")
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:

@@ -10,9 +10,11 @@ ordered segments of similar size, each a window partition of its own:
 * row numbers get the exact number of earlier rows as an offset.
 
 The cut points come from a hash-based sample, so they depend on the data alone:
-a recomputed task lands on the same segments. Only cut points and counts per
-segment reach the driver, at most ``2 * MAX_SEGMENTS`` rows. Keys that are not
-hot pay one count and are handled by an ordinary window.
+a recomputed task lands on the same segments. The rows between sample points
+are counted exactly; segments and halos are made of whole such pieces. Only
+sample points and their counts reach the driver, about
+``2 * MAX_SEGMENTS * SAMPLES_PER_SEGMENT`` rows at most. Keys that are not hot
+pay one count and are handled by an ordinary window.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from wakeframe.session import cut_lineage
 
 ROWS_PER_SEGMENT = 4_000_000
 MAX_SEGMENTS = 8192
-SAMPLES_PER_SEGMENT = 32
+SAMPLES_PER_SEGMENT = 16
 
 SEG = "__segment"
 BEFORE = "__before"
@@ -63,7 +65,12 @@ def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
 
 
 class Layout:
-    """Cut points, halo starts and row offsets of the hot keys of one table."""
+    """Cut points of the hot keys of one table.
+
+    Per key: the first row of each segment but the first, where the halo of
+    that segment starts (null: at the key's first row), and for all segments
+    the number of rows before their first row, halo included.
+    """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: list[tuple]):
         self.keys, self.order = list(keys), list(order)
@@ -74,7 +81,7 @@ class Layout:
             + [
                 T.StructField("__cuts", T.ArrayType(at)),
                 T.StructField("__halos", T.ArrayType(at)),
-                T.StructField("__offsets", T.ArrayType(T.LongType())),
+                T.StructField("__before_all", T.ArrayType(T.LongType())),
             ]
         )
         self.table = df.sparkSession.createDataFrame(rows, schema)
@@ -92,7 +99,8 @@ class Layout:
         seg = F.when(cuts.isNull(), F.lit(0)).otherwise(count_at_or_below(cuts, here, self.max_cuts))
         out = joined.withColumn(SEG, seg)
         if halo:
-            both = F.when(here >= F.get("__halos", F.col(SEG)), F.array(F.col(SEG), F.col(SEG) + 1))
+            near_end = F.coalesce(here >= F.get("__halos", F.col(SEG)), F.lit(True))
+            both = F.when((F.col(SEG) < F.size(cuts)) & near_end, F.array(F.col(SEG), F.col(SEG) + 1))
             out = (
                 out.withColumn("__home", F.col(SEG))
                 .withColumn(SEG, F.explode(F.coalesce(both, F.array(F.col(SEG)))))
@@ -101,9 +109,8 @@ class Layout:
             )
         else:
             out = out.withColumn(IS_HALO, F.lit(False))
-        before = F.get("__offsets", F.col(SEG)) - F.when(F.col(SEG) > 0, halo).otherwise(0)
-        out = out.withColumn(BEFORE, before)
-        return out.drop("__cuts", "__halos", "__offsets", *[f"__k{i}" for i in range(len(self.keys))])
+        out = out.withColumn(BEFORE, F.get("__before_all", F.col(SEG)))
+        return out.drop("__cuts", "__halos", "__before_all", *[f"__k{i}" for i in range(len(self.keys))])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> list:
@@ -151,48 +158,44 @@ def lay_out(
         .groupBy(*names, "__segs")
         .agg(F.array_sort(F.collect_set(order_struct(slim, order))).alias("s"))
     )
-    stride = F.greatest(F.lit(1), F.floor(F.size("s") / F.col("__segs")).cast("int"))
-    cuts = picked.select(
-        *names,
-        F.filter("s", lambda _, i: (i > 0) & (i % stride == 0)).alias("c"),
-    ).collect()
-    first = Layout(slim, keys, order, [(*[r[n] for n in names], r["c"], None, None) for r in cuts])
-    counted = (
-        first.assign(slim, how="inner").groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("n")).collect()
-    )
+    # a frequent order value may bring more points than wanted
+    stride = F.greatest(F.lit(1), F.floor(F.size("s") / (F.col("__segs") * SAMPLES_PER_SEGMENT)).cast("int"))
+    points = picked.select(*names, F.filter("s", lambda _, i: i % stride == 0).alias("c")).collect()
+    fine = Layout(slim, keys, order, [(*[r[n] for n in names], r["c"], None, None) for r in points])
+    counted = fine.assign(slim, how="inner").groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("n")).collect()
     sizes: dict[tuple, dict[int, int]] = {}
     for r in counted:
         sizes.setdefault(tuple(r[k] for k in keys), {})[r[SEG]] = r["n"]
     rows = []
-    for r in cuts:
+    for r in points:
         key = tuple(r[n] for n in names)
-        kept, offsets, held, total = [], [0], 0, 0
-        for i, cut in enumerate(r["c"]):
-            n = sizes[key].get(i, 0)
-            held, total = held + n, total + n
-            if held >= max(halo, 1):
-                kept.append(cut)
-                offsets.append(total)
-                held = 0
-        rows.append((*key, kept, None, offsets))
-    layout = Layout(slim, keys, order, rows)
-    if halo:
-        back = Window.partitionBy(*keys, SEG).orderBy(*[F.col(o).desc() for o in order])
-        starts = (
-            layout.assign(slim, how="inner")
-            .withColumn("__rn", F.row_number().over(back))
-            .filter(F.col("__rn") <= halo)
-            .groupBy(*keys, SEG)
-            .agg(F.min(order_struct(slim, order)).alias("h"))
-            .collect()
-        )
-        found = {(tuple(r[k] for k in keys), r[SEG]): r["h"] for r in starts}
-        rows = [
-            (*row[: len(keys)], row[-3], [found[(tuple(row[: len(keys)]), s)] for s in range(len(row[-3]))], row[-1])
-            for row in rows
-        ]
-        layout = Layout(slim, keys, order, rows)
-    return layout
+        rows.append((*key, *cut_points(r["c"], sizes[key], target, halo)))
+    return Layout(slim, keys, order, rows)
+
+
+def cut_points(points: list, sizes: dict[int, int], target: int, halo: int) -> tuple[list, list, list]:
+    """Cuts, halo starts and rows before each segment, from counted pieces.
+
+    Piece ``i`` ends before ``points[i]``. A segment ends once it has
+    ``target`` rows; its last pieces with ``halo`` rows are the next one's halo.
+    """
+    cuts, halos, before = [], [], [0]
+    total, begin = 0, 0  # rows so far, first piece of the current segment
+    held = 0
+    for i, point in enumerate(points):
+        total += sizes.get(i, 0)
+        held += sizes.get(i, 0)
+        if held < target:
+            continue
+        rows, first = 0, i + 1
+        while rows < halo and first > begin:
+            first -= 1
+            rows += sizes.get(first, 0)
+        cuts.append(point)
+        halos.append(points[first - 1] if first > 0 else None)
+        before.append(total - rows)
+        held, begin = 0, i + 1
+    return cuts, halos, before
 
 
 class KeyedRows:
@@ -232,10 +235,14 @@ class KeyedRows:
         """No key was found to need a split."""
         return self.layout is None
 
+    @property
+    def parts(self) -> list[str]:
+        """The columns whose rows lie together: the keys and the segment."""
+        return self.keys + ([SEG] if self.layout else [])
+
     @property
     def window(self) -> WindowSpec:
-        parts = self.keys + ([SEG] if self.layout else [])
-        return Window.partitionBy(*parts).orderBy(*self.order)
+        return Window.partitionBy(*self.parts).orderBy(*self.order)
 
     def with_columns(self, **columns: Column) -> KeyedRows:
         self.df = self.df.withColumns(columns)

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wakeframe.plans.ordered import SEG, lay_out, same_key
+from wakeframe.plans.ordered import ROWS_PER_SEGMENT, SEG, lay_out, same_key
 
 MAX_GROUPS = 10_000
+SMALL_GROUP = 1_000_000
 
 
 def pick_ranks(
@@ -24,21 +25,24 @@ def pick_ranks(
     keys: Sequence[str],
     order: Sequence[str],
     ranks: dict[tuple, list[int]],
+    sizes: list,
     rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Rows ``keys, order, __rank`` at the given 0-based ranks of each key.
 
-    ``ranks`` is held on the driver: at most MAX_GROUPS keys.
+    ``ranks`` is held on the driver: at most MAX_GROUPS keys. ``sizes`` are the
+    rows of ``group_sizes``, so the table is not counted again.
     """
     if len(ranks) > MAX_GROUPS:
         raise ValueError(f"{len(ranks)} groups; at most {MAX_GROUPS}")
     keys, order = list(keys), list(order)
     slim = df.select(*keys, *order)
-    layout = lay_out(slim, keys, order, rows_per_segment)
+    limit = rows_per_segment or ROWS_PER_SEGMENT
+    layout = lay_out(slim, keys, order, limit, hot=[r for r in sizes if r["__n"] > limit])
     offsets: dict[tuple, list[int]] = {}
     if layout:
         for r in layout.table.collect():
-            offsets[tuple(r[f"__k{i}"] for i in range(len(keys)))] = r["__offsets"]
+            offsets[tuple(r[f"__k{i}"] for i in range(len(keys)))] = r["__before_all"]
     wanted = []
     for key, places in ranks.items():
         starts = offsets.get(key, [0])
@@ -73,6 +77,12 @@ def pick_ranks(
     return ended.select(*keys, *order, F.explode(hit).alias("__rank"))
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> list:
+    """Rows ``keys, __n``, largest first; more than MAX_GROUPS groups end the list early."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.orderBy(F.desc("__n")).limit(MAX_GROUPS + 1).collect()
+
+
 def quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,6 +90,7 @@ def quantiles(
     probs: Sequence[float],
     rows_per_segment: int | None = None,
     approximate: bool = False,
+    sizes: list | None = None,
 ) -> DataFrame:
     """``keys, n, q`` with ``q`` the linearly interpolated quantiles, in order.
 
@@ -88,35 +99,44 @@ def quantiles(
     by rank. ``approximate`` uses ``percentile_approx`` in one pass.
     """
     keys = list(keys)
+    if not keys:
+        one = df.select(value, F.lit(0).alias("__all"))
+        return quantiles(one, ["__all"], value, probs, rows_per_segment, approximate).drop("__all")
     rows = df.filter(F.col(value).isNotNull())
     probs_lit = F.array(*[F.lit(float(p)) for p in probs])
+    counted = F.count(F.lit(1)).alias("n")
     if approximate:
-        return rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile_approx(value, probs_lit, 10_000).alias("q")
-        )
-    limit = rows_per_segment or 1_000_000
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    bound = sizes.agg(F.max("n").alias("m"), F.count(F.lit(1)).alias("g")).first()
-    if (bound["m"] or 0) <= limit:
-        return rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile(value, probs_lit).alias("q")
-        )
-    if bound["g"] > MAX_GROUPS:
-        raise ValueError(f"{bound['g']} groups, some with {bound['m']} rows; at most {MAX_GROUPS} such groups")
-    totals = {tuple(r[k] for k in keys): r["n"] for r in sizes.collect()}
-    places = {
-        key: [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)] for key, n in totals.items()
-    }
-    found = pick_ranks(rows, keys, [value], places, rows_per_segment)
+        return rows.groupBy(*keys).agg(counted, F.percentile_approx(value, probs_lit, 10_000).alias("q"))
+    limit = rows_per_segment or SMALL_GROUP
+    sizes = group_sizes(rows, keys) if sizes is None else sizes
+    large = [r for r in sizes if r["__n"] > limit]
+    exact = F.percentile(value, probs_lit).alias("q")
+    if not large:
+        return rows.groupBy(*keys).agg(counted, exact)
+    if len(large) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups of over {limit} rows: use approximate=True")
+    totals = {tuple(r[k] for k in keys): r["__n"] for r in large}
+    table = df.sparkSession.createDataFrame(
+        [(*key, n) for key, n in totals.items()],
+        T.StructType([df.schema[k] for k in keys] + [T.StructField("n", T.LongType())]),
+    )  # at most MAX_GROUPS rows
+    places = {key: [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)] for key, n in totals.items()}
+    found = pick_ranks(rows, keys, [value], places, large, rows_per_segment)
     # one row per group and wanted rank
     looked = found.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("__rank", F.col(value).cast("double")))).alias("__m")
     )
-    joined = looked.join(F.broadcast(sizes), [*keys]) if keys else looked.withColumn("n", F.lit(totals[()]))
+    on = same_key([looked[k] for k in keys], [table[k] for k in keys])
+    joined = looked.join(F.broadcast(table), on).select(*[looked[k] for k in keys], "n", "__m")
 
     def interpolate(p):
         h = p * (F.col("n") - 1)
         low, high = F.col("__m")[F.floor(h)], F.col("__m")[F.ceil(h)]
         return low + (h - F.floor(h)) * (high - low)
 
-    return joined.select(*keys, "n", F.transform(probs_lit, interpolate).alias("q"))
+    picked = joined.select(*keys, "n", F.transform(probs_lit, interpolate).alias("q"))
+    if len(large) == len(sizes):
+        return picked
+    on_key = same_key([rows[k] for k in keys], [table[k] for k in keys])
+    others = rows.join(F.broadcast(table), on_key, "left_anti")
+    return picked.unionByName(others.groupBy(*keys).agg(counted, exact))

@@ -67,8 +67,8 @@ def baseline_statistics_split(spark, folder):
 )
 def baseline_histogram(spark, folder):
     """Twenty density bins per feature."""
-    long = B.to_long(measures(spark, folder), MEASURES)
-    hist = B.density_histogram(long, B.summary_stats(long))
+    wide = measures(spark, folder)
+    hist = B.density_histogram(B.to_long(wide, MEASURES), B.gathered(B.summary_stats(wide, MEASURES)))
     return hist.select("feature", F.posexplode("histogram_density").alias("bin", "density"), "histogram_bins").select(
         "feature", "bin", "density", F.get("histogram_bins", F.col("bin")).alias("edge")
     )
@@ -113,7 +113,7 @@ SCORES = f"""
 def periods(spark, folder):
     frames = event_frames(spark, folder)
     cut = F.lit(CUT).cast("timestamp_ntz")
-    base = B.summary_stats(B.to_long(frames.filter(F.col("ts") < cut), SIGNALS))
+    base = B.summary_stats(frames.filter(F.col("ts") < cut), SIGNALS)
     return base, frames.filter(F.col("ts") >= cut)
 
 
@@ -196,7 +196,7 @@ BUFFERED = f"""
 
 def _buffered(spark, folder, **options):
     frames = event_frames(spark, folder)
-    base = B.summary_stats(B.to_long(frames.filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")), ["ear", "mar"]))
+    base = B.summary_stats(frames.filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")), ["ear", "mar"])
     shown = frames.withColumn("ear", F.when(F.col("face"), F.col("ear")))
     return D.buffered_drift(
         shown, base, ["subject_id"], ["ts", "frame_id"], ["ear", "mar"], buffer=40, every=25, **options

@@ -9,6 +9,7 @@ from wakeframe.functions import scalars as S
 from wakeframe.operators import quality as Q
 from wakeframe.operators import reports as R
 from wakeframe.operators import split as SP
+from wakeframe.operators.baseline import summary_stats
 from wakeframe.session import fresh_path
 from wakeframe.sources import messages, tables
 from wakeframe.suite.registry import query, table
@@ -126,11 +127,9 @@ def quality_checks(spark, folder):
 )
 def stage_output_checks(spark, folder):
     """Feature table with its baseline, and frames per label."""
-    from wakeframe.operators.baseline import summary_stats, to_long
-
     names = ["l_quantity", "l_tax"]
     li = table(spark, folder, "lineitem").select(*names, "l_returnflag")
-    base = summary_stats(to_long(li, names))
+    base = summary_stats(li, names)
     checks = Q.check_features(li.withColumnRenamed("l_returnflag", "label"), base, names)
     return checks.unionByName(Q.check_frames(li.select(F.col("l_returnflag").alias("label")), ["A", "X"]))
 

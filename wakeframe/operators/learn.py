@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from wakeframe.constants import CONFIDENCE_STATE, FEATURES, SEED
 from wakeframe.functions.scalars import is_finite, predicted_state
 from wakeframe.operators.evaluation import balanced_weights, positive_weight
-from wakeframe.session import shared_dir
+from wakeframe.session import cut_lineage, shared_dir
 
 
 def usable(features: Sequence[str]) -> Column:
@@ -81,8 +81,12 @@ def train_boosted(
     column_share: float = 0.8,
     weight: float | None = None,
     seed: int = SEED,
+    partitions: int | None = None,
 ) -> BoostedTrees:
-    """Gradient-boosted trees with the positive class weighted."""
+    """Gradient-boosted trees with the positive class weighted.
+
+    ``partitions`` spreads a training table that comes in too few pieces.
+    """
     shared_dir(train.sparkSession)  # boosting cuts its lineage there
     given = weight if weight is not None else positive_weight(train, label).first()["positive_weight"] or 1.0
     rows = train.filter(usable(features)).withColumn(
@@ -102,9 +106,8 @@ def train_boosted(
         seed=seed,
     )
     learner.setProbabilityCol("__probability").setRawPredictionCol("__raw")
-    model = learner.fit(
-        _assembled(rows, features).select(F.col(label).cast("double").alias(label), "__vector", "__weight")
-    )
+    ready = _assembled(rows, features).select(F.col(label).cast("double").alias(label), "__vector", "__weight")
+    model = learner.fit(ready.repartition(partitions) if partitions else ready)
     return BoostedTrees(list(features), model)
 
 
@@ -150,12 +153,14 @@ def train_kernel(
     size: int = 256,
     iterations: int = 100,
     seed: int = SEED,
+    partitions: int | None = None,
 ) -> KernelMachine:
     """Scaled RBF-kernel support vector machine with probabilities.
 
     The kernel is approximated by random features, so training is a linear
     machine over a table instead of a kernel matrix. Classes are balanced by
     weight and margins become probabilities by a logistic fit (Platt 1999).
+    ``partitions`` spreads a training table that comes in too few pieces.
     """
     rows = _assembled(train.filter(usable(features)), features)
     classes = balanced_weights(rows, label).collect()  # one row per class
@@ -163,6 +168,7 @@ def train_kernel(
     for r in classes:
         weight = F.when(F.col(label) == r[label], F.lit(float(r["weight"]))).otherwise(weight)
     rows = rows.select(F.col(label).cast("double").alias(label), "__vector", weight.alias("__weight"))
+    rows = rows.repartition(partitions) if partitions else rows
     scaler = StandardScaler(inputCol="__vector", outputCol="__scaled", withMean=True, withStd=True).fit(rows)
     gamma = 1.0 / len(features)  # 1 / (n * variance), variance 1 after scaling
     lift = fourier_features(gamma, len(features), size, seed)
@@ -177,6 +183,8 @@ def train_kernel(
         maxIter=iterations,
         standardization=False,
     ).fit(lifted)
+    # one number per row, read in every iteration of the fit
+    margins = cut_lineage(_margin(rows, scaler, lift, svc).select(label, "__weight", "__margin"), "margins")
     platt = LogisticRegression(
         featuresCol="__margin",
         labelCol=label,
@@ -184,5 +192,5 @@ def train_kernel(
         probabilityCol="__probability",
         rawPredictionCol="__platt_raw",
         predictionCol="__platt",
-    ).fit(_margin(rows, scaler, lift, svc))
+    ).fit(margins)
     return KernelMachine(list(features), (scaler, lift, svc, platt))

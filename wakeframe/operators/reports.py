@@ -28,6 +28,18 @@ def detection_summary(frames: DataFrame, keys: Sequence[str] = ("label",), face:
     )
 
 
+def detection_totals(per_label: DataFrame, elapsed_sec: float) -> DataFrame:
+    """Totals over the labels with the rate and frames per second of the run."""
+    attempted, ok = F.sum("attempted"), F.sum("succeeded")
+    return per_label.agg(
+        attempted.alias("attempted"),
+        ok.alias("succeeded"),
+        F.sum("no_face").alias("no_face"),
+        percent(ok, attempted).alias("rate_pct"),
+        per_second(attempted, F.lit(float(elapsed_sec))).alias("throughput_fps"),
+    )
+
+
 def video_summary(
     frames: DataFrame, video: str = "video", total: str = "total_frames", fps: str = "source_fps",
     seconds: str = "elapsed_sec", status: str = "status",
@@ -65,6 +77,13 @@ def extraction_totals(videos: DataFrame, video: str = "video") -> DataFrame:
     )
 
 
+def missing_labels(files: DataFrame, labels: Sequence[str], label: str = "label") -> DataFrame:
+    """One error row per expected label without any file."""
+    counts = files.agg(*[F.count_if(F.col(label) == n).alias(n) for n in labels])
+    rows = F.array(*[F.struct(F.lit(f"No videos in {n}").alias("error"), F.col(n).alias("n")) for n in labels])
+    return counts.select(F.inline(rows)).filter("n = 0").select("error")
+
+
 def extraction_errors(videos: DataFrame, video: str = "video") -> DataFrame:
     """One row per failed video; a table, as there may be many."""
     return videos.filter(F.col("status") != "success").select(

@@ -15,6 +15,27 @@ def attach(messages: DataFrame, sessions: DataFrame, key: str = "session_id") ->
     return messages.join(sessions, key, "inner"), messages.join(sessions.select(key), key, "left_anti")
 
 
+NO_INIT = "Send 'init' message first"
+
+
+def frames_without_init(
+    messages: DataFrame,
+    keys: Sequence[str] = ("session_id",),
+    order: Sequence[str] = ("ts", "frame_id"),
+    kind: str = "kind",
+    rows_per_segment: int | None = None,
+) -> DataFrame:
+    """Frames that arrive before an init or after a close, as error rows."""
+    rows = KeyedRows(messages, keys, order, rows_per_segment=rows_per_segment).position("__pos")
+    at = F.col("__pos")
+    rows.running(
+        __opened=("max", F.when(F.col(kind) == "init", at)), __closed=("max", F.when(F.col(kind) == "close", at))
+    )
+    is_open = F.coalesce(F.col("__opened"), F.lit(0)) > F.coalesce(F.col("__closed"), F.lit(0))
+    lost = rows.rows().filter((F.col(kind) == "frame") & ~is_open)
+    return lost.drop("__pos", "__opened", "__closed").withColumn("message", F.lit(NO_INIT))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1_000_000
 

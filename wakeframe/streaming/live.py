@@ -30,6 +30,7 @@ from wakeframe.constants import (
     WINDOW,
 )
 from wakeframe.operators.monitor import bucket_columns
+from wakeframe.operators.sessions import NO_INIT
 from wakeframe.session import fresh_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -273,6 +274,41 @@ def live_drift(
     )
 
 
+ORPHAN_OUTPUT = "session_id string, us long, frame_id long, message string"
+
+
+def frames_without_init(messages: DataFrame) -> DataFrame:
+    """Frames that arrive before an init or after a close, as error rows.
+
+    Input: ``session_id, us, frame_id, kind``; ``frame_id`` numbers the
+    messages of a session. State: whether the session is open.
+    """
+
+    def step(key, batches, state: GroupState):
+        is_open, last_us, last_id = state.get if state.exists else (False, FIRST, FIRST)
+        rows = _in_order(batches, last_us, last_id)
+        if not len(rows):
+            return
+        kind = rows["kind"].to_numpy()
+        seq = np.arange(1, len(rows) + 1)
+        opened = np.maximum.accumulate(np.where(kind == "init", seq, 0))
+        closed = np.maximum.accumulate(np.where(kind == "close", seq, 0))
+        now = np.where(opened == closed, is_open, opened > closed)
+        lost = rows[(kind == "frame") & ~now]
+        state.update((bool(now[-1]), int(rows["us"].iloc[-1]), int(rows["frame_id"].iloc[-1])))
+        yield pd.DataFrame(
+            {"session_id": key[0], "us": lost["us"], "frame_id": lost["frame_id"], "message": NO_INIT}
+        )
+
+    return (
+        messages.select("session_id", "us", "frame_id", "kind")
+        .groupBy("session_id")
+        .applyInPandasWithState(
+            step, ORPHAN_OUTPUT, "is_open boolean, last_us long, last_id long", "append", GroupStateTimeout.NoTimeout
+        )
+    )
+
+
 SUMMARY_OUTPUT = (
     "session_id string, started_us long, ended_us long, duration_seconds double, frames long, alerts long, "
     "average_ear double, average_confidence double, ended_by string"

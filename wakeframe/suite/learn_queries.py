@@ -52,7 +52,7 @@ def boosted_trees(spark, folder):
 def kernel_machine(spark, folder):
     """The kernel machine passes the same gates."""
     both = rows(spark, folder)
-    model = L.train_kernel(both.filter("NOT is_test"), INPUTS, size=200, iterations=50, partitions=cores(spark))
+    model = L.train_kernel(both.filter("NOT is_test"), INPUTS, size=128, iterations=30, partitions=cores(spark))
     return gates(model, both.filter("is_test"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wakeframe.functions import parsing as P
 from wakeframe.functions import scalars as S
+from wakeframe.functions import times as TM
 from wakeframe.operators import quality as Q
 from wakeframe.operators import reports as R
 from wakeframe.operators import split as SP
@@ -264,6 +265,49 @@ def detection_summary(spark, folder):
     return R.detection_summary(ev)
 
 
+@query(
+    "detection_totals",
+    """
+    SELECT count(*) AS attempted, count(*) FILTER (value > 20) AS succeeded, count(*) FILTER (value <= 20) AS no_face,
+      round(100.0 * count(*) FILTER (value > 20) / count(*), 2) AS rate_pct, round(count(*) / 673.7, 1)
+      AS throughput_fps FROM events
+    """,
+)
+def detection_totals(spark, folder):
+    return R.detection_totals(detection_summary(spark, folder), 673.7)
+
+
+@query(
+    "labels_without_files",
+    """
+    SELECT 'No videos in ' || w AS error FROM (VALUES ('click'), ('swipe'), ('view')) v(w)
+    WHERE w NOT IN (SELECT event_type FROM events)
+    """,
+)
+def labels_without_files(spark, folder):
+    files = table(spark, folder, "events").select(F.col("event_type").alias("label"))
+    return R.missing_labels(files, ["click", "swipe", "view"])
+
+
+@query(
+    "run_names",
+    """
+    SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS at,
+      'webhook__' || strftime(ts, '%Y%m%dT%H%M%S') AS run, 'report_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS file
+    FROM events
+    """,
+)
+def run_names(spark, folder):
+    """Instants as ISO text, run names and report names."""
+    ts = F.col("ts")
+    return table(spark, folder, "events").select(
+        "event_id",
+        TM.iso_text(ts).alias("at"),
+        TM.run_name("webhook", ts).alias("run"),
+        TM.report_name("report", ts).alias("file"),
+    )
+
+
 VIDEOS = """
   f AS (SELECT l_suppkey AS video, CASE WHEN l_linestatus = 'O' AND l_suppkey < l_partkey THEN 'success' ELSE 'failed' END
       AS status, l_orderkey, l_quantity, l_extendedprice FROM lineitem),

@@ -248,3 +248,39 @@ def attached_messages(spark, folder):
     return attached.withColumn("known", F.lit(True)).unionByName(
         orphans.withColumns({"driver": F.lit(None).cast("string"), "known": F.lit(False)})
     )
+
+
+LOST = """
+  m AS (SELECT user_id, event_id, ts, CASE event_type WHEN 'signup' THEN 'init' WHEN 'purchase' THEN 'close'
+      ELSE 'frame' END AS kind FROM events),
+  last AS (SELECT *, last_value(CASE WHEN kind <> 'frame' THEN kind END IGNORE NULLS) OVER (PARTITION BY user_id
+      ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS seen FROM m),
+  lost AS (SELECT user_id, event_id, 'Send ''init'' message first' AS message FROM last
+      WHERE kind = 'frame' AND coalesce(seen, 'close') <> 'init')
+"""
+
+
+def message_kinds(events):
+    kind = (
+        F.when(F.col("event_type") == "signup", "init")
+        .when(F.col("event_type") == "purchase", "close")
+        .otherwise("frame")
+    )
+    return events.withColumn("kind", kind)
+
+
+def _lost(spark, folder, **options):
+    messages = message_kinds(table(spark, folder, "events").select("user_id", "event_id", "ts", "event_type"))
+    out = N.frames_without_init(messages, ["user_id"], ["ts", "event_id"], **options)
+    return out.select("user_id", "event_id", "message")
+
+
+@query("frames_without_init", f"WITH {LOST} SELECT * FROM lost")
+def frames_without_init(spark, folder):
+    """Frames outside an open session are errors."""
+    return _lost(spark, folder)
+
+
+@query("frames_without_init_split", f"WITH {LOST} SELECT * FROM lost")
+def frames_without_init_split(spark, folder):
+    return _lost(spark, folder, rows_per_segment=20)

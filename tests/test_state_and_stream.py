@@ -184,3 +184,34 @@ def test_messages(spark):
     assert [r["message"] for r in messages.errors(routed).collect()] == [
         "Invalid JSON message", "Unknown message type: zoom", "Unknown message type: null",
     ]
+
+
+@pytest.mark.parametrize("cuts", [[], [7, 8, 31], list(range(5, 60, 5))])
+def test_frames_without_init(spark, tmp_path, cuts):
+    rng = random.Random(5)
+    kinds = [rng.choice(["init", "close", "frame", "frame", "frame"]) for _ in range(60)]
+    rows = pd.DataFrame(
+        [("s" if i % 3 else "t", 1_700_000_000_000_000 + i, i, k) for i, k in enumerate(kinds)],
+        columns=["session_id", "us", "frame_id", "kind"],
+    )
+    want, is_open = [], {}
+    for r in rows.itertuples():
+        if r.kind == "frame" and not is_open.get(r.session_id, False):
+            want.append(r.frame_id)
+        is_open[r.session_id] = {"init": True, "close": False}.get(r.kind, is_open.get(r.session_id, False))
+    stream = in_batches(spark, rows, tmp_path, cuts)
+    got = live.run_to_table(live.frames_without_init(stream), "t")
+    assert sorted(r["frame_id"] for r in got.collect()) == want
+    batch = N.frames_without_init(spark.createDataFrame(rows), order=["us", "frame_id"])
+    assert sorted(r["frame_id"] for r in batch.collect()) == want
+
+
+def test_stream_scores_equal_batch_scores(spark, live_rows, tmp_path):
+    from wakeframe.operators import learn as L
+
+    batch = spark.createDataFrame(live_rows).withColumn("label", F.col("hit").cast("int"))
+    model = L.train_boosted(batch, ["ear", "mar"], trees=3, depth=3)
+    stream = in_batches(spark, live_rows, tmp_path, [200, 500])
+    out = live.run_to_table(model.score(stream).select("session_id", "frame_id", "confidence", "state"), "t")
+    want = model.score(batch).select("session_id", "frame_id", "confidence", "state")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))

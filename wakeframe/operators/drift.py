@@ -183,6 +183,15 @@ def apply_scenario(
     return df.withColumns(changed)
 
 
+def named_scenario(
+    df: DataFrame, name: str, step: Column, total: Column | int, noisy: bool = False, seed: int | None = None
+) -> DataFrame:
+    """One of the named scenarios, with its noise if wanted."""
+    if name not in SCENARIOS:
+        raise ValueError(f"unknown scenario {name}; one of {sorted(SCENARIOS)}")
+    return apply_scenario(df, step, total, SCENARIOS[name], SCENARIO_NOISE[name] if noisy else 0.0, seed=seed)
+
+
 def apply_scenarios(df: DataFrame, step: Column, total: Column | int) -> DataFrame:
     """Every named scenario applied to the table, one output row each.
 

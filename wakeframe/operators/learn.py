@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -111,17 +110,31 @@ def train_boosted(
     return BoostedTrees(list(features), model)
 
 
-def fourier_features(gamma: float, inputs: int, size: int, seed: int):
-    """Random Fourier features of the kernel exp(-gamma |x - y|^2) (Rahimi, Recht 2007)."""
+def fourier_features(gamma: float, inputs: int, size: int, seed: int) -> Callable[[Column], Column]:
+    """Random Fourier features of the kernel exp(-gamma |x - y|^2) (Rahimi, Recht 2007).
+
+    Maps an array column of ``inputs`` numbers to ``size`` numbers.
+    """
     draw = np.random.default_rng(seed)
-    directions = draw.normal(scale=np.sqrt(2.0 * gamma), size=(inputs, size))
+    directions = draw.normal(scale=np.sqrt(2.0 * gamma), size=(size, inputs))
     phases = draw.uniform(0.0, 2.0 * np.pi, size=size)
+    scale = float(np.sqrt(2.0 / size))
+
+    def lift(x: Column) -> Column:
+        waves = F.array(
+            *[
+                F.struct(F.array(*[F.lit(float(v)) for v in row]).alias("w"), F.lit(float(phase)).alias("p"))
+                for row, phase in zip(directions, phases)
+            ]
+        )
+
+        def wave(d: Column) -> Column:
+            angle = d["p"]
+            for i in range(inputs):
+                angle = angle + F.get(d["w"], F.lit(i)) * F.get(x, F.lit(i))
+            return F.cos(angle) * scale
 
-    @F.pandas_udf("array<double>")
-    def lift(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for x in batches:
-            z = np.cos(np.vstack(x.to_numpy()) @ directions + phases) * np.sqrt(2.0 / size) if len(x) else []
-            yield pd.Series(list(z))
+        return F.transform(waves, wave)
 
     return lift
 
@@ -135,8 +148,8 @@ class KernelMachine(Classifier):
 
 
 def _lifted(df, scaler, lift):
-    scaled = scaler.transform(df)
-    return scaled.withColumn("__lifted", array_to_vector(lift(vector_to_array("__scaled"))))
+    scaled = scaler.transform(df).withColumn("__scaled", vector_to_array("__scaled"))
+    return scaled.withColumn("__lifted", array_to_vector(lift(F.col("__scaled"))))
 
 
 def _margin(df, scaler, lift, svc, platt=None):

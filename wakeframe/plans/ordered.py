@@ -229,6 +229,14 @@ class KeyedRows:
         hot = [] if small_keys else hot_keys(df.select(*self.keys), self.keys, limit)
         self.layout = lay_out(df, self.keys, self.order, rows_per_segment, halo, hot) if hot else None
         self.df = self.layout.assign(df, halo) if self.layout else df
+        # the hot keys alone, from which the totals of segments are taken
+        self._hot = self.layout.assign(df, halo, how="inner") if self.layout else None
+
+    def _each(self, step: Callable[[DataFrame], DataFrame]) -> KeyedRows:
+        self.df = step(self.df)
+        if self._hot is not None:
+            self._hot = step(self._hot)
+        return self
 
     @property
     def small_keys(self) -> bool:
@@ -245,59 +253,56 @@ class KeyedRows:
         return Window.partitionBy(*self.parts).orderBy(*self.order)
 
     def with_columns(self, **columns: Column) -> KeyedRows:
-        self.df = self.df.withColumns(columns)
-        return self
+        return self._each(lambda df: df.withColumns(columns))
 
     def frame(self, build: Callable[[WindowSpec], dict[str, Column]]) -> KeyedRows:
         """Add columns whose windows look back at most ``halo`` rows."""
-        self.df = self.df.withColumns(build(self.window))
-        return self
+        return self.with_columns(**build(self.window))
 
     def position(self, name: str) -> KeyedRows:
         """Add the 1-based row number per key as a long."""
         number = F.row_number().over(self.window).cast("long")
         if self.layout:
             number = number + F.coalesce(F.col(BEFORE), F.lit(0))
-        self.df = self.df.withColumn(name, number)
-        return self
+        return self.with_columns(**{name: number})
 
     def running(self, upto: int = 0, **wanted: tuple[str, Column]) -> KeyedRows:
         """Add running ``sum`` or ``max`` columns from the key's first row.
 
-        ``upto=0`` includes the current row, ``upto=-1`` stops before it.
+        ``upto=0`` includes the current row, ``upto=-1`` stops before it. With
+        hot keys the totals of their segments are computed first and held on
+        the driver, one row per segment.
         """
         frame = self.window.rowsBetween(Window.unboundedPreceding, upto)
         fold = {"sum": F.sum, "max": F.max}
         if not self.layout:
-            self.df = self.df.withColumns({n: fold[k](c).over(frame) for n, (k, c) in wanted.items()})
-            return self
+            return self.with_columns(**{n: fold[k](c).over(frame) for n, (k, c) in wanted.items()})
         value = {n: F.when(~F.col(IS_HALO), c) for n, (_, c) in wanted.items()}
-        totals = (
-            self.df.filter(F.col(BEFORE).isNotNull())
-            .groupBy(*self.keys, SEG)
-            .agg(*[fold[k](value[n]).alias(n) for n, (k, _) in wanted.items()])
+        totals = self._hot.groupBy(*self.keys, SEG).agg(
+            *[fold[k](value[n]).alias(n) for n, (k, _) in wanted.items()]
         )
         earlier = Window.partitionBy(*self.keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+        names = [f"__k{i}" for i in range(len(self.keys))]
         carry = totals.select(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(self.keys)],
+            *[F.col(k).alias(n) for k, n in zip(self.keys, names)],
             F.col(SEG).alias("__s"),
             *[fold[k](n).over(earlier).alias(f"__c_{n}") for n, (k, _) in wanted.items()],
         )
-        local = self.df.withColumns({n: fold[k](value[n]).over(frame) for n, (k, _) in wanted.items()})
-        joined = local.join(
-            F.broadcast(carry),  # one row per segment, at most 2 * MAX_SEGMENTS
-            same_key([local[k] for k in self.keys], [carry[f"__k{i}"] for i in range(len(self.keys))])
-            & (local[SEG] == carry["__s"]),
-            "left",
-        )
-        merged = {}
-        for n, (k, _) in wanted.items():
-            here, before = F.col(n), F.col(f"__c_{n}")
-            merged[n] = F.greatest(here, before) if k == "max" else F.coalesce(here + before, here, before)
-        self.df = joined.withColumns(merged).drop(
-            "__s", *[f"__k{i}" for i in range(len(self.keys))], *[f"__c_{n}" for n in wanted]
-        )
-        return self
+        carry = carry.sparkSession.createDataFrame(carry.collect(), carry.schema)
+
+        def step(df: DataFrame) -> DataFrame:
+            local = df.withColumns({n: fold[k](value[n]).over(frame) for n, (k, _) in wanted.items()})
+            on_segment = same_key([local[k] for k in self.keys], [carry[n] for n in names]) & (
+                local[SEG] == carry["__s"]
+            )
+            joined = local.join(F.broadcast(carry), on_segment, "left")
+            merged = {}
+            for n, (k, _) in wanted.items():
+                here, before = F.col(n), F.col(f"__c_{n}")
+                merged[n] = F.greatest(here, before) if k == "max" else F.coalesce(here + before, here, before)
+            return joined.withColumns(merged).drop("__s", *names, *[f"__c_{n}" for n in wanted])
+
+        return self._each(step)
 
     def rows(self) -> DataFrame:
         """The table with all added columns, helper rows and columns removed."""

@@ -72,24 +72,22 @@ def test_mouth_ratio_follows_its_formula(spark):
 
 @pytest.mark.parametrize("angles", [(0, 0, 0), (10, -20, 5), (-35, 25, 40), (170, 8, -12), (-160, -30, 20)])
 def test_pose_recovers_a_known_rotation(spark, angles):
-    pose = G.head_pose(F.col("landmarks"), iterations=8)
-    got = frame(spark, face(pose=rotated(*angles))).select(pose.alias("p")).first()["p"]
+    got = G.add_head_pose(frame(spark, face(pose=rotated(*angles)))).first()["pose"]
     assert got["pitch"] == pytest.approx(angles[0], abs=0.01)
     assert got["yaw"] == pytest.approx(angles[1], abs=0.01)
     assert got["roll"] == pytest.approx(angles[2], abs=0.01)
 
 
 def test_upright_head_has_pitch_180(spark):
-    got = frame(spark, face(pose=rotated(180, 0, 0, (0, 0, 900)))).select(G.head_pose(F.col("landmarks")).alias("p"))
-    p = got.first()["p"]
+    p = G.add_head_pose(frame(spark, face(pose=rotated(180, 0, 0, (0, 0, 900))))).first()["pose"]
     assert abs(p["pitch"]) == pytest.approx(180, abs=0.01)
     assert p["yaw"] == pytest.approx(0, abs=0.01) and p["roll"] == pytest.approx(0, abs=0.01)
 
 
 def test_pose_is_zero_without_points(spark):
     same = [(0.5, 0.5, 0.0)] * N_LANDMARKS
-    rows = frame(spark, [], same[:100], same, None).select("frame_id", G.head_pose(F.col("landmarks")).alias("p"))
-    assert all(tuple(r["p"]) == (0.0, 0.0, 0.0) for r in rows.collect())
+    rows = G.add_head_pose(frame(spark, [], same[:100], same, None))
+    assert all(tuple(r["pose"]) == (0.0, 0.0, 0.0) for r in rows.collect())
 
 
 def test_singular_rotation_has_no_roll(spark):

@@ -130,8 +130,7 @@ def posed_points(spark, folder):
 )
 def head_pose(spark, folder):
     """Angles are recovered from projected points of a known rotation."""
-    pose = G.head_pose(F.col("landmarks"), range(6), iterations=40, places=6)
-    solved = posed_points(spark, folder).withColumn("pose", pose)
+    solved = G.add_head_pose(posed_points(spark, folder), at=range(6), iterations=10, places=6)
     return solved.select("vec_id", *[(F.round(f"pose.{a}", 2) + 0.0).alias(a) for a in ("pitch", "yaw", "roll")])
 
 

@@ -137,12 +137,13 @@ def add_head_pose(
     inverse = np.linalg.pinv(arms)
     kept = df.columns
     n = range(len(arms))
-    # focal length = image width, principal point = image centre
+    # focal length = image width, principal point = image centre; a missing
+    # point becomes NaN, as steps that cannot be null generate far less code
     image = {}
     for i, k in enumerate(at):
         p = F.get(points, F.lit(k))
-        image[f"__x{i}"] = (p["x"] * width - width / 2) / width
-        image[f"__y{i}"] = (p["y"] * height - height / 2) / width
+        image[f"__x{i}"] = F.coalesce(p["x"] - 0.5, F.lit(float("nan")))
+        image[f"__y{i}"] = F.coalesce((p["y"] - 0.5) * (height / width), F.lit(float("nan")))
     out = df.select(*kept, *[c.alias(k) for k, c in image.items()], *[F.lit(0.0).alias(f"__e{i}") for i in n])
 
     def axes(table: DataFrame) -> DataFrame:
@@ -168,12 +169,12 @@ def add_head_pose(
             *kept,
             *image,
             *[c.alias(f"__k{a}") for a, c in enumerate(cross(i, j))],
-            F.sqrt(length(i) * length(j)).alias("__size"),
+            F.pow(length(i) * length(j), F.lit(-0.5)).alias("__per_size"),
         )
         out = out.select(
             *kept,
             *image,
-            *[F.try_divide(_dot(arms[a], vector("k")), F.col("__size")).alias(f"__e{a}") for a in n],
+            *[(_dot(arms[a], vector("k")) * F.col("__per_size")).alias(f"__e{a}") for a in n],
         )
     i, j, k = vector("i"), vector("j"), vector("k")
     out = axes(out).select(*kept, *[c.alias(f"__i{a}") for a, c in enumerate(i)], *[
@@ -181,8 +182,8 @@ def add_head_pose(
     ])
     out = out.select(
         *kept,
-        *[F.try_divide(c, length(i)).alias(f"__i{a}") for a, c in enumerate(i)],
-        *[F.try_divide(c, length(k)).alias(f"__k{a}") for a, c in enumerate(k)],
+        *[(c * F.pow(length(i), F.lit(-1.0))).alias(f"__i{a}") for a, c in enumerate(i)],
+        *[(c * F.pow(length(k), F.lit(-1.0))).alias(f"__k{a}") for a, c in enumerate(k)],
     )
     # second axis orthogonal to the first and third
     entries = {f"r{row}{c}": v for row, axis in enumerate((i, cross(k, i), k)) for c, v in enumerate(axis)}
@@ -190,7 +191,7 @@ def add_head_pose(
     angles = ["pitch", "yaw", "roll"]
     sound = F.lit(True)
     for angle in angles:
-        sound = sound & F.col(f"__pose.{angle}").isNotNull() & ~F.isnan(f"__pose.{angle}")
+        sound = sound & ~F.isnan(f"__pose.{angle}")
     zero = F.struct(*[F.lit(0.0).alias(angle) for angle in angles])
     return out.select(*kept, F.when(sound, F.col("__pose")).otherwise(zero).alias(name))
 

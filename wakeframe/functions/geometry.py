@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -91,6 +91,11 @@ def mouth_ratio(
     return _ratio(distance(p[4], p[5]), distance(p[0], p[1]))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _dot(weights: Sequence[float], values: Sequence[Column]) -> Column:
     total = F.lit(0.0)
     for w, v in zip(weights, values):
@@ -112,88 +117,103 @@ def euler_angles(r: dict[str, Column], places: int = 4) -> Column:
     )
 
 
-def add_head_pose(
-    df: DataFrame,
-    points: str = "landmarks",
-    name: str = "pose",
+def head_pose(
+    points: Column,
     at: Sequence[int] = POSE_POINTS,
     model: Sequence[tuple[float, float, float]] = HEAD_MODEL,
     width: int = FRAME_WIDTH,
     height: int = FRAME_HEIGHT,
     iterations: int = 8,
     places: int = 4,
-) -> DataFrame:
+) -> Column:
     """Head pose from six image points by POSIT (DeMenthon and Davis 1995).
 
     A scaled orthographic pose is solved with the fixed pseudo-inverse of the
     model and refined by the perspective terms of each point. The first point
     is the reference. Missing or degenerate points give 0, 0, 0.
-
-    Each step is a projection over plain double columns, so the whole
-    iteration runs as generated code without a call per row.
     """
     body = np.asarray(model, dtype=float)
     arms = body[1:] - body[0]
     inverse = np.linalg.pinv(arms)
-    kept = df.columns
-    n = range(len(arms))
-    # focal length = image width, principal point = image centre; a missing
-    # point becomes NaN, as steps that cannot be null generate far less code
-    image = {}
-    for i, k in enumerate(at):
-        p = F.get(points, F.lit(k))
-        image[f"__x{i}"] = F.coalesce(p["x"] - 0.5, F.lit(float("nan")))
-        image[f"__y{i}"] = F.coalesce((p["y"] - 0.5) * (height / width), F.lit(float("nan")))
-    out = df.select(*kept, *[c.alias(k) for k, c in image.items()], *[F.lit(0.0).alias(f"__e{i}") for i in n])
-
-    def axes(table: DataFrame) -> DataFrame:
-        """First two rows of the scaled rotation from the current depths."""
-        cols = {}
-        for axis, target in (("x", "i"), ("y", "j")):
-            arm = [F.col(f"__{axis}{i + 1}") * (1.0 + F.col(f"__e{i}")) - F.col(f"__{axis}0") for i in n]
-            cols |= {f"__{target}{c}": _dot(inverse[c], arm) for c in range(3)}
-        return table.select(*kept, *image, *[c.alias(k) for k, c in cols.items()])
-
-    def vector(v: str) -> list[Column]:
-        return [F.col(f"__{v}{c}") for c in range(3)]
-
-    def length(v: list[Column]) -> Column:
-        return F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
-
-    def cross(a: list[Column], b: list[Column]) -> list[Column]:
-        return [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
-
-    for _ in range(iterations):
-        i, j = vector("i"), vector("j")
-        out = axes(out).select(
-            *kept,
-            *image,
-            *[c.alias(f"__k{a}") for a, c in enumerate(cross(i, j))],
-            F.pow(length(i) * length(j), F.lit(-0.5)).alias("__per_size"),
+    n = len(arms)
+    pts = [F.get(points, F.lit(i)) for i in at]
+    # focal length = image width, principal point = image centre
+    image = F.struct(
+        *[((p["x"] * width - width / 2) / width).alias(f"x{i}") for i, p in enumerate(pts)],
+        *[((p["y"] * height - height / 2) / width).alias(f"y{i}") for i, p in enumerate(pts)],
+    )
+
+    def rotation(img: Column, depth: Column) -> Column:
+        def arm(axis):
+            return [img[f"{axis}{i + 1}"] * (1.0 + F.get(depth, F.lit(i))) - img[f"{axis}0"] for i in range(n)]
+
+        xs, ys = arm("x"), arm("y")
+        raw = F.struct(
+            *[_dot(inverse[c], xs).alias(f"i{c}") for c in range(3)],
+            *[_dot(inverse[c], ys).alias(f"j{c}") for c in range(3)],
         )
-        out = out.select(
-            *kept,
-            *image,
-            *[(_dot(arms[a], vector("k")) * F.col("__per_size")).alias(f"__e{a}") for a in n],
+
+        def scaled(v):
+            return F.struct(
+                *[v[f"{a}{c}"].alias(f"{a}{c}") for a in "ij" for c in range(3)],
+                F.sqrt(v["i0"] * v["i0"] + v["i1"] * v["i1"] + v["i2"] * v["i2"]).alias("si"),
+                F.sqrt(v["j0"] * v["j0"] + v["j1"] * v["j1"] + v["j2"] * v["j2"]).alias("sj"),
+            )
+
+        def unit(v):
+            return F.struct(
+                *[F.try_divide(v[f"i{c}"], v["si"]).alias(f"i{c}") for c in range(3)],
+                *[F.try_divide(v[f"j{c}"], v["sj"]).alias(f"j{c}") for c in range(3)],
+                F.sqrt(v["si"] * v["sj"]).alias("s"),
+            )
+
+        def crossed(v):
+            k = [
+                v["i1"] * v["j2"] - v["i2"] * v["j1"],
+                v["i2"] * v["j0"] - v["i0"] * v["j2"],
+                v["i0"] * v["j1"] - v["i1"] * v["j0"],
+            ]
+            return F.struct(
+                *[v[f"{a}{c}"].alias(f"{a}{c}") for a in "ij" for c in range(3)],
+                *[k[c].alias(f"k{c}") for c in range(3)],
+                v["s"].alias("s"),
+            )
+
+        return let(let(let(raw, scaled), unit), crossed)
+
+    def refine(img: Column, depth: Column) -> Column:
+        def perspective(r):
+            return F.array(*[_dot(arms[i], [r["k0"], r["k1"], r["k2"]]) * r["s"] for i in range(n)])
+
+        return let(rotation(img, depth), perspective)
+
+    def solve(img: Column) -> Column:
+        start = F.array(*[F.lit(0.0)] * n)
+        depth = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, lambda d, _: refine(img, d))
+        return let(depth, lambda d: rotation(img, d))
+
+    def angles(r: Column) -> Column:
+        # third axis to unit length, second made orthogonal to first and third
+        length = F.sqrt(r["k0"] * r["k0"] + r["k1"] * r["k1"] + r["k2"] * r["k2"])
+        k = [F.try_divide(r[f"k{c}"], length) for c in range(3)]
+        i = [r[f"i{c}"] for c in range(3)]
+        j = [k[1] * i[2] - k[2] * i[1], k[2] * i[0] - k[0] * i[2], k[0] * i[1] - k[1] * i[0]]
+        entries = F.struct(
+            *[v.alias(f"r{row}{c}") for row, axis in enumerate((i, j, k)) for c, v in enumerate(axis)]
         )
-    i, j, k = vector("i"), vector("j"), vector("k")
-    out = axes(out).select(*kept, *[c.alias(f"__i{a}") for a, c in enumerate(i)], *[
-        c.alias(f"__k{a}") for a, c in enumerate(cross(i, j))
-    ])
-    out = out.select(
-        *kept,
-        *[(c * F.pow(length(i), F.lit(-1.0))).alias(f"__i{a}") for a, c in enumerate(i)],
-        *[(c * F.pow(length(k), F.lit(-1.0))).alias(f"__k{a}") for a, c in enumerate(k)],
-    )
-    # second axis orthogonal to the first and third
-    entries = {f"r{row}{c}": v for row, axis in enumerate((i, cross(k, i), k)) for c, v in enumerate(axis)}
-    out = out.select(*kept, euler_angles(entries, places).alias("__pose"))
-    angles = ["pitch", "yaw", "roll"]
-    sound = F.lit(True)
-    for angle in angles:
-        sound = sound & ~F.isnan(f"__pose.{angle}")
-    zero = F.struct(*[F.lit(0.0).alias(angle) for angle in angles])
-    return out.select(*kept, F.when(sound, F.col("__pose")).otherwise(zero).alias(name))
+        return let(entries, lambda m: euler_angles(m, places))
+
+    pose = let(let(image, solve), angles)
+    usable = F.size(points) > max(at)
+    zero = F.struct(F.lit(0.0).alias("pitch"), F.lit(0.0).alias("yaw"), F.lit(0.0).alias("roll"))
+
+    def or_zero(p: Column) -> Column:
+        sound = F.lit(True)
+        for angle in ("pitch", "yaw", "roll"):
+            sound = sound & p[angle].isNotNull() & ~F.isnan(p[angle])
+        return F.when(sound, p).otherwise(zero)
+
+    return F.when(usable, let(pose, or_zero)).otherwise(zero)
 
 
 def frame_features(
@@ -212,17 +232,14 @@ def frame_features(
         value = F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
         return F.coalesce(value, F.lit(default)).alias(name)
 
-    # ratios first: the points are not needed beyond the start of the pose steps
-    ratios = df.withColumns(
-        {"ear": F.round(both_eyes_ratio(lm, right, left), 6), "mar": F.round(mouth_ratio(lm, mouth), 6)}
-    )
-    return add_head_pose(ratios, points, "__head", pose).select(
+    posed = df.withColumn("__pose", head_pose(lm, pose))
+    return posed.select(
         *keep,
-        "ear",
-        "mar",
-        F.col("__head.pitch").alias("head_pitch"),
-        F.col("__head.yaw").alias("head_yaw"),
-        F.col("__head.roll").alias("head_roll"),
+        F.round(both_eyes_ratio(lm, right, left), 6).alias("ear"),
+        F.round(mouth_ratio(lm, mouth), 6).alias("mar"),
+        F.col("__pose.pitch").alias("head_pitch"),
+        F.col("__pose.yaw").alias("head_yaw"),
+        F.col("__pose.roll").alias("head_roll"),
         given("label", "int", 0),
         given("subject_id", "string", "unknown"),
         given("frame_id", "long", 0),

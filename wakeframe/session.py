@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,13 +51,56 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession):
+    """Within the block, a query's shuffle files go when the query has ended.
+
+    Without it they stay until the driver happens to collect its garbage, and a
+    job of many written stages fills the disks.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Later passes read only the columns they need and do not depend on the
     executors that computed the rows. The table stays until the folder is
-    cleaned.
+    cleaned; ``Stages`` deletes earlier.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Stages(df.sparkSession).keep(df, name)
+
+
+class Stages:
+    """Written tables of one job, deleted one by one as they are used up."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def keep(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        path = fresh_path(self.spark, name)
+        with shuffles_released(self.spark):
+            df.write.parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(kept)] = (kept, path)
+        return kept
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more; others' tables are left alone."""
+        for table in tables:
+            known = self.paths.pop(id(table), None)
+            if known:
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(known[1])
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

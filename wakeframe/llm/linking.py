@@ -69,18 +69,17 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
 def linked(
     members: DataFrame, ready: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], stages: Stages
 ) -> DataFrame:
-    """Components (node, root) of members (bucket, node) whose pairs are alike.
+    """Components (node, root) of members (bucket, node), given once each, whose pairs are alike.
 
     ``ready`` gets the distinct nodes that share a bucket, once, and returns a
     function that takes distinct pairs (a, b), a > b, and returns those that hold.
     The components are those that comparing all pairs of each bucket would give: a
     pair is left out only when other links already join its two sides.
     """
-    rows = stages.keep(members.select("bucket", "node").distinct(), "members")
-    ends = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
     ends = stages.keep(ends.filter("leader < last").select("bucket", "leader"), "leaders")
-    shared = stages.keep(rows.join(ends, "bucket"), "shared")
-    stages.drop(rows, ends)
+    shared = stages.keep(members.join(ends, "bucket"), "shared")
+    stages.drop(ends)
     same = ready(shared.select("node").distinct())
     pairs = shared.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     tested = stages.keep(pairs.distinct(), "pairs")

@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 MODULES = (
     "near_dedup",
+    "line_dedup",
 )
 
 

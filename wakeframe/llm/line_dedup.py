@@ -7,7 +7,7 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeframe.llm.linking import linked
+from wakeframe.llm.linking import Compare, linked
 from wakeframe.llm.suite import query, table
 from wakeframe.session import Stages
 
@@ -103,15 +103,23 @@ def line_classes(
         )
         sets = stages.keep(sets, "line_sets")
 
-        def same(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-            shared_grams = F.size(F.array_intersect("x", "y"))
-            alike = shared_grams >= similarity * (F.size("x") + F.size("y") - shared_grams)
-            return both.filter(alike).select("a", "b")
-
-        return same
+        def paired(rows: DataFrame, one: str, other: str) -> DataFrame:
+            return rows.join(sets.toDF(one, "x"), one).join(sets.toDF(other, "y"), other)
+
+        return Compare(
+            lambda pairs: paired(pairs, "a", "b").select(
+                "a",
+                "b",
+                F.size("x").alias("na"),
+                F.size("y").alias("nb"),
+                F.size(F.array_intersect("x", "y")).alias("both"),
+            ),
+            lambda rows: paired(rows, "node", "leader").select(
+                "node", "leader", F.explode(F.array_except("x", "y")).alias("extra")
+            ),
+        )
 
-    root = linked(members, ready, stages)
+    root = linked(members, ready, similarity, stages)
     occurrences = lines.select("long_id", "tag", "n", "line")
     # only lines that occur again, or that have a near duplicate, can lose an occurrence
     again = occurrences.groupBy("line").agg(F.count("*").alias("k")).filter("k > 1").select("line")

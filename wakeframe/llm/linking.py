@@ -1,23 +1,20 @@
 """Links between rows that share a bucket, and the components the links make.
 
 Buckets are never expanded into all their pairs. Every member of a bucket is
-compared with one leader; members that the leader doesn't hold together are
-compared again among what is left, until every pair of a bucket is either in one
-component or was compared. Components, links and members stay in Spark tables.
+compared with one leader; only members that the leader doesn't hold together are
+compared further. Components, links and members stay in Spark tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeframe.session import Stages
 
-#: Left-over pairs are compared at once where they are no more than this many times the members.
-REST_FACTOR = 8
-
 
 def _ordered(edges: DataFrame) -> DataFrame:
     return (
@@ -66,68 +63,121 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return _flat(stages.keep(done, "forest"), stages)
 
 
+class Compare(NamedTuple):
+    """How to compare nodes, each of which is a set.
+
+    ``overlaps`` takes distinct pairs (a, b) and adds the sizes ``na`` and ``nb`` and
+    the number of common members, ``both``. ``extras`` takes (node, leader) and returns
+    a row (node, leader, extra) for each member of the node that the leader hasn't.
+    """
+
+    overlaps: Callable[[DataFrame], DataFrame]
+    extras: Callable[[DataFrame], DataFrame]
+
+
+#: Leaders tried in turn before the rest of a family is compared member by member.
+LEADERS = 3
+
+
 def linked(
-    members: DataFrame, ready: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], stages: Stages
+    members: DataFrame, ready: Callable[[DataFrame], Compare], similarity: float, stages: Stages
 ) -> DataFrame:
-    """Components (node, root) of members (bucket, node), given once each, whose pairs are alike.
-
-    ``ready`` gets the distinct nodes that share a bucket, once, and returns a
-    function that takes distinct pairs (a, b), a > b, and returns those that hold.
-    The components are those that comparing all pairs of each bucket would give: a
-    pair is left out only when other links already join its two sides.
+    """Components (node, root) of members (bucket, node), given once each.
+
+    Two nodes of a bucket are linked when the Jaccard similarity of their sets is at
+    least ``similarity``. ``ready`` gets the distinct nodes that share a bucket, once.
+
+    1. Every member is compared with its bucket's leader, the one that shares buckets
+       most, so that the text others derive from leads its copies. The members of a
+       leader's buckets are its family.
+    2. In families that still hold several components, members outside the largest
+       one are compared with further leaders from among themselves.
+    3. Members still outside are compared with the rest of their family where that
+       can succeed. If two members x and y share nothing that their leader c lacks,
+       they have at most min(|x & c|, |y & c|) members in common; where that is too
+       few, no comparison is needed. Pairs that do share something c lacks are found
+       by an equal join on it. A member that needs r such shares for any link can do
+       without its r - 1 commonest: two that share r share another one.
+
+    So the components are those of comparing all pairs of every bucket.
     """
-    ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    ends = stages.keep(ends.filter("leader < last").select("bucket", "leader"), "leaders")
-    shared = stages.keep(members.join(ends, "bucket"), "shared")
-    stages.drop(ends)
-    same = ready(shared.select("node").distinct())
-    pairs = shared.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    tested = stages.keep(pairs.distinct(), "pairs")
-    edges = stages.keep(same(tested), "links")
-    found = components(edges, stages)
-    rest = shared.filter("node <> leader").select("bucket", "node")
-    while True:
-        rest, minor, cost, size = _unsettled(rest, found, stages)
-        if not cost:
-            return found
-        if cost <= REST_FACTOR * size:
-            one, other = minor.alias("x"), rest.alias("y")
-            pairs = one.join(other, F.col("x.bucket") == F.col("y.bucket")).filter("x.root <> y.root")
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            last = True
-        else:
-            lead = rest.groupBy("bucket").agg(F.min(F.struct("node", "root")).alias("lead"))
-            lead = stages.keep(lead.select("bucket", "lead.*").toDF("bucket", "leader", "top"), "leaders")
-            held = rest.join(lead, "bucket")
-            pairs = held.filter("root <> top").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-            rest = held.filter("node <> leader").select("bucket", "node")
-            last = False
-        new = stages.keep(_ordered(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(new)
-        edges = edges.unionByName(stages.keep(same(new), "links"))
-        found = components(edges, stages)
-        if last:
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = stages.keep(sizes, "sizes")
+    shared = stages.keep(members.join(sizes, "bucket"), "shared")
+    scores = stages.keep(shared.groupBy("node").agg(F.sum("n").alias("score")), "scores")
+    compare = ready(scores.select("node"))
+    scored = stages.keep(shared.select("bucket", "node").join(scores, "node"), "scored")
+    lead = stages.keep(_leaders(scored, "bucket"), "leaders")
+    led = stages.keep(scored.join(lead, "bucket").filter("node <> leader").drop("bucket").distinct(), "led")
+    stages.drop(sizes, shared, scored, lead)
+    known, links = _compared(led, compare, similarity, stages)
+    ends = led.withColumns({"a": F.greatest("node", "leader"), "b": F.least("node", "leader")})
+    size = F.when(F.col("node") == F.col("a"), F.col("na")).otherwise(F.col("nb"))
+    family = ends.join(known, ["a", "b"]).select("leader", "node", "score", size.alias("n"), "both")
+    family = stages.keep(family, "family")
+    known = known.select("a", "b")
+    for turn in range(LEADERS):
+        found = components(links, stages)
+        rows, outside, settled = _unsettled(family, found, stages)
+        if settled:
             return found
+        if turn < LEADERS - 1:
+            lead = stages.keep(_leaders(outside, "leader", "next"), "leaders")
+            led = outside.join(lead, "leader").filter("node <> next").select("node", F.col("next").alias("leader"))
+            tests, more = _compared(led, compare, similarity, stages)
+            known, links = known.unionByName(tests.select("a", "b")), links.unionByName(more)
+    # how small the other must be for this one's part of the leader to be enough
+    room = F.floor(F.col("both") / similarity + F.col("both") - F.col("n") + 1e-6)
+    rows, outside = rows.withColumn("room", room), outside.withColumn("room", room)
+    one, other = outside.alias("x"), rows.alias("y")
+    apart = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.root") != F.col("y.root"))
+    able = (F.col("y.n") <= F.col("x.room")) & (F.col("x.n") <= F.col("y.room"))
+    pick = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
+    close = one.join(other, apart & able).select(*pick)
+    extra = stages.keep(compare.extras(rows.select("node", "leader")), "extras")
+    held = extra.join(_telling(extra, outside, rows, similarity), ["node", "leader", "extra"], "left_semi")
+    near = outside.join(held, ["node", "leader"]).alias("x").join(
+        rows.join(extra, ["node", "leader"]).alias("y"), apart & (F.col("x.extra") == F.col("y.extra"))
+    )
+    new = _ordered(close.unionByName(near.select(*pick))).join(known, ["a", "b"], "left_anti")
+    last = _linked_of(stages.keep(compare.overlaps(stages.keep(new, "pairs")), "tests"), similarity)
+    return components(links.unionByName(last), stages)
+
+
+def _telling(extra: DataFrame, outside: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Of each member in ``outside``, the extras of which any near one shares at least one."""
+    common = extra.groupBy("leader", "extra").agg(F.count("*").alias("times"))
+    least = rows.groupBy("leader").agg(F.min("n").alias("least"))
+    need = F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("least")) - F.col("both") - 1e-6)
+    needed = outside.join(least, "leader").select("node", "leader", need.alias("need"))
+    ranked = extra.join(needed, ["node", "leader"]).join(common, ["leader", "extra"])
+    order = Window.partitionBy("node", "leader").orderBy(F.desc("times"), "extra")
+    return ranked.withColumn("rank", F.row_number().over(order)).filter("rank >= need")
+
+
+def _leaders(rows: DataFrame, group: str, name: str = "leader") -> DataFrame:
+    lead = rows.groupBy(group).agg(F.max(F.struct("score", "node")).alias("lead"))
+    return lead.select(group, F.col("lead.node").alias(name))
 
 
-def _unsettled(rest: DataFrame, found: DataFrame, stages: Stages):
-    """Members of buckets that hold several components, those outside each bucket's
-    largest one, how many pairs these make with the rest, and how many members there are."""
-    rooted = rest.join(found, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+def _linked_of(tests: DataFrame, similarity: float) -> DataFrame:
+    enough = F.col("both") >= similarity * (F.col("na") + F.col("nb") - F.col("both")) - 1e-9
+    return tests.filter(enough).select("a", "b")
+
+
+def _compared(led: DataFrame, compare: Compare, similarity: float, stages: Stages):
+    pairs = _ordered(led.select(F.col("node").alias("a"), F.col("leader").alias("b")))
+    tests = stages.keep(compare.overlaps(pairs), "tests")
+    return tests, _linked_of(tests, similarity)
+
+
+def _unsettled(family: DataFrame, found: DataFrame, stages: Stages):
+    """Members of families that hold several components, those of them outside their
+    family's largest one, and whether there are none."""
+    rooted = family.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = stages.keep(rooted, "rooted")
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    rows = stages.keep(rooted.join(mixed.select("bucket"), "bucket"), "unsettled")
-    stages.drop(rooted)
-    sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = stages.keep(
-        sizes.groupBy("bucket").agg(
-            F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("m")
-        ).select("bucket", F.col("most.root").alias("main"), F.col("most.n").alias("held"), "m"),
-        "main",
-    )
-    cost, size = main.agg(
-        F.coalesce(F.sum((F.col("m") - F.col("held")).cast("double") * F.col("m")), F.lit(0.0)),
-        F.coalesce(F.sum("m"), F.lit(0)),
-    ).first()
-    minor = rows.join(main, "bucket").filter("root <> main").select("bucket", "node", "root")
-    return rows, minor, cost, size + 1_000_000
+    sizes = rooted.groupBy("leader", "root").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("leader").agg(F.max(F.struct("k", "root")).alias("most"), F.count("*").alias("parts"))
+    main = stages.keep(main.filter("parts > 1").select("leader", F.col("most.root").alias("main")), "main")
+    rows = rooted.join(main, "leader")
+    return rows.drop("main"), rows.filter("root <> main").drop("main"), main.isEmpty()

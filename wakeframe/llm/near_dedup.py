@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeframe.llm import bagminhash
-from wakeframe.llm.linking import linked
+from wakeframe.llm.linking import Compare, linked
 from wakeframe.llm.suite import query, table
 from wakeframe.llm.words import blocks, grams, mixed, seeds, texts_of, words_of
 from wakeframe.session import Stages
@@ -75,7 +75,11 @@ def _signed(rows: int, count: int, words: int):
 
 
 def _gram_lists(words: int):
-    """(node, text) -> (node, grams): the text's sorted gram hashes, repeats kept, as bytes."""
+    """(node, text) -> (node, grams): the text's gram hashes, sorted, as bytes.
+
+    The k-th repeat of a gram gets a hash of its own, so that the overlap of two
+    multisets is that of two sets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,6 +87,13 @@ def _gram_lists(words: int):
             for first, last in blocks(texts):
                 row, gram = grams(words_of(texts, first, last), words)
                 order = np.lexsort((gram, row))
+                row, gram = row[order], gram[order]
+                new = np.ones(len(row), dtype=bool)
+                new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+                start = np.flatnonzero(new)
+                repeat = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
+                gram = np.where(repeat > 0, mixed(gram + repeat.astype(np.uint64)), gram)
+                order = np.lexsort((gram, row))
                 gram, cut = gram[order], np.searchsorted(row, np.arange(first, last + 1))
                 lists = [gram[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -92,35 +103,41 @@ def _gram_lists(words: int):
     return run
 
 
-def overlap(x: np.ndarray, y: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two sorted arrays with repeats."""
-    if not len(x) or not len(y):
-        return 0.0
-    value, count = np.unique(x, return_counts=True)
-    other, times = np.unique(y, return_counts=True)
-    _, i, j = np.intersect1d(value, other, assume_unique=True, return_indices=True)
-    both = int(np.minimum(count[i], times[j]).sum())
-    return both / (len(x) + len(y) - both)
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two arrays of distinct values."""
+    both = np.sort(np.concatenate((x, y)))
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-def _alike(similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            last, known = None, np.zeros(0, np.uint64)
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            xs, ys = batch.column(2), batch.column(3)
-            for i in range(batch.num_rows):
-                y = ys[i].as_buffer()
-                if last is None or not y.equals(last):
-                    last, known = y, np.frombuffer(y, np.uint64)
-                x = np.frombuffer(xs[i].as_buffer(), np.uint64)
-                if min(len(x), len(known)) >= similarity * max(len(x), len(known)):
-                    keep[i] = overlap(x, known) >= similarity
-            yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(keep)) for c in (batch.column(0), batch.column(1))], names=["a", "b"]
-            )
+def _sets(column: pa.Array, i: int) -> np.ndarray:
+    return np.frombuffer(column[i].as_buffer(), np.uint64)
 
-    return run
+
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, x, y) -> (a, b, na, nb, both)"""
+    for batch in batches:
+        out = np.zeros((3, batch.num_rows), dtype=np.int64)
+        for i in range(batch.num_rows):
+            x, y = _sets(batch.column(2), i), _sets(batch.column(3), i)
+            out[:, i] = len(x), len(y), overlap(x, y)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), *map(pa.array, out)], names=["a", "b", "na", "nb", "both"]
+        )
+
+
+def _extras(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, leader, x, y) -> (node, leader, extra) for the members of x that y hasn't"""
+    for batch in batches:
+        found = [
+            np.setdiff1d(_sets(batch.column(2), i), _sets(batch.column(3), i), assume_unique=True)
+            for i in range(batch.num_rows)
+        ]
+        times = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        extra = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(times)), batch.column(1).take(pa.array(times)), pa.array(extra)],
+            names=["node", "leader", "extra"],
+        )
 
 
 def near_classes(
@@ -163,18 +180,20 @@ def near_classes(
 
     def ready(shared: DataFrame):
         where = stages.keep(nodes.select("node", "tag", "long_id").join(shared, "node"), "wanted")
-        found = source.join(where, (source.tag == where.tag) & source.long_id.eqNullSafe(where.long_id))
+        # what is wanted grows with the corpus: never a broadcast
+        found = source.join(where.hint("merge"), (source.tag == where.tag) & source.long_id.eqNullSafe(where.long_id))
         lists = found.select("node", "text").mapInArrow(_gram_lists(words), "node long, grams binary")
         lists = stages.keep(lists.dropDuplicates(["node"]), "grams")
 
-        def same(pairs: DataFrame) -> DataFrame:
-            x, y = lists.toDF("a", "x"), lists.toDF("b", "y")
-            both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-            return both.mapInArrow(_alike(similarity), "a long, b long")
+        def sets(rows: DataFrame, one: str, other: str) -> DataFrame:
+            return rows.join(lists.toDF(one, "x"), one).join(lists.toDF(other, "y"), other).select(one, other, "x", "y")
 
-        return same
+        return Compare(
+            lambda pairs: sets(pairs, "a", "b").mapInArrow(_overlaps, "a long, b long, na long, nb long, both long"),
+            lambda rows: sets(rows, "node", "leader").mapInArrow(_extras, "node long, leader long, extra long"),
+        )
 
-    root = linked(members, ready, stages)
+    root = linked(members, ready, similarity, stages)
     rooted = texts.select("long_id", "tag", "node").join(root, "node", "left")
     rooted = stages.keep(
         rooted.select("long_id", "tag", F.coalesce("root", "node").alias("root")), "rooted"

@@ -13,6 +13,8 @@ ORACLES: dict[str, str] = {}
 MODULES = (
     "near_dedup",
     "line_dedup",
+    "quality",
+    "vector_dedup",
 )
 
 

@@ -15,6 +15,9 @@ MODULES = (
     "line_dedup",
     "quality",
     "vector_dedup",
+    "byte_bpe",
+    "chat_format",
+    "token_counts",
 )
 
 

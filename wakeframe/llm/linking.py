@@ -27,15 +27,15 @@ def _ordered(edges: DataFrame) -> DataFrame:
 def _flat(parents: DataFrame, stages: Stages) -> DataFrame:
     """Point every node of a forest at its root, in about log2(depth) passes."""
     while True:
-        used = parents.select(F.col("root").alias("node")).distinct()
-        inner = parents.join(used, "node", "left_semi").select(F.col("node").alias("root"), F.col("root").alias("up"))
-        inner = stages.keep(inner, "inner")
-        if inner.isEmpty():
-            stages.drop(inner)
+        up = parents.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        new = parents.join(up, "root", "left").select(
+            "node", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")
+        )
+        new = stages.keep(new, "parents")
+        stages.drop(parents)
+        parents = new.select("node", "root")
+        if new.filter("moved").isEmpty():
             return parents
-        new = parents.join(inner, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        before, parents = parents, stages.keep(new, "parents")
-        stages.drop(before, inner)
 
 
 def components(edges: DataFrame, stages: Stages) -> DataFrame:
@@ -48,10 +48,8 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     """
     live = stages.keep(_ordered(edges), "edges")
     done: DataFrame | None = None
-    while done is None or not live.isEmpty():
-        parents = stages.keep(
-            live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), "parents"
-        )
+    while True:
+        parents = stages.keep(live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), "parents")
         parents = _flat(parents, stages)
         up = parents.select(F.col("node").alias("a"), F.col("root").alias("top"))
         first = live.join(up, "a").filter("top <> b").select(F.col("top").alias("a"), "b").distinct()
@@ -59,8 +57,12 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
         both = first.join(down, "b", "left").select("a", F.coalesce("low", "b").alias("b"))
         before, live = live, stages.keep(_ordered(both), "edges")
         stages.drop(before)
+        last = live.isEmpty()
+        if done is None and last:
+            return parents
         done = parents if done is None else done.unionByName(parents)
-    return _flat(stages.keep(done, "forest"), stages)
+        if last:
+            return _flat(stages.keep(done, "forest"), stages)
 
 
 class Compare(NamedTuple):
@@ -76,7 +78,7 @@ class Compare(NamedTuple):
 
 
 #: Leaders tried in turn before the rest of a family is compared member by member.
-LEADERS = 3
+LEADERS = 2
 
 
 def linked(
@@ -97,7 +99,8 @@ def linked(
        they have at most min(|x & c|, |y & c|) members in common; where that is too
        few, no comparison is needed. Pairs that do share something c lacks are found
        by an equal join on it. A member that needs r such shares for any link can do
-       without its r - 1 commonest: two that share r share another one.
+       without its r - 1 commonest: two that share r share another one of both. Nor can
+       two share more than either has.
 
     So the components are those of comparing all pairs of every bucket.
     """
@@ -116,16 +119,21 @@ def linked(
     family = ends.join(known, ["a", "b"]).select("leader", "node", "score", size.alias("n"), "both")
     family = stages.keep(family, "family")
     known = known.select("a", "b")
-    for turn in range(LEADERS):
-        found = components(links, stages)
-        rows, outside, settled = _unsettled(family, found, stages)
+    found = components(links, stages)
+    rows, outside, settled = _unsettled(family, found, stages)
+    for _ in range(LEADERS - 1):
         if settled:
             return found
-        if turn < LEADERS - 1:
-            lead = stages.keep(_leaders(outside, "leader", "next"), "leaders")
-            led = outside.join(lead, "leader").filter("node <> next").select("node", F.col("next").alias("leader"))
-            tests, more = _compared(led, compare, similarity, stages)
-            known, links = known.unionByName(tests.select("a", "b")), links.unionByName(more)
+        lead = _leaders(outside, "leader", "next")
+        led = outside.join(lead, "leader").filter("node <> next").select("node", F.col("next").alias("leader"))
+        tests, more = _compared(led, compare, similarity, stages)
+        known = known.unionByName(tests.select("a", "b"))
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = components(links, stages)
+            rows, outside, settled = _unsettled(family, found, stages)
+    if settled:
+        return found
     # how small the other must be for this one's part of the leader to be enough
     room = F.floor(F.col("both") / similarity + F.col("both") - F.col("n") + 1e-6)
     rows, outside = rows.withColumn("room", room), outside.withColumn("room", room)
@@ -135,24 +143,27 @@ def linked(
     pick = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
     close = one.join(other, apart & able).select(*pick)
     extra = stages.keep(compare.extras(rows.select("node", "leader")), "extras")
-    held = extra.join(_telling(extra, outside, rows, similarity), ["node", "leader", "extra"], "left_semi")
-    near = outside.join(held, ["node", "leader"]).alias("x").join(
-        rows.join(extra, ["node", "leader"]).alias("y"), apart & (F.col("x.extra") == F.col("y.extra"))
-    )
+    telling = stages.keep(_telling(extra, rows, similarity), "telling")
+    one = outside.join(telling, ["node", "leader"]).alias("x")
+    other = rows.join(telling, ["node", "leader"]).alias("y")
+    need = similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - F.least("x.both", "y.both") - 1e-6
+    able = need <= F.least(F.col("x.n") - F.col("x.both"), F.col("y.n") - F.col("y.both"))
+    near = one.join(other, apart & able & (F.col("x.extra") == F.col("y.extra")))
     new = _ordered(close.unionByName(near.select(*pick))).join(known, ["a", "b"], "left_anti")
     last = _linked_of(stages.keep(compare.overlaps(stages.keep(new, "pairs")), "tests"), similarity)
     return components(links.unionByName(last), stages)
 
 
-def _telling(extra: DataFrame, outside: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Of each member in ``outside``, the extras of which any near one shares at least one."""
-    common = extra.groupBy("leader", "extra").agg(F.count("*").alias("times"))
+def _telling(extra: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Extras without each member's commonest ones that any near pair can do without."""
+    common = extra.groupBy("leader", "extra").agg(F.count("*").alias("times")).filter("times > 1")
     least = rows.groupBy("leader").agg(F.min("n").alias("least"))
     need = F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("least")) - F.col("both") - 1e-6)
-    needed = outside.join(least, "leader").select("node", "leader", need.alias("need"))
+    needed = rows.join(least, "leader").select("node", "leader", need.alias("need"))
     ranked = extra.join(needed, ["node", "leader"]).join(common, ["leader", "extra"])
     order = Window.partitionBy("node", "leader").orderBy(F.desc("times"), "extra")
-    return ranked.withColumn("rank", F.row_number().over(order)).filter("rank >= need")
+    ranked = ranked.withColumn("rank", F.row_number().over(order)).filter("rank >= need")
+    return ranked.select("node", "leader", "extra")
 
 
 def _leaders(rows: DataFrame, group: str, name: str = "leader") -> DataFrame:

@@ -18,6 +18,7 @@ MODULES = (
     "byte_bpe",
     "chat_format",
     "token_counts",
+    "toxicity",
 )
 
 

@@ -149,6 +149,14 @@ def words_of(texts: Texts, first: int = 0, last: int | None = None, second: bool
     return Words(row, start, end, mixed(_hashes(texts.data, start, end, table, base)))
 
 
+def beginnings(texts: Texts, words: Words, n: int) -> Words:
+    """The first ``n`` bytes of the words that are longer, hashed apart from whole words."""
+    longer = words.end - words.start > n
+    start = words.start[longer]
+    found = mixed(_hashes(texts.data, start, start + n, _BYTE, _BASE) ^ seeds(1, 900 + n)[0])
+    return Words(words.row[longer], start, start + n, found)
+
+
 def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every run of ``n`` words; fewer words make one run of all."""
     count = len(words.row)

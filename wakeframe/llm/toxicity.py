@@ -20,7 +20,7 @@ LABELLED = 20_000  # labelled documents that the model is fitted on, at most
 FEATURES = 2048  # words with a weight, at most
 SKETCHES = 4  # minima by which near copies among them are found
 STEMS = (4, 5)  # bytes of a word's beginning that are features too
-LEAST_DOCS = 5  # labelled documents that a word with a weight is in
+LEAST_DOCS = 4  # labelled documents that a word with a weight is in
 LEAST_ODDS = 1.0  # its log odds ratio
 LEAST_Z = 5.0  # and its excess over chance, in standard deviations
 
@@ -166,7 +166,7 @@ def fit(
     """Fit the model on at most ``labelled`` labelled documents, drawn by a hash of their id.
 
     Labels say only toxic or not. The grade of a toxic document is one plus the number
-    of ``grades`` - 1 quantiles that its share of words found mostly in toxic documents
+    of ``grades`` - 1 quantiles that its count of words found mostly in toxic documents
     exceeds; other documents have grade 0. Of texts that share a sketch and the label one
     is used, so that families of copies don't vote many times. Null ids, labels and texts are left out.
     Without labels of both kinds there is no model.
@@ -199,7 +199,7 @@ def fit(
     rows = lists.select("long_id", "toxic", "n_words").join(used, "long_id", "left").collect()
     rows.sort(key=lambda r: r["long_id"])
     leans = np.array([2 * r["hits"] >= r["docs"] for r in telling])
-    row, column, value, toxic, share = [], [], [], [], []
+    row, column, value, toxic, signs = [], [], [], [], []
     for i, r in enumerate(rows):
         hits = 0
         for at, k in sorted((u["at"], u["k"]) for u in r["used"] or []):
@@ -208,10 +208,10 @@ def fit(
             value.append(math.log1p(k))
             hits += k * leans[at]
         toxic.append(r["toxic"] > 0)
-        share.append(hits / r["n_words"])
-    toxic, share = np.array(toxic), np.array(share)
-    cuts = np.quantile(share[toxic], np.arange(1, grades) / grades)
-    grade = np.where(toxic, 1 + (share[:, None] > cuts).sum(axis=1), 0)
+        signs.append(hits)
+    toxic, signs = np.array(toxic), np.array(signs)
+    cuts = np.quantile(signs[toxic], np.arange(1, grades) / grades)
+    grade = np.where(toxic, 1 + (signs[:, None] > cuts).sum(axis=1), 0)
     weights, thresholds = fit_ordinal(
         np.array(row, dtype=np.int64), np.array(column, dtype=np.int64), np.array(value), grade, len(telling), grades
     )

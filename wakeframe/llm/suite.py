@@ -19,6 +19,7 @@ MODULES = (
     "chat_format",
     "token_counts",
     "toxicity",
+    "packing",
 )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeframe.llm.suite import query, table
-from wakeframe.llm.word_bpe import WordBpe
+from wakeframe.llm.word_bpe import coder_of
 from wakeframe.llm.words import blocks, mixed, seeds, texts_of
 from wakeframe.session import Stages
 
@@ -85,7 +85,7 @@ def _tokenized(data: str, end_id: int):
     """(id, tag, text) -> (id, tag, curve, n, ids), ids as little-endian unsigned 16-bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordBpe(data)
+        coder = coder_of(data)
         directions = projections(1 << 16, DIMENSIONS)
         for batch in batches:
             texts = texts_of(batch.column(2))

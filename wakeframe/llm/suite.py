@@ -20,6 +20,7 @@ MODULES = (
     "token_counts",
     "toxicity",
     "packing",
+    "lm_score",
 )
 
 

@@ -16,7 +16,8 @@ import numpy as np
 
 from wakeframe.llm.words import BLOCK, Texts, _hashes, _BASE, _BYTE, mixed
 
-REMEMBERED = 400_000  # pre-tokens whose ids a task keeps between blocks
+REMEMBERED = 2_000_000  # pre-tokens whose ids a Python worker keeps, at about 40 bytes each
+HEADS = 20  # bits of a hash that lead to its place in the sorted hashes
 JOINED = 400  # pre-tokens given to the tokenizer as one text
 
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
@@ -31,26 +32,38 @@ _LOWER[65:91] += 32
 @lru_cache(maxsize=2)
 def _tokenizer(data: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     made = Tokenizer.from_str(data)
     made.encode_special_tokens = True
+    # pre-tokens need neither normaliser nor pattern, only the map from bytes to characters
+    bare = Tokenizer(made.model)
+    bare.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
     ends = np.zeros(made.get_vocab_size(), dtype=bool)
     for token, i in made.get_vocab().items():
         ends[i] = token.endswith("</w>")
-    return made, ends
+    return made, bare, ends
+
+
+@lru_cache(maxsize=1)
+def coder_of(data: str) -> WordBpe:
+    """One encoder per Python worker: tasks that follow find its pre-tokens."""
+    return WordBpe(data)
 
 
 class WordBpe:
     """Encodes rows of texts; ``data`` is the tokenizer file's content."""
 
     def __init__(self, data: str, remembered: int = REMEMBERED):
-        self.coder, self.ends = _tokenizer(data)
+        self.coder, self.bare, self.ends = _tokenizer(data)
         self.remembered = remembered
         self._forget()
 
     def _forget(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)  # hashes, sorted
+        self.heads = np.zeros(1 << HEADS, dtype=np.int64)  # first place of each range of hashes
         self.at = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.pool = np.zeros(0, dtype=np.uint16)
@@ -133,31 +146,37 @@ class WordBpe:
         return self.pool[np.arange(int(size.sum())) + np.repeat(at - begin, size)], size
 
     def _find(self, found) -> np.ndarray:
+        place = self.heads[(found >> np.uint64(64 - HEADS)).astype(np.int64)]
         if not len(self.known):
-            return np.full(len(found), -1)
-        place = np.searchsorted(self.known, found)
-        place[place == len(self.known)] = 0
-        return np.where(self.known[place] == found, place, -1)
+            return place - 1
+        padded = np.append(self.known, np.uint64((1 << 64) - 1))
+        behind = np.flatnonzero(padded[place] < found)
+        while len(behind):
+            place[behind] += 1
+            behind = behind[padded[place[behind]] < found[behind]]
+        return np.where((padded[place] == found) & (place < len(self.known)), place, -1)
 
     def _learn(self, fresh: np.ndarray, pieces: list[str]) -> None:
-        lists: list[np.ndarray] = []
-        for i in range(0, len(pieces), JOINED):
-            part = pieces[i : i + JOINED]
-            ids = np.array(self.coder.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint16)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
-                lists.extend(np.split(ids, cuts)[:-1])
-            else:
-                one = self.coder.encode_batch_fast(part, add_special_tokens=False)
-                lists.extend(np.array(x.ids, dtype=np.uint16) for x in one)
-        size = np.array([len(x) for x in lists], dtype=np.int64)
+        ids, sizes = [], []
+        texts = [" ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        for i, coded in enumerate(self.bare.encode_batch_fast(texts, add_special_tokens=False)):
+            part = pieces[i * JOINED : (i + 1) * JOINED]
+            found = np.array(coded.ids, dtype=np.uint16)
+            cuts = np.flatnonzero(self.ends[found]) + 1
+            if len(cuts) != len(part):
+                one = [np.array(x.ids, dtype=np.uint16) for x in self.bare.encode_batch_fast(part, add_special_tokens=False)]
+                found, cuts = np.concatenate(one), np.cumsum([len(x) for x in one])
+            ids.append(found)
+            sizes.append(np.diff(cuts, prepend=0))
+        size = np.concatenate(sizes)
         at = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, *lists])
+        self.pool = np.concatenate([self.pool, *ids])
         known = np.concatenate([self.known, fresh])
         order = np.argsort(known, kind="stable")
         self.known = known[order]
         self.at = np.concatenate([self.at, at])[order]
         self.size = np.concatenate([self.size, size])[order]
+        self.heads = np.searchsorted(self.known, np.arange(1 << HEADS, dtype=np.uint64) << np.uint64(64 - HEADS))
 
 
 __all__ = ["BLOCK", "WordBpe"]

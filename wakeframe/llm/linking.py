@@ -148,6 +148,7 @@ def linked(
     other = rows.join(telling, ["node", "leader"]).alias("y")
     need = similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - F.least("x.both", "y.both") - 1e-6
     able = need <= F.least(F.col("x.n") - F.col("x.both"), F.col("y.n") - F.col("y.both"))
+    able &= (F.col("x.rank") >= need) & (F.col("y.rank") >= need)
     near = one.join(other, apart & able & (F.col("x.extra") == F.col("y.extra")))
     new = _ordered(close.unionByName(near.select(*pick))).join(known, ["a", "b"], "left_anti")
     last = _linked_of(stages.keep(compare.overlaps(stages.keep(new, "pairs")), "tests"), similarity)
@@ -163,7 +164,7 @@ def _telling(extra: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     ranked = extra.join(needed, ["node", "leader"]).join(common, ["leader", "extra"])
     order = Window.partitionBy("node", "leader").orderBy(F.desc("times"), "extra")
     ranked = ranked.withColumn("rank", F.row_number().over(order)).filter("rank >= need")
-    return ranked.select("node", "leader", "extra")
+    return ranked.select("node", "leader", "extra", "rank")
 
 
 def _leaders(rows: DataFrame, group: str, name: str = "leader") -> DataFrame:

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeframe.llm.rows import annotated
 from wakeframe.llm.suite import query, table
-from wakeframe.llm.words import BLOCK, Texts, blocks, grams, texts_of, words_of
+from wakeframe.llm.words import BLOCK, Texts, grams, words_of
 from wakeframe.session import Stages
 
 # Fixed values of the base counts.
@@ -20,9 +19,8 @@ REPEAT_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-_BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-_MORE = "n_upper long, n_punct long, n_digits long, n_lines long, n_letters long, n_distinct long"
-MEASURES = [part.split()[0] for part in f"{_BASE}, {_MORE}".split(", ")]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURES += ["n_upper", "n_punct", "n_digits", "n_lines", "n_letters", "n_distinct"]
 
 _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[list(SYMBOLS)] = 1
@@ -71,46 +69,40 @@ def _repeated(row: np.ndarray, gram: np.ndarray, words_row: np.ndarray, n: int)
     return np.cumsum(change[:-1]) > 0
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, tag, text) -> (id, tag, measures)"""
-    for batch in batches:
-        texts = texts_of(batch.column(2))
-        for first, last in blocks(texts, 2 * BLOCK):
-            n = last - first
-            words = words_of(texts, first, last)
-            at = words.row - first
-            low, high = int(texts.start[first]), int(texts.end[last - 1])
-            data = texts.data[low : max(low, high)]
-            count = lambda mask: _per_row(mask, texts, first, last)  # noqa: E731, B023
-            kind = _CLASS[data]
-            n_words = np.bincount(at, minlength=n)
-            inside = np.concatenate(([0], np.cumsum(_LEAD[data], dtype=np.int64)))
-            chars = np.zeros(n, dtype=np.int64)
-            np.add.at(chars, at, inside[words.end - low] - inside[words.start - low])
-            row, gram = grams(words, REPEAT_WORDS)
-            whole = n_words[row - first] >= REPEAT_WORDS
-            marks = _repeated(row[whole], gram[whole], words.row, REPEAT_WORDS) if whole.any() else np.zeros(len(at), bool)
-            order = np.lexsort((words.hash, at))
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (at[order][1:] != at[order][:-1]) | (words.hash[order][1:] != words.hash[order][:-1])
-            values = [
-                n_words,
-                chars,
-                count(kind == 1),
-                _dup_lines(texts, first, last),
-                np.bincount(at, weights=marks, minlength=n).astype(np.int64),
-                count(kind == 2),
-                count(kind == 3),
-                count(kind == 4),
-                count(data == 10) + (texts.end[first:last] > texts.start[first:last]),
-                count(_LETTER[data]),
-                np.bincount(at[order][new], minlength=n),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, n), batch.column(1).slice(first, n)]
-                + [pa.array(v.astype(np.int64)) for v in values],
-                names=["long_id", "tag", *MEASURES],
-            )
+def _measured(texts: Texts, first: int, last: int) -> list[np.ndarray]:
+    """The measures of a range of texts."""
+    n = last - first
+    words = words_of(texts, first, last)
+    at = words.row - first
+    low, high = int(texts.start[first]), int(texts.end[last - 1])
+    data = texts.data[low : max(low, high)]
+    kind = _CLASS[data]
+    n_words = np.bincount(at, minlength=n)
+    inside = np.concatenate(([0], np.cumsum(_LEAD[data], dtype=np.int64)))
+    chars = np.zeros(n, dtype=np.int64)
+    np.add.at(chars, at, inside[words.end - low] - inside[words.start - low])
+    row, gram = grams(words, REPEAT_WORDS)
+    whole = n_words[row - first] >= REPEAT_WORDS
+    marks = np.zeros(len(at), dtype=bool)
+    if whole.any():
+        marks = _repeated(row[whole], gram[whole], words.row, REPEAT_WORDS)
+    order = np.lexsort((words.hash, at))
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (at[order][1:] != at[order][:-1]) | (words.hash[order][1:] != words.hash[order][:-1])
+    values = [
+        n_words,
+        chars,
+        _per_row(kind == 1, texts, first, last),
+        _dup_lines(texts, first, last),
+        np.bincount(at, weights=marks, minlength=n),
+        _per_row(kind == 2, texts, first, last),
+        _per_row(kind == 3, texts, first, last),
+        _per_row(kind == 4, texts, first, last),
+        _per_row(data == 10, texts, first, last) + (texts.end[first:last] > texts.start[first:last]),
+        _per_row(_LETTER[data], texts, first, last),
+        np.bincount(at[order][new], minlength=n),
+    ]
+    return [v.astype(np.int64) for v in values]
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,7 +116,11 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(
         F.col(id_col).cast("long").alias("long_id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text")
     )
-    return rows.mapInArrow(_measured, f"long_id long, tag long, {_BASE}, {_MORE}")
+    return _annotated(rows, "text")[0].drop("text")
+
+
+def _annotated(docs: DataFrame, text_col: str):
+    return annotated(docs, text_col, _measured, [(name, "long") for name in MEASURES], 2 * BLOCK)
 
 
 class Rule(NamedTuple):
@@ -217,35 +213,37 @@ def judge(
     one, equal texts alike. Other columns are not read. An empty table gives no rows.
     """
     stages = stages or Stages(docs.sparkSession)
+    voted = stages.keep(_voted(measures(docs, id_col, text_col)), "votes")
+    judged = _decided(voted, threshold)
+    return judged.select(
+        F.col("long_id").alias(id_col), "tag", *MEASURES, "base_failed", "votes", "quality", "kept"
+    )
+
+
+def _voted(measured: DataFrame) -> DataFrame:
+    """Adds base_failed and votes to rows with measures."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    voted = votes(measures(docs, id_col, text_col).withColumn("base_failed", failed), rules())
-    voted = stages.keep(voted, "votes")
+    return votes(measured.withColumn("base_failed", failed), rules())
+
+
+def _decided(voted: DataFrame, threshold: float) -> DataFrame:
+    """Adds quality and kept, from the vote patterns of all rows."""
     counted = voted.filter("not base_failed").groupBy("votes").count().collect()  # at most 3 ** rules rows
     posterior = fit({r["votes"]: r["count"] for r in counted})
-    known = docs.sparkSession.createDataFrame(
-        list(posterior.items()), "votes string, quality double"
-    )
+    known = voted.sparkSession.createDataFrame(list(posterior.items()), "votes string, quality double")
     scored = voted.join(F.broadcast(known), "votes", "left")
-    quality = F.when(~F.col("base_failed"), F.col("quality"))
-    return scored.select(
-        F.col("long_id").alias(id_col),
-        "tag",
-        *MEASURES,
-        "base_failed",
-        "votes",
-        quality.alias("quality"),
-        F.coalesce(quality >= threshold, F.lit(False)).alias("kept"),
-    )
-
+    scored = scored.withColumn("quality", F.when(~F.col("base_failed"), F.col("quality")))
+    return scored.withColumn("kept", F.coalesce(F.col("quality") >= threshold, F.lit(False)))
 
-def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that ``judge`` keeps, with all their columns."""
-    from wakeframe.llm.near_dedup import without
 
-    stages = Stages(docs.sparkSession)
-    judged = judge(docs, id_col, text_col, stages=stages, **options)
-    dropped = stages.keep(judged.filter("not kept").select(id_col, "tag"), "dropped")
-    return without(docs, dropped, id_col, text_col)
+def keep_quality(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5
+) -> DataFrame:
+    """The documents that ``judge`` keeps, with all their columns; cases are as there."""
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    measured, _ = _annotated(packed, "text")
+    voted = Stages(docs.sparkSession).keep(_voted(measured).select("row", "base_failed", "votes"), "votes")
+    return _decided(voted, threshold).filter("kept").select("row.*")
 
 
 @query("op2_quality_rules")

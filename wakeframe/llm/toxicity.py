@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeframe.llm.rows import annotated
 from wakeframe.llm.suite import query, table
 from wakeframe.llm.words import Texts, Words, beginnings, blocks, grams, mixed, seeds, texts_of, words_of
 from wakeframe.session import Stages
@@ -220,41 +221,31 @@ def fit(
     return Model(words[order], weights[order], thresholds)
 
 
-def _scored(model: Model | None, grades: int):
-    """(id, tag, text) -> (id, tag, score, severity, p_toxic, grade)"""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch.column(2))
-            for first, last in blocks(texts):
-                n = last - first
-                score, above = np.zeros(n), np.zeros((n, grades))
-                if model is not None:
-                    folded = _folded(texts, first, last)
-                    rows, found = _features(folded, words_of(folded))
-                    place = np.searchsorted(model.words, found)
-                    place[place == len(model.words)] = 0
-                    hit = model.words[place] == found
-                    key = np.sort(rows[hit] * len(model.words) + place[hit])
-                    at = np.flatnonzero(np.diff(key, prepend=-1))
-                    count = np.diff(np.append(at, len(key)))
-                    row, column = np.divmod(key[at], len(model.words))
-                    score = np.bincount(row, weights=model.weights[column] * np.log1p(count), minlength=n)
-                    above = exceed(score, model.thresholds)
-                chance = np.hstack([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, n),
-                        batch.column(1).slice(first, n),
-                        pa.array(score),
-                        pa.array(above.sum(axis=1)),
-                        pa.array(above[:, 0]),
-                        pa.array(chance.argmax(axis=1).astype(np.int32)),
-                    ],
-                    names=["long_id", "tag", "score", "severity", "p_toxic", "grade"],
-                )
-
-    return run
+def _judged(model: Model | None, grades: int):
+    """Score, severity, P(grade >= 1) and likeliest grade of a range of texts."""
+
+    def compute(texts: Texts, first: int, last: int) -> list[np.ndarray]:
+        n = last - first
+        score, above = np.zeros(n), np.zeros((n, grades))
+        if model is not None:
+            folded = _folded(texts, first, last)
+            rows, found = _features(folded, words_of(folded))
+            place = np.searchsorted(model.words, found)
+            place[place == len(model.words)] = 0
+            hit = model.words[place] == found
+            key = np.sort(rows[hit] * len(model.words) + place[hit])
+            at = np.flatnonzero(np.diff(key, prepend=-1))
+            count = np.diff(np.append(at, len(key)))
+            row, column = np.divmod(key[at], len(model.words))
+            score = np.bincount(row, weights=model.weights[column] * np.log1p(count), minlength=n)
+            above = exceed(score, model.thresholds)
+        chance = np.hstack([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]])
+        return [score, above.sum(axis=1), above[:, 0].copy(), chance.argmax(axis=1).astype(np.int32)]
+
+    return compute
+
+
+_JUDGED = [("score", "double"), ("severity", "double"), ("p_toxic", "double"), ("grade", "int")]
 
 
 def toxicity(
@@ -277,22 +268,23 @@ def toxicity(
     rows = docs.select(
         F.col(id_col).cast("long").alias("long_id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text")
     )
-    out = rows.mapInArrow(
-        _scored(model, grades), "long_id long, tag long, score double, severity double, p_toxic double, grade int"
-    )
+    out, _ = annotated(rows, "text", _judged(model, grades), _JUDGED)
     toxic = (F.col("p_toxic") >= threshold) if model is not None else F.lit(False)
-    return out.withColumn("toxic", toxic).withColumnRenamed("long_id", id_col)
+    return out.drop("text").withColumn("toxic", toxic).withColumnRenamed("long_id", id_col)
 
 
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5
 ) -> DataFrame:
-    """The documents not marked toxic, with all their columns; the model is fitted on ``docs``."""
-    from wakeframe.llm.near_dedup import without
+    """The documents not marked toxic, with all their columns; the model is fitted on ``docs``.
 
-    stages = Stages(docs.sparkSession)
-    judged = toxicity(docs, fit(docs, labels, id_col, text_col), id_col, text_col, threshold=threshold)
-    return without(docs, stages.keep(judged.filter("toxic").select(id_col, "tag"), "dropped"), id_col, text_col)
+    Cases are as in ``fit`` and ``toxicity``; without a model every document stays.
+    """
+    model = fit(docs, labels, id_col, text_col)
+    if model is None:
+        return docs
+    judged, names = annotated(docs, text_col, _judged(model, len(model.thresholds)), _JUDGED)
+    return judged.filter(F.col(names[2]) < threshold).select(*docs.columns)
 
 
 @query("op7_toxicity")

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wakeframe.llm.suite import query, table
+from wakeframe.llm.words import BLOCK, blocks, texts_of
 from wakeframe.session import Stages
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,12 +58,14 @@ def _encoded(ranks: bytes, pattern: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(ranks, pattern)
         for batch in batches:
-            last = batch.num_columns - 1
-            found = [coder.encode_to_numpy(text or "") for text in batch.column(last).to_pylist()]
-            offsets = np.concatenate(([0], np.cumsum([len(ids) for ids in found]))).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.uint32), *found]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:last], ids], names=names)
+            texts = batch.column(batch.num_columns - 1)
+            for first, last in blocks(texts_of(texts), BLOCK):
+                part = batch.slice(first, last - first)
+                found = [coder.encode_to_numpy(text.as_py() or "") for text in part.column(part.num_columns - 1)]
+                offsets = np.concatenate(([0], np.cumsum([len(ids) for ids in found]))).astype(np.int32)
+                flat = np.concatenate([np.zeros(0, np.uint32), *found]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=names)
 
     return run
 
@@ -199,6 +202,14 @@ def encode(
     return short.unionByName(again).withColumnRenamed("long_id", id_col)
 
 
+def _lists(column: pa.Array) -> Iterator[list[int]]:
+    """Each row's ids, one row at a time: a batch of Python integers would be large."""
+    values = column.values.to_numpy(zero_copy_only=False)
+    offsets = column.offsets.to_numpy()
+    for i, gone in enumerate(column.is_null().to_pylist()):
+        yield [] if gone else values[offsets[i] : offsets[i + 1]].tolist()
+
+
 def _digests(ranks: bytes, pattern: str):
     """(id, ids) -> counts and digests of the ids and of the bytes that they decode to."""
 
@@ -207,8 +218,7 @@ def _digests(ranks: bytes, pattern: str):
         names = [str(i) for i in range(coder.n_vocab)]
         for batch in batches:
             out: list[list] = [[], [], []]
-            for ids in batch.column(1).to_pylist():
-                ids = ids or []
+            for ids in _lists(batch.column(1)):
                 out[0].append(len(ids))
                 out[1].append(hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest())
                 out[2].append(hashlib.sha256(coder.decode_bytes(ids)).hexdigest())
@@ -224,7 +234,7 @@ def _decoded(ranks: bytes, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(ranks, pattern)
         for batch in batches:
-            data = [coder.decode_bytes(ids or []) for ids in batch.column(1).to_pylist()]
+            data = [coder.decode_bytes(ids) for ids in _lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["id", "data"])
 
     return run

@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 from wakeframe.llm.words import BLOCK, Texts, blocks, texts_of
 
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+
 
 def annotated(
     docs: DataFrame,
@@ -31,6 +33,7 @@ def annotated(
         names.append(name)
     at = docs.columns.index(text_col)
     every = [*docs.columns, *names]
+    kinds = [ARROW[kind] for _, kind in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,7 +41,7 @@ def annotated(
             for first, last in blocks(texts, block):
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *map(pa.array, compute(texts, first, last))], names=every
+                    [*part.columns, *map(pa.array, compute(texts, first, last), kinds)], names=every
                 )
 
     added = ", ".join(f"`{name}` {kind}" for name, (_, kind) in zip(names, fields, strict=True))

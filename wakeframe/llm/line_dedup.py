@@ -29,7 +29,7 @@ def shingles(line: Column, width: int = WIDTH) -> Column:
     words = F.split(line, " ")
     cut = F.split(F.regexp_replace(line, r"(\S{8})", "$1 "), " ")
     words = F.when(F.length(line) > LONG_WORD * F.size(words), cut).otherwise(words)
-    return F.arrays_zip(words.alias("a"), F.slice(words, 2, 2**31 - 1).alias("b"))
+    return F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("b"))
 
 
 def _text(pair: str, width: int) -> Column:

@@ -4,7 +4,8 @@ The split pattern looks ahead but never back, so a match depends only on the tex
 from where it begins. Long texts are cut into overlapping chunks that are split
 independently; a chunk's splits are right from the first place in the overlap where
 both neighbours begin a match, since from there on both read the same text. The text
-is cut at those places and the pieces are encoded apart.
+is cut at those places, behind a character that isn't white space, and the pieces are
+encoded apart.
 """
 
 from __future__ import annotations
@@ -105,6 +106,8 @@ def _edges(pattern: str, size: int, overlap: int):
                 for match in split.finditer(part):
                     if match.end() == len(part) and not ends_text:
                         trusted = False  # the chunk's end may have cut this match
+                    if match.start() and part[match.start() - 1].isspace():
+                        continue  # white space before a cut would look for what follows it
                     if match.start() < overlap:
                         head.append(start + match.start())
                     if match.start() >= size and trusted:

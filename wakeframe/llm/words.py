@@ -169,7 +169,7 @@ def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     begin = np.flatnonzero(new)
     size = np.diff(np.append(begin, count))
     total = words.hash * coefficient[0]
-    for k in range(1, n):
+    for k in range(1, min(n, count)):
         total[: count - k] += words.hash[k:] * coefficient[k]
     place = np.arange(count) - np.repeat(begin, size)
     whole = place <= np.repeat(size, size) - n

@@ -34,8 +34,8 @@ def test_auc_is_the_area_under_the_curve(spark, size):
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert E.auc(df, rows_per_segment=size, places=9).first()[0] == pytest.approx(want, abs=1e-8)
     pts = sorted((r["fpr"], r["tpr"]) for r in E.roc_curve(df, rows_per_segment=size).collect())
-    assert len(pts) == len({s for _, s in data}) and pts[-1] == (1.0, 1.0)
-    x, y = zip((0.0, 0.0), *pts)
+    assert len(pts) == len({s for _, s in data}) + 1 and pts[0] == (0.0, 0.0) and pts[-1] == (1.0, 1.0)
+    x, y = zip(*pts)
     assert np.trapezoid(y, x) == pytest.approx(want, abs=1e-9)
 
 
@@ -138,7 +138,8 @@ def test_range_reasons(spark):
 
 
 def test_published_split_sizes(spark):
-    assert SP.quotas({1: 13947, 0: 13836}, 0.2) == {1: 2790, 0: 2767}
+    classes = spark.createDataFrame([(1, 13947), (0, 13836)], "label int, __total long")
+    assert {r[0]: r[1] for r in SP.quotas(classes, "label", 0.2).collect()} == {1: 2790, 0: 2767}
     df = spark.range(27783).select("id", (F.col("id") < 13947).cast("int").alias("label"))
     got = {(r["label"], r["is_test"]): r["n"] for r in SP.split_summary(SP.stratified_split(df, "label", ["id"])).collect()}
     assert got == {(1, True): 2790, (0, True): 2767, (1, False): 11157, (0, False): 11069}
@@ -152,6 +153,27 @@ def test_split_is_the_same_in_segments_and_with_null_labels(spark):
     assert SP.stratified_split(df, "label", ["id"], seed=1).filter("is_test").join(a, "id").count() < 600
 
 
+def test_split_with_repeated_ids_and_many_classes(spark):
+    same = spark.range(1000).select(F.lit("unknown").alias("subject_id"), F.lit(0).alias("frame_id"), F.lit(1).alias("label"))
+    assert SP.stratified_split(same).filter("is_test").count() == 200
+    some = spark.range(1000).select((F.col("id") % 7).alias("id"), (F.col("id") % 3).alias("label"))
+    assert SP.stratified_split(some, "label", ["id"]).filter("is_test").count() == 200
+    many = spark.range(60_000).select("id", (F.col("id") % 12_000).alias("label"))
+    sides = SP.stratified_split(many, "label", ["id"]).groupBy("label").agg(F.count_if("is_test").alias("n"))
+    assert [tuple(r) for r in sides.groupBy("n").count().collect()] == [(1, 12_000)]
+
+
+def test_fingerprint_of_many_equal_rows(spark):
+    one = RP.fingerprint(spark.range(3_000_000).select(F.lit(1).alias("a"))).first()
+    assert one["rows"] == 3_000_000 and abs(int(one["hash_sum"])) > 2**63
+
+
+def test_checks_of_a_text_feature(spark):
+    df = spark.createDataFrame([("x", 1.0, 0), (None, float("nan"), 1)], "a string, b double, label int")
+    got = {r["check"]: r["message"] for r in Q.run_checks(df, ["not_empty", "no_nulls_in_features"], ["a", "b"]).collect()}
+    assert "a: 1" in got["no_nulls_in_features"] and "b: 1" in got["no_nulls_in_features"]
+
+
 def test_group_split(spark):
     df = spark.range(500).select("id", (F.col("id") % 21).alias("subject_id"))
     sides = SP.group_split(df).groupBy("subject_id").agg(F.count_distinct("is_test").alias("n"), F.max("is_test").alias("t"))

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wakeframe.plans.ordered import KeyedRows, count_at_or_below, lay_out, top_rows
-from wakeframe.plans.select_rank import group_sizes, pick_ranks, quantiles
+from wakeframe.plans.select_rank import quantiles, running_counts
 
 HALO = 4
 
@@ -115,7 +115,16 @@ def test_quantiles_with_a_frequent_value(spark):
     assert got["b"]["q"] == [1.0] * 5 and got["a"]["n"] == 1000
 
 
-def test_pick_ranks(spark):
-    df = spark.range(500).select(F.lit("x").alias("g"), (F.col("id") * 3).alias("v"))
-    got = pick_ranks(df, ["g"], ["v"], {("x",): [0, 250, 499]}, group_sizes(df, ["g"]), rows_per_segment=30)
-    assert sorted((r["__rank"], r["v"]) for r in got.collect()) == [(0, 0), (250, 750), (499, 1497)]
+def test_running_counts(spark):
+    df = spark.range(500).select(F.when(F.col("id") < 300, "x").alias("g"), (F.col("id") % 40).alias("v"))
+    got = {(r["g"], r["v"]): (r["__n"], r["__end"], r["__total"]) for r in running_counts(df, ["g"], ["v"], 7).collect()}
+    rows = [("x" if i < 300 else None, i % 40) for i in range(500)]
+    for g, v in set(rows):
+        same = [w for h, w in rows if h == g]
+        assert got[g, v] == (same.count(v), sum(w <= v for w in same), len(same))
+
+
+def test_many_groups_have_quantiles(spark):
+    df = spark.range(60_000).select((F.col("id") % 12_000).alias("g"), F.floor(F.col("id") / 12_000).alias("v"))
+    got = quantiles(df, ["g"], "v", [0.0, 0.5, 0.9, 1.0]).select("n", "q").distinct().collect()
+    assert [(r["n"], [round(x, 9) for x in r["q"]]) for r in got] == [(5, [0.0, 2.0, 3.6, 4.0])]

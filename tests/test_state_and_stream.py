@@ -215,3 +215,12 @@ def test_stream_scores_equal_batch_scores(spark, live_rows, tmp_path):
     out = live.run_to_table(model.score(stream).select("session_id", "frame_id", "confidence", "state"), "t")
     want = model.score(batch).select("session_id", "frame_id", "confidence", "state")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_numbers_written_as_text(spark):
+    raw = spark.createDataFrame(
+        [('{"type":"frame","frame_id":"7"}',), ('{"type":"frame","frame_id":8}',), ('{"type":"frame","frame_id":"x"}',), ("{bad",)],
+        "value string",
+    )
+    got = [(r["route"], r["frame_id"]) for r in messages.parse_messages(raw).collect()]
+    assert got == [("frame", 7), ("frame", 8), ("frame", None), ("invalid", None)]

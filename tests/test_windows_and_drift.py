@@ -188,13 +188,3 @@ def test_ranking_of_scores(spark):
     assert [r["feature"] for r in D.top_drifted(scores, n=2).orderBy("rank").collect()] == ["head_pitch_mean", "perclos"]
     row = D.overall_drift(scores).first()
     assert row["overall"] == 0.5 and row["drifting"]
-
-
-def test_scenarios_ramp_and_clamp(spark):
-    df = spark.createDataFrame([(0, 0.3, 0.9), (90, 0.3, 0.9), (180, 0.3, 0.9), (300, 0.1, 0.9)],
-                               "step int, ear_mean double, perclos double")
-    got = [tuple(r) for r in D.apply_scenario(df, F.col("step"), 300, {"ear_mean": -0.2, "perclos": 0.6}).orderBy("step").collect()]
-    assert got == [(0, 0.3, 0.9), (90, 0.2, 1.0), (180, 0.1, 1.0), (300, 0.0, 1.0)]
-    noisy = D.apply_scenario(df, F.col("step"), 300, {}, noise=0.02, seed=1).filter("ear_mean <> 0.3").count()
-    assert noisy >= 3
-    assert D.apply_scenarios(df, F.col("step"), 300).count() == 20

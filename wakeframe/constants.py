@@ -82,35 +82,5 @@ FEATURE_RANGES = {
     "head_roll_mean": (None, None),
 }
 
-# Named what-if scenarios, feature -> shift.
-SCENARIOS = {
-    "normal": {},
-    "lighting": {"ear_mean": -0.08, "ear_min": -0.06, "perclos": 0.25, "mar_mean": 0.05},
-    "angle": {
-        "head_pitch_mean": -8.0,
-        "head_yaw_mean": 6.0,
-        "head_roll_mean": 3.0,
-        "ear_mean": -0.03,
-    },
-    "sunglasses": {"ear_mean": -0.20, "ear_min": -0.18, "ear_std": -0.02, "perclos": 0.60},
-    "combined": {
-        "ear_mean": -0.12,
-        "ear_min": -0.10,
-        "perclos": 0.35,
-        "head_pitch_mean": -6.0,
-        "mar_mean": 0.08,
-        "mar_max": 0.12,
-    },
-}
-# Noise standard deviation per scenario.
-SCENARIO_NOISE = {
-    "normal": 0.02,
-    "lighting": 0.03,
-    "angle": 0.04,
-    "sunglasses": 0.01,
-    "combined": 0.04,
-}
-SCENARIO_RAMP = 0.6
-
 # Alerts that start a retraining run.
 TRIGGER_ALERTS = ["DataDriftDetected", "EARFeatureDrift", "PERCLOSFeatureDrift", "HighErrorRate"]

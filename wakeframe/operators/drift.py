@@ -13,13 +13,10 @@ from wakeframe.constants import (
     DRIFT_LIMIT,
     DRIFT_MIN_VALUES,
     FEATURES,
-    SCENARIO_NOISE,
-    SCENARIO_RAMP,
-    SCENARIOS,
     VARIANCE_FLOOR,
 )
 from wakeframe.functions.parsing import drop_first
-from wakeframe.functions.scalars import clamp_feature, finite_or_null, is_finite
+from wakeframe.functions.scalars import finite_or_null, is_finite
 from wakeframe.operators.baseline import column_stats, gathered, to_long
 from wakeframe.plans.ordered import KeyedRows, top_rows
 
@@ -155,59 +152,3 @@ def buffered_drift(
         reports = reports.join(live.filter(F.col(seq) % every == 0).select(*keys, seq), [*keys, seq], "left_semi")
     score = drift_score(F.col("n"), F.col("m"), F.col("v"), F.col("base_mean"), F.col("base_var"), least)
     return with_baseline(reports, base).select(*keys, seq, "feature", "n", score.alias("score"))
-
-
-def apply_scenario(
-    df: DataFrame,
-    step: Column,
-    total: Column | int,
-    shifts: dict[str, float],
-    noise: float = 0.0,
-    gradual: bool = True,
-    seed: int | None = None,
-) -> DataFrame:
-    """Shift the features of a table as a what-if.
-
-    The shift grows with ``step`` and is complete after 60 % of ``total``;
-    results are clamped to the valid ranges and rounded to 6 places. Each row
-    is changed on its own, so the plan is a projection.
-    """
-    total = total if isinstance(total, Column) else F.lit(total)
-    ramp = F.least(F.lit(1.0), step / F.greatest(total * SCENARIO_RAMP, F.lit(1.0))) if gradual else F.lit(1.0)
-    changed = {}
-    for i, name in enumerate(c for c in FEATURES if c in df.columns):
-        value = F.col(name) + F.lit(float(shifts.get(name, 0.0))) * ramp
-        if noise:
-            value = value + F.randn(None if seed is None else seed + i) * noise
-        changed[name] = F.round(clamp_feature(name, value), 6)
-    return df.withColumns(changed)
-
-
-def named_scenario(
-    df: DataFrame, name: str, step: Column, total: Column | int, noisy: bool = False, seed: int | None = None
-) -> DataFrame:
-    """One of the named scenarios, with its noise if wanted."""
-    if name not in SCENARIOS:
-        raise ValueError(f"unknown scenario {name}; one of {sorted(SCENARIOS)}")
-    return apply_scenario(df, step, total, SCENARIOS[name], SCENARIO_NOISE[name] if noisy else 0.0, seed=seed)
-
-
-def apply_scenarios(df: DataFrame, step: Column, total: Column | int) -> DataFrame:
-    """Every named scenario applied to the table, one output row each.
-
-    The shifts ride along as a literal array, so the table is read once.
-    """
-    total = total if isinstance(total, Column) else F.lit(total)
-    ramp = F.least(F.lit(1.0), step / F.greatest(total * SCENARIO_RAMP, F.lit(1.0)))
-    present = [c for c in FEATURES if c in df.columns]
-    choices = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), *[F.lit(float(shifts.get(c, 0.0))).alias(c) for c in present])
-            for name, shifts in SCENARIOS.items()
-        ]
-    )
-    wide = df.withColumn("__choice", F.explode(choices))
-    changed = {
-        c: F.round(clamp_feature(c, F.col(c) + F.col(f"__choice.{c}") * ramp), 6) for c in present
-    }
-    return wide.withColumns({**changed, "scenario": F.col("__choice.name")}).drop("__choice")

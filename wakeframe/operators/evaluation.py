@@ -131,7 +131,10 @@ def roc_curve(
     keys: Sequence[str] = (),
     rows_per_segment: int | None = None,
 ) -> DataFrame:
-    """Rows ``fpr, tpr, threshold`` for each distinct score; no point is dropped."""
+    """Rows ``fpr, tpr, threshold`` for each distinct score, after a start at (0, 0).
+
+    The start's threshold is infinite; no point is dropped.
+    """
     counts = score_counts(df, label, score, keys).withColumn("__down", -F.col("score"))
     rows = KeyedRows(counts, keys, ["__down"], rows_per_segment=rows_per_segment, derived=True)
     cum = rows.running(tp=("sum", F.col("pos")), fp=("sum", F.col("neg"))).rows()
@@ -144,12 +147,20 @@ def roc_curve(
     for i, k in enumerate(keys):
         on = on & cum[k].eqNullSafe(totals[f"__k{i}"])
     side = totals if keys else F.broadcast(totals)  # a single row without keys
-    return cum.join(side, on).select(
+    points = cum.join(side, on).select(
         *keys,
         F.try_divide("fp", "N").alias("fpr"),
         F.try_divide("tp", "P").alias("tpr"),
-        F.col("score").alias("threshold"),
+        F.col("score").cast("double").alias("threshold"),
+    )
+    zero, none = F.lit(0.0), F.lit(float("inf"))
+    start = totals.select(
+        *[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)],
+        F.when(F.col("N") > 0, zero).alias("fpr"),
+        F.when(F.col("P") > 0, zero).alias("tpr"),
+        none.alias("threshold"),
     )
+    return start.unionByName(points)
 
 
 def latency_summary(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeframe.constants import FEATURES
 from wakeframe.sources.tables import exists
@@ -35,6 +36,14 @@ def label_classes(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg(F.count_distinct(label).alias("classes"))
 
 
+def _missing(df: DataFrame, column: str) -> Column:
+    """Null, or not a number where the column can hold that."""
+    null = F.col(column).isNull()
+    return null | F.isnan(column) if isinstance(df.schema[column].dataType, T.FractionalType) and not isinstance(
+        df.schema[column].dataType, T.DecimalType
+    ) else null
+
+
 def run_checks(
     df: DataFrame,
     checks: Sequence[str] = CHECKS,
@@ -54,7 +63,7 @@ def run_checks(
     if "has_both_labels" in checks and label in df.columns:
         aggs["classes"] = F.count_distinct(label)
     if "no_nulls_in_features" in checks:
-        aggs |= {f"null_{c}": F.count_if(F.col(c).isNull() | F.isnan(c)) for c in present}
+        aggs |= {f"null_{c}": F.count_if(_missing(df, c)) for c in present}
     results: dict[str, tuple[Column, Column]] = {}
     for check in checks:
         if check == "exists":

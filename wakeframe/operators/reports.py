@@ -97,7 +97,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.hex(F.bit_xor(F.xxhash64(*named))).alias("hash_xor"),
-        F.hex(F.sum(F.shiftright(F.xxhash64(F.lit(1), *named), 24))).alias("hash_sum"),
+        F.sum(F.xxhash64(F.lit(1), *named).cast("decimal(38,0)")).cast("string").alias("hash_sum"),
     )
 
 

@@ -5,13 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wakeframe.constants import SEED, TEST_SHARE
-from wakeframe.plans.ordered import same_key
-from wakeframe.plans.select_rank import MAX_GROUPS, group_sizes, pick_ranks
+from wakeframe.plans.select_rank import running_counts
 from wakeframe.session import cut_lineage
 
 
@@ -20,16 +18,20 @@ def seeded_hash(columns: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns], F.lit(str(seed))))
 
 
-def quotas(counts: dict, share: float) -> dict:
-    """Test rows per class: ceil(share * N) by largest remainder, ties by class."""
-    total = sum(counts.values())
+def quotas(classes: DataFrame, label: str, share: float) -> DataFrame:
+    """``label, __take``: ceil(share * N) test rows by largest remainder, ties by class.
+
+    ``classes`` has one row per class with its size ``__total``, however many there are.
+    """
+    total = classes.agg(F.coalesce(F.sum("__total"), F.lit(0))).first()[0]
     wanted = math.ceil(share * total)
-    exact = {c: n / total * wanted for c, n in counts.items()}
-    out = {c: math.floor(x) for c, x in exact.items()}
-    left = wanted - sum(out.values())
-    for c in sorted(exact, key=lambda c: (-(exact[c] - out[c]), str(c)))[:left]:
-        out[c] += 1
-    return out
+    exact = F.col("__total") / F.lit(float(max(total, 1))) * wanted
+    parts = classes.select(label, exact.alias("__exact")).withColumn("__floor", F.floor("__exact"))
+    left = wanted - parts.agg(F.coalesce(F.sum("__floor"), F.lit(0))).first()[0]
+    order = [F.desc(F.col("__exact") - F.col("__floor")), F.coalesce(F.col(label).cast("string"), F.lit("None"))]
+    more = parts.orderBy(*order).limit(left).select(F.col(label).alias("__more"), F.lit(1).alias("__one"))
+    joined = parts.join(more, parts[label].eqNullSafe(more["__more"]), "left")
+    return joined.select(label, (F.col("__floor") + F.coalesce("__one", F.lit(0))).alias("__take"))
 
 
 def stratified_split(
@@ -42,27 +44,35 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_test``: per class exactly the quota of rows, drawn by seeded hash.
 
-    Only the id and label columns are sorted, and of those only the part of
-    each class that holds the last test row. The table itself is not shuffled:
-    a row is compared with its class's threshold.
+    Only the id and label columns are laid out in order. The table itself is not
+    shuffled unless its classes are too many to send to every task: a row is compared
+    with its class's last test row. Rows that repeat an id stay on one side, but for
+    those of the last id, of which as many as are missing are numbered off.
     """
     ids = list(ids)
-    slim = df.select(label, *ids).withColumn("__h", seeded_hash(ids, seed))
-    sizes = group_sizes(slim, [label])
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} classes")
-    take = quotas({r[label]: r["__n"] for r in sizes}, share)
     order = ["__h", *ids]
-    ranks = {(c,): [q - 1] for c, q in take.items() if q > 0}
-    last = pick_ranks(slim, [label], order, ranks, sizes, rows_per_segment).collect()  # one row per class
-    fields = [T.StructField("__class", df.schema[label].dataType)] + [
-        T.StructField(f"__t{i}", slim.schema[c].dataType) for i, c in enumerate(order)
-    ]
-    table = df.sparkSession.createDataFrame([(r[label], *[r[c] for c in order]) for r in last], T.StructType(fields))
-    limit = F.struct(*[F.col(f"__t{i}").alias(f"c{i}") for i in range(len(order))])
+    slim = df.select(label, *ids).withColumn("__h", seeded_hash(ids, seed))
+    ended = cut_lineage(running_counts(slim, [label], order, rows_per_segment), "ended")
+    classes = ended.groupBy(label).agg(F.max("__total").alias("__total"))
+    take = quotas(classes, label, share).withColumnRenamed(label, "__class")
+    last = ended.join(take, ended[label].eqNullSafe(take["__class"]))
+    last = last.filter((F.col("__end") - F.col("__n") < F.col("__take")) & (F.col("__take") <= F.col("__end")))
+    limits = last.select(
+        "__class",
+        F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)]).alias("__last"),
+        (F.col("__take") - F.col("__end") + F.col("__n")).alias("__of_last"),
+        F.col("__n").alias("__equal"),
+    )
+    limits = cut_lineage(limits, "limits")
     here = F.struct(seeded_hash(ids, seed).alias("c0"), *[F.col(c).alias(f"c{i + 1}") for i, c in enumerate(ids)])
-    joined = df.join(F.broadcast(table), same_key([df[label]], [table["__class"]]), "left")
-    return joined.withColumn("is_test", F.coalesce(here <= limit, F.lit(False))).drop(*[f.name for f in fields])
+    joined = df.join(limits, df[label].eqNullSafe(limits["__class"]), "left").withColumn("__here", here)
+    tied = F.coalesce((F.col("__here") == F.col("__last")) & (F.col("__of_last") < F.col("__equal")), F.lit(False))
+    plain = joined.withColumn("is_test", F.coalesce(F.col("__here") <= F.col("__last"), F.lit(False)))
+    if not limits.filter("__of_last < __equal").isEmpty():
+        number = F.row_number().over(Window.partitionBy(label).orderBy("__here"))
+        numbered = joined.filter(tied).withColumn("is_test", number <= F.col("__of_last"))
+        plain = plain.filter(~tied).unionByName(numbered)
+    return plain.select(*df.columns, "is_test")
 
 
 def group_split(
@@ -76,11 +86,11 @@ def group_split(
     groups = cut_lineage(df.select(group).distinct(), "groups").withColumns(
         {"__h": seeded_hash([group], seed), "__all": F.lit(0)}
     )
-    sizes = group_sizes(groups, ["__all"])
-    wanted = math.ceil(share * sum(r["__n"] for r in sizes))
+    wanted = math.ceil(share * groups.count())
     if not wanted:
         return df.withColumn("is_test", F.lit(False))
-    last = pick_ranks(groups, ["__all"], ["__h", group], {(0,): [wanted - 1]}, sizes, rows_per_segment).first()
+    ended = running_counts(groups, ["__all"], ["__h", group], rows_per_segment)
+    last = ended.filter(F.col("__end") == wanted).first()
     return df.withColumn("is_test", seeded_hash([group], seed) <= F.lit(last["__h"]))
 
 

@@ -1,8 +1,9 @@
-"""Exact order statistics over groups of any size.
+"""Exact order statistics over any number of groups of any size.
 
-Only the segment that holds a wanted rank is ranked, after equal values have
-been counted together, so neither a large group nor a frequent value ends up in
-one task.
+Equal values are counted together first. The counts are laid out in range
+partitions, so a large group spreads over several; where a partition's part of a
+group begins follows from one small row per partition and group. Nothing but a
+scalar comes to the driver.
 """
 
 from __future__ import annotations
@@ -12,75 +13,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wakeframe.plans.ordered import ROWS_PER_SEGMENT, SEG, lay_out, same_key
+from wakeframe.plans.ordered import same_key
+from wakeframe.session import cut_lineage
 
-MAX_GROUPS = 10_000
-SMALL_GROUP = 1_000_000
+PART = "__part"
 
 
-def pick_ranks(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    ranks: dict[tuple, list[int]],
-    sizes: list,
-    rows_per_segment: int | None = None,
+def running_counts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None = None
 ) -> DataFrame:
-    """Rows ``keys, order, __rank`` at the given 0-based ranks of each key.
+    """Distinct ``keys, order`` with ``__n`` equal rows, ``__end`` and ``__total``.
 
-    ``ranks`` is held on the driver: at most MAX_GROUPS keys. ``sizes`` are the
-    rows of ``group_sizes``, so the table is not counted again.
+    ``__end`` is the number of the key's rows up to and with these, in order, and
+    ``__total`` all of them. Spark chooses the number of range partitions unless
+    ``rows_per_segment`` bounds the distinct rows of each.
     """
-    if len(ranks) > MAX_GROUPS:
-        raise ValueError(f"{len(ranks)} groups; at most {MAX_GROUPS}")
     keys, order = list(keys), list(order)
-    slim = df.select(*keys, *order)
-    limit = rows_per_segment or ROWS_PER_SEGMENT
-    layout = lay_out(slim, keys, order, limit, hot=[r for r in sizes if r["__n"] > limit])
-    offsets: dict[tuple, list[int]] = {}
-    if layout:
-        for r in layout.table.collect():
-            offsets[tuple(r[f"__k{i}"] for i in range(len(keys)))] = r["__before_all"]
-    wanted = []
-    for key, places in ranks.items():
-        starts = offsets.get(key, [0])
-        by_seg: dict[int, list[int]] = {}
-        for place in sorted(set(places)):
-            seg = max(i for i, start in enumerate(starts) if start <= place)
-            by_seg.setdefault(seg, []).append(place)
-        wanted += [(*key, seg, starts[seg], at) for seg, at in by_seg.items()]
-    table = df.sparkSession.createDataFrame(
-        wanted,
-        T.StructType(
-            [T.StructField(f"__w{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-            + [
-                T.StructField("__wseg", T.IntegerType()),
-                T.StructField("__start", T.LongType()),
-                T.StructField("__at", T.ArrayType(T.LongType())),
-            ]
-        ),
+    counts = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n"))
+    if rows_per_segment:
+        counts = cut_lineage(counts, "counts")
+        laid = counts.repartitionByRange(max(2, math.ceil(counts.count() / rows_per_segment)), *keys, *order)
+    else:
+        laid = counts.repartitionByRange(*keys, *order)
+    laid = cut_lineage(laid.withColumn(PART, F.spark_partition_id()), "ranges")
+    parts = laid.groupBy(*keys, PART).agg(F.sum("__n").alias("__in"))
+    before = F.sum("__in").over(Window.partitionBy(*keys).orderBy(PART)) - F.col("__in")
+    parts = parts.withColumns({"__before": before, "__total": F.sum("__in").over(Window.partitionBy(*keys))})
+    parts = parts.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(PART).alias("__at"), "__before", "__total"
     )
-    placed = layout.assign(slim) if layout else slim.withColumn(SEG, F.lit(0))
-    near = placed.join(
-        F.broadcast(table),
-        same_key([placed[k] for k in keys], [table[f"__w{i}"] for i in range(len(keys))])
-        & (placed[SEG] == table["__wseg"]),
-    )
-    counted = near.groupBy(*keys, SEG, "__start", "__at", *order).agg(F.count(F.lit(1)).alias("__n"))
-    upto = F.sum("__n").over(
-        Window.partitionBy(*keys, SEG).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ended = counted.withColumn("__end", F.col("__start") + upto)
-    hit = F.filter("__at", lambda r: (r < F.col("__end")) & (r >= F.col("__end") - F.col("__n")))
-    return ended.select(*keys, *order, F.explode(hit).alias("__rank"))
-
-
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> list:
-    """Rows ``keys, __n``, largest first; more than MAX_GROUPS groups end the list early."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.orderBy(F.desc("__n")).limit(MAX_GROUPS + 1).collect()
+    here = F.sum("__n").over(Window.partitionBy(*keys, PART).orderBy(*order))
+    within = laid.withColumn("__here", here)
+    on = same_key([within[k] for k in keys], [parts[f"__k{i}"] for i in range(len(keys))])
+    joined = within.join(parts, on & (within[PART] == parts["__at"]))
+    return joined.select(*keys, *order, "__n", (F.col("__before") + F.col("__here")).alias("__end"), "__total")
 
 
 def quantiles(
@@ -90,53 +57,38 @@ def quantiles(
     probs: Sequence[float],
     rows_per_segment: int | None = None,
     approximate: bool = False,
-    sizes: list | None = None,
 ) -> DataFrame:
     """``keys, n, q`` with ``q`` the linearly interpolated quantiles, in order.
 
-    Exact by default. Groups proven small use Spark's ``percentile``, whose
-    state grows with the distinct values of a group; larger ones are selected
-    by rank. ``approximate`` uses ``percentile_approx`` in one pass.
+    Exact by default, with one formula for groups of every size. ``approximate``
+    uses ``percentile_approx`` in one pass.
     """
     keys = list(keys)
     if not keys:
         one = df.select(value, F.lit(0).alias("__all"))
         return quantiles(one, ["__all"], value, probs, rows_per_segment, approximate).drop("__all")
-    rows = df.filter(F.col(value).isNotNull())
-    probs_lit = F.array(*[F.lit(float(p)) for p in probs])
-    counted = F.count(F.lit(1)).alias("n")
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
     if approximate:
+        probs_lit = F.array(*[F.lit(float(p)) for p in probs])
+        counted = F.count(F.lit(1)).alias("n")
         return rows.groupBy(*keys).agg(counted, F.percentile_approx(value, probs_lit, 10_000).alias("q"))
-    limit = rows_per_segment or SMALL_GROUP
-    sizes = group_sizes(rows, keys) if sizes is None else sizes
-    large = [r for r in sizes if r["__n"] > limit]
-    exact = F.percentile(value, probs_lit).alias("q")
-    if not large:
-        return rows.groupBy(*keys).agg(counted, exact)
-    if len(large) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups of over {limit} rows: use approximate=True")
-    totals = {tuple(r[k] for k in keys): r["__n"] for r in large}
-    table = df.sparkSession.createDataFrame(
-        [(*key, n) for key, n in totals.items()],
-        T.StructType([df.schema[k] for k in keys] + [T.StructField("n", T.LongType())]),
-    )  # at most MAX_GROUPS rows
-    places = {key: [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)] for key, n in totals.items()}
-    found = pick_ranks(rows, keys, [value], places, large, rows_per_segment)
-    # one row per group and wanted rank
-    looked = found.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("__rank", F.col(value).cast("double")))).alias("__m")
+    ended = running_counts(rows, keys, [value], rows_per_segment)
+    spots = [F.lit(float(p)) * (F.col("__total") - 1) for p in probs]
+    first = F.col("__end") - F.col("__n")
+
+    def at(rank):
+        return F.max(F.when((first <= rank) & (rank < F.col("__end")), F.col(value).cast("double")))
+
+    picked = ended.groupBy(*keys).agg(
+        F.max("__total").alias("n"),
+        *[at(F.floor(h)).alias(f"__low{i}") for i, h in enumerate(spots)],
+        *[at(F.ceil(h)).alias(f"__high{i}") for i, h in enumerate(spots)],
     )
-    on = same_key([looked[k] for k in keys], [table[k] for k in keys])
-    joined = looked.join(F.broadcast(table), on).select(*[looked[k] for k in keys], "n", "__m")
-
-    def interpolate(p):
-        h = p * (F.col("n") - 1)
-        low, high = F.col("__m")[F.floor(h)], F.col("__m")[F.ceil(h)]
-        return low + (h - F.floor(h)) * (high - low)
-
-    picked = joined.select(*keys, "n", F.transform(probs_lit, interpolate).alias("q"))
-    if len(large) == len(sizes):
-        return picked
-    on_key = same_key([rows[k] for k in keys], [table[k] for k in keys])
-    others = rows.join(F.broadcast(table), on_key, "left_anti")
-    return picked.unionByName(others.groupBy(*keys).agg(counted, exact))
+
+    def between(i, p):
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
+        mixed = (F.ceil(h) - h) * low + (h - F.floor(h)) * high
+        return F.when(low == high, low).otherwise(mixed)
+
+    return picked.select(*keys, "n", F.array(*[between(i, p) for i, p in enumerate(probs)]).alias("q"))

@@ -13,10 +13,17 @@ INIT, FRAME, CLOSE = "init", "frame", "close"
 
 
 def parse_messages(raw: DataFrame, column: str = "value", schema: T.StructType = MESSAGE) -> DataFrame:
-    """JSON text to columns plus ``route``: init, frame, close, unknown, invalid."""
+    """JSON text to columns plus ``route``: init, frame, close, unknown, invalid.
+
+    Only text that is no JSON object is invalid. A number written as text counts as
+    that number; a value that can't be read as its column's type is null.
+    """
+    # simple values are read as text first, whatever JSON type they have
+    simple = (T.NumericType, T.BooleanType)
+    loose = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, simple) else f.dataType) for f in schema])
     parsed = raw.withColumn(
         "__m",
-        F.from_json(column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}),
+        F.from_json(column, loose, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}),
     )
     broken = F.col("__m").isNull() | F.col("__m._corrupt_record").isNotNull()
     kind = F.col("__m.type")
@@ -25,7 +32,11 @@ def parse_messages(raw: DataFrame, column: str = "value", schema: T.StructType =
         .when(kind.isin(INIT, FRAME, CLOSE), kind)
         .otherwise("unknown")
     )
-    keep = [F.col(f"__m.{f.name}").alias(f.name) for f in schema if f.name != "_corrupt_record"]
+    keep = [
+        (F.col(f"__m.{f.name}").try_cast(f.dataType) if isinstance(f.dataType, simple) else F.col(f"__m.{f.name}")).alias(f.name)
+        for f in schema
+        if f.name != "_corrupt_record"
+    ]
     rest = [c for c in raw.columns if c != column and c not in schema.fieldNames()]
     return parsed.select(*rest, route.alias("route"), *keep, F.col(column).alias("raw"))
 

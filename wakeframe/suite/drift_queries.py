@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wakeframe.constants import SCENARIOS
 from wakeframe.operators import baseline as B
 from wakeframe.operators import drift as D
 from wakeframe.session import fresh_path
@@ -213,32 +212,3 @@ def drift_buffered(spark, folder):
 def drift_buffered_split(spark, folder):
     """The same with subjects cut into segments."""
     return _buffered(spark, folder, rows_per_segment=50)
-
-
-def scenario_sql() -> str:
-    cases = []
-    for name, shifts in SCENARIOS.items():
-        cases.append(
-            f"SELECT event_id, '{name}' AS scenario, "
-            f"round(greatest(0.0, least(1.0, e + {shifts.get('ear_mean', 0.0)} * p)), 6) AS ear_mean, "
-            f"round(greatest(0.0, m + {shifts.get('mar_mean', 0.0)} * p), 6) AS mar_mean, "
-            f"round(h + {shifts.get('head_pitch_mean', 0.0)} * p, 6) AS head_pitch_mean FROM f"
-        )
-    return (
-        "WITH f AS (SELECT event_id, value / 504.5 AS e, value / 307.1 AS m, value / 3.307 AS h, "
-        "least(1.0, day(ts) / greatest(30 * 0.6, 1.0)) AS p FROM events) " + " UNION ALL ".join(cases)
-    )
-
-
-@query("scenario_shift", scenario_sql())
-def scenario_shift(spark, folder):
-    """Five what-if scenarios, ramped up over the month."""
-    v = F.col("value")
-    features = table(spark, folder, "events").select(
-        "event_id",
-        F.dayofmonth("ts").alias("day"),
-        (v / 504.5).alias("ear_mean"),
-        (v / 307.1).alias("mar_mean"),
-        (v / 3.307).alias("head_pitch_mean"),
-    )
-    return D.apply_scenarios(features, F.col("day"), 30).drop("day")

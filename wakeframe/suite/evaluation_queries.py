@@ -110,6 +110,7 @@ def auc_roc_split(spark, folder):
     SELECT lang, round(sum(neg) OVER w / nullif(q, 0), 6) AS fpr, round(sum(pos) OVER w / nullif(p, 0), 6) AS tpr,
            round(score, 6) AS threshold
     FROM c JOIN t USING (lang) WINDOW w AS (PARTITION BY lang ORDER BY score DESC)
+    UNION ALL SELECT lang, CASE WHEN q > 0 THEN 0.0::DOUBLE END, CASE WHEN p > 0 THEN 0.0::DOUBLE END, 'inf'::DOUBLE FROM t
     """,
 )
 def roc_curve(spark, folder):

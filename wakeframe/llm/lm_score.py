@@ -30,7 +30,7 @@ NOISE = 32  # noise words per batch
 BATCH = 1024
 ROUNDS = 3  # every training document is used in one of them
 RATE = 0.05
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 UNKNOWN, END = 0, 1
 _END_HASH = np.uint64(0x1F0E5CAFE0DD5EED)

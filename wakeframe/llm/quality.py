@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wakeframe.llm.rows import annotated
 from wakeframe.llm.suite import query, table
-from wakeframe.llm.words import BLOCK, Texts, grams, words_of
+from wakeframe.llm.words import Texts, grams, words_of
 from wakeframe.session import Stages
 
 # Fixed values of the base counts.
@@ -120,7 +120,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _annotated(docs: DataFrame, text_col: str):
-    return annotated(docs, text_col, _measured, [(name, "long") for name in MEASURES], 2 * BLOCK)
+    return annotated(docs, text_col, _measured, [(name, "long") for name in MEASURES])
 
 
 class Rule(NamedTuple):
@@ -240,10 +240,10 @@ def keep_quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5
 ) -> DataFrame:
     """The documents that ``judge`` keeps, with all their columns; cases are as there."""
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    measured, _ = _annotated(packed, "text")
-    voted = Stages(docs.sparkSession).keep(_voted(measured).select("row", "base_failed", "votes"), "votes")
-    return _decided(voted, threshold).filter("kept").select("row.*")
+    plain = [f"__c{i}" for i in range(len(docs.columns))]  # no measure has such a name
+    measured, _ = _annotated(docs.toDF(*plain), plain[docs.columns.index(text_col)])
+    voted = Stages(docs.sparkSession).keep(_voted(measured).select(*plain, "base_failed", "votes"), "votes")
+    return _decided(voted, threshold).filter("kept").select(*plain).toDF(*docs.columns)
 
 
 @query("op2_quality_rules")

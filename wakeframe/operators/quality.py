@@ -57,7 +57,7 @@ def run_checks(
     """
     unknown = [c for c in checks if c not in CHECKS]
     if unknown:
-        raise ValueError(f"Unknown checks: {unknown}. Valid: {list(CHECKS)}")
+        raise ValueError(f"no such checks: {unknown}. Valid: {list(CHECKS)}")
     present = [c for c in features if c in df.columns]
     aggs = {"rows": F.count(F.lit(1))}
     if "has_both_labels" in checks and label in df.columns:
@@ -84,13 +84,13 @@ def run_checks(
             )
             results[check] = (
                 bad == "",
-                F.when(bad == "", F.lit(f"No nulls in {len(present)} feature columns")).otherwise(
-                    F.concat(F.lit("Null values found: "), bad)
+                F.when(bad == "", F.lit(f"complete: {len(present)} columns")).otherwise(
+                    F.concat(F.lit("missing values: "), bad)
                 ),
             )
         elif check == "schema":
             absent = missing_columns(df.columns, [*features, label])
-            text = f"Missing columns: {absent}" if absent else f"All {len(features) + 1} required columns present"
+            text = f"absent: {absent}" if absent else f"{len(features) + 1} columns as required"
             results[check] = (F.lit(not absent), F.lit(text))
     rows = F.array(
         *[F.struct(F.lit(n).alias("check"), p.alias("passed"), m.alias("message")) for n, (p, m) in results.items()]
@@ -104,7 +104,7 @@ def check_path(
     """``run_checks`` for a dataset that may be missing."""
     unknown = [c for c in checks if c not in CHECKS]
     if unknown:
-        raise ValueError(f"Unknown checks: {unknown}. Valid: {list(CHECKS)}")
+        raise ValueError(f"no such checks: {unknown}. Valid: {list(CHECKS)}")
     if not exists(spark, path, fmt):
         return spark.createDataFrame(
             [(c, False, f"NOT found: {path}") for c in checks], "check string, passed boolean, message string"

@@ -100,8 +100,8 @@ def label_classes(spark, folder):
     UNION ALL SELECT 'has_both_labels', count(DISTINCT l_returnflag) >= 2,
       'unique labels = ' || count(DISTINCT l_returnflag) || ' (need >= 2)' FROM lineitem
     UNION ALL SELECT 'no_nulls_in_features', count(*) FILTER (l_discount = 0) = 0,
-      'Null values found: l_tax: ' || count(*) FILTER (l_discount = 0) FROM lineitem
-    UNION ALL SELECT 'schema', false, 'Missing columns: [''l_weight'']'
+      'missing values: l_tax: ' || count(*) FILTER (l_discount = 0) FROM lineitem
+    UNION ALL SELECT 'schema', false, 'absent: [''l_weight'']'
     """,
 )
 def quality_checks(spark, folder):
@@ -118,8 +118,8 @@ def quality_checks(spark, folder):
     SELECT 'not_empty' AS "check", count(*) > 0 AS passed, 'rows = ' || count(*) AS message FROM lineitem
     UNION ALL SELECT 'has_both_labels', count(DISTINCT l_returnflag) >= 2,
       'unique labels = ' || count(DISTINCT l_returnflag) || ' (need >= 2)' FROM lineitem
-    UNION ALL SELECT 'no_nulls_in_features', true, 'No nulls in 2 feature columns'
-    UNION ALL SELECT 'schema', true, 'All 3 required columns present'
+    UNION ALL SELECT 'no_nulls_in_features', true, 'complete: 2 columns'
+    UNION ALL SELECT 'schema', true, '3 columns as required'
     UNION ALL SELECT 'baseline', true, 'missing: '
     UNION ALL SELECT 'frames_A', count(*) FILTER (l_returnflag = 'A') > 0, 'frames = ' ||
       count(*) FILTER (l_returnflag = 'A') FROM lineitem

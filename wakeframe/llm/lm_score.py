@@ -82,9 +82,21 @@ class Lexicon(NamedTuple):
 
 
 def lexicon_of(counts: DataFrame, vocabulary: int, direct: int) -> Lexicon:
-    """Totals over all counts, and the ``direct`` commonest words (that many rows at most come here)."""
+    """Totals over all counts, and the commonest words: at most ``direct`` rows come here.
+
+    Which counts are common enough follows from a histogram of their logarithms, 32
+    bins to a doubling, so that no task sends more than its share of the words.
+    """
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    rows = counts.orderBy(F.desc("c"), "word").limit(direct).toPandas()
+    level = F.floor(F.log2("c") * 32)
+    room, least = direct, None
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["level"]
+    common = counts.filter(level >= least) if least is not None else counts.limit(0)
+    rows = common.toPandas().sort_values(["c", "word"], ascending=[False, True])
     word = rows["word"].to_numpy(dtype=np.int64).view(np.uint64)
     count = rows["c"].to_numpy(dtype=np.int64)
     index = np.full(len(word), UNKNOWN)

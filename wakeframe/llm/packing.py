@@ -23,7 +23,7 @@ END_ID = 2
 DIMENSIONS = 3
 BITS = 10
 TOKEN_BLOCK = 2 << 20  # bytes of text encoded together
-PARTITION_TOKENS = 8_000_000  # tokens that one task packs
+PARTITION_TOKENS = 4_000_000  # tokens that one task packs
 
 _PACKED = "long_id long, tag long, curve long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 

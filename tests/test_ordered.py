@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wakeframe.plans.ordered import KeyedRows, count_at_or_below, lay_out, top_rows
+from wakeframe.plans.ordered import KeyedRows, top_rows
 from wakeframe.plans.select_rank import quantiles, running_counts
 
 HALO = 4
@@ -49,17 +49,28 @@ def test_row_numbers_by_hand(spark):
     assert all(r["pos"] == r["t"] + 1 for r in got) and len(got) == 100
 
 
-def test_segments_hold_the_halo_and_stay_small(rows):
-    layout = lay_out(rows, ["k"], ["t", "id"], rows_per_segment=50, halo=30)
-    placed = layout.assign(rows, how="inner")
-    sizes = {}
-    for r in placed.groupBy("k", "__segment").count().collect():
-        sizes.setdefault(r["k"], {})[r["__segment"]] = r["count"]
-    assert "hot" in sizes
-    for by_segment in sizes.values():
-        last = max(by_segment)
-        assert all(n >= 50 for s, n in by_segment.items() if s != last)
-        assert max(by_segment.values()) <= 100
+def test_segments_cover_every_row_and_hold_the_halo(rows):
+    split = KeyedRows(rows, ["k"], ["t", "id"], halo=30, rows_per_segment=50)
+    placed = split.df.collect()
+    assert sum(not r["__is_halo"] for r in placed) == rows.count()
+    by_segment = {}
+    for r in placed:
+        by_segment.setdefault((r["k"], r["__segment"]), []).append(r["__is_halo"])
+    firsts = {(r["__k0"], r["__s"]): r["__first"] for r in split.layout.collect()}
+    assert any(first for first in firsts.values())
+    for place, halos in by_segment.items():
+        assert sum(halos) == min(30, firsts[place])
+        assert len(halos) - sum(halos) <= 200  # of one key, a few times the wanted size at most
+
+
+def test_more_hot_keys_than_partitions(spark):
+    df = spark.range(9000).select((F.col("id") % 900).alias("k"), "id")
+    got = KeyedRows(df, ["k"], ["id"], halo=3, rows_per_segment=4)
+    got = got.frame(lambda w: {"b": F.lag("id", 3).over(w)}).position("pos").running(upto=0, total=("sum", F.lit(1)))
+    for r in got.rows().collect():
+        place = r["id"] // 900
+        assert (r["pos"], r["total"]) == (place + 1, place + 1)
+        assert r["b"] == (r["id"] - 2700 if place >= 3 else None)
 
 
 def test_timestamps_order_segments(spark):
@@ -84,14 +95,6 @@ def test_derived_input_is_written_once(spark, tmp_path):
     assert seen.value == 200
 
 
-def test_binary_search(spark):
-    df = spark.range(-1, 12).select(
-        "id", count_at_or_below(F.array(*[F.lit(x).cast("long") for x in (0, 3, 3, 7, 10)]), F.col("id"), 5).alias("n")
-    )
-    for r in df.collect():
-        assert r["n"] == sum(x <= r["id"] for x in (0, 3, 3, 7, 10))
-
-
 def test_top_rows(rows):
     got = top_rows(rows, ["k"], [F.col("t").desc(), F.col("id")], 3, "rank")
     want = rows.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("t"), "id"))).filter(

@@ -49,9 +49,11 @@ def test_debounce_shuffles_and_sorts_once(frames):
     assert shuffles(df) == 1 and plan(df).count("Sort [") == 1
 
 
-def test_split_adds_only_broadcasts(frames):
+def test_split_searches_no_cuts(frames):
     df = W.sliding_features(frames, rows_per_segment=100)
-    assert shuffles(df) == 1 and "BroadcastHashJoin" in plan(df) and "NestedLoop" not in plan(df)
+    text = plan(df)
+    assert "NestedLoop" not in text and "aggregate(" not in text and "__cuts" not in text
+    assert "__segment" in text
 
 
 def test_statistics_are_one_aggregation(frames):

@@ -1,20 +1,20 @@
 """Ordered work per key that survives hot keys.
 
 A window partition is one task. When a single key holds a large share of all
-rows, that task decides the run time. Here the rows of such a key are cut into
-ordered segments of similar size, each a window partition of its own:
+rows, that task decides the run time. Then the table is laid out once in range
+partitions by key and order, and a key's part of a range partition, its segment,
+becomes a window partition of its own:
 
 * bounded row frames get the rows just before a segment as extra copies
   (the *halo*), dropped again after the window is computed;
 * running sums and maxima get the totals of the earlier segments as a *carry*;
 * row numbers get the exact number of earlier rows as an offset.
 
-The cut points come from a hash-based sample, so they depend on the data alone:
-a recomputed task lands on the same segments. The rows between sample points
-are counted exactly; segments and halos are made of whole such pieces. Only
-sample points and their counts reach the driver, about
-``2 * MAX_SEGMENTS * SAMPLES_PER_SEGMENT`` rows at most. Keys that are not hot
-pay one count and are handled by an ordinary window.
+Segments are known by their partition's number, which is written with the rows,
+so a recomputed task finds the same ones. All that is kept about them is a small
+table with one row per key and segment, joined on both; no array of cut points is
+searched, nothing is gathered on the driver, and keys and segments may be as many as
+they are. Tables whose keys are all small pay one count and an ordinary window.
 """
 
 from __future__ import annotations
@@ -24,13 +24,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wakeframe.session import cut_lineage
 
 ROWS_PER_SEGMENT = 4_000_000
-MAX_SEGMENTS = 8192
-SAMPLES_PER_SEGMENT = 16
 
 SEG = "__segment"
 BEFORE = "__before"
@@ -38,25 +35,6 @@ IS_HALO = "__is_halo"
 ONE_KEY = "__one_key"
 
 
-def order_struct(df: DataFrame, order: Sequence[str]) -> Column:
-    """The order columns as one comparable value; instants as microseconds."""
-    fields = []
-    for i, name in enumerate(order):
-        is_instant = isinstance(df.schema[name].dataType, T.TimestampType)
-        fields.append((F.unix_micros(name) if is_instant else F.col(name)).alias(f"o{i}"))
-    return F.struct(*fields)
-
-
-def count_at_or_below(sorted_values: Column, value: Column, max_size: int) -> Column:
-    """How many entries of a sorted array are <= value, by binary search."""
-    steps = [2**i for i in range(max(1, max_size).bit_length() - 1, -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda lo, step: F.when(F.get(sorted_values, lo + step - 1) <= value, lo + step).otherwise(lo),
-    )
-
-
 def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     cond = F.lit(True)
     for a, b in zip(left, right):
@@ -64,146 +42,35 @@ def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return cond
 
 
-class Layout:
-    """Cut points of the hot keys of one table.
-
-    Per key: the first row of each segment but the first, where the halo of
-    that segment starts (null: at the key's first row), and for all segments
-    the number of rows before their first row, halo included.
-    """
-
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: list[tuple]):
-        self.keys, self.order = list(keys), list(order)
-        self.max_cuts = max((len(r[len(keys)]) for r in rows), default=0)
-        at = df.select(order_struct(df, order).alias("o")).schema["o"].dataType
-        schema = T.StructType(
-            [T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-            + [
-                T.StructField("__cuts", T.ArrayType(at)),
-                T.StructField("__halos", T.ArrayType(at)),
-                T.StructField("__before_all", T.ArrayType(T.LongType())),
-            ]
-        )
-        self.table = df.sparkSession.createDataFrame(rows, schema)
-
-    def assign(self, df: DataFrame, halo: int = 0, how: str = "left") -> DataFrame:
-        """Add the segment (0 for ordinary keys) and the rows before it."""
-        here = order_struct(df, self.order)
-        hot = self.table  # bounded by MAX_SEGMENTS, see lay_out
-        joined = df.join(
-            F.broadcast(hot),
-            same_key([df[k] for k in self.keys], [hot[f"__k{i}"] for i in range(len(self.keys))]),
-            how,
-        )
-        cuts = F.col("__cuts")
-        seg = F.when(cuts.isNull(), F.lit(0)).otherwise(count_at_or_below(cuts, here, self.max_cuts))
-        out = joined.withColumn(SEG, seg)
-        if halo:
-            near_end = F.coalesce(here >= F.get("__halos", F.col(SEG)), F.lit(True))
-            both = F.when((F.col(SEG) < F.size(cuts)) & near_end, F.array(F.col(SEG), F.col(SEG) + 1))
-            out = (
-                out.withColumn("__home", F.col(SEG))
-                .withColumn(SEG, F.explode(F.coalesce(both, F.array(F.col(SEG)))))
-                .withColumn(IS_HALO, F.col(SEG) != F.col("__home"))
-                .drop("__home")
-            )
-        else:
-            out = out.withColumn(IS_HALO, F.lit(False))
-        out = out.withColumn(BEFORE, F.get("__before_all", F.col(SEG)))
-        return out.drop("__cuts", "__halos", "__before_all", *[f"__k{i}" for i in range(len(self.keys))])
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> list:
-    """Keys with more than ``limit`` rows, largest first, at most MAX_SEGMENTS.
-
-    A key left out has fewer rows than each of the ones returned, that is at
-    most 1/MAX_SEGMENTS of the table.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.filter(F.col("__n") > limit).orderBy(F.desc("__n")).limit(MAX_SEGMENTS).collect()
-
-
-def lay_out(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    rows_per_segment: int | None = None,
-    halo: int = 0,
-    hot: list | None = None,
-) -> Layout | None:
-    """Cut the hot keys of ``df`` into segments; None when there are none.
+def segments(laid: DataFrame, keys: Sequence[str], halo: int) -> DataFrame:
+    """One row per key and segment of ``laid``: __k0.., __s, __rows, __first, __next.
 
-    ``order`` should be unique per key; rows that tie stay in one segment.
+    ``__first`` is the number of the key's rows before the segment. ``__next`` lists the
+    later segments that look back into this one with their ``__first``: as a segment
+    has a row at least, they are among the next ``halo``.
     """
-    keys, order = list(keys), list(order)
-    limit = max(rows_per_segment or ROWS_PER_SEGMENT, halo, 1)
-    slim = df.select(*dict.fromkeys(keys + order))
-    if hot is None:
-        hot = hot_keys(slim, keys, limit)
-    if not hot:
-        return None
-    spark = df.sparkSession
-    target = max(limit, math.ceil(sum(r["__n"] for r in hot) / MAX_SEGMENTS))
-    key_type = [T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-    every = max(1, target // SAMPLES_PER_SEGMENT)
-    hot_table = spark.createDataFrame(
-        [(*[r[k] for k in keys], -(-r["__n"] // target)) for r in hot],
-        T.StructType(key_type + [T.StructField("__segs", T.LongType())]),
-    )
     names = [f"__k{i}" for i in range(len(keys))]
-    on_key = same_key([slim[k] for k in keys], [hot_table[n] for n in names])
-    picked = (
-        slim.join(F.broadcast(hot_table), on_key)
-        .filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
-        .groupBy(*names, "__segs")
-        .agg(F.array_sort(F.collect_set(order_struct(slim, order))).alias("s"))
-    )
-    # a frequent order value may bring more points than wanted
-    stride = F.greatest(F.lit(1), F.floor(F.size("s") / (F.col("__segs") * SAMPLES_PER_SEGMENT)).cast("int"))
-    points = picked.select(*names, F.filter("s", lambda _, i: i % stride == 0).alias("c")).collect()
-    fine = Layout(slim, keys, order, [(*[r[n] for n in names], r["c"], None, None) for r in points])
-    counted = fine.assign(slim, how="inner").groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("n")).collect()
-    sizes: dict[tuple, dict[int, int]] = {}
-    for r in counted:
-        sizes.setdefault(tuple(r[k] for k in keys), {})[r[SEG]] = r["n"]
-    rows = []
-    for r in points:
-        key = tuple(r[n] for n in names)
-        rows.append((*key, *cut_points(r["c"], sizes[key], target, halo)))
-    return Layout(slim, keys, order, rows)
-
-
-def cut_points(points: list, sizes: dict[int, int], target: int, halo: int) -> tuple[list, list, list]:
-    """Cuts, halo starts and rows before each segment, from counted pieces.
-
-    Piece ``i`` ends before ``points[i]``. A segment ends once it has
-    ``target`` rows; its last pieces with ``halo`` rows are the next one's halo.
-    """
-    cuts, halos, before = [], [], [0]
-    total, begin = 0, 0  # rows so far, first piece of the current segment
-    held = 0
-    for i, point in enumerate(points):
-        total += sizes.get(i, 0)
-        held += sizes.get(i, 0)
-        if held < target:
-            continue
-        rows, first = 0, i + 1
-        while rows < halo and first > begin:
-            first -= 1
-            rows += sizes.get(first, 0)
-        cuts.append(point)
-        halos.append(points[first - 1] if first > 0 else None)
-        before.append(total - rows)
-        held, begin = 0, i + 1
-    return cuts, halos, before
+    sizes = laid.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(SEG).alias("__s"))
+    order = Window.partitionBy(*names).orderBy("__s")
+    out = sizes.agg(F.count(F.lit(1)).alias("__rows"))
+    out = out.withColumn("__first", F.sum("__rows").over(order) - F.col("__rows"))
+    later = F.array().cast("array<struct<s: int, first: bigint>>")
+    if halo:
+        after = F.collect_list(F.struct(F.col("__s").alias("s"), F.col("__first").alias("first")))
+        after = after.over(order.rowsBetween(1, halo))
+        end = F.col("__first") + F.col("__rows")
+        out = out.withColumns({"__after": after, "__end": end})
+        later = F.filter("__after", lambda n: n["first"] < F.col("__end") + halo)
+    return cut_lineage(out.select(*names, "__s", "__rows", "__first", later.alias("__next")), "segments")
 
 
 class KeyedRows:
-    """The rows of each key in order, with hot keys split.
+    """The rows of each key in order, with the table cut into segments if a key is hot.
 
     ``halo`` is the largest number of preceding rows any bounded frame needs.
+    ``order`` should be unique per key; rows that tie stay in one segment.
     ``derived`` says that ``df`` is expensive to recompute: it is then written
-    once, as finding and splitting hot keys reads the keys several times.
+    once, as finding hot keys reads the keys first.
     ``small_keys`` says that no key has more rows than a segment (because a
     larger table with these keys was checked before), so nothing is counted.
     """
@@ -223,19 +90,49 @@ class KeyedRows:
         self.keys = list(keys) or [ONE_KEY]
         self.order = list(order)
         self.halo = halo
+        self.layout: DataFrame | None = None
+        self.df = df
+        if small_keys:
+            return
+        if derived:
+            self.df = df = cut_lineage(df)
         limit = max(rows_per_segment or ROWS_PER_SEGMENT, halo, 1)
-        if derived and not small_keys:
-            df = cut_lineage(df)
-        hot = [] if small_keys else hot_keys(df.select(*self.keys), self.keys, limit)
-        self.layout = lay_out(df, self.keys, self.order, rows_per_segment, halo, hot) if hot else None
-        self.df = self.layout.assign(df, halo) if self.layout else df
-        # the hot keys alone, from which the totals of segments are taken
-        self._hot = self.layout.assign(df, halo, how="inner") if self.layout else None
+        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
+        total, most = counts.agg(F.sum("__n"), F.max("__n")).first()
+        if not total or most <= limit:
+            return
+        laid = df.repartitionByRange(math.ceil(total / limit), *dict.fromkeys([*self.keys, *self.order]))
+        laid = cut_lineage(laid.withColumn(SEG, F.spark_partition_id()), "segmented")
+        self.layout = segments(laid, self.keys, halo)
+        self.df = self._placed(laid)
+
+    def _on_segment(self, df: DataFrame, table: DataFrame) -> Column:
+        here = [df[k] for k in self.keys]
+        return same_key(here, [table[f"__k{i}"] for i in range(len(self.keys))]) & (df[SEG] == table["__s"])
+
+    def _placed(self, laid: DataFrame) -> DataFrame:
+        """Rows with the number of rows before their segment, and copies as halos."""
+        columns = [c for c in laid.columns if c != SEG]
+        halo = self.halo
+        shown = F.col("__first") - F.least(F.col("__first"), F.lit(halo))  # a segment's halo counts as its own rows
+        home = laid.join(self.layout, self._on_segment(laid, self.layout))
+        home = home.select(*columns, SEG, F.lit(False).alias(IS_HALO), shown.alias(BEFORE))
+        if not halo:
+            return home
+        backwards = Window.partitionBy(*self.keys, SEG).orderBy(*[F.desc(c) for c in self.order])
+        last = laid.withColumn("__back", F.row_number().over(backwards)).filter(F.col("__back") <= halo)
+        looked = last.join(self.layout, self._on_segment(last, self.layout)).withColumn("__to", F.explode("__next"))
+        place = F.col("__first") + F.col("__rows") - F.col("__back") + 1  # the key's rows up to this one
+        copies = looked.filter(place > F.col("__to.first") - halo).select(
+            *columns,
+            F.col("__to.s").alias(SEG),
+            F.lit(True).alias(IS_HALO),
+            (F.col("__to.first") - F.least(F.col("__to.first"), F.lit(halo))).alias(BEFORE),
+        )
+        return home.unionByName(copies)
 
     def _each(self, step: Callable[[DataFrame], DataFrame]) -> KeyedRows:
         self.df = step(self.df)
-        if self._hot is not None:
-            self._hot = step(self._hot)
         return self
 
     @property
@@ -270,15 +167,14 @@ class KeyedRows:
         """Add running ``sum`` or ``max`` columns from the key's first row.
 
         ``upto=0`` includes the current row, ``upto=-1`` stops before it. With
-        hot keys the totals of their segments are computed first and held on
-        the driver, one row per segment.
+        segments their totals are computed first, one row per key and segment.
         """
         frame = self.window.rowsBetween(Window.unboundedPreceding, upto)
         fold = {"sum": F.sum, "max": F.max}
         if not self.layout:
             return self.with_columns(**{n: fold[k](c).over(frame) for n, (k, c) in wanted.items()})
         value = {n: F.when(~F.col(IS_HALO), c) for n, (_, c) in wanted.items()}
-        totals = self._hot.groupBy(*self.keys, SEG).agg(
+        totals = self.df.groupBy(*self.keys, SEG).agg(
             *[fold[k](value[n]).alias(n) for n, (k, _) in wanted.items()]
         )
         earlier = Window.partitionBy(*self.keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
@@ -288,14 +184,12 @@ class KeyedRows:
             F.col(SEG).alias("__s"),
             *[fold[k](n).over(earlier).alias(f"__c_{n}") for n, (k, _) in wanted.items()],
         )
-        carry = carry.sparkSession.createDataFrame(carry.collect(), carry.schema)
+        # a key's first segment, the only one of most keys, has nothing before it
+        carry = cut_lineage(carry.filter(F.coalesce(*[F.col(f"__c_{n}") for n in wanted]).isNotNull()), "carry")
 
         def step(df: DataFrame) -> DataFrame:
             local = df.withColumns({n: fold[k](value[n]).over(frame) for n, (k, _) in wanted.items()})
-            on_segment = same_key([local[k] for k in self.keys], [carry[n] for n in names]) & (
-                local[SEG] == carry["__s"]
-            )
-            joined = local.join(F.broadcast(carry), on_segment, "left")
+            joined = local.join(carry, self._on_segment(local, carry), "left")
             merged = {}
             for n, (k, _) in wanted.items():
                 here, before = F.col(n), F.col(f"__c_{n}")

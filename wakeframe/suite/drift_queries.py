@@ -9,7 +9,7 @@ from wakeframe.operators import drift as D
 from wakeframe.session import fresh_path
 from wakeframe.sources import tables
 from wakeframe.suite.frames import EVENT_FRAMES, event_frames
-from wakeframe.suite.registry import query, table
+from wakeframe.suite.registry import placed, query, table
 
 MEASURES = ["l_quantity", "price", "l_discount", "l_tax"]
 LINE_LONG = """
@@ -156,14 +156,15 @@ def drift_top_features(spark, folder):
     f"""
     WITH {PERIODS}, one AS (SELECT feature, count(*) AS n, avg(value) AS m, var_pop(value) AS v FROM long
       WHERE ts >= TIMESTAMP '{CUT}' GROUP BY feature)
-    SELECT replace(replace(feature, '_mean', ''), 'head_', '') AS feature, round({KL}, 4) AS score
+    SELECT replace(replace(feature, '_mean', ''), 'head_', '') AS feature, round({KL}, 4) AS score,
+      row_number() OVER (ORDER BY round({KL}, 4) DESC, replace(replace(feature, '_mean', ''), 'head_', '')) AS place
     FROM one JOIN base USING (feature)
     """,
 )
 def drift_ranked(spark, folder):
     """All features by drift over the whole live period, short names."""
     base, live = periods(spark, folder)
-    return D.ranked_drift(D.drift_scores(live, base, SIGNALS))
+    return placed(D.ranked_drift(D.drift_scores(live, base, SIGNALS)))
 
 
 @query("drift_without_baseline", f"WITH {PERIODS}, {SCORES} SELECT * FROM scores WHERE false")

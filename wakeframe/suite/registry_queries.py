@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wakeframe.operators import registry as R
-from wakeframe.suite.registry import query, table
+from wakeframe.suite.registry import placed, query, table
 
 RUNS = """
   runs AS (SELECT o_custkey AS name, o_orderkey AS run_id, o_orderkey AS version, o_orderdate AS start_time,
@@ -32,12 +32,13 @@ def runs(spark, folder):
 
 @query(
     "latest_runs",
-    "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10",
+    """SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
+    FROM orders QUALIFY place <= 10""",
 )
 def latest_runs(spark, folder):
     """The ten newest runs."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return R.latest_runs(orders, [F.desc("o_orderdate"), F.desc("o_orderkey")], 10).drop("o_orderdate")
+    return placed(R.latest_runs(orders, [F.desc("o_orderdate"), F.desc("o_orderkey")], 10).drop("o_orderdate"))
 
 
 BEST = """

@@ -23,7 +23,7 @@ BANDS = 20
 _CONTENT = "long_id long, tag long, node long, bands array<long>"
 
 
-SIGNED_BLOCK = 4 << 20  # bytes of text signed together
+SIGNED_BLOCK = 2 << 20  # bytes of text signed together
 
 
 def _bags(row: np.ndarray, gram: np.ndarray, first: int):

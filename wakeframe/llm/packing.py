@@ -22,7 +22,8 @@ LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 3
 BITS = 10
-TOKEN_BLOCK = 2 << 20  # bytes of text encoded together
+TOKEN_BLOCK = 1 << 20  # bytes of text encoded together
+CUT_TOKENS = 500_000  # tokens handed on at a time
 PARTITION_TOKENS = 4_000_000  # tokens that one task packs
 
 _PACKED = "long_id long, tag long, curve long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -114,12 +115,25 @@ def _tokenized(data: str, end_id: int):
 
 def _cut(length: int):
     """Rows in order -> pieces: end to end through sequences of ``length`` tokens."""
+    names = [part.split()[0] for part in _PACKED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         position = 0
         part = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows, starts, sizes, totals, sequences, offsets, data = [], [], [], [], [], [], []
+            rows: list[int] = []
+            spans: list[list[int]] = [[], [], [], [], []]  # start, length, doc_tokens, sequence_id, offset
+            data: list[bytes] = []
+
+            def done(batch=batch, rows=rows, spans=spans, data=data) -> pa.RecordBatch:
+                taken = pa.array(rows, pa.int64())
+                columns = [batch.column(c).take(taken) for c in range(3)]
+                columns += [pa.array(v, pa.int64()) for v in spans] + [pa.array(data, pa.binary())]
+                for kept in (rows, *spans, data):
+                    kept.clear()
+                return pa.RecordBatch.from_arrays(columns, names=names)
+
+            held = 0
             for i, value in enumerate(batch.column(3)):
                 ids = np.frombuffer(value.as_buffer(), dtype="<u2").astype("<u4")
                 start = 0
@@ -127,21 +141,16 @@ def _cut(length: int):
                     sequence, offset = divmod(position, length)
                     size = min(length - offset, len(ids) - start)
                     rows.append(i)
-                    starts.append(start)
-                    sizes.append(size)
-                    totals.append(len(ids))
-                    sequences.append(part + sequence)
-                    offsets.append(offset)
+                    for kept, new in zip(spans, (start, size, len(ids), part + sequence, offset), strict=True):
+                        kept.append(new)
                     data.append(ids[start : start + size].tobytes())
                     start += size
                     position += size
-            taken = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(taken) for c in range(3)]
-                + [pa.array(v, pa.int64()) for v in (starts, sizes, totals, sequences, offsets)]
-                + [pa.array(data, pa.binary())],
-                names=[part.split()[0] for part in _PACKED.split(", ")],
-            )
+                held += len(ids)
+                if held >= CUT_TOKENS:
+                    held = 0
+                    yield done()
+            yield done()
 
     return run
 

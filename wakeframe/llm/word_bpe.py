@@ -16,8 +16,8 @@ import numpy as np
 
 from wakeframe.llm.words import BLOCK, Texts, _hashes, _BASE, _BYTE, mixed
 
-REMEMBERED = 1_000_000  # pre-tokens whose ids a Python worker keeps, at about 40 bytes each
-HEADS = 20  # bits of a hash that lead to its place in the sorted hashes
+REMEMBERED = 500_000  # pre-tokens whose ids a Python worker keeps, at about 40 bytes each
+HEADS = 18  # bits of a hash that lead to its place in the sorted hashes
 JOINED = 400  # pre-tokens given to the tokenizer as one text
 
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)

@@ -156,6 +156,17 @@ def test_lines_on_odd_rows(spark):
     assert found["7", "i"] == rows[9][1] and found["8", "j"] == "" and found["9", "k"] == ""
 
 
+def test_lines_that_differ_late_in_long_words_stay(spark):
+    apart = [
+        ("2024-01-01,12.5,abc,99", "2024-01-01,77.1,xyz,33"),
+        ("See https://en.wikipedia.org/wiki/Alpha", "See https://en.wikipedia.org/wiki/Zebrafish"),
+        ("\u4e2d\u6587" * 5 + "\u6c34\u706b\u6728\u91d1\u571f\u65e5", "\u4e2d\u6587" * 5 + "\u5c71\u5ddd\u7530\u6797\u68ee\u77f3"),
+    ]
+    lines = [line for pair in apart for line in pair]
+    got = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {x["doc_id"]: x["text"] for x in got} == dict(enumerate(lines))
+
+
 def brute_vectors(rows, cosine=0.95):
     ok = {i: np.array(v, float) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
     links = [

@@ -13,6 +13,7 @@ from wakeframe.session import Stages
 
 SIMILARITY = 0.8
 WIDTH = 10
+CHARS = 5
 ROWS = 4
 BANDS = 8
 MIN_CHARS = 16
@@ -32,6 +33,11 @@ def shingles(line: Column, width: int = WIDTH) -> Column:
     return F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("b"))
 
 
+def every_shingle(line: Column, width: int = CHARS) -> Column:
+    """The ``width`` characters from every position of a line; a shorter line is one shingle."""
+    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{width}}}|\A.{{1,{width - 1}}}\z))."), F.lit(1))
+
+
 def _text(pair: str, width: int) -> Column:
     return F.substring(F.concat_ws(" ", F.col(f"{pair}.a"), F.col(f"{pair}.b")), 1, width)
 
@@ -77,10 +83,9 @@ def line_classes(
 
     Lines are the parts between \\n of at least ``min_chars`` characters without outer
     blanks; shorter ones are no evidence of copying and stay. Equal lines are one
-    node. Distinct lines are linked when the sets of their character shingles have a
-    Jaccard similarity of at least ``similarity``; candidates share one of ``bands``
-    bands of ``rows`` MinHash values (98.5 % of the pairs just at 0.8, 99.98 % at 0.9
-    do). Of a component the first occurrence by (id, place) stays.
+    node. Distinct lines are linked when the sets of their character shingles, taken at
+    every position, have a Jaccard similarity of at least ``similarity``; candidates
+    share one of ``bands`` bands of ``rows`` MinHash values. Of a component the first occurrence by (id, place) stays.
     """
     stages = stages or Stages(docs.sparkSession)
     lines = _lines(docs, id_col, text_col, min_chars)
@@ -92,31 +97,19 @@ def line_classes(
     def ready(shared: DataFrame):
         wanted = shared.select(F.col("node").alias("line"))
         texts = lines.join(wanted, "line", "left_semi").groupBy("line").agg(F.min("text").alias("text"))
-        sets = texts.select(
-            "line",
-            F.array_distinct(
-                F.transform(
-                    shingles(F.col("text")),
-                    lambda s: F.xxhash64(F.substring(F.concat_ws(" ", s["a"], s["b"]), 1, WIDTH)),
-                )
-            ).alias("grams"),
-        )
-        sets = stages.keep(sets, "line_sets")
+        sets = stages.keep(texts.withColumn("n", F.size(F.array_distinct(every_shingle(F.col("text"))))), "line_sets")
 
         def paired(rows: DataFrame, one: str, other: str) -> DataFrame:
-            return rows.join(sets.toDF(one, "x"), one).join(sets.toDF(other, "y"), other)
+            both = rows.join(sets.toDF(one, "x", "na"), one).join(sets.toDF(other, "y", "nb"), other)
+            return both.withColumns({"x": every_shingle(F.col("x")), "y": every_shingle(F.col("y"))})
 
         return Compare(
             lambda pairs: paired(pairs, "a", "b").select(
-                "a",
-                "b",
-                F.size("x").alias("na"),
-                F.size("y").alias("nb"),
-                F.size(F.array_intersect("x", "y")).alias("both"),
-            ),
-            lambda rows: paired(rows, "node", "leader").select(
-                "node", "leader", F.explode(F.array_except("x", "y")).alias("extra")
+                "a", "b", "na", "nb", F.size(F.array_intersect("x", "y")).alias("both")
             ),
+            lambda rows: paired(rows, "node", "leader")
+            .select("node", "leader", F.explode(F.array_except("x", "y")).alias("extra"))
+            .withColumn("extra", F.xxhash64("extra")),
         )
 
     root = linked(members, ready, similarity, stages)

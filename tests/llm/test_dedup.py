@@ -167,6 +167,25 @@ def test_lines_that_differ_late_in_long_words_stay(spark):
     assert {x["doc_id"]: x["text"] for x in got} == dict(enumerate(lines))
 
 
+def test_near_lines_equal_all_positions(spark):
+    r = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    families = []
+    for k in range(10):
+        word = " ".join("".join(r.choices(letters, k=r.randint(3, 9))) for _ in range(10 if k % 2 else 25))
+        solid = "".join(r.choices(letters, k=r.randint(60, 300)))
+        for base in (word, solid):
+            at = r.randrange(3, 9)
+            families.append([base, base[:at] + "#" + base[at:], base[:-4] + "end" + base[-4:], base[::-1]])
+    lines = [line for f in families for line in f]
+    sets = [{line[i : i + 5] for i in range(len(line) - 4)} for line in lines]
+    near = [(i, j) for i, j in combinations(range(len(lines)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    root = closure(range(len(lines)), near)
+    got = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {x["doc_id"] for x in got if x["text"]} == set(root.values())
+    assert len(near) >= 40
+
+
 def brute_vectors(rows, cosine=0.95):
     ok = {i: np.array(v, float) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
     links = [

@@ -12,25 +12,14 @@ from wakeframe.llm.suite import query, table
 from wakeframe.session import Stages
 
 SIMILARITY = 0.8
+#: Read by a test only, which holds lines against words cut to ten characters.
 WIDTH = 10
 CHARS = 5
+#: Characters whose shingles are cut from one piece of a line.
+PIECE = 32
 ROWS = 4
 BANDS = 8
 MIN_CHARS = 16
-LONG_WORD = 24
-
-
-def shingles(line: Column, width: int = WIDTH) -> Column:
-    """Character shingles of a line: ``width`` characters from every word's start.
-
-    They run on over the following word. Lines whose words are longer than
-    ``LONG_WORD`` characters on average, such as scripts without spaces, are cut into
-    runs of eight characters first.
-    """
-    words = F.split(line, " ")
-    cut = F.split(F.regexp_replace(line, r"(\S{8})", "$1 "), " ")
-    words = F.when(F.length(line) > LONG_WORD * F.size(words), cut).otherwise(words)
-    return F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("b"))
 
 
 def every_shingle(line: Column, width: int = CHARS) -> Column:
@@ -38,11 +27,22 @@ def every_shingle(line: Column, width: int = CHARS) -> Column:
     return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{width}}}|\A.{{1,{width - 1}}}\z))."), F.lit(1))
 
 
-def _text(pair: str, width: int) -> Column:
-    return F.substring(F.concat_ws(" ", F.col(f"{pair}.a"), F.col(f"{pair}.b")), 1, width)
+def _hashed(lines: DataFrame, width: int = CHARS) -> DataFrame:
+    """(line, h): a row for every position of a line, with the hash of the shingle there.
+
+    Lines are cut into overlapping pieces first: finding a character takes a walk from
+    the start of its string.
+    """
+    more = rf"{{{width},{PIECE + width - 1}}}"
+    pieces = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{more}|\A.{{1,{width - 1}}}\z)).{{1,{PIECE}}}"), F.lit(1))
+    pieces = lines.select("line", F.explode(pieces).alias("piece"))
+    last = F.greatest(F.length("piece") - (width - 1), F.lit(1))
+    shingles = pieces.select("line", "piece", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+    h = F.xxhash64(F.substring("piece", F.col("at"), F.lit(width)))
+    return shingles.select("line", F.shiftright(h, 32).cast("int").alias("h"))
 
 
-def _minima(shingled: DataFrame, count: int) -> DataFrame:
+def _minima(hashed: DataFrame, count: int) -> DataFrame:
     """(line, m0, m1, ...): per line the smallest shingle hash under ``count`` orders.
 
     An order is the hash's bits flipped by a mask. Masks differ in their first bits,
@@ -52,8 +52,6 @@ def _minima(shingled: DataFrame, count: int) -> DataFrame:
     rest = random.Random(5)
     masks = [((i << (32 - bits)) | rest.getrandbits(32 - bits)) for i in range(count)]
     signed = [m - (1 << 32) if m >= 1 << 31 else m for m in masks]
-    hashed = shingled.select("line", F.xxhash64(_text("s", WIDTH)).alias("h"))
-    hashed = hashed.select("line", F.shiftright("h", 32).cast("int").alias("h"))
     return hashed.groupBy("line").agg(
         *[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(signed)]
     )
@@ -89,7 +87,7 @@ def line_classes(
     """
     stages = stages or Stages(docs.sparkSession)
     lines = _lines(docs, id_col, text_col, min_chars)
-    minima = _minima(lines.select("line", F.explode(shingles(F.col("text"))).alias("s")), bands * rows)
+    minima = _minima(_hashed(lines.select("line", "text")), bands * rows)
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + k}" for k in range(rows)]) for b in range(bands)]
     keyed = stages.keep(minima.select("line", F.array(*keys).alias("bands")), "bands")
     members = keyed.select(F.explode("bands").alias("bucket"), F.col("line").alias("node"))

@@ -186,6 +186,24 @@ def test_near_lines_equal_all_positions(spark):
     assert len(near) >= 40
 
 
+def test_one_of_repeated_rows_stays(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near = " ".join(f"v{i}" for i in range(60))
+    rows = [(4, text)] * 5 + [(5, text + " more")] + [(None, near)] * 3 + [(None, near + " x")] + [(6, "tiny")] * 2 + [(7, None)]
+    docs = spark.createDataFrame([(*row, len(row[1] or "")) for row in rows], "doc_id long, text string, n_chars long")
+    kept = Counter((x["doc_id"], x["class_id"]) for x in near_classes(docs).filter("kept").collect())
+    assert kept == Counter([(4, 4), (None, None), (6, 6), (7, 7)])
+    once = drop_near_duplicates(docs, repeats=False)
+    assert once.columns == docs.columns
+    found = [(x["doc_id"], x["text"]) for x in once.collect()]
+    assert Counter(i for i, _ in found) == Counter([4, None, 6, 7])
+    assert (4, text) in found and (6, "tiny") in found and (7, None) in found
+    lines = Counter((x["doc_id"], x["text"]) for x in dedup_lines(docs).collect())
+    assert lines[4, text] == 1 and lines[4, ""] == 4 and lines[5, ""] == 1
+    assert lines[6, "tiny"] == 2 and lines[7, None] == 1
+    assert sum(n for (i, t), n in lines.items() if i is None and t) == 1
+
+
 def brute_vectors(rows, cosine=0.95):
     ok = {i: np.array(v, float) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
     links = [

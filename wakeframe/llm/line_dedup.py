@@ -138,14 +138,31 @@ def _without(text: Column, dropped: Column) -> Column:
     return F.array_join(F.flatten(kept), "\n")
 
 
+def _later(docs: DataFrame, id_col: str, text_col: str, stages: Stages) -> DataFrame:
+    """``docs`` with ``__later``: whether another row with the same id and text comes first."""
+    marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__tag": F.xxhash64(F.col(text_col))})
+    again = marked.filter(F.length(text_col) > 0).groupBy("__id", "__tag").agg(F.count("*").alias("k")).filter("k > 1")
+    again = stages.keep(again.select(F.col("__id").alias("i"), F.col("__tag").alias("t")), "rows_again")
+    if again.isEmpty():
+        return docs.withColumn("__later", F.lit(False))
+    hit = marked["__tag"].eqNullSafe(again.t) & marked["__id"].eqNullSafe(again.i)
+    # the numbers hold only once they are written
+    some = marked.join(again, hit, "left_semi").withColumn("__row", F.monotonically_increasing_id())
+    some = stages.keep(some, "rows_repeated")
+    first = some.groupBy("__id", "__tag").agg(F.min("__row").alias("__first")).select("__first")
+    some = some.join(first, F.col("__row") == F.col("__first"), "left")
+    some = some.select(*docs.columns, F.col("__first").isNull().alias("__later"))
+    return marked.join(again, hit, "left_anti").select(*docs.columns, F.lit(False).alias("__later")).unionByName(some)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with repeated and near-repeated lines removed from their texts.
 
     Adds ``n_lines`` and ``n_dropped_lines`` unless ``docs`` has columns of these
     names, which stay as they are. A document that loses all its lines keeps an empty
     text. Null texts stay null; empty texts and lines too short to take part stay as
-    they are. Null ids sort first. Rows that repeat an id and a text are treated
-    alike: a line that the first of them keeps, all of them keep. Lines compare with
+    they are. Null ids sort first. Of rows that repeat an id and a text one counts as
+    the first, and the others lose every line that takes part. Lines compare with
     their case and blanks; nodes are 64-bit hashes of lines. An empty table stays
     empty.
     """
@@ -154,7 +171,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lists = dropped.groupBy("long_id", "tag").agg(F.sort_array(F.collect_list("n")).alias("__gone"))
     lists = stages.keep(lists, "dropped").withColumnsRenamed({"long_id": "__id", "tag": "__tag"})
     here = F.xxhash64(F.col(text_col)).eqNullSafe(F.col("__tag")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-    joined = docs.join(lists, here, "left")
+    joined = _later(docs, id_col, text_col, stages).join(lists, here, "left")
+    parts = F.split(text_col, "\n")
+    all_of = F.filter(
+        F.sequence(F.lit(0), F.size(parts) - 1),
+        lambda i: F.length(F.trim(F.get(parts, i))) >= options.get("min_chars", MIN_CHARS),
+    )
+    joined = joined.withColumn("__gone", F.when(F.col("__later"), all_of).otherwise(F.col("__gone")))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("__gone")))
     counts = {
         "n_lines": F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long"),

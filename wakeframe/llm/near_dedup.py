@@ -156,14 +156,15 @@ def near_classes(
     weighted Jaccard similarity of at least ``similarity``; candidates share one of
     ``bands`` bands of ``rows`` BagMinHash components (at the defaults, 99.96 % of the
     pairs just at 0.8 do), and each candidate's overlap is computed exactly. A class
-    is a connected component; ``class_id`` is its smallest id and ``kept`` marks the
-    rows that carry it. Equal word sequences are one node from the start, so copies
+    is a connected component; ``class_id`` is its smallest id and ``kept`` marks one
+    row of it, the first that carries this id. Equal word sequences are one node from the start, so copies
     never meet pairwise.
 
     Texts of fewer than ``words`` words are one shingle of all their words. A null,
     empty or blank text has no shingle: it is its own class and kept. A null id takes
-    part but never names a class that has another id; rows that repeat an id and a
-    text fall and stay together. Other columns of ``docs`` are not read. An empty
+    part but never names a class that has another id; of a class whose ids are all null
+    the first row is kept. Which of the rows that repeat an id comes first depends on
+    the order in which they are read. Other columns of ``docs`` are not read. An empty
     table gives no rows. Nodes are 64-bit hashes: of ten billion distinct texts about
     three pairs would be taken for one.
     """
@@ -171,7 +172,8 @@ def near_classes(
     source = docs.select(
         F.col(id_col).cast("long").alias("long_id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text")
     )
-    signed = stages.keep(source.mapInArrow(_signed(rows, bands, words), _CONTENT), "signed")
+    signed = source.mapInArrow(_signed(rows, bands, words), _CONTENT)
+    signed = stages.keep(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
     texts = signed.filter("node is not null")
     # copies carry equal bands, so any of them will do
     one = texts.groupBy("node").agg(F.min(F.struct("tag", "long_id")).alias("of"), F.first("bands").alias("bands"))
@@ -194,18 +196,21 @@ def near_classes(
         )
 
     root = linked(members, ready, similarity, stages)
-    rooted = texts.select("long_id", "tag", "node").join(root, "node", "left")
+    rooted = texts.select("long_id", "tag", "row", "node").join(root, "node", "left")
     rooted = stages.keep(
-        rooted.select("long_id", "tag", F.coalesce("root", "node").alias("root")), "rooted"
+        rooted.select("long_id", "tag", "row", F.coalesce("root", "node").alias("root")), "rooted"
     )
-    named = stages.keep(rooted.groupBy("root").agg(F.min("long_id").alias("class_id"), F.count("*").alias("n")), "named")
-    named = named.filter("n > 1")
-    joined = rooted.join(named.select("root", "class_id"), "root", "left").select(
-        "long_id", "tag", F.coalesce("class_id", "long_id").alias("class_id")
+    first = F.min(F.struct(F.col("long_id").isNull().alias("unnamed"), "long_id", "row")).alias("first")
+    named = rooted.groupBy("root").agg(F.min("long_id").alias("class_id"), F.count("*").alias("n"), first)
+    named = stages.keep(named.select("root", "class_id", "n", F.col("first.row").alias("first")), "named").filter("n > 1")
+    joined = rooted.join(named, "root", "left").select(
+        "long_id",
+        "tag",
+        F.coalesce("class_id", "long_id").alias("class_id"),
+        F.coalesce(F.col("row") == F.col("first"), F.lit(True)).alias("kept"),
     )
-    alone = signed.filter("node is null").select("long_id", "tag", F.col("long_id").alias("class_id"))
-    out = joined.unionByName(alone)
-    return out.select(F.col("long_id").alias(id_col), "tag", "class_id", F.col("long_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    alone = signed.filter("node is null").select("long_id", "tag", F.col("long_id").alias("class_id"), F.lit(True).alias("kept"))
+    return joined.unionByName(alone).withColumnRenamed("long_id", id_col)
 
 
 def without(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -217,16 +222,27 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) ->
     return docs.join(gone, hit, "left_anti")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repeats: bool = True, **options
+) -> DataFrame:
     """``docs`` with one document of each class of near duplicates, all columns kept.
 
-    Nulls, empty texts, ties and repeated rows are as in ``near_classes``; of a class
-    whose ids are all null every row stays.
+    Nulls, empty texts and ties are as in ``near_classes``. Rows that repeat the id and
+    the text of the kept row stay with it; without ``repeats`` one of them stays.
     """
     stages = Stages(docs.sparkSession)
     classes = near_classes(docs, id_col, text_col, stages=stages, **options)
-    dropped = stages.keep(classes.filter("not kept").select(id_col, "tag"), "dropped")
-    return without(docs, dropped, id_col, text_col)
+    kept = F.col("kept").cast("int")
+    pairs = classes.groupBy(id_col, "tag").agg(F.sum(kept).alias("k"), F.sum(1 - kept).alias("d")).filter("d > 0")
+    pairs = stages.keep(pairs, "dropped")
+    again = pairs.filter("k > 0")
+    if repeats or again.isEmpty():
+        return without(docs, pairs.filter("k = 0"), id_col, text_col)
+    marks = {"__id": F.col(id_col).cast("long"), "__tag": F.xxhash64(F.col(text_col))}
+    marked, some = docs.withColumns(marks), again.select(F.col(id_col).alias("i"), F.col("tag").alias("t"))
+    hit = marked["__tag"].eqNullSafe(some.t) & marked["__id"].eqNullSafe(some.i)
+    one = marked.join(some, hit, "left_semi").dropDuplicates(list(marks)).select(*docs.columns)
+    return without(docs, pairs, id_col, text_col).unionByName(one)
 
 
 @query(

@@ -44,7 +44,7 @@ GATES = "SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) AS n, true AS meets_f1, tru
 def boosted_trees(spark, folder):
     """Boosted trees pass the F1 and AUC gates on a fifth of the rows."""
     both = rows(spark, folder)
-    model = L.train_boosted(both.filter("NOT is_test"), INPUTS, trees=20, partitions=cores(spark))
+    model = L.train_boosted(both.filter("NOT is_test"), INPUTS, partitions=cores(spark))
     return gates(model, both.filter("is_test"))
 
 
@@ -52,7 +52,7 @@ def boosted_trees(spark, folder):
 def kernel_machine(spark, folder):
     """The kernel machine passes the same gates."""
     both = rows(spark, folder)
-    model = L.train_kernel(both.filter("NOT is_test"), INPUTS, size=128, iterations=30, partitions=cores(spark))
+    model = L.train_kernel(both.filter("NOT is_test"), INPUTS, partitions=cores(spark))
     return gates(model, both.filter("is_test"))
 
 
@@ -60,12 +60,12 @@ def kernel_machine(spark, folder):
 def feature_importance(spark, folder):
     """Gain per input of the boosted trees, highest first."""
     both = rows(spark, folder)
-    return L.train_boosted(both.filter("NOT is_test"), INPUTS, trees=5, depth=4, partitions=cores(spark)).importance(spark)
+    return L.train_boosted(both.filter("NOT is_test"), INPUTS, partitions=cores(spark)).importance(spark)
 
 
 @query("batch_scores")
 def batch_scores(spark, folder):
     """Confidence, state and alert for every row."""
     both = rows(spark, folder)
-    model = L.train_boosted(both.filter("NOT is_test"), INPUTS, trees=5, depth=4, partitions=cores(spark))
+    model = L.train_boosted(both.filter("NOT is_test"), INPUTS, partitions=cores(spark))
     return model.score(both).select(*IDS, "confidence", "state", (F.col("confidence") >= 0.7).alias("alert"))

@@ -21,6 +21,9 @@ MODULES = (
     "toxicity",
     "packing",
     "lm_score",
+    "token_records",
+    "code_compression",
+    "filter_audit",
 )
 
 

@@ -79,7 +79,7 @@ def document_failures(
     part_col: str = "source",
     stages: Stages | None = None,
 ) -> DataFrame:
-    """Which of five filters documents fail, counted: part, A..E, good, toxic, n.
+    """Which of five filters documents fail: part, A..E, good, toxic, n (rows alike in all, id and text too).
 
     A: under 50 words; B: under 65 distinct of 100 words; C: over 5 ASCII capitals of
     100 characters; D: one of ``#$%&*|``; E: a smaller id has the same text, whatever
@@ -116,12 +116,7 @@ def document_failures(
     )
     unnamed = rows.filter("id is null").select("part", "bits", no.alias("E"), no.alias("good"), no.alias("toxic"), "n")
     four = [(F.col("bits").bitwiseAND(1 << i) != 0).alias(c) for i, c in enumerate("ABCD")]
-    return (
-        known.unionByName(unnamed)
-        .groupBy("part", "bits", "E", "good", "toxic")
-        .agg(F.sum("n").alias("n"))
-        .select("part", *four, "E", "good", "toxic", "n")
-    )
+    return known.unionByName(unnamed).select("part", *four, "E", "good", "toxic", "n")
 
 
 @lru_cache(maxsize=4)
@@ -204,13 +199,17 @@ def interactions(failures: DataFrame, filters: Sequence[str]) -> DataFrame:
     with these values. Columns: part, filter_order, step, kept (after the step), removed
     (by it), redundant (fail its filter, gone before), unique_fails (fail it alone),
     good_lost, toxic_lost (removed by it), and shapley (removed by its filter, summed
-    over all orders). Every part has a row for every order and step, zeros included. All
-    counts add up over rows, so tasks scatter whatever rows they hold and Spark sums.
+    over all orders). Every part has a row for every order and step, zeros included.
+
+    Rows are added up by part and flags first. That leaves at most 2 ** (filters + 2) rows
+    a part, so a part can go to one task, whatever its share of the documents. Counts are
+    sums over rows: what a task scatters in several goes is added up at the end.
     """
     if not 1 <= len(filters) <= MOST_FILTERS or any(len(f) != 1 for f in filters):
         raise ValueError(f"one to {MOST_FILTERS} filters of one letter each")
     flags = [F.coalesce(F.col(c), F.lit(False)).alias(c) for c in (*filters, "good", "toxic")]
-    counts = failures.select(F.coalesce("part", F.lit("")).alias("part"), *flags, F.col("n").cast("long"))
+    rows = failures.select(F.coalesce("part", F.lit("")).alias("part"), *flags, F.col("n").cast("long"))
+    counts = rows.groupBy("part", *filters, "good", "toxic").agg(F.sum("n").alias("n")).repartition("part")
     schema = "part string, filter_order string, step int, " + ", ".join(f"{c} long" for c in COUNTS)
     partial = counts.mapInArrow(_scattered("".join(filters)), schema)
     return partial.groupBy("part", "filter_order", "step").agg(*[F.sum(c).alias(c) for c in COUNTS])

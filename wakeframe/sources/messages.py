@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +45,24 @@ def parse_messages(raw: DataFrame, column: str = "value", schema: T.StructType =
 
 def errors(routed: DataFrame) -> DataFrame:
     """One error row per message that cannot be handled; the stream goes on."""
+    # What a client hears.
     text = F.when(F.col("route") == "invalid", "Invalid JSON message").otherwise(
         F.concat(F.lit("Unknown message type: "), F.coalesce("type", F.lit("null")))
     )
     return routed.filter(F.col("route").isin("invalid", "unknown")).select(
         *[c for c in routed.columns if c not in ("route", "raw")], "raw", text.alias("message")
     )
+
+
+def sinks() -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """Where a stream's messages go: frames, session messages (init, close), and errors with their line."""
+    kept = ["route", "session_id", "frame_id", "window_size", "ts"]
+
+    def of(*routes: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda routed: routed.filter(F.col("route").isin(*routes)).select(*kept, "payload")
+
+    def bad(routed: DataFrame) -> DataFrame:
+        told = errors(routed.withColumn("__route", F.col("route")))
+        return told.select(F.col("__route").alias("route"), *kept[1:], "message", F.col("raw").alias("line"))
+
+    return {"frames": of(FRAME), "sessions": of(INIT, CLOSE), "errors": bad}

@@ -1,14 +1,29 @@
 """Live sessions on Structured Streaming.
 
-Each stateful function below handles the rows of one session and micro-batch.
-Rows are sorted by (ts, frame_id) and rows not after the last one seen are
-ignored, so the result does not depend on how the stream is cut into batches.
-The source's admission control (files or offsets per trigger) bounds a batch.
+Messages of a session arrive in any number of micro-batches. The rules that make the
+result independent of how the stream is cut:
+
+* The rows of a session and batch are sorted by (us, frame_id); rows not after the last
+  one seen are ignored.
+* ``init`` opens a session, ``close`` ends it, and so does a gap of more than
+  ``timeout_seconds`` between two messages. What stands between two such ends is a span;
+  each span starts from fresh state. Messages before a span's ``init`` belong to none.
+* Event-time timers end spans that fall silent. A closed span leaves its last place
+  behind until the watermark has passed it, so that repeated messages don't reopen it;
+  after that Spark itself drops them as late. A stream whose sessions have all ended
+  holds no state.
+* A row of kind ``tick`` belongs to no session and only moves the time on.
+
+Inputs have ``session_id, us, frame_id`` (microseconds; a null frame_id is 0) and, if
+sessions are opened and closed, ``kind``. Without ``kind`` every row is a frame, and the
+first one opens. Rows without a session or time are left out. The operators set the
+watermark themselves. The source's admission control (files or offsets per trigger)
+bounds what one session can bring at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -29,11 +44,14 @@ from wakeframe.constants import (
     VARIANCE_FLOOR,
     WINDOW,
 )
-from wakeframe.operators.monitor import bucket_columns
+from wakeframe.operators.monitor import bucket_columns, bucket_quantile
 from wakeframe.operators.sessions import NO_INIT
-from wakeframe.session import fresh_path
+from wakeframe.session import exists, fresh_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+TIMEOUT_SECONDS = 600
+WATERMARK = "10 minutes"
+FIRST = -(2**62)
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -53,8 +71,22 @@ def read_files(
     )
 
 
+def read_lines(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
+    """A stream over the lines of a folder's text files: one column, ``value``."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+
+
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Process what is available into a Parquet table in the shared folder."""
+    return run_counted(stream, name)[0]
+
+
+def run_counted(stream: DataFrame, name: str) -> tuple[DataFrame, dict[str, int]]:
+    """``run_to_table``, and what the run says of itself.
+
+    ``dropped_late``: rows that stateful operators dropped as older than the watermark;
+    ``state_rows``: entries of all their states at the end.
+    """
     spark = stream.sparkSession
     out, state = fresh_path(spark, name), fresh_path(spark, f"{name}-state")
     started = (
@@ -66,22 +98,228 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
         .start()
     )
     started.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return spark.read.schema(stream.schema).parquet(out), said_of(started.recentProgress)
+
+
+def said_of(progress: Sequence) -> dict[str, int]:
+    """Sums over a run's batches, and the last batch's state sizes."""
+    last = progress[-1].stateOperators if progress else []
+    return {
+        "batches": len({p.batchId for p in progress if p.numInputRows}),
+        "dropped_late": sum(s.numRowsDroppedByWatermark for p in progress for s in p.stateOperators),
+        "state_rows": sum(s.numRowsTotal for s in last),
+    }
+
+
+def run_to_sinks(
+    stream: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], name: str, place: str | None = None
+) -> dict[str, DataFrame]:
+    """Feed several tables from one reading of the stream.
+
+    Each micro-batch is computed once and goes through every sink's function. A sink's
+    rows of a batch are a folder of their own, written anew if the batch is repeated
+    after a failure; so every row stands in its table exactly once. ``place``: the folder
+    of an earlier run, which this one goes on with.
+    """
+    spark = stream.sparkSession
+    place = place or fresh_path(spark, name)
+    out = {sink: f"{place}/{sink}" for sink in sinks}
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            for sink, shape in sinks.items():
+                shape(batch).write.mode("overwrite").parquet(f"{out[sink]}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    started = (
+        stream.writeStream.foreachBatch(put)
+        .option("checkpointLocation", f"{place}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    started.awaitTermination()
+    like = spark.createDataFrame([], stream.schema)
+    read = {}
+    for sink, shape in sinks.items():
+        schema = T.StructType([*shape(like).schema.fields, T.StructField("batch", T.LongType())])
+        read[sink] = spark.createDataFrame([], schema)
+        if exists(spark, out[sink]):  # a stream without data has no batch
+            read[sink] = spark.read.schema(schema).option("basePath", out[sink]).parquet(out[sink])
+    return read
+
+
+class SessionFold:
+    """What an operator does with the spans of a session.
+
+    ``columns``: inputs besides session, time, number and kind; ``output`` and
+    ``fields``: schemas of the result and of the state kept within a span.
+    """
+
+    columns: Sequence[str] = ()
+    output = ""
+    fields = ""
+
+    def fresh(self, opened: pd.Series) -> tuple:
+        """The state of a span that ``opened`` begins."""
+        raise NotImplementedError
+
+    def advance(self, session: str, state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame | None]:
+        """The state after a span's next rows, and what these rows give."""
+        return state, None
+
+    def ended(self, session: str, state: tuple, started_us: int, ended_us: int, how: str) -> pd.DataFrame | None:
+        """What a span gives when it ends by ``close`` or ``timeout``."""
+
+    def lost(self, session: str, rows: pd.DataFrame) -> pd.DataFrame | None:
+        """What messages outside any span give."""
+
+
+_HEAD = "is_open boolean, started_us long, last_us long, last_id long"
 
 
 def _in_order(batches: Iterator[pd.DataFrame], last_us: int, last_id: int) -> pd.DataFrame:
-    """The batch's rows after the last one seen, each (ts, frame_id) once."""
+    """The batch's rows after the last one seen, each (us, frame_id) once."""
     rows = pd.concat(list(batches), ignore_index=True)
     rows = rows.sort_values(["us", "frame_id"], kind="stable").drop_duplicates(["us", "frame_id"])
     late = (rows["us"] < last_us) | ((rows["us"] == last_us) & (rows["frame_id"] <= last_id))
-    return rows[~late]
+    return rows[~late & (rows["kind"] != "tick")].reset_index(drop=True)
 
 
-FIRST = -(2**62)
+def by_session(
+    messages: DataFrame, fold: SessionFold, timeout_seconds: int = TIMEOUT_SECONDS, watermark: str = WATERMARK
+) -> DataFrame:
+    """Run ``fold`` over the spans of every session; see the module for the rules."""
+    implicit = "kind" not in messages.columns
+    timeout = timeout_seconds * 1_000_000
+    names = [f.split()[0] for f in fold.output.split(", ")]
+
+    def pieces(rows: pd.DataFrame, is_open: bool, last_us: int) -> Iterator[tuple[int, int, bool]]:
+        """(first, end, whether a gap stands before): a piece reaches to a close or a gap."""
+        us = rows["us"].to_numpy()
+        before = np.concatenate([[last_us if last_us > FIRST else us[0]], us[:-1]])
+        gap = us - before > timeout
+        closes = (rows["kind"] == "close").to_numpy()
+        starts = gap | np.concatenate([[not is_open], closes[:-1]])
+        starts[0] = True
+        at = np.flatnonzero(starts)
+        for first, end in zip(at.tolist(), [*at[1:].tolist(), len(us)], strict=True):
+            yield first, end, bool(gap[first])
 
-LIVE_INPUT = ["session_id", "us", "frame_id", "face", "ear", "mar", "head_pitch", "head_yaw", "head_roll"]
-LIVE_OUTPUT = "session_id string, us long, frame_id long, seq long, " + ", ".join(f"{f} double" for f in FEATURES)
-SLOT = 6  # face, ear, mar, pitch, yaw, roll
+    def step(key, batches, state: GroupState):
+        session = key[0]
+        given = state.get if state.exists else (False, 0, FIRST, FIRST, *[None] * len(fold.fields.split(", ")))
+        is_open, started, last_us, last_id, *held = given
+        out: list[pd.DataFrame | None] = []
+        if state.hasTimedOut:
+            state.remove()
+            if is_open:
+                out.append(fold.ended(session, tuple(held), started, last_us, "timeout"))
+        else:
+            rows = _in_order(batches, last_us, last_id)
+            for first, end, gap in pieces(rows, is_open, last_us) if len(rows) else ():
+                if is_open and gap:
+                    out.append(fold.ended(session, tuple(held), started, last_us, "timeout"))
+                    is_open = False
+                if not is_open:
+                    opens = np.ones(end - first, bool) if implicit else (rows["kind"].iloc[first:end] == "init").to_numpy()
+                    begin = first + int(opens.argmax()) if opens.any() else end
+                    if begin > first:
+                        out.append(fold.lost(session, rows.iloc[first:begin]))
+                    if begin < end:
+                        is_open, started = True, int(rows["us"].iloc[begin])
+                        held = fold.fresh(rows.iloc[begin])
+                    first = begin
+                if is_open:
+                    held, given_now = fold.advance(session, tuple(held), rows.iloc[first:end])
+                    out.append(given_now)
+                last_us, last_id = int(rows["us"].iloc[end - 1]), int(rows["frame_id"].iloc[end - 1])
+                if is_open and rows["kind"].iloc[end - 1] == "close":
+                    out.append(fold.ended(session, tuple(held), started, last_us, "close"))
+                    is_open = False
+            if last_us > FIRST:
+                state.update((is_open, started, last_us, last_id, *(held if is_open else [None] * len(held))))
+                due = (last_us + (timeout if is_open else 0)) // 1000 + 1
+                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        whole = [x for x in out if x is not None and len(x)]
+        yield pd.concat(whole, ignore_index=True)[names] if whole else pd.DataFrame([], columns=names)
+
+    kind = F.lit("frame") if implicit else F.coalesce("kind", F.lit("unknown"))
+    return (
+        messages.filter("session_id is not null and us is not null")
+        .select(
+            "session_id", "us", F.coalesce("frame_id", F.lit(0)).cast("long").alias("frame_id"), kind.alias("kind"),
+            *fold.columns, F.timestamp_micros("us").alias("__ts"),
+        )
+        .withWatermark("__ts", watermark)
+        .groupBy("session_id")
+        .applyInPandasWithState(step, fold.output, f"{_HEAD}, {fold.fields}", "append", GroupStateTimeout.EventTimeTimeout)
+    )
+
+
+SLOT = ["face", "ear", "mar", "head_pitch", "head_yaw", "head_roll"]
+LIVE_INPUT = ["session_id", "us", "frame_id", *SLOT]
+PLACES = dict.fromkeys(FEATURES, 6) | dict.fromkeys(FEATURES[-3:], 4)
+_CHUNK = 20_000  # windows computed at a time
+
+
+def window_vectors(slots: np.ndarray, window: int, ear_closed: float) -> tuple[np.ndarray, np.ndarray]:
+    """(vectors, whether any slot shows a face) of all full windows over the slots."""
+    count = max(0, len(slots) - window + 1)
+    out, seen = np.full((count, len(FEATURES)), np.nan), np.zeros(count, bool)
+    for first in range(0, count, _CHUNK):
+        last = min(first + _CHUNK, count)
+        part = np.lib.stride_tricks.sliding_window_view(slots[first : last + window - 1], window, axis=0)
+        face, values = part[:, 0] > 0, part[:, 1:]
+        valid = face[:, None] & ~np.isnan(values)
+        n = valid.sum(axis=2)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean = np.where(valid, values, 0).sum(axis=2) / n
+            ear = valid[:, 0]
+            spread = np.sqrt((np.where(ear, values[:, 0] - mean[:, :1], 0) ** 2).sum(axis=1) / n[:, 0])
+            low = np.where(ear, values[:, 0], np.inf).min(axis=1)
+            high = np.where(valid[:, 1], values[:, 1], -np.inf).max(axis=1)
+            closed = (ear & (values[:, 0] < ear_closed)).sum(axis=1) / (ear | ~face).sum(axis=1)
+        some = n > 0
+        columns = [mean[:, 0], np.where(some[:, 0], low, np.nan), spread, closed, mean[:, 1], np.where(some[:, 1], high, np.nan)]
+        out[first:last] = np.column_stack([*columns, mean[:, 2:]])
+        seen[first:last] = face.any(axis=1)
+    return out, seen
+
+
+class _LiveFeatures(SessionFold):
+    fields = "window int, seen long, slots array<double>"
+    output = "session_id string, us long, frame_id long, seq long, ready boolean, " + ", ".join(f"{f} double" for f in FEATURES)
+
+    def __init__(self, window: int, every: int, ear_closed: float, repeat_skipped: bool, sized: bool):
+        self.window, self.every, self.ear_closed, self.repeat_skipped, self.sized = window, every, ear_closed, repeat_skipped, sized
+        self.columns = [*SLOT, *(["window_size"] if sized else [])]
+
+    def fresh(self, opened):
+        asked = opened["window_size"] if self.sized else None
+        return int(asked) if asked is not None and asked == asked and asked >= 1 else self.window, 0, []
+
+    def advance(self, session, state, rows):
+        window, seen, flat = state
+        rows = rows[rows["kind"] == "frame"]
+        old = np.array(flat, dtype=float).reshape(-1, len(SLOT))
+        seq = seen + 1 + np.arange(len(rows))
+        processed = seq % self.every == 0
+        face = rows["face"].fillna(False).to_numpy(dtype=bool)
+        fresh = np.column_stack([face, rows[SLOT[1:]].to_numpy(dtype=float)])[processed]
+        slots = np.concatenate([old, fresh])
+        vectors, any_face = window_vectors(slots, window, self.ear_closed)
+        at = len(old) + np.cumsum(processed) - window  # the window that ends with the last processed frame
+        ready = at >= 0
+        ready[ready] = any_face[at[ready]]
+        ready &= np.where(processed, face, self.repeat_skipped)
+        shown = np.full((len(rows), len(FEATURES)), np.nan)
+        shown[ready] = vectors[at[ready]]
+        out = pd.DataFrame(shown, columns=list(FEATURES)).assign(
+            session_id=session, us=rows["us"].to_numpy(), frame_id=rows["frame_id"].to_numpy(), seq=seq, ready=ready
+        )
+        return (window, seen + len(rows), slots[-window:].ravel().tolist()), out
 
 
 def live_features(
@@ -90,123 +328,114 @@ def live_features(
     every: int = DECIMATION,
     ear_closed: float = EAR_CLOSED,
     repeat_skipped: bool = True,
+    buffering: bool = False,
+    timeout_seconds: int = TIMEOUT_SECONDS,
+    watermark: str = WATERMARK,
 ) -> DataFrame:
     """Window features per session; ``frames`` has the LIVE_INPUT columns.
 
-    State: number of frames seen, order of the last one, the last ``window``
-    processed slots.
+    Every frame gets a row; ``ready`` says whether it has a vector. Frames without one
+    (the window isn't full, or shows no face) are given only with ``buffering``. A
+    ``window_size`` in the message that opens the session replaces ``window``.
+    State of a span: its window size, frames seen, and the last ``window`` processed slots.
     """
-
-    def vector(slots: np.ndarray):
-        valid = slots[slots[:, 0] > 0]
-        if len(slots) < window or not len(valid):
-            return None
-        ear, mar = valid[:, 1], valid[:, 2]
-        closed = (slots[:, 0] > 0) & (slots[:, 1] < ear_closed)
-        wide = [ear.mean(), ear.min(), ear.std(), closed.mean(), mar.mean(), mar.max()]
-        return [round(float(v), 6) for v in wide] + [round(float(v), 4) for v in valid[:, 3:].mean(axis=0)]
-
-    def step(key, batches, state: GroupState):
-        seen, last_us, last_id, flat = state.get if state.exists else (0, FIRST, FIRST, [])
-        slots = np.array(flat, dtype=float).reshape(-1, SLOT)
-        rows = _in_order(batches, last_us, last_id)
-        out, held = [], vector(slots)
-        for r in rows.itertuples(index=False):
-            seen += 1
-            processed = seen % every == 0
-            if processed:
-                seat = [float(bool(r.face)), r.ear, r.mar, r.head_pitch, r.head_yaw, r.head_roll]
-                slots = np.vstack([slots, seat])[-window:]
-                held = vector(slots)
-            emits = bool(r.face) if processed else repeat_skipped
-            if held is not None and emits:
-                out.append((key[0], r.us, r.frame_id, seen, *held))
-        if len(rows):
-            last_us, last_id = int(rows["us"].iloc[-1]), int(rows["frame_id"].iloc[-1])
-        state.update((seen, last_us, last_id, slots.ravel().tolist()))
-        names = ["session_id", "us", "frame_id", "seq", *FEATURES]
-        yield pd.DataFrame(out, columns=names)
-
-    return (
-        frames.select(*LIVE_INPUT)
-        .groupBy("session_id")
-        .applyInPandasWithState(
-            step,
-            LIVE_OUTPUT,
-            "seen long, last_us long, last_id long, slots array<double>",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
+    fold = _LiveFeatures(window, every, ear_closed, repeat_skipped, "window_size" in frames.columns)
+    out = by_session(frames, fold, timeout_seconds, watermark)
+    rounded = {f: F.round(F.when(F.col("ready"), F.col(f)), p) for f, p in PLACES.items()}
+    out = out.withColumns(rounded)
+    return out if buffering else out.filter("ready").drop("ready")
+
+
+class _Debounced(SessionFold):
+    columns = ["hit"]
+    fields = "seen long, hit_at long, miss_at long, drowsy_at long, alert_at long, alerts long"
+    output = (
+        "session_id string, us long, frame_id long, seq long, hits long, misses long, state string, new_alert boolean, "
+        "alerts long"
     )
 
+    def __init__(self, to_drowsy: int, to_alert: int):
+        self.to_drowsy, self.to_alert = to_drowsy, to_alert
 
-STATE_OUTPUT = (
-    "session_id string, us long, frame_id long, seq long, hits long, misses long, state string, new_alert boolean, "
-    "alerts long"
-)
+    def fresh(self, opened):
+        return 0, 0, 0, 0, 0, 0
+
+    def advance(self, session, state, rows):
+        seen, hit_at, miss_at, drowsy_at, alert_at, alerts = state
+        rows = rows[rows["kind"] == "frame"]
+        if not len(rows):
+            return state, None
+        hit = rows["hit"].fillna(False).to_numpy(dtype=bool)
+        seq = seen + 1 + np.arange(len(rows))
+        last_hit = np.maximum.accumulate(np.maximum(np.where(hit, seq, 0), hit_at))
+        last_miss = np.maximum.accumulate(np.maximum(np.where(hit, 0, seq), miss_at))
+        hits, misses = seq - last_miss, seq - last_hit
+        drowsy = np.maximum.accumulate(np.maximum(np.where(hits >= self.to_drowsy, seq, 0), drowsy_at))
+        alert = np.maximum.accumulate(np.maximum(np.where(misses >= self.to_alert, seq, 0), alert_at))
+        now = drowsy > alert
+        new = now & ~np.concatenate([[drowsy_at > alert_at], now[:-1]])
+        total = alerts + np.cumsum(new)
+        out = pd.DataFrame(
+            {
+                "session_id": session, "us": rows["us"].to_numpy(), "frame_id": rows["frame_id"].to_numpy(), "seq": seq,
+                "hits": hits, "misses": misses, "state": np.where(now, "drowsy", "alert"), "new_alert": new, "alerts": total,
+            }
+        )
+        return tuple(int(x[-1]) for x in (seq, last_hit, last_miss, drowsy, alert, total)), out
 
 
 def debounced_state(
-    predictions: DataFrame, to_drowsy: int = DROWSY_FRAMES, to_alert: int = ALERT_FRAMES
+    predictions: DataFrame,
+    to_drowsy: int = DROWSY_FRAMES,
+    to_alert: int = ALERT_FRAMES,
+    timeout_seconds: int = TIMEOUT_SECONDS,
+    watermark: str = WATERMARK,
 ) -> DataFrame:
     """State per prediction; input ``session_id, us, frame_id, hit``.
 
-    State: rows seen, rows at which the last hit, miss and commands were, and
+    State of a span: rows seen, rows at which the last hit, miss and commands were, and
     the number of alerts.
     """
+    return by_session(predictions, _Debounced(to_drowsy, to_alert), timeout_seconds, watermark)
 
-    def step(key, batches, state: GroupState):
-        seen, hit_at, miss_at, drowsy_at, alert_at, alerts, last_us, last_id = (
-            state.get if state.exists else (0, 0, 0, 0, 0, 0, FIRST, FIRST)
-        )
-        rows = _in_order(batches, last_us, last_id)
-        if len(rows):
-            hit = rows["hit"].fillna(False).to_numpy(dtype=bool)
-            seq = seen + 1 + np.arange(len(rows))
-            last_hit = np.maximum.accumulate(np.maximum(np.where(hit, seq, 0), hit_at))
-            last_miss = np.maximum.accumulate(np.maximum(np.where(hit, 0, seq), miss_at))
-            hits, misses = seq - last_miss, seq - last_hit
-            drowsy = np.maximum.accumulate(np.maximum(np.where(hits >= to_drowsy, seq, 0), drowsy_at))
-            alert = np.maximum.accumulate(np.maximum(np.where(misses >= to_alert, seq, 0), alert_at))
-            now = drowsy > alert
-            before = np.concatenate([[drowsy_at > alert_at], now[:-1]])
-            new = now & ~before
-            total = alerts + np.cumsum(new)
-            yield pd.DataFrame(
-                {
-                    "session_id": key[0],
-                    "us": rows["us"].to_numpy(),
-                    "frame_id": rows["frame_id"].to_numpy(),
-                    "seq": seq,
-                    "hits": hits,
-                    "misses": misses,
-                    "state": np.where(now, "drowsy", "alert"),
-                    "new_alert": new,
-                    "alerts": total,
-                }
-            )
-            state.update(
-                (
-                    int(seq[-1]), int(last_hit[-1]), int(last_miss[-1]), int(drowsy[-1]), int(alert[-1]),
-                    int(total[-1]), int(rows["us"].iloc[-1]), int(rows["frame_id"].iloc[-1]),
-                )
-            )
 
-    return (
-        predictions.select("session_id", "us", "frame_id", "hit")
-        .groupBy("session_id")
-        .applyInPandasWithState(
-            step,
-            STATE_OUTPUT,
-            "seen long, hit_at long, miss_at long, drowsy_at long, alert_at long, alerts long, last_us long, "
-            "last_id long",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
+class _Drift(SessionFold):
+    output = "session_id string, seq long, feature string, n long, score double"
+
+    def __init__(self, base: dict, names: list[str], numbered: bool, buffer: int, every: int, least: int):
+        self.base, self.names, self.numbered, self.buffer, self.every, self.least = base, names, numbered, buffer, every, least
+        self.columns = [*(["seq"] if numbered else []), *names]
+        self.fields = ", ".join(["seen long", *[f"ring_{i} array<double>" for i in range(len(names))]])
 
+    def fresh(self, opened):
+        return 0, *[[] for _ in self.names]
+
+    def score(self, values: np.ndarray, feature: str) -> float:
+        if len(values) < self.least or feature not in self.base:
+            return 0.0
+        m, v = self.base[feature]
+        live, ref = values.var() + VARIANCE_FLOOR, v + VARIANCE_FLOOR
+        return float(np.log(np.sqrt(ref) / np.sqrt(live)) + (live + (values.mean() - m) ** 2) / (2 * ref) - 0.5)
 
-DRIFT_OUTPUT = "session_id string, seq long, feature string, n long, score double"
+    def advance(self, session, state, rows):
+        seen, *kept = state
+        rows = rows[rows["kind"] == "frame"]
+        if not len(rows):
+            return state, None
+        seq = rows["seq"].to_numpy() if self.numbered else seen + 1 + np.arange(len(rows))
+        due = np.flatnonzero(seq % self.every == 0)
+        out, rings = [], []
+        for name, old in zip(self.names, kept, strict=True):
+            value = rows[name].to_numpy(dtype=float)
+            fine = np.isfinite(value)
+            every_value = np.concatenate([np.array(old, dtype=float), value[fine]])
+            upto = len(old) + np.cumsum(fine)
+            for i in due:  # one in ``every`` frames
+                ring = every_value[max(0, upto[i] - self.buffer) : upto[i]]
+                out.append((session, int(seq[i]), name, len(ring), self.score(ring, name)))
+            rings.append(every_value[-self.buffer :].tolist())
+        scores = pd.DataFrame(out, columns=["session_id", "seq", "feature", "n", "score"])
+        return (int(seq[-1]), *rings), scores if self.base else None
 
 
 def live_drift(
@@ -216,177 +445,150 @@ def live_drift(
     buffer: int = DRIFT_BUFFER,
     every: int = DRIFT_EVERY,
     least: int = DRIFT_MIN_VALUES,
+    timeout_seconds: int = TIMEOUT_SECONDS,
+    watermark: str = WATERMARK,
 ) -> DataFrame:
     """Drift scores at each ``every``-th frame of a session.
 
     ``vectors`` has ``session_id, us, frame_id`` and the feature columns, and
     ``seq`` if the frame number is not the row number. ``base`` holds mean and
     variance per feature (one entry per feature column).
-    State: the last ``buffer`` accepted values of each feature.
+    State of a span: the last ``buffer`` accepted values of each feature.
     """
-    names = list(columns)
-    numbered = "seq" in vectors.columns
+    fold = _Drift(base, list(columns), "seq" in vectors.columns, buffer, every, least)
+    out = by_session(vectors, fold, timeout_seconds, watermark)
+    return out.withColumn("score", F.greatest(F.lit(0.0), F.round("score", 6)))
 
-    def score(values: np.ndarray, feature: str) -> float:
-        if len(values) < least or feature not in base:
-            return 0.0
-        m, v = base[feature]
-        live, ref = values.var() + VARIANCE_FLOOR, v + VARIANCE_FLOOR
-        kl = np.log(np.sqrt(ref) / np.sqrt(live)) + (live + (values.mean() - m) ** 2) / (2 * ref) - 0.5
-        return max(0.0, round(float(kl), 6))
 
-    def step(key, batches, state: GroupState):
-        if state.exists:
-            seen, last_us, last_id, *kept = state.get
-        else:
-            seen, last_us, last_id, kept = 0, FIRST, FIRST, [[] for _ in names]
-        rows = _in_order(batches, last_us, last_id)
-        if not len(rows):
-            return
-        seq = rows["seq"].to_numpy() if numbered else seen + 1 + np.arange(len(rows))
-        due = np.flatnonzero(seq % every == 0)
-        out, rings = [], []
-        for name, old in zip(names, kept):
-            value = rows[name].to_numpy(dtype=float)
-            fine = np.isfinite(value)
-            all_values = np.concatenate([np.array(old, dtype=float), value[fine]])
-            upto = len(old) + np.cumsum(fine)
-            for i in due:
-                held = all_values[max(0, upto[i] - buffer) : upto[i]]
-                out.append((key[0], int(seq[i]), name, len(held), score(held, name)))
-            rings.append(all_values[-buffer:].tolist())
-        state.update((int(seq[-1]), int(rows["us"].iloc[-1]), int(rows["frame_id"].iloc[-1]), *rings))
-        if base:
-            yield pd.DataFrame(out, columns=["session_id", "seq", "feature", "n", "score"])
-
-    needed = ["session_id", "us", "frame_id", *(["seq"] if numbered else []), *names]
-    rings = ", ".join(f"ring_{i} array<double>" for i in range(len(names)))
-    return (
-        vectors.select(*needed)
-        .groupBy("session_id")
-        .applyInPandasWithState(
-            step,
-            DRIFT_OUTPUT,
-            f"seen long, last_us long, last_id long, {rings}",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
+class _Orphans(SessionFold):
+    fields = "nothing boolean"
+    output = "session_id string, us long, frame_id long, message string"
 
+    def fresh(self, opened):
+        return (None,)
 
-ORPHAN_OUTPUT = "session_id string, us long, frame_id long, message string"
+    def lost(self, session, rows):
+        rows = rows[rows["kind"] == "frame"]
+        return rows[["us", "frame_id"]].assign(session_id=session, message=NO_INIT)
 
 
-def frames_without_init(messages: DataFrame) -> DataFrame:
-    """Frames that arrive before an init or after a close, as error rows.
+def frames_without_init(
+    messages: DataFrame, timeout_seconds: int = TIMEOUT_SECONDS, watermark: str = WATERMARK
+) -> DataFrame:
+    """Frames before an init, after a close or after a time-out, as error rows.
 
-    Input: ``session_id, us, frame_id, kind``; ``frame_id`` numbers the
-    messages of a session. State: whether the session is open.
+    Input: ``session_id, us, frame_id, kind``; ``frame_id`` numbers the messages of a
+    session.
     """
+    return by_session(messages, _Orphans(), timeout_seconds, watermark)
 
-    def step(key, batches, state: GroupState):
-        is_open, last_us, last_id = state.get if state.exists else (False, FIRST, FIRST)
-        rows = _in_order(batches, last_us, last_id)
-        if not len(rows):
-            return
-        kind = rows["kind"].to_numpy()
-        seq = np.arange(1, len(rows) + 1)
-        opened = np.maximum.accumulate(np.where(kind == "init", seq, 0))
-        closed = np.maximum.accumulate(np.where(kind == "close", seq, 0))
-        now = np.where(opened == closed, is_open, opened > closed)
-        lost = rows[(kind == "frame") & ~now]
-        state.update((bool(now[-1]), int(rows["us"].iloc[-1]), int(rows["frame_id"].iloc[-1])))
-        yield pd.DataFrame(
-            {"session_id": key[0], "us": lost["us"], "frame_id": lost["frame_id"], "message": NO_INIT}
-        )
 
-    return (
-        messages.select("session_id", "us", "frame_id", "kind")
-        .groupBy("session_id")
-        .applyInPandasWithState(
-            step, ORPHAN_OUTPUT, "is_open boolean, last_us long, last_id long", "append", GroupStateTimeout.NoTimeout
-        )
+class _Lifecycle(SessionFold):
+    columns = ["ear", "confidence", "new_alert"]
+    fields = "frames long, alerts long, ear_sum double, ear_n long, conf_sum double, conf_n long"
+    output = (
+        "session_id string, started_us long, ended_us long, duration_seconds double, frames long, alerts long, "
+        "average_ear double, average_confidence double, ended_by string"
     )
 
+    def fresh(self, opened):
+        return 0, 0, 0.0, 0, 0.0, 0
 
-SUMMARY_OUTPUT = (
-    "session_id string, started_us long, ended_us long, duration_seconds double, frames long, alerts long, "
-    "average_ear double, average_confidence double, ended_by string"
-)
+    def advance(self, session, state, rows):
+        rows = rows[rows["kind"] == "frame"]
+        alerts = int(rows["new_alert"].fillna(False).astype(bool).sum())
+        sums = []
+        for c in ("ear", "confidence"):
+            value = rows[c].to_numpy(dtype=float)
+            fine = np.isfinite(value)
+            sums += [float(value[fine].sum()), int(fine.sum())]
+        return tuple(a + b for a, b in zip(state, (len(rows), alerts, *sums), strict=True)), None
+
+    def ended(self, session, state, started_us, ended_us, how):
+        frames, alerts, ear_sum, ear_n, conf_sum, conf_n = state
+        mean = [ear_sum / ear_n if ear_n else np.nan, conf_sum / conf_n if conf_n else np.nan]
+        row = (session, started_us, ended_us, (ended_us - started_us) / 1e6, frames, alerts, *mean, how)
+        return pd.DataFrame([row], columns=[c.split()[0] for c in self.output.split(", ")])
 
 
 def session_lifecycle(
-    events: DataFrame, timeout_seconds: int = 600, watermark: str = "10 minutes"
+    events: DataFrame, timeout_seconds: int = TIMEOUT_SECONDS, watermark: str = WATERMARK
 ) -> DataFrame:
-    """One summary per session when it closes or goes silent.
+    """One summary per span when it closes or falls silent.
 
-    Input: ``session_id, ts, us, frame_id, kind (init, frame, close), ear,
-    confidence, new_alert``. A close message ends the session; event time
-    passing ``timeout_seconds`` without a message stands for a disconnect.
-    Frames before the first init are dropped. ``frame_id`` numbers the
-    messages of a session.
+    Input: ``session_id, us, frame_id, kind (init, frame, close), ear, confidence,
+    new_alert``. A close message ends the span; event time passing ``timeout_seconds``
+    without a message stands for a disconnect. ``frame_id`` numbers the messages of a
+    session. Equal to ``operators.sessions.session_spans``, without the open ones.
     """
+    out = by_session(events, _Lifecycle(), timeout_seconds, watermark)
+    places = {"duration_seconds": 2, "average_ear": 4, "average_confidence": 4}
+    return out.withColumns({c: F.round(F.when(~F.isnan(c), F.col(c)), p) for c, p in places.items()})
 
-    def summary(key, s, ended, how):
-        started, _, _, frames, alerts, ear_sum, ear_n, conf_sum, conf_n = s
-        return pd.DataFrame(
-            [
-                (
-                    key[0], started, ended, round((ended - started) / 1e6, 2), frames, alerts,
-                    round(ear_sum / ear_n, 4) if ear_n else None,
-                    round(conf_sum / conf_n, 4) if conf_n else None,
-                    how,
-                )
-            ],
-            columns=[c.split()[0] for c in SUMMARY_OUTPUT.split(", ")],
-        )
+
+def in_arrival_order(
+    messages: DataFrame, watermark: str = WATERMARK, keys: Sequence[str] = ("session_id", "us", "frame_id")
+) -> DataFrame:
+    """Each message once, with ``late``: whether a later one of its session came in an earlier batch.
+
+    Repeated messages (equal ``keys``) within the watermark are dropped by Spark, and so
+    are rows older than it, which the run counts. Late rows are what the other operators
+    ignore; here they are kept as a side output. A session's place is forgotten once the
+    watermark has passed it.
+    """
 
     def step(key, batches, state: GroupState):
         if state.hasTimedOut:
-            s = state.get
             state.remove()
-            yield summary(key, s, s[1], "timeout")
+            yield pd.DataFrame([], columns=["session_id", "us", "frame_id", "late"])
             return
-        s = state.get if state.exists else None
-        rows = _in_order(batches, *(s[1:3] if s else (FIRST, FIRST)))
-        for r in rows.itertuples(index=False):
-            if s is None:
-                if r.kind == "init":
-                    s = (int(r.us), int(r.us), int(r.frame_id), 0, 0, 0.0, 0, 0.0, 0)
-                continue
-            started, _, _, frames, alerts, ear_sum, ear_n, conf_sum, conf_n = s
-            if r.kind == "close":
-                yield summary(key, s, int(r.us), "close")
-                s = None
-                continue
-            if r.kind == "frame":
-                frames, alerts = frames + 1, alerts + int(bool(r.new_alert))
-                if r.ear is not None and np.isfinite(r.ear):
-                    ear_sum, ear_n = ear_sum + float(r.ear), ear_n + 1
-                if r.confidence is not None and np.isfinite(r.confidence):
-                    conf_sum, conf_n = conf_sum + float(r.confidence), conf_n + 1
-            s = (started, int(r.us), int(r.frame_id), frames, alerts, ear_sum, ear_n, conf_sum, conf_n)
-        if s is None:
-            if state.exists:
-                state.remove()
-            return
-        state.update(s)
-        due = s[1] // 1000 + timeout_seconds * 1000
-        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        last_us, last_id = state.get if state.exists else (FIRST, FIRST)
+        rows = pd.concat(list(batches), ignore_index=True)
+        late = (rows["us"] < last_us) | ((rows["us"] == last_us) & (rows["frame_id"] <= last_id))
+        top = rows.sort_values(["us", "frame_id"]).iloc[-1]
+        last_us, last_id = max((last_us, last_id), (int(top["us"]), int(top["frame_id"])))
+        state.update((last_us, last_id))
+        state.setTimeoutTimestamp(max(last_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield rows[["us", "frame_id"]].assign(session_id=key[0], late=late)[["session_id", "us", "frame_id", "late"]]
+
+    once = (
+        messages.filter("session_id is not null and us is not null")
+        .select("session_id", "us", F.coalesce("frame_id", F.lit(0)).cast("long").alias("frame_id"), F.timestamp_micros("us").alias("__ts"))
+        .withWatermark("__ts", watermark)
+        .dropDuplicatesWithinWatermark(list(keys))
+    )
+    return once.groupBy("session_id").applyInPandasWithState(
+        step,
+        "session_id string, us long, frame_id long, late boolean",
+        "last_us long, last_id long",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
 
-    return (
-        events.withWatermark("ts", watermark)
-        .select("session_id", "ts", "us", "frame_id", "kind", "ear", "confidence", "new_alert")
-        .groupBy("session_id")
-        .applyInPandasWithState(
-            step,
-            SUMMARY_OUTPUT,
-            "started_us long, last_us long, last_id long, frames long, alerts long, ear_sum double, ear_n long, conf_sum double, "
-            "conf_n long",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
+
+def orphan_frames(messages: DataFrame, attach_seconds: int = 3600, watermark: str = WATERMARK) -> DataFrame:
+    """Frames whose session wasn't opened in the ``attach_seconds`` before them.
+
+    A stream-stream left outer join of frames with openings: a frame stays in state
+    until the watermark says that no opening can come any more, then it goes out as an
+    orphan if none was there. Input: ``session_id, us, frame_id, kind``.
+    """
+    ts = F.timestamp_micros("us")
+    frames = messages.filter("kind in ('frame', 'tick')").select("session_id", "us", "frame_id", "kind", ts.alias("frame_ts"))
+    opened = messages.filter("kind in ('init', 'tick')").select(
+        F.coalesce("session_id", F.lit("")).alias("opened_id"), F.col("kind").alias("opened_kind"), ts.alias("opened_ts")
     )
+    # ticks move both watermarks and go afterwards: as these conditions name the time
+    # too, they aren't pushed down in front of the watermark
+    near = (
+        (F.col("session_id") == F.col("opened_id"))
+        & ((F.col("opened_kind") == "init") | F.col("opened_ts").isNull())
+        & (F.col("opened_ts") <= F.col("frame_ts"))
+        & (F.col("opened_ts") >= F.col("frame_ts") - F.expr(f"INTERVAL {attach_seconds} SECONDS"))
+    )
+    joined = frames.withWatermark("frame_ts", watermark).join(opened.withWatermark("opened_ts", watermark), near, "left_outer")
+    lost = joined.filter("opened_id is null and (kind = 'frame' or frame_ts is null)")
+    return lost.select("session_id", "us", "frame_id", F.lit(NO_INIT).alias("message"))
 
 
 def metric_windows(
@@ -398,17 +600,27 @@ def metric_windows(
     watermark: str = "1 minute",
     keys: Sequence[str] = (),
     error: str | None = None,
+    quantiles: Sequence[float] = (0.95,),
 ) -> DataFrame:
-    """Counts, errors and bucket counts over sliding event-time windows.
-
-    ``events`` has ``ts`` as TIMESTAMP. Rows later than the watermark are
-    dropped; a window is emitted once the watermark has passed its end.
+    """Counts, rates and quantiles over sliding event-time windows.
+
+    ``events`` has ``ts`` as TIMESTAMP. Events are counted per ``slide`` first; sliding
+    windows add these counts up, so an event is never copied, only a step's row is.
+    Columns: start, end, keys, requests, errors, bucket counts, total_sum, request_rate
+    and error_rate (per second), error_ratio (as in the alert rules), and a column per
+    quantile (p95). Rows later than the watermark are dropped; a window is emitted once
+    the watermark has passed its end.
     """
     failed = F.count_if(F.col(error)) if error else F.lit(0).cast("long")
-    return (
+    steps = (
         events.withWatermark("ts", watermark)
-        .groupBy(F.window("ts", window, slide), *keys)
+        .groupBy(F.window("ts", slide).alias("step"), *keys)
         .agg(F.count(F.lit(1)).alias("requests"), failed.alias("errors"), *bucket_columns(F.col(value), bounds))
-        .select("window.start", "window.end", *keys, "requests", "errors",
-                *[f"le_{i}" for i in range(len(bounds) + 1)], "total_sum")
     )
+    counts = ["requests", "errors", *[f"le_{i}" for i in range(len(bounds) + 1)], "total_sum"]
+    slid = steps.groupBy(F.window(F.window_time("step"), window, slide), *keys).agg(*[F.sum(c).alias(c) for c in counts])
+    seconds = F.unix_seconds("window.end") - F.unix_seconds("window.start")
+    rates = {"request_rate": F.col("requests") / seconds, "error_rate": F.col("errors") / seconds}
+    ratio = {"error_ratio": rates["error_rate"] / (rates["request_rate"] + 0.001)}
+    found = {f"p{round(100 * q)}": bucket_quantile(bounds, q) for q in quantiles}
+    return slid.select("window.start", "window.end", *keys, *counts, *[c.alias(n) for n, c in (rates | ratio | found).items()])

@@ -116,15 +116,32 @@ def session_events(spark, folder):
     )
 
 
+#: Rows inside spans: from an opening to a close; ``gap``: or to so many silent microseconds.
+def spans_sql(gap: int | None = None) -> str:
+    silent = f" OR epoch_us(ts) - epoch_us(was_ts) > {gap}" if gap else ""
+    return f"""
+  lagged AS (SELECT *, lag(ts) OVER w AS was_ts, lag(kind) OVER w AS was FROM kinds
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+  grouped AS (SELECT *, sum(CASE WHEN was = 'close'{silent} THEN 1 ELSE 0 END) OVER (PARTITION BY user_id
+      ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS grp FROM lagged),
+  opened AS (SELECT *, min(CASE WHEN kind = 'open' THEN (ts, event_id) END) OVER (PARTITION BY user_id, grp) AS start
+      FROM grouped),
+  inside AS (SELECT * FROM opened WHERE (ts, event_id) >= start)
+"""
+
+
+SUMMARY = """
+  s AS (SELECT user_id AS session_id, grp, min(ts) AS a, max(ts) AS last, max(ts) FILTER (kind = 'close') AS b,
+      count(*) FILTER (kind = 'frame') AS frames, count(*) FILTER (kind = 'frame' AND new_alert) AS alerts,
+      round(avg(value / 50.1) FILTER (kind = 'frame'), 4) AS average_ear,
+      round(avg(value / 491.3) FILTER (kind = 'frame'), 4) AS average_confidence FROM inside GROUP BY user_id, grp)
+"""
+
+
 @query(
     "session_summary",
     f"""
-    WITH {DEBOUNCED}, {KINDS},
-    s AS (SELECT user_id AS session_id, coalesce(min(ts) FILTER (kind = 'open'), min(ts)) AS a,
-        max(ts) FILTER (kind = 'close') AS b, count(*) FILTER (kind = 'frame') AS frames,
-        count(*) FILTER (kind = 'frame' AND new_alert) AS alerts,
-        round(avg(value / 50.1) FILTER (kind = 'frame'), 4) AS average_ear,
-        round(avg(value / 491.3) FILTER (kind = 'frame'), 4) AS average_confidence FROM kinds GROUP BY user_id)
+    WITH {DEBOUNCED}, {KINDS}, {spans_sql()}, {SUMMARY}
     SELECT session_id, epoch_us(a) AS started_us, epoch_us(coalesce(b, TIMESTAMP '2024-02-01')) AS ended_us,
       round((epoch_us(coalesce(b, TIMESTAMP '2024-02-01')) - epoch_us(a)) / 1000000, 2) AS duration_seconds,
       frames, alerts, average_ear, average_confidence,
@@ -133,7 +150,8 @@ def session_events(spark, folder):
     """,
 )
 def session_summary(spark, folder):
-    out = N.session_summary(session_events(spark, folder), now=F.lit("2024-02-01").cast("timestamp_ntz"))
+    """One row per span, from an opening to its close."""
+    out = N.session_summary(session_events(spark, folder), now=F.lit("2024-02-01").cast("timestamp_ntz"), tie="event_id")
     return out.select(
         "session_id",
         F.unix_micros(F.col("started_at").cast("timestamp")).alias("started_us"),
@@ -142,6 +160,38 @@ def session_summary(spark, folder):
     )
 
 
+SPANS_NOW = "TIMESTAMP '2024-01-30 12:00:00'"
+SPANS_SQL = f"""
+    WITH {DEBOUNCED}, {KINDS}, {spans_sql(86_400_000_000)}, {SUMMARY},
+    seen AS (SELECT user_id AS session_id, greatest(max(ts), {SPANS_NOW}) AS seen FROM events GROUP BY user_id),
+    e AS (SELECT s.*, CASE WHEN b IS NOT NULL THEN 'close' WHEN epoch_us(seen) - epoch_us(last) > 86400000000
+        THEN 'timeout' ELSE 'active' END AS ended_by FROM s JOIN seen USING (session_id)),
+    t AS (SELECT *, epoch_us(CASE ended_by WHEN 'close' THEN b WHEN 'timeout' THEN last ELSE {SPANS_NOW} END) AS ended_us
+        FROM e)
+    SELECT session_id, epoch_us(a) AS started_us, ended_us, round((ended_us - epoch_us(a)) / 1000000, 2) AS duration_seconds,
+      frames, alerts, average_ear, average_confidence, ended_by
+    FROM t
+"""
+
+
+def _spans(spark, folder, **options):
+    events = session_events(spark, folder).withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    now = F.unix_micros(F.lit("2024-01-30 12:00:00").cast("timestamp"))
+    return N.span_summary(events, order=["us", "event_id"], timeout_seconds=86_400, now_us=now, **options)
+
+
+@query("session_spans", SPANS_SQL)
+def session_spans(spark, folder):
+    """Spans that a close, a silent day or nothing yet has ended."""
+    return _spans(spark, folder)
+
+
+@query("session_spans_split", SPANS_SQL)
+def session_spans_split(spark, folder):
+    """The same with spans crossing segment borders."""
+    return _spans(spark, folder, rows_per_segment=20)
+
+
 @query(
     "session_status",
     f"""
@@ -169,14 +219,10 @@ def session_status(spark, folder):
     )
 
 
-CONVERSATION = """
-  turns AS (SELECT conv_id, turn, role, max(turn) OVER (PARTITION BY conv_id) AS last,
-      min(turn) OVER (PARTITION BY conv_id) AS first FROM conversations)
-"""
-ACTIVITY = f"""
-  WITH {CONVERSATION}, c AS (
-    SELECT turn AS ts, sum(CASE WHEN turn = first THEN 1 ELSE -1 END) AS change
-    FROM turns WHERE (turn = first) <> (turn = last) GROUP BY turn)
+ACTIVITY = """
+  WITH ends AS (SELECT min(turn) AS first, max(turn) AS last FROM conversations GROUP BY conv_id),
+  c AS (SELECT ts, sum(change) AS change FROM (SELECT first AS ts, 1 AS change FROM ends
+      UNION ALL SELECT last, -1 FROM ends) GROUP BY ts)
   SELECT CAST(ts AS BIGINT) AS ts, CAST(change AS BIGINT) AS change,
          CAST(sum(change) OVER (ORDER BY ts) AS BIGINT) AS active FROM c
 """
@@ -189,7 +235,7 @@ def conversation_events(spark, folder):
         F.struct(F.col("first").alias("ts"), F.lit("open").alias("kind")),
         F.struct(F.col("last").alias("ts"), F.lit("close").alias("kind")),
     )
-    return ends.filter("first <> last").select(F.col("conv_id").alias("session_id"), F.inline(sides))
+    return ends.select(F.col("conv_id").alias("session_id"), F.inline(sides))
 
 
 @query("active_sessions_over_time", ACTIVITY)
@@ -244,10 +290,7 @@ def attached_messages(spark, folder):
     """Messages of known sessions with the driver, orphans without."""
     messages = table(spark, folder, "events").select("event_id", (F.col("user_id") * 11).alias("user_id"))
     known = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("driver"))
-    attached, orphans = N.attach(messages, known, "user_id")
-    return attached.withColumn("known", F.lit(True)).unionByName(
-        orphans.withColumns({"driver": F.lit(None).cast("string"), "known": F.lit(False)})
-    )
+    return N.attach(messages, known, "user_id")
 
 
 LOST = """

@@ -312,3 +312,45 @@ def test_both_learners_find_a_ring(spark, rings, train):
     if isinstance(model, L.BoostedTrees):
         rows = model.importance(spark).collect()
         assert math.isclose(sum(r["importance"] for r in rows), 1.0, abs_tol=1e-6)
+
+
+def test_instant_values_and_silent_targets(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), rng.randrange(0, 2000), float(rng.randrange(3))) for _ in range(40)]
+    rows = [r for r in rows if not 600 <= r[1] < 1300]
+    df = spark.createDataFrame(rows, "job string, t long, up double").repartition(3)
+    grid = M.evaluation_grid(spark, 7, 2100, 30)
+    times = [r[0] for r in grid.collect()]
+    assert times == list(range(30, 2101, 30))
+
+    def latest(job, at, stale):
+        seen = [(t, v) for j, t, v in rows if j == job and at - stale <= t <= at]
+        return max(seen)[1] if seen else None
+
+    for stale in (10, 100, 300):
+        got = {(r["job"], r["eval_at"]): r["value"] for r in M.instant_values(df, ["job"], "t", "up", 30, stale).collect()}
+        assert {k: v for k, v in got.items() if 30 <= k[1] <= 2100} == {
+            (j, at): latest(j, at, stale) for j in "ab" for at in times if latest(j, at, stale) is not None
+        }
+        up = M.availability(df, ["a", "b", "never"], grid, "job", "t", "up", 30, stale).collect()
+        assert {(r["job"], r["eval_at"]): r["value"] for r in up} == {
+            (j, at): latest(j, at, stale) or 0.0 for j in ("a", "b", "never") for at in times
+        }
+    rule = [M.Rule("Down", "up", "==", 0.0, 60, "critical", {"job": "never"})]
+    series = M.availability(df, ["never"], grid, "job", "t", "up", 30, 100).select(
+        "eval_at", F.lit("up").alias("metric"), F.create_map(F.lit("job"), "job").alias("labels"), "value"
+    )
+    status = [r["status"] for r in M.apply_rules(series, rule, 30).orderBy("eval_at").collect()]
+    assert status == ["pending"] * 2 + ["firing"] * (len(times) - 2)
+
+
+def test_range_moments_by_hand(spark):
+    rng = random.Random(7)
+    rows = [("x", rng.randrange(1000), rng.random()) for _ in range(200)] + [("x", 5, None)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    got = {r["eval_at"]: r for r in M.range_moments(df, ["k"], "t", "v", 20, 100).collect()}
+    for at, r in got.items():
+        mine = [v for _, t, v in rows if v is not None and at - 100 < t <= at]
+        mean = sum(mine) / len(mine)
+        assert r["n"] == len(mine) and r["mean"] == pytest.approx(mean)
+        assert r["variance"] == pytest.approx(sum((v - mean) ** 2 for v in mine) / len(mine), abs=1e-12)

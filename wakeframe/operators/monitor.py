@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeframe.constants import DRIFT_LIMIT, FEATURE_DRIFT_LIMIT
@@ -134,6 +134,63 @@ def range_histogram(
     )
 
 
+def evaluation_grid(spark: SparkSession, start: int, end: int, step: int) -> DataFrame:
+    """One row, ``eval_at``, for each multiple of ``step`` from ``start`` to ``end``."""
+    first = -(-start // step) * step
+    return spark.range(first, end + 1, step).select(F.col("id").alias("eval_at"))
+
+
+def instant_values(
+    samples: DataFrame, series: Sequence[str], ts: str, value: str, step: int, staleness: int
+) -> DataFrame:
+    """The latest sample of each series at each evaluation: ``series, eval_at, value``.
+
+    A sample counts for ``staleness`` seconds; after that its series has no value until
+    the next one. Only the last sample of a step is carried on, so the copies grow with
+    steps and series and not with samples.
+    """
+    first = (F.ceil(F.col(ts) / step) * step).cast("long")
+    newest = F.max(F.struct(F.col(ts).alias("at"), F.col(value).alias("value"))).alias("__s")
+    last = samples.groupBy(*series, first.alias("__first")).agg(newest)
+    until = (F.floor((F.col("__s.at") + staleness) / step) * step).cast("long")
+    shown = last.filter(F.col("__first") <= until).select(
+        *series, "__s", F.explode(F.sequence("__first", until, F.lit(step).cast("long"))).alias("eval_at")
+    )
+    return shown.groupBy(*series, "eval_at").agg(F.max("__s").alias("__s")).select(*series, "eval_at", F.col("__s.value").alias("value"))
+
+
+def availability(
+    scrapes: DataFrame, targets: Sequence[str], grid: DataFrame, target: str, ts: str, value: str, step: int, staleness: int
+) -> DataFrame:
+    """``target, eval_at, value`` for every configured target and evaluation.
+
+    A target that wasn't heard of for ``staleness`` seconds, or never, counts as 0: a
+    rule on it fires, although there are no samples. ``targets`` is the configuration,
+    a handful of names.
+    """
+    wanted = grid.select("eval_at", F.explode(F.array(*[F.lit(t) for t in targets])).alias(target))
+    known = instant_values(scrapes, [target], ts, value, step, staleness)
+    joined = wanted.join(known, [target, "eval_at"], "left")
+    return joined.select(target, "eval_at", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))
+
+
+def range_moments(
+    samples: DataFrame, keys: Sequence[str], ts: str, value: str, step: int, window: int
+) -> DataFrame:
+    """``keys, eval_at, n, mean, variance`` (population) of the values in each range, from sums per step."""
+    at = (F.ceil(F.col(ts) / step) * step).cast("long")
+    v = F.col(value)
+    steps = samples.filter(v.isNotNull()).groupBy(*keys, at.alias("__step")).agg(
+        F.count(v).alias("n"), F.sum(v).alias("__sum"), F.sum(v * v).alias("__squares")
+    )
+    sums = over_steps(steps, F.col("__step"), step, window).groupBy(*keys, "eval_at").agg(
+        *[F.sum(c).alias(c) for c in ("n", "__sum", "__squares")]
+    )
+    mean = F.col("__sum") / F.col("n")
+    spread = F.greatest(F.col("__squares") / F.col("n") - mean * mean, F.lit(0.0))
+    return sums.select(*keys, "eval_at", "n", mean.alias("mean"), spread.alias("variance"))
+
+
 def hold(
     evaluations: DataFrame,
     series: Sequence[str],

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from wakeframe.constants import LATENCY_BUCKETS
 from wakeframe.operators import monitor as M
+from wakeframe.operators.drift import drift_score, with_baseline
 from wakeframe.operators.registry import alert_triggers
 from wakeframe.plans.ordered import KeyedRows
+from wakeframe.session import cut_lineage
 from wakeframe.suite.registry import query, table
 
 BOUNDS = [1000 * b for b in LATENCY_BUCKETS]  # milliseconds
@@ -124,17 +126,18 @@ def counter_increase_split(spark, folder):
     return _increase(spark, folder, rows_per_segment=30)
 
 
-def _counter(spark, folder, failed: bool):
-    """Running totals per endpoint as counter samples."""
+def _counter(spark, folder, failed: bool, whole: bool):
+    """Running totals per endpoint, or of the service as a whole, as counter samples."""
     ev = samples(spark, folder).filter((F.col("event_type") == "error") == F.lit(failed))
+    ev = ev.withColumn("user_id", F.lit("all")) if whole else ev
     rows = KeyedRows(ev, ["user_id"], ["ts", "event_id"]).running(total=("sum", F.lit(1)))
     return rows.rows().withColumnRenamed("user_id", "endpoint"), rows.small_keys
 
 
-def _ratio(spark, folder, step, window):
+def _ratio(spark, folder, step, window, whole=False):
     rates = []
     for failed in (True, False):
-        counter, small = _counter(spark, folder, failed)
+        counter, small = _counter(spark, folder, failed, whole)
         rates.append(
             M.counter_increase(
                 counter, ["endpoint"], "t", "total", step, window, ["ts", "event_id"], derived=True, small_keys=small
@@ -201,63 +204,135 @@ def alert_hold_split(spark, folder):
     return _held(spark, folder, rows_per_segment=15)
 
 
+STEP = 6 * HOUR
+CUT_S = 1705363200  # end of the reference period
+# One stand-in per monitored quantity; the signal strays further from its reference day by day.
 RULE_SERIES = f"""
-  p95 AS (SELECT eval_at, 'latency_p95' AS metric, '' AS series, {quantile_sql(0.95)} / 1000 AS value FROM h),
-  err AS (SELECT eval_at, 'error_ratio' AS metric, CAST(endpoint AS VARCHAR) AS series, ratio AS value FROM ratio),
-  upm AS (SELECT eval_at, 'up' AS metric, 'backend' AS series, CASE WHEN le_10 > 0.95 * avg(le_10) OVER ()
-      THEN 1.0 ELSE 0.0 END AS value FROM h),
-  evald AS (SELECT *, CASE metric WHEN 'latency_p95' THEN 'HighInferenceLatency' WHEN 'error_ratio' THEN
-      'HighErrorRate' ELSE 'BackendDown' END AS alert,
-      CASE metric WHEN 'latency_p95' THEN value > 0.2 WHEN 'error_ratio' THEN value > 0.05 ELSE value = 0 END AS met,
-      CASE metric WHEN 'up' THEN 60 ELSE 120 END AS hold
-    FROM (SELECT * FROM p95 UNION ALL SELECT * FROM err UNION ALL SELECT * FROM upm)),
+  seen AS (SELECT epoch_us(ts) // 1000000 AS t, event_type, value FROM events),
+  dayed AS (SELECT *, CAST(ceil(t / {STEP}.0) * {STEP} AS BIGINT) AS s, (t // {DAY}) % 10 AS day FROM seen),
+  grid AS (SELECT unnest(range(lo, hi + 1, {STEP})) AS eval_at
+      FROM (SELECT CAST(ceil(min(t) / {STEP}.0) * {STEP} AS BIGINT) AS lo, max(t) AS hi FROM seen)),
+  scrapes AS (SELECT 'backend' AS job, t, CASE WHEN (t // {DAY}) % 7 = 3 THEN 0.0 ELSE 1.0 END AS value FROM seen
+      WHERE event_type = 'click'
+    UNION ALL SELECT 'model_server', t, 1.0 FROM seen WHERE event_type = 'view' AND (t // {DAY}) % 9 <> 4),
+  heard AS (SELECT job, eval_at, arg_max(value, t * 2 + value) AS value FROM scrapes JOIN grid
+      ON t <= eval_at AND t >= eval_at - {STEP} GROUP BY job, eval_at),
+  up AS (SELECT g.eval_at, j.job, coalesce(h.value, 0.0) AS value
+      FROM grid g CROSS JOIN (VALUES ('backend'), ('model_server'), ('gateway')) j(job)
+      LEFT JOIN heard h ON h.job = j.job AND h.eval_at = g.eval_at),
+  slow AS (SELECT eval_at, {le_sql('value')} FROM (SELECT unnest(range(s, s + {DAY}, {STEP})) AS eval_at,
+      value * (1 + day / 5) AS value FROM dayed) GROUP BY eval_at),
+  whole AS (SELECT eval_at, (count(*) FILTER (event_type = 'error') / {DAY})
+        / (count(*) FILTER (event_type <> 'error') / {DAY} + 0.001) AS ratio
+      FROM (SELECT unnest(range(s, s + {DAY}, {STEP})) AS eval_at, event_type FROM dayed
+            WHERE (t, event_type = 'error') NOT IN (SELECT (min(t), event_type = 'error') FROM dayed GROUP BY event_type = 'error'))
+      GROUP BY eval_at HAVING count(*) FILTER (event_type = 'error') > 0 AND count(*) FILTER (event_type <> 'error') > 0),
+  signal AS (SELECT t, s, 'ear_mean' AS feature, value / 100.9 * (1 + day / 4) AS v FROM dayed
+      UNION ALL SELECT t, s, 'perclos', value / 491.3 * (1 + (day % 5) / 2) FROM dayed
+      UNION ALL SELECT t, s, 'mar_max', value / 202.6 FROM dayed),
+  usual AS (SELECT feature, round(avg(v), 6) AS bm, round(var_samp(v), 6) AS bv FROM signal WHERE t < {CUT_S} GROUP BY feature),
+  moments AS (SELECT feature, eval_at, sum(n) AS n, sum(s1) / sum(n) AS m, greatest(sum(s2) / sum(n)
+        - (sum(s1) / sum(n)) * (sum(s1) / sum(n)), 0.0) AS var
+      FROM (SELECT feature, unnest(range(s, s + {DAY}, {STEP})) AS eval_at, count(*) AS n, sum(v) AS s1, sum(v * v) AS s2
+        FROM signal GROUP BY feature, s) GROUP BY feature, eval_at),
+  drift AS (SELECT feature, eval_at, CASE WHEN n >= 30 THEN greatest(0, round(ln(sqrt(bv + 1e-9) / sqrt(var + 1e-9))
+        + ((var + 1e-9) + (m - bm) * (m - bm)) / (2 * (bv + 1e-9)) - 0.5, 6)) ELSE 0.0 END AS value
+      FROM moments JOIN usual USING (feature)),
+  evald AS (
+    SELECT 'HighInferenceLatency' AS alert, '' AS series, eval_at, {quantile_sql(0.95)} / 1000 > 0.2 AS met, 120 AS hold FROM slow
+    UNION ALL SELECT 'HighErrorRate', CAST(endpoint AS VARCHAR), eval_at, ratio > 0.05, 120 FROM ratio
+    UNION ALL SELECT 'HighErrorRate', 'all', eval_at, ratio > 0.05, 120 FROM whole
+    UNION ALL SELECT 'DataDriftDetected', '', eval_at, max(value) > 0.15, 120 FROM drift GROUP BY eval_at
+    UNION ALL SELECT 'ModelServerDown', job, eval_at, value = 0, 60 FROM up WHERE job = 'model_server'
+    UNION ALL SELECT 'BackendDown', job, eval_at, value = 0, 60 FROM up WHERE job = 'backend'
+    UNION ALL SELECT 'EARFeatureDrift', feature, eval_at, value > 0.2, 120 FROM drift WHERE feature = 'ear_mean'
+    UNION ALL SELECT 'PERCLOSFeatureDrift', feature, eval_at, value > 0.2, 120 FROM drift WHERE feature = 'perclos'),
   l AS (SELECT *, lag(met) OVER w AS pm, lag(eval_at) OVER w AS pt FROM evald
     WINDOW w AS (PARTITION BY alert, series ORDER BY eval_at)),
-  st AS (SELECT *, max(CASE WHEN met AND NOT coalesce(pm AND eval_at - pt <= {6 * HOUR}, false) THEN eval_at END)
+  st AS (SELECT *, max(CASE WHEN met AND NOT coalesce(pm AND eval_at - pt <= {STEP}, false) THEN eval_at END)
     OVER (PARTITION BY alert, series ORDER BY eval_at ROWS UNBOUNDED PRECEDING) AS since FROM l)
 """
 
 
+def monitored(spark, folder):
+    """The series that the rules look at: eval_at, metric, labels, value."""
+    seen = samples(spark, folder)
+    lo, hi = seen.agg(F.min("t"), F.max("t")).first()
+    day = F.floor(F.col("t") / DAY)
+
+    def series(df, metric, **labels):
+        pairs = [x for k, v in labels.items() for x in (F.lit(k), v)]
+        return df.select("eval_at", F.lit(metric).alias("metric"), F.create_map(*pairs).alias("labels"), "value")
+
+    latency = F.col("value") * (1 + day % 10 / 5)
+    histogram = M.range_histogram(seen, F.col("t"), latency, BOUNDS, STEP, DAY)
+    p95 = histogram.withColumn("value", M.bucket_quantile(BOUNDS, 0.95) / 1000)
+    ratios = [_ratio(spark, folder, STEP, DAY, whole).withColumn("value", F.col("ratio")) for whole in (False, True)]
+
+    scrapes = seen.select(
+        F.when(F.col("event_type") == "click", "backend").when(F.col("event_type") == "view", "model_server").alias("job"),
+        "t",
+        F.when((F.col("event_type") == "click") & (day % 7 == 3), 0.0).otherwise(1.0).alias("value"),
+        ((F.col("event_type") == "view") & (day % 9 == 4)).alias("silent"),
+    ).filter("job is not null and not silent")
+    grid = M.evaluation_grid(spark, lo, hi, STEP)
+    up = M.availability(scrapes, ["backend", "model_server", "gateway"], grid, "job", "t", "value", STEP, STEP)
+
+    v = F.col("value")
+    pairs = F.array(
+        F.struct(F.lit("ear_mean").alias("feature"), (v / 100.9 * (1 + day % 10 / 4)).alias("v")),
+        F.struct(F.lit("perclos").alias("feature"), (v / 491.3 * (1 + day % 10 % 5 / 2)).alias("v")),
+        F.struct(F.lit("mar_max").alias("feature"), (v / 202.6).alias("v")),
+    )
+    signal = seen.select("t", F.inline(pairs))
+    past = F.when(F.col("t") < CUT_S, F.col("v"))
+    usual = signal.groupBy("feature").agg(F.round(F.avg(past), 6).alias("mean"), F.round(F.var_samp(past), 6).alias("variance"))
+    moments = M.range_moments(signal, ["feature"], "t", "v", STEP, DAY)
+    score = drift_score(F.col("n"), F.col("mean"), F.col("variance"), F.col("base_mean"), F.col("base_var"))
+    drift = cut_lineage(with_baseline(moments, usual).select("feature", "eval_at", score.alias("value")), "drift")
+    overall = drift.groupBy("eval_at").agg(F.max("value").alias("value"))
+
+    none = F.lit("")
+    parts = [
+        series(p95, "latency_p95", name=none),
+        *[series(ratio, "error_ratio", name=F.col("endpoint").cast("string")) for ratio in ratios],
+        series(overall, "overall_drift", name=none),
+        series(up, "up", name=F.col("job"), job=F.col("job")),
+        series(drift, "feature_drift", name=F.col("feature"), feature=F.col("feature")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query(
     "alert_rules",
     f"""
     WITH {RANGE_SQL}, {RATIO}, {RULE_SERIES}
     SELECT alert, series, eval_at, CASE WHEN NOT met THEN 'inactive' WHEN eval_at - since >= hold THEN 'firing'
       ELSE 'pending' END AS status,
-      CASE alert WHEN 'BackendDown' THEN 'critical' ELSE 'warning' END AS severity FROM st
+      CASE WHEN alert IN ('BackendDown', 'ModelServerDown', 'DataDriftDetected') THEN 'critical' ELSE 'warning' END AS severity
+    FROM st
     """,
 )
 def alert_rules(spark, folder):
-    """The service's rules over latency, error and availability series."""
-    def one(key, value):
-        return F.create_map(F.lit(key), value)
-
-    h = M.range_histogram(samples(spark, folder), F.col("t"), F.col("value"), BOUNDS, 6 * HOUR, DAY)
-    p95 = h.select(
-        "eval_at",
-        F.lit("latency_p95").alias("metric"),
-        one("name", F.lit("")).alias("labels"),
-        (M.bucket_quantile(BOUNDS, 0.95) / 1000).alias("value"),
-    )
-    err = _ratio(spark, folder, 6 * HOUR, DAY).select(
-        "eval_at",
-        F.lit("error_ratio").alias("metric"),
-        one("name", F.col("endpoint").cast("string")).alias("labels"),
-        F.col("ratio").alias("value"),
-    )
-    usual = h.agg(F.avg("le_10")).first()[0]
-    up = h.select(
-        "eval_at",
-        F.lit("up").alias("metric"),
-        F.create_map(F.lit("name"), F.lit("backend"), F.lit("job"), F.lit("backend")).alias("labels"),
-        F.when(F.col("le_10") > 0.95 * usual, 1.0).otherwise(0.0).alias("value"),
-    )
-    out = M.apply_rules(p95.unionByName(err).unionByName(up), step=6 * HOUR)
+    """All seven rules of the service; a target without samples is down."""
+    out = M.apply_rules(monitored(spark, folder), step=STEP)
     labels = F.from_json("series", "array<struct<key: string, value: string>>")
     name = F.filter(labels, lambda e: e["key"] == "name")
     return out.select("alert", F.get(name, F.lit(0))["value"].alias("series"), "eval_at", "status", "severity")
 
 
+@query(
+    "target_availability",
+    f"WITH {RANGE_SQL}, {RULE_SERIES.split('  signal AS')[0].rstrip().rstrip(',')} SELECT job, eval_at, value FROM up",
+)
+def target_availability(spark, folder):
+    """Whether each configured target was heard of; one of them never is."""
+    return monitored(spark, folder).filter("metric = 'up'").select(F.col("labels")["job"].alias("job"), "eval_at", "value")
+
+
 @query(
     "alert_to_retrain",
     """

@@ -72,7 +72,7 @@ def test_mouth_ratio_follows_its_formula(spark):
 
 @pytest.mark.parametrize("angles", [(0, 0, 0), (10, -20, 5), (-35, 25, 40), (170, 8, -12), (-160, -30, 20)])
 def test_pose_recovers_a_known_rotation(spark, angles):
-    pose = G.head_pose(F.col("landmarks"), iterations=8)
+    pose = G.head_pose(F.col("landmarks"))
     got = frame(spark, face(pose=rotated(*angles))).select(pose.alias("p")).first()["p"]
     assert got["pitch"] == pytest.approx(angles[0], abs=0.01)
     assert got["yaw"] == pytest.approx(angles[1], abs=0.01)
@@ -89,7 +89,48 @@ def test_upright_head_has_pitch_180(spark):
 def test_pose_is_zero_without_points(spark):
     same = [(0.5, 0.5, 0.0)] * N_LANDMARKS
     rows = frame(spark, [], same[:100], same, None).select("frame_id", G.head_pose(F.col("landmarks")).alias("p"))
-    assert all(tuple(r["p"]) == (0.0, 0.0, 0.0) for r in rows.collect())
+    assert all(tuple(r["p"]) == (0.0, 0.0, 0.0, None) for r in rows.collect())
+
+
+def test_pose_of_noisy_points_is_a_minimum():
+    """No pose near the fitted one, and not the true one, leaves less error."""
+    from wakeframe.functions import pose
+
+    rng = np.random.default_rng(7)
+    model = np.array(HEAD_MODEL)
+    angles = rng.uniform(-40, 40, (200, 3))
+    exact = np.array([rotated(180 + a, b, c) for a, b, c in angles])
+    seen = np.stack([exact[:, :, 0] - 0.5, (exact[:, :, 1] * 480 - 240) / 640], axis=2)
+    noise = rng.normal(size=seen.shape) * 2 / 640
+    r, t, error = pose.fitted(seen + noise, model)
+    assert (error <= np.sqrt((noise**2).sum(axis=(1, 2)) / 6) + 1e-12).all()
+    for _ in range(20):
+        turn = pose._turn(rng.normal(size=(200, 3)) * 1e-3) @ r
+        _, placed = pose.projected(turn, t + rng.normal(size=t.shape) * 1e-2, model)
+        gap = placed[:, :, :2] / placed[:, :, 2:] - seen - noise
+        assert (np.sqrt((gap**2).sum(axis=(1, 2)) / 6) >= error - 1e-12).all()
+    assert np.allclose(r @ r.transpose(0, 2, 1), np.eye(3)) and np.allclose(np.linalg.det(r), 1)
+
+
+def test_pose_does_not_depend_on_the_batch():
+    from wakeframe.functions import pose
+
+    rng = np.random.default_rng(8)
+    model, seen = np.array(HEAD_MODEL), rng.uniform(-0.4, 0.4, (60, 6, 2))
+    seen[5], seen[6] = 0.1, np.nan
+    together = pose.angles_of(pose.fitted(np.nan_to_num(seen), model)[0])
+    alone = np.concatenate([pose.angles_of(pose.fitted(np.nan_to_num(seen[i : i + 1]), model)[0]) for i in range(60)])
+    assert np.allclose(together, alone, atol=1e-6, equal_nan=True)
+
+
+def test_frames_with_odd_points_get_rows(spark):
+    good = face(0.3, pose=rotated(175, 5, 3))
+    odd = [list(p) for p in good]
+    odd[POSE_POINTS[2]][0] = float("nan")
+    rows = G.frame_features(frame(spark, good, [tuple(p) for p in odd], good)).orderBy("frame_id").collect()
+    assert rows[0]["head_yaw"] == pytest.approx(5, abs=0.01) and rows[0]["head_pitch"] == rows[2]["head_pitch"]
+    assert (rows[1]["head_pitch"], rows[1]["head_yaw"], rows[1]["head_roll"]) == (0.0, 0.0, 0.0)
+    assert rows[1]["ear"] == rows[0]["ear"]
 
 
 def test_singular_rotation_has_no_roll(spark):

@@ -5,22 +5,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeframe.constants import (
     FRAME_HEIGHT,
     FRAME_WIDTH,
-    HEAD_MODEL,
     LEFT_EYE,
     MOUTH,
     N_LANDMARKS,
     POSE_POINTS,
     RIGHT_EYE,
 )
+from wakeframe.functions.pose import head_pose
 
 DEGENERATE = 1e-6
 
@@ -91,18 +90,6 @@ def mouth_ratio(
     return _ratio(distance(p[4], p[5]), distance(p[0], p[1]))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _dot(weights: Sequence[float], values: Sequence[Column]) -> Column:
-    total = F.lit(0.0)
-    for w, v in zip(weights, values):
-        total = total + F.lit(float(w)) * v
-    return total
-
-
 def euler_angles(r: dict[str, Column], places: int = 4) -> Column:
     """Pitch, yaw and roll in degrees from the entries ``r00 .. r22``."""
     sy = F.sqrt(r["r00"] * r["r00"] + r["r10"] * r["r10"])
@@ -117,105 +104,6 @@ def euler_angles(r: dict[str, Column], places: int = 4) -> Column:
     )
 
 
-def head_pose(
-    points: Column,
-    at: Sequence[int] = POSE_POINTS,
-    model: Sequence[tuple[float, float, float]] = HEAD_MODEL,
-    width: int = FRAME_WIDTH,
-    height: int = FRAME_HEIGHT,
-    iterations: int = 8,
-    places: int = 4,
-) -> Column:
-    """Head pose from six image points by POSIT (DeMenthon and Davis 1995).
-
-    A scaled orthographic pose is solved with the fixed pseudo-inverse of the
-    model and refined by the perspective terms of each point. The first point
-    is the reference. Missing or degenerate points give 0, 0, 0.
-    """
-    body = np.asarray(model, dtype=float)
-    arms = body[1:] - body[0]
-    inverse = np.linalg.pinv(arms)
-    n = len(arms)
-    pts = [F.get(points, F.lit(i)) for i in at]
-    # focal length = image width, principal point = image centre
-    image = F.struct(
-        *[((p["x"] * width - width / 2) / width).alias(f"x{i}") for i, p in enumerate(pts)],
-        *[((p["y"] * height - height / 2) / width).alias(f"y{i}") for i, p in enumerate(pts)],
-    )
-
-    def rotation(img: Column, depth: Column) -> Column:
-        def arm(axis):
-            return [img[f"{axis}{i + 1}"] * (1.0 + F.get(depth, F.lit(i))) - img[f"{axis}0"] for i in range(n)]
-
-        xs, ys = arm("x"), arm("y")
-        raw = F.struct(
-            *[_dot(inverse[c], xs).alias(f"i{c}") for c in range(3)],
-            *[_dot(inverse[c], ys).alias(f"j{c}") for c in range(3)],
-        )
-
-        def scaled(v):
-            return F.struct(
-                *[v[f"{a}{c}"].alias(f"{a}{c}") for a in "ij" for c in range(3)],
-                F.sqrt(v["i0"] * v["i0"] + v["i1"] * v["i1"] + v["i2"] * v["i2"]).alias("si"),
-                F.sqrt(v["j0"] * v["j0"] + v["j1"] * v["j1"] + v["j2"] * v["j2"]).alias("sj"),
-            )
-
-        def unit(v):
-            return F.struct(
-                *[F.try_divide(v[f"i{c}"], v["si"]).alias(f"i{c}") for c in range(3)],
-                *[F.try_divide(v[f"j{c}"], v["sj"]).alias(f"j{c}") for c in range(3)],
-                F.sqrt(v["si"] * v["sj"]).alias("s"),
-            )
-
-        def crossed(v):
-            k = [
-                v["i1"] * v["j2"] - v["i2"] * v["j1"],
-                v["i2"] * v["j0"] - v["i0"] * v["j2"],
-                v["i0"] * v["j1"] - v["i1"] * v["j0"],
-            ]
-            return F.struct(
-                *[v[f"{a}{c}"].alias(f"{a}{c}") for a in "ij" for c in range(3)],
-                *[k[c].alias(f"k{c}") for c in range(3)],
-                v["s"].alias("s"),
-            )
-
-        return let(let(let(raw, scaled), unit), crossed)
-
-    def refine(img: Column, depth: Column) -> Column:
-        def perspective(r):
-            return F.array(*[_dot(arms[i], [r["k0"], r["k1"], r["k2"]]) * r["s"] for i in range(n)])
-
-        return let(rotation(img, depth), perspective)
-
-    def solve(img: Column) -> Column:
-        start = F.array(*[F.lit(0.0)] * n)
-        depth = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, lambda d, _: refine(img, d))
-        return let(depth, lambda d: rotation(img, d))
-
-    def angles(r: Column) -> Column:
-        # third axis to unit length, second made orthogonal to first and third
-        length = F.sqrt(r["k0"] * r["k0"] + r["k1"] * r["k1"] + r["k2"] * r["k2"])
-        k = [F.try_divide(r[f"k{c}"], length) for c in range(3)]
-        i = [r[f"i{c}"] for c in range(3)]
-        j = [k[1] * i[2] - k[2] * i[1], k[2] * i[0] - k[0] * i[2], k[0] * i[1] - k[1] * i[0]]
-        entries = F.struct(
-            *[v.alias(f"r{row}{c}") for row, axis in enumerate((i, j, k)) for c, v in enumerate(axis)]
-        )
-        return let(entries, lambda m: euler_angles(m, places))
-
-    pose = let(let(image, solve), angles)
-    usable = F.size(points) > max(at)
-    zero = F.struct(F.lit(0.0).alias("pitch"), F.lit(0.0).alias("yaw"), F.lit(0.0).alias("roll"))
-
-    def or_zero(p: Column) -> Column:
-        sound = F.lit(True)
-        for angle in ("pitch", "yaw", "roll"):
-            sound = sound & p[angle].isNotNull() & ~F.isnan(p[angle])
-        return F.when(sound, p).otherwise(zero)
-
-    return F.when(usable, let(pose, or_zero)).otherwise(zero)
-
-
 def frame_features(
     df: DataFrame,
     points: str = "landmarks",

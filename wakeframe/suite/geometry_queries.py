@@ -12,7 +12,7 @@ from wakeframe.suite.registry import query, table
 RIGHT, LEFT, MOUTH = [0, 1, 2, 3, 4, 5], [6, 7, 8, 9, 10, 11], [12, 13, 14, 15, 16, 17, 18, 19]
 
 
-def wide_points(spark, folder):
+def wide_points(spark, folder, *keep):
     e = F.col("embedding")
     columns = []
     for i in range(32):
@@ -21,11 +21,11 @@ def wide_points(spark, folder):
             F.get(e, F.lit(2 * i + 1)).cast("double").alias(f"lm_{i}_y"),
             F.lit(0.0).alias(f"lm_{i}_z"),
         ]
-    return table(spark, folder, "embeddings").select("vec_id", "label", *columns)
+    return table(spark, folder, "embeddings").select("vec_id", "label", *keep, *columns)
 
 
-def points(spark, folder):
-    return G.pack_landmarks(wide_points(spark, folder), 32)
+def points(spark, folder, *keep):
+    return G.pack_landmarks(wide_points(spark, folder, *keep), 32)
 
 
 def px(i: int) -> str:
@@ -84,18 +84,15 @@ def packed_landmarks(spark, folder):
     )
 
 
-def posed_points(spark, folder):
-    """The head model turned by angles out of the embedding and projected."""
-    e = F.col("embedding")
+ANGLES = ("pitch", "yaw", "roll")
 
-    def angle(i, span):
-        return F.round(F.get(e, F.lit(i)).cast("double") * span, 2)
 
-    df = table(spark, folder, "embeddings").select(
-        "vec_id", angle(0, 90).alias("pitch"), angle(1, 90).alias("yaw"), angle(2, 90).alias("roll")
-    )
-    sin = {a: F.sin(F.radians(a)) for a in ("pitch", "yaw", "roll")}
-    cos = {a: F.cos(F.radians(a)) for a in ("pitch", "yaw", "roll")}
+def posed_points(df, jitter: float = 0.0):
+    """The head model turned by angles out of ``embedding`` and projected; ``jitter`` moves points by embedding * jitter pixels."""
+    e = F.col("embedding")
+    df = df.withColumns({a: F.round(F.get(e, F.lit(i)).cast("double") * 90, 2) for i, a in enumerate(ANGLES)})
+    sin = {a: F.sin(F.radians(a)) for a in ANGLES}
+    cos = {a: F.cos(F.radians(a)) for a in ANGLES}
     r = [
         [
             cos["roll"] * cos["yaw"],
@@ -111,35 +108,70 @@ def posed_points(spark, folder):
     ]
     shift = (12.0, -7.0, 900.0)
     out = []
-    for p in HEAD_MODEL:
+    for i, p in enumerate(HEAD_MODEL):
         x, y, z = (sum(r[row][c] * p[c] for c in range(3)) + shift[row] for row in range(3))
+        off = [F.get(e, F.lit(20 + 2 * i + k)).cast("double") * jitter if jitter else F.lit(0.0) for k in (0, 1)]
         out.append(
             F.struct(
-                ((640 * x / z + 320) / 640).alias("x"), ((640 * y / z + 240) / 480).alias("y"), F.lit(0.0).alias("z")
+                ((640 * x / z + 320 + off[0]) / 640).alias("x"),
+                ((640 * y / z + 240 + off[1]) / 480).alias("y"),
+                F.lit(0.0).alias("z"),
             )
         )
-    return df.select("vec_id", F.array(*out).alias("landmarks"))
+    return df.withColumn("posed", F.array(*out))
+
+
+ANGLE_SQL = ", ".join(f"round(embedding[{i + 1}]::DOUBLE * 90, 2) AS {a}" for i, a in enumerate(ANGLES))
+
+
+@query("head_pose", f"SELECT vec_id, {ANGLE_SQL} FROM embeddings")
+def head_pose(spark, folder):
+    """Angles are recovered from projected points of a known rotation."""
+    df = posed_points(table(spark, folder, "embeddings"))
+    solved = df.select("vec_id", G.head_pose(F.col("posed"), range(6), places=6).alias("pose"))
+    return solved.select("vec_id", *[(F.round(f"pose.{a}", 2) + 0.0).alias(a) for a in ANGLES])
 
 
 @query(
-    "head_pose",
-    """
-    SELECT vec_id, round(embedding[1]::DOUBLE * 90, 2) AS pitch, round(embedding[2]::DOUBLE * 90, 2) AS yaw,
-           round(embedding[3]::DOUBLE * 90, 2) AS roll FROM embeddings
+    "noisy_head_pose",
+    f"""
+    WITH n AS (SELECT vec_id, sqrt(({' + '.join(f'pow(embedding[{21 + k}]::DOUBLE * 5, 2)' for k in range(12))}) / 6) AS noise
+      FROM embeddings)
+    SELECT vec_id, round(noise, 6) AS noise_px, true AS fits_better_than_truth, noise < 2 AS small_noise FROM n
     """,
 )
-def head_pose(spark, folder):
-    """Angles are recovered from projected points of a known rotation."""
-    pose = G.head_pose(F.col("landmarks"), range(6), iterations=40, places=6)
-    solved = posed_points(spark, folder).withColumn("pose", pose)
-    return solved.select("vec_id", *[(F.round(f"pose.{a}", 2) + 0.0).alias(a) for a in ("pitch", "yaw", "roll")])
+def noisy_head_pose(spark, folder):
+    """Points moved by some pixels: the fitted pose leaves no more error than the true one."""
+    e = F.col("embedding")
+    df = posed_points(table(spark, folder, "embeddings"), jitter=5.0)
+    square = sum((F.pow(F.get(e, F.lit(20 + k)).cast("double") * 5, F.lit(2.0)) for k in range(12)), F.lit(0.0))
+    solved = df.select("vec_id", F.sqrt(square / 6).alias("noise"), G.head_pose(F.col("posed"), range(6)).alias("pose"))
+    return solved.select(
+        "vec_id",
+        F.round("noise", 6).alias("noise_px"),
+        (F.col("pose.error") <= F.col("noise") + 1e-9).alias("fits_better_than_truth"),
+        (F.col("noise") < 2).alias("small_noise"),
+    )
 
 
-@query("frame_features")
+@query(
+    "frame_features",
+    f"""
+    SELECT round(({eye(RIGHT)} + {eye(LEFT)}) / 2, 6) AS ear, round({dist(MOUTH[4], MOUTH[5])} / {dist(MOUTH[0], MOUTH[1])}, 6)
+      AS mar, {ANGLE_SQL.replace('AS pitch', 'AS head_pitch').replace('AS yaw', 'AS head_yaw').replace('AS roll', 'AS head_roll')},
+      (label % 2)::INT AS label, coalesce(label::VARCHAR, 'unknown') AS subject_id, vec_id AS frame_id
+    FROM embeddings
+    """,
+)
 def frame_features(spark, folder):
-    """All per-frame features of the stand-in points, pose included."""
-    df = points(spark, folder).withColumns(
-        {"subject_id": F.col("label").cast("string"), "frame_id": F.col("vec_id"), "label": F.col("label") % 2}
+    """All per-frame features: eyes and mouth from the stand-in points, the head from a posed model."""
+    df = posed_points(points(spark, folder, "embedding")).withColumns(
+        {
+            "landmarks": F.concat(F.slice("landmarks", 1, 20), "posed"),
+            "subject_id": F.col("label").cast("string"),
+            "frame_id": F.col("vec_id"),
+            "label": F.col("label") % 2,
+        }
     )
     return G.frame_features(df, right=RIGHT, left=LEFT, mouth=MOUTH, pose=range(20, 26))
 

@@ -117,7 +117,10 @@ def test_checks(spark, tmp_path):
     with pytest.raises(Q.QualityError, match="3 check"):
         Q.require(Q.run_checks(df))
     assert not Q.run_checks(df.limit(0), ["not_empty"]).first()["passed"]
-    assert not Q.check_path(spark, str(tmp_path / "none"), ["exists"]).first()["passed"]
+    with pytest.raises(ValueError, match="use check_path"):
+        Q.run_checks(df, ["exists"])
+    gone = Q.check_path(spark, str(tmp_path / "none")).collect()
+    assert len(gone) == 5 and not any(r["passed"] for r in gone)
     full = spark.range(4).select(*[F.rand(1).alias(f) for f in FEATURES], (F.col("id") % 2).alias("label"))
     tables.write_table(full, str(tmp_path / "f"))
     Q.require(Q.check_path(spark, str(tmp_path / "f"), Q.CHECKS))
@@ -126,6 +129,22 @@ def test_checks(spark, tmp_path):
         Q.require(Q.check_features(full, B.summary_stats(full.drop("perclos"))))
 
 
+def test_checks_while_writing_equal_checks_of_the_table(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1.0, None, 0), (2.0, 3.0, 1), (float("nan"), 1.0, 2)] * 50, "ear_mean double, perclos double, label int"
+    ).repartition(5)
+    told = [Q.write_checked(part, str(tmp_path / f"{n}"), features=["ear_mean", "perclos", "mar_max"]) for n, part in enumerate(
+        [df, df.filter("label = 1"), df.filter("label > 7"), df.drop("label")])]
+    for n, verdicts in enumerate(told):
+        read = Q.check_path(spark, str(tmp_path / f"{n}"), features=["ear_mean", "perclos", "mar_max"])
+        a, b = ({r["check"]: (r["passed"], r["message"].replace("2 or more", "3")) for r in x.collect()} for x in (verdicts, read))
+        assert a == b and len(a) == 5
+    assert spark.read.parquet(str(tmp_path / "0")).count() == 150
+    with pytest.raises(ValueError, match="no such checks"):
+        Q.write_checked(df, str(tmp_path / "x"), ["size"])
+    assert not (tmp_path / "x").exists()
+
+
 def test_range_reasons(spark):
     good = dict.fromkeys(FEATURES, 0.5)
     bad = {**good, "ear_mean": 1.5, "mar_max": -0.1, "perclos": float("nan"), "head_pitch_mean": -170.0}
@@ -181,6 +200,14 @@ def test_group_split(spark):
     assert all(r["n"] == 1 for r in rows) and sum(r["t"] for r in rows) == 5
 
 
+def test_fingerprint_tells_values_apart(spark):
+    schema = "a string, b string, c double, d array<int>"
+    rows = [("x", "", 1.0, [1]), ("", "x", 1.0, [1]), (None, "x", 1.0, [1]), ("-", "x", 1.0, [1]), ("x", "", float("nan"), [1]),
+            ("x", "", None, [1]), ("x", "", 1e300, [1]), ("x", "", 1.0, None), ("x", "", 1.0, []), ("1:x", "", 1.0, [1])]
+    prints = {tuple(RP.fingerprint(spark.createDataFrame([r], schema)).first()) for r in rows}
+    assert len(prints) == len(rows)
+
+
 def test_fingerprint_ignores_order_and_sees_changes(spark):
     df = spark.range(1000).select("id", (F.col("id") * 2).alias("v"))
     a = RP.fingerprint(df).first()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeframe.operators import baseline as B
 from wakeframe.operators import state as ST
 from wakeframe.operators import windows as W
-from wakeframe.operators.quality import CHECKS, run_checks
+from wakeframe.operators.quality import TABLE_CHECKS, run_checks
 
 
 @pytest.fixture(scope="module")
@@ -62,7 +62,7 @@ def test_statistics_are_one_aggregation(frames):
 
 
 def test_checks_share_one_scan(frames):
-    assert plan(run_checks(frames, CHECKS, ["ear", "mar"])).count("FileScan") == 1
+    assert plan(run_checks(frames, TABLE_CHECKS, ["ear", "mar"])).count("FileScan") == 1
 
 
 def test_filters_and_columns_reach_the_scan(frames):

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wakeframe.constants import FEATURES
-from wakeframe.sources.tables import exists
+from wakeframe.sources.tables import exists, write_table
 
-CHECKS = ("exists", "not_empty", "has_both_labels", "no_nulls_in_features", "schema")
+TABLE_CHECKS = ("not_empty", "has_both_labels", "no_nulls_in_features", "schema")
+CHECKS = ("exists", *TABLE_CHECKS)
 
 
 class QualityError(ValueError):
@@ -44,40 +45,40 @@ def _missing(df: DataFrame, column: str) -> Column:
     ) else null
 
 
-def run_checks(
-    df: DataFrame,
-    checks: Sequence[str] = CHECKS,
-    features: Sequence[str] = FEATURES,
-    label: str = "label",
-) -> DataFrame:
-    """Rows ``check, passed, message`` for every requested check.
-
-    All checks that read data share one aggregation; an unknown name is
-    refused before anything runs.
-    """
+def _known(checks: Sequence[str]) -> None:
     unknown = [c for c in checks if c not in CHECKS]
     if unknown:
         raise ValueError(f"no such checks: {unknown}. Valid: {list(CHECKS)}")
+
+
+def _counts(df: DataFrame, checks: Sequence[str], features: Sequence[str], label: str, exact: bool) -> dict[str, Column]:
+    """The aggregates that the checks need; ``exact``: the number of labels, else 2 for any number above."""
     present = [c for c in features if c in df.columns]
     aggs = {"rows": F.count(F.lit(1))}
     if "has_both_labels" in checks and label in df.columns:
-        aggs["classes"] = F.count_distinct(label)
+        some, more = (F.count(label) > 0).cast("long"), F.coalesce((F.min(label) < F.max(label)).cast("long"), F.lit(0))
+        aggs["classes"] = F.count_distinct(label) if exact else some + more
     if "no_nulls_in_features" in checks:
         aggs |= {f"null_{c}": F.count_if(_missing(df, c)) for c in present}
+    return aggs
+
+
+def _verdicts(
+    counted: DataFrame, columns: Sequence[str], checks: Sequence[str], features: Sequence[str], label: str, exact: bool
+) -> DataFrame:
+    """Rows ``check, passed, message`` from the one row of counts."""
+    present = [c for c in features if c in columns]
     results: dict[str, tuple[Column, Column]] = {}
     for check in checks:
-        if check == "exists":
-            results[check] = (F.lit(True), F.lit("found"))
-        elif check == "not_empty":
+        if check == "not_empty":
             results[check] = (F.col("rows") > 0, F.format_string("rows = %d", F.col("rows")))
         elif check == "has_both_labels":
-            if label not in df.columns:
+            if label not in columns:
                 results[check] = (F.lit(False), F.lit(f"exception - no column {label}"))
             else:
-                results[check] = (
-                    F.col("classes") >= 2,
-                    F.format_string("unique labels = %d (need >= 2)", F.col("classes")),
-                )
+                many = F.col("classes").cast("string")
+                many = many if exact else F.when(F.col("classes") == 2, "2 or more").otherwise(many)
+                results[check] = (F.col("classes") >= 2, F.format_string("unique labels = %s (need >= 2)", many))
         elif check == "no_nulls_in_features":
             bad = F.concat_ws(
                 ", ", *[F.when(F.col(f"null_{c}") > 0, F.format_string(f"{c}: %d", F.col(f"null_{c}"))) for c in present]
@@ -89,27 +90,77 @@ def run_checks(
                 ),
             )
         elif check == "schema":
-            absent = missing_columns(df.columns, [*features, label])
+            absent = missing_columns(columns, [*features, label])
             text = f"absent: {absent}" if absent else f"{len(features) + 1} columns as required"
             results[check] = (F.lit(not absent), F.lit(text))
     rows = F.array(
         *[F.struct(F.lit(n).alias("check"), p.alias("passed"), m.alias("message")) for n, (p, m) in results.items()]
     )
-    return df.agg(*[c.alias(n) for n, c in aggs.items()]).select(F.inline(rows))
+    return counted.select(F.inline(rows))
+
+
+def run_checks(
+    df: DataFrame,
+    checks: Sequence[str] = TABLE_CHECKS,
+    features: Sequence[str] = FEATURES,
+    label: str = "label",
+) -> DataFrame:
+    """Rows ``check, passed, message`` for every requested check.
+
+    All checks that read data share one aggregation; an unknown name is
+    refused before anything runs. ``exists`` is about a path: see ``check_path``.
+    """
+    _known(checks)
+    if "exists" in checks:
+        raise ValueError("'exists' is about a path: use check_path")
+    counted = df.agg(*[c.alias(n) for n, c in _counts(df, checks, features, label, True).items()])
+    return _verdicts(counted, df.columns, checks, features, label, True)
+
+
+RESULT = "check string, passed boolean, message string"
 
 
 def check_path(
-    spark: SparkSession, path: str, checks: Sequence[str], fmt: str = "parquet", **options
+    spark: SparkSession, path: str, checks: Sequence[str] = CHECKS, fmt: str = "parquet", **options
 ) -> DataFrame:
-    """``run_checks`` for a dataset that may be missing."""
-    unknown = [c for c in checks if c not in CHECKS]
-    if unknown:
-        raise ValueError(f"no such checks: {unknown}. Valid: {list(CHECKS)}")
+    """The checks of a dataset that may be missing; ``exists`` looks for files that can be opened."""
+    _known(checks)
     if not exists(spark, path, fmt):
-        return spark.createDataFrame(
-            [(c, False, f"NOT found: {path}") for c in checks], "check string, passed boolean, message string"
-        )
-    return run_checks(spark.read.format(fmt).load(path), checks, **options)
+        return spark.createDataFrame([(c, False, f"NOT found: {path}") for c in checks], RESULT)
+    of_table = [c for c in checks if c != "exists"]
+    found = spark.createDataFrame([(c, True, f"found: {path}") for c in checks if c == "exists"], RESULT)
+    if not of_table:
+        return found
+    return found.unionByName(run_checks(spark.read.format(fmt).load(path), of_table, **options))
+
+
+def write_checked(
+    df: DataFrame,
+    path: str,
+    checks: Sequence[str] = CHECKS,
+    fmt: str = "parquet",
+    features: Sequence[str] = FEATURES,
+    label: str = "label",
+) -> DataFrame:
+    """Write a stage's table and give its checks, without reading it again.
+
+    The counts are gathered while the rows are written. ``has_both_labels`` then compares
+    the smallest label with the greatest, as labels can't be told apart by sums.
+    """
+    _known(checks)
+    of_table = [c for c in checks if c != "exists"]
+    seen = Observation()
+    counts = _counts(df, of_table, features, label, False)
+    write_table(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), path, fmt)
+    spark = df.sparkSession
+    # one row of numbers
+    counted = spark.createDataFrame([tuple(seen.get[n] for n in counts)], ", ".join(f"`{n}` long" for n in counts))
+    told = _verdicts(counted, df.columns, of_table, features, label, False)
+    if "exists" not in checks:
+        return told
+    there = exists(spark, path, fmt)
+    found = [("exists", there, f"found: {path}" if there else f"NOT found: {path}")]
+    return spark.createDataFrame(found, RESULT).unionByName(told)
 
 
 def require(results: DataFrame) -> None:

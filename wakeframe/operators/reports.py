@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
@@ -91,13 +92,36 @@ def extraction_errors(videos: DataFrame, video: str = "video") -> DataFrame:
     )
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Order-free content hash and row count of a table, in one pass."""
+def canonical(df: DataFrame, column: str, places: int = 6) -> Column:
+    """A value as text that doesn't depend on the engine, with its length in front; null is ``-``.
+
+    Fractions have ``places``, times are in microseconds.
+    """
+    kind, value = df.schema[column].dataType, F.col(column)
+    text = value.cast("string")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        fixed = F.round(value.cast("double"), places).try_cast(f"decimal(38,{places})").cast("string")
+        text = F.coalesce(fixed, text)  # not a number, or too large
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        text = F.unix_micros(value.cast("timestamp")).cast("string")
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, places: int = 6) -> DataFrame:
+    """Order-free content hash and row count of a table, in one pass.
+
+    A row's number is the first 60 bits of the MD5 sum of its values' ``canonical`` texts,
+    columns in order of their names; numbers are combined by exclusive or and by sum.
+    """
     named = sorted(columns or df.columns)
-    return df.agg(
+    text = F.concat(*[canonical(df, c, places) for c in named])
+    number = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return df.select(number.alias("h")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.hex(F.bit_xor(F.xxhash64(*named))).alias("hash_xor"),
-        F.sum(F.xxhash64(F.lit(1), *named).cast("decimal(38,0)")).cast("string").alias("hash_sum"),
+        F.hex(F.bit_xor("h")).alias("hash_xor"),
+        F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("hash_sum"),
     )
 
 

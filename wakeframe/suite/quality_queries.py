@@ -92,24 +92,82 @@ def label_classes(spark, folder):
     return Q.label_classes(table(spark, folder, "orders"), "o_orderpriority")
 
 
-@query(
-    "quality_checks",
-    """
-    SELECT 'exists' AS "check", true AS passed, 'found' AS message
-    UNION ALL SELECT 'not_empty', count(*) > 0, 'rows = ' || count(*) FROM lineitem
+LINE_CHECKS = """
+    SELECT 'not_empty' AS "check", count(*) > 0 AS passed, 'rows = ' || count(*) AS message FROM lineitem
     UNION ALL SELECT 'has_both_labels', count(DISTINCT l_returnflag) >= 2,
       'unique labels = ' || count(DISTINCT l_returnflag) || ' (need >= 2)' FROM lineitem
     UNION ALL SELECT 'no_nulls_in_features', count(*) FILTER (l_discount = 0) = 0,
       'missing values: l_tax: ' || count(*) FILTER (l_discount = 0) FROM lineitem
     UNION ALL SELECT 'schema', false, 'absent: [''l_weight'']'
+"""
+
+
+def flawed_lines(spark, folder):
+    return table(spark, folder, "lineitem").select(
+        "l_quantity", F.when(F.col("l_discount") != 0, F.col("l_tax")).alias("l_tax"), "l_returnflag"
+    )
+
+
+FLAWED = {"features": ["l_quantity", "l_tax", "l_weight"], "label": "l_returnflag"}
+
+
+@query("quality_checks", f"{LINE_CHECKS} UNION ALL SELECT 'exists', true, 'found'")
+def quality_checks(spark, folder):
+    """A table's path and its four other checks in one pass; two of them fail."""
+    there = Q.check_path(spark, f"{folder}/lineitem.parquet", ["exists"])
+    there = there.withColumn("message", F.substring_index("message", ":", 1))
+    return there.unionByName(Q.run_checks(flawed_lines(spark, folder), **FLAWED))
+
+
+@query(
+    "checked_write",
+    f"""
+    WITH c AS ({LINE_CHECKS}),
+    w AS (SELECT "check", passed, CASE "check" WHEN 'has_both_labels' THEN 'unique labels = 2 or more (need >= 2)'
+        ELSE message END AS message FROM c)
+    SELECT 'written' AS stage, * FROM w UNION ALL SELECT 'written', 'exists', true, 'found'
+    UNION ALL SELECT 'read', * FROM c UNION ALL SELECT 'read', 'exists', true, 'found'
+    UNION ALL SELECT 'absent', "check", false, 'NOT found' FROM w UNION ALL SELECT 'absent', 'exists', false, 'NOT found'
+    UNION ALL SELECT 'rows', 'rows', true, 'rows = ' || count(*) FROM lineitem
     """,
 )
-def quality_checks(spark, folder):
-    """All five checks in one pass; two of them fail."""
-    li = table(spark, folder, "lineitem").select(
-        "l_quantity", F.when(F.col("l_discount") != 0, F.col("l_tax")).alias("l_tax"), "l_returnflag"
+def checked_write(spark, folder):
+    """A stage's table checked while it is written, then at its path, and a path where none is."""
+    path = fresh_path(spark, "stage")
+    written = Q.write_checked(flawed_lines(spark, folder), path, **FLAWED)
+    read = Q.check_path(spark, path, **FLAWED)
+    absent = Q.check_path(spark, f"{path}-absent", **FLAWED)
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("rows").alias("check"), F.lit(True).alias("passed"), F.format_string("rows = %d", "n").alias("message")
+    )
+    out = None
+    for name, told in (("written", written), ("read", read), ("absent", absent), ("rows", rows)):
+        told = told.select(F.lit(name).alias("stage"), "check", "passed", F.regexp_replace("message", ": /.*|: [a-z0-9]+:/.*", "").alias("message"))
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
+@query(
+    "landmark_checks",
+    """
+    SELECT 'whole' AS stage, 'not_empty' AS "check", count(*) > 0 AS passed, 'rows = ' || count(*) AS message FROM embeddings
+    UNION ALL SELECT 'whole', 'has_both_labels', count(DISTINCT label) >= 2,
+      'unique labels = ' || count(DISTINCT label) || ' (need >= 2)' FROM embeddings
+    UNION ALL SELECT 'whole', 'schema', true, '4 columns as required'
+    UNION ALL SELECT 'cut', 'not_empty', count(*) > 0, 'rows = ' || count(*) FROM embeddings WHERE label = 3
+    UNION ALL SELECT 'cut', 'has_both_labels', count(DISTINCT label) >= 2,
+      'unique labels = ' || count(DISTINCT label) || ' (need >= 2)' FROM embeddings WHERE label = 3
+    UNION ALL SELECT 'cut', 'schema', false, 'absent: [''subject_id'']'
+    """,
+)
+def landmark_checks(spark, folder):
+    """A landmark table that is complete, and one of a single label without subjects."""
+    points = table(spark, folder, "embeddings").select(
+        F.col("embedding").alias("landmarks"), "label", F.col("vec_id").cast("string").alias("subject_id"), F.col("vec_id").alias("frame_id")
     )
-    return Q.run_checks(li, Q.CHECKS, ["l_quantity", "l_tax", "l_weight"], "l_returnflag")
+    whole = Q.check_landmarks(points).withColumn("stage", F.lit("whole"))
+    cut = Q.check_landmarks(points.filter("label = 3").drop("subject_id")).withColumn("stage", F.lit("cut"))
+    return whole.unionByName(cut)
 
 
 @query(
@@ -317,12 +375,12 @@ VIDEOS = """
 """
 
 
-def videos(spark, folder):
+def videos(spark, folder, video="l_suppkey"):
     li = table(spark, folder, "lineitem")
     good = (F.col("l_linestatus") == "O") & (F.col("l_suppkey") < F.col("l_partkey"))
     return R.video_summary(
         li.select(
-            F.col("l_suppkey").alias("video"),
+            F.col(video).alias("video"),
             F.col("l_orderkey").alias("total_frames"),
             F.col("l_quantity").alias("source_fps"),
             F.col("l_extendedprice").alias("elapsed_sec"),
@@ -355,10 +413,57 @@ def extraction_totals(spark, folder):
     return R.extraction_totals(videos(spark, folder))
 
 
-@query("table_fingerprint")
+@query(
+    "extraction_errors",
+    """
+    SELECT 'Failed: ' || l_orderkey AS error FROM lineitem GROUP BY l_orderkey
+    HAVING count(*) FILTER (l_linestatus = 'O' AND l_suppkey < l_partkey) = 0
+    """,
+)
+def extraction_errors(spark, folder):
+    """One row per video of which no frame was extracted."""
+    return R.extraction_errors(videos(spark, folder, "l_orderkey"))
+
+
+@query(
+    "listed_files",
+    """
+    SELECT 'o_orderpriority=' || o_orderpriority AS label, 1 AS files, true AS some_bytes, count(*) AS rows
+    FROM orders GROUP BY o_orderpriority
+    """,
+)
+def listed_files(spark, folder):
+    """Files of one kind below a folder with their labels; those of another kind are left out."""
+    path = fresh_path(spark, "listed")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    tables.write_table(orders.repartition("o_orderpriority"), path, partition_by=["o_orderpriority"])
+    tables.write_table(orders.limit(5), f"{path}/notes", "csv")
+    files = tables.list_files(spark, path, [".PARQUET"])
+    counted = files.groupBy("label").agg(F.count(F.lit(1)).cast("int").alias("files"), (F.min("length") > 0).alias("some_bytes"))
+    rows = tables.read_table(spark, path + "/o_orderpriority=*").select("o_orderkey", F.col("_metadata.file_path").alias("path"))
+    rows = rows.groupBy(F.replace(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), F.lit("%20"), F.lit(" ")).alias("label"))
+    return counted.join(rows.agg(F.count(F.lit(1)).alias("rows")), "label")
+
+
+@query(
+    "table_fingerprint",
+    """
+    WITH t AS (SELECT l_linestatus AS a, CAST(round(l_extendedprice, 6) AS DECIMAL(38, 6))::VARCHAR AS b,
+        nullif(l_linenumber, 3)::VARCHAR AS c, l_orderkey::VARCHAR AS d, epoch_us(l_shipdate)::VARCHAR AS e FROM lineitem),
+    h AS (SELECT ('0x' || substr(md5(coalesce(length(a) || ':' || a, '-') || coalesce(length(b) || ':' || b, '-')
+        || coalesce(length(c) || ':' || c, '-') || coalesce(length(d) || ':' || d, '-')
+        || coalesce(length(e) || ':' || e, '-')), 1, 15))::BIGINT AS h FROM t)
+    SELECT count(*) AS rows, printf('%X', bit_xor(h)) AS hash_xor, sum(h)::VARCHAR AS hash_sum FROM h
+    """,
+)
 def table_fingerprint(spark, folder):
-    """Order-free content hash; the other engine has other hash functions."""
-    return R.fingerprint(table(spark, folder, "lineitem"))
+    """Order-free content hash of columns of every kind."""
+    return R.fingerprint(
+        table(spark, folder, "lineitem").select(
+            F.col("l_linestatus").alias("a"), F.col("l_extendedprice").alias("b"),
+            F.nullif("l_linenumber", F.lit(3)).alias("c"), F.col("l_orderkey").alias("d"), F.col("l_shipdate").alias("e"),
+        )
+    )
 
 
 @query(

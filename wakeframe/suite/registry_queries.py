@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wakeframe.operators import registry as R
+from wakeframe.session import fresh_path
+from wakeframe.sources import tables
 from wakeframe.suite.registry import placed, query, table
 
 RUNS = """
@@ -225,6 +227,29 @@ def flattened_runs(spark, folder):
     )
 
 
+@query(
+    "run_files",
+    f"""WITH {FLAT} SELECT run_id::VARCHAR AS run_id, run_name, model_type, stage, epoch_ms(start_time) AS start_ms,
+    round(f1_weighted, 6) AS f1 FROM flat""",
+)
+def run_files(spark, folder):
+    """Runs written as JSON documents and read back with the tracking server's schema."""
+    path = fresh_path(spark, "runs")
+    told = nested_runs(spark, folder).withColumns(
+        {
+            "run_id": F.col("run_id").cast("string"),
+            "status": F.lit("FINISHED"),
+            "start_time": F.unix_millis(F.col("start_time").cast("timestamp")),
+        }
+    )
+    told.write.json(path)
+    flat = R.flatten_runs(tables.read_runs(spark, path))
+    return flat.select(
+        "run_id", "run_name", "model_type", "stage", F.col("start_time").alias("start_ms"),
+        F.round(F.try_element_at("metrics", F.lit("f1_weighted")), 6).alias("f1"),
+    )
+
+
 @query(
     "model_comparison",
     f"""

@@ -381,3 +381,24 @@ def test_range_moments_by_hand(spark):
         mean = sum(mine) / len(mine)
         assert r["n"] == len(mine) and r["mean"] == pytest.approx(mean)
         assert r["variance"] == pytest.approx(sum((v - mean) ** 2 for v in mine) / len(mine), abs=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["trees", "kernel"])
+def test_a_single_row_gets_the_score_of_the_table(spark, tmp_path, kind):
+    df = spark.range(400).select(
+        "id", (F.rand(1) * 4).alias("a"), F.rand(2).alias("b"), (F.col("id") % 2).cast("int").alias("label")
+    ).withColumn("a", F.col("a") + F.col("label"))
+    if kind == "trees":
+        fitted = L.train_boosted(df, ["a", "b"], trees=4, depth=3)
+        fitted.save(str(tmp_path / "m"))
+        model = L.BoostedTrees.load(spark, str(tmp_path / "m"))
+        assert model.features == ["a", "b"]
+        again = {r["id"]: r["confidence"] for r in fitted.score(df).collect()}
+        assert again == {r["id"]: r["confidence"] for r in model.score(df).collect()}
+    else:
+        model = L.train_kernel(df, ["a", "b"], size=32, iterations=20)
+    rows = model.score(df).select("a", "b", "confidence").limit(50).collect()
+    assert [model.one([r["a"], r["b"]]) for r in rows] == pytest.approx([r["confidence"] for r in rows], abs=1e-4)
+    odd = df.limit(30).unionByName(df.limit(5).withColumn("a", F.lit(None).cast("double")))
+    times = [r["ms"] for r in L.single_row_latency(model, odd, calls=100).collect()]
+    assert len(times) == 30 and all(t > 0 for t in times)

@@ -465,3 +465,21 @@ def test_numbers_written_as_text(spark):
     )
     got = [(r["route"], r["frame_id"]) for r in messages.parse_messages(raw).collect()]
     assert got == [("frame", 7), ("frame", 8), ("frame", None), ("invalid", None)]
+
+
+def test_a_promotion_takes_effect_with_the_next_batch(spark, tmp_path):
+    schema = "session_id string, value double"
+    batches = [[("a", float(10 * n + i)) for i in range(3)] for n in range(4)]
+    stream = stream_of(spark, batches, tmp_path, schema)
+    asked = []
+
+    def current():
+        asked.append(1)
+        version = 1 if len(asked) <= 2 else 2
+        return version, lambda df: df.withColumn("confidence", F.col("value") * version)
+
+    table, place = live.run_scored(stream, current, "t")
+    got = sorted((r["batch"], r["value"], r["model_version"], r["confidence"]) for r in table.collect())
+    assert got == [(n, v, 1 if n < 2 else 2, v * (1 if n < 2 else 2)) for n, rows in enumerate(batches) for _, v in rows]
+    again, _ = live.run_scored(stream, current, "t", place)
+    assert again.count() == 12

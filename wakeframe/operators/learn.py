@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeframe.constants import CONFIDENCE_STATE, FEATURES, SEED
@@ -41,6 +43,10 @@ class Classifier:
     def probability(self, df: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    def one(self, values: Sequence[float]) -> float:
+        """The probability of a single row, without a job: what a server answers with."""
+        raise NotImplementedError
+
     def score(self, df: DataFrame, cut: float = CONFIDENCE_STATE) -> DataFrame:
         """Adds ``confidence`` (4 places), ``prediction`` and ``state``.
 
@@ -63,6 +69,20 @@ class BoostedTrees(Classifier):
         scored = self.model.transform(_assembled(df, self.features))
         return scored.withColumn("__p", F.get(vector_to_array("__probability"), F.lit(1)))
 
+    def one(self, values):
+        return float(self.model.predictProbability(Vectors.dense(values))[1])
+
+    def save(self, path: str) -> None:
+        """The model and its inputs below ``path``, on any file system that Spark writes."""
+        self.model.write().overwrite().save(f"{path}/model")
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(self.features,)], "features array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/inputs")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> BoostedTrees:
+        inputs = spark.read.schema("features array<string>").json(f"{path}/inputs").first()
+        return cls(list(inputs["features"]), GBTClassificationModel.load(f"{path}/model"))
+
     def importance(self, spark) -> DataFrame:
         """Rows ``feature, importance``, highest first; one row per feature."""
         rows = [(f, float(v)) for f, v in zip(self.features, self.model.featureImportances.toArray())]
@@ -136,10 +156,35 @@ def fourier_features(gamma: float, inputs: int, size: int, seed: int) -> Callabl
 
         return F.transform(waves, wave)
 
+    lift.directions, lift.phases, lift.scale = directions, phases, scale
     return lift
 
 
+def single_row_latency(model: Classifier, rows: DataFrame, calls: int = 100, warm_up: int = 10) -> DataFrame:
+    """Milliseconds that a single row takes, one row per call.
+
+    ``calls`` rows are scored one after the other, as by a server that holds the model.
+    """
+    taken = rows.filter(usable(model.features)).select(*[F.col(c).cast("double") for c in model.features]).limit(calls).collect()
+    values = [list(r) for r in taken]
+    for v in values[:warm_up]:
+        model.one(v)
+    times = []
+    for v in values:
+        start = time.perf_counter()
+        model.one(v)
+        times.append(((time.perf_counter() - start) * 1000,))
+    return rows.sparkSession.createDataFrame(times, "ms double")
+
+
 class KernelMachine(Classifier):
+    def one(self, values):
+        scaler, lift, svc, platt = self.model
+        scaled = (np.asarray(values, dtype=float) - scaler.mean.toArray()) / scaler.std.toArray()
+        lifted = np.cos(lift.directions @ scaled + lift.phases) * lift.scale
+        margin = float(svc.coefficients.toArray() @ lifted + svc.intercept)
+        return float(platt.predictProbability(Vectors.dense([margin]))[1])
+
     def probability(self, df):
         scaler, lift, svc, platt = self.model
         return _margin(_assembled(df, self.features), scaler, lift, svc, platt).withColumn(

@@ -150,6 +150,42 @@ def run_to_sinks(
     return read
 
 
+def run_scored(
+    stream: DataFrame,
+    current: Callable[[], tuple[object, Callable[[DataFrame], DataFrame]]],
+    name: str,
+    place: str | None = None,
+) -> tuple[DataFrame, str]:
+    """Score a stream by whatever model is in production when a micro-batch is taken.
+
+    ``current`` gives the version and the function that scores a table; it is asked once a
+    batch, so a promotion takes effect with the next one, without a restart. Rows get
+    ``model_version`` and ``batch``. Returns the table and the folder, which a later run
+    can go on with. A batch repeated after a failure is written anew, by the version of
+    that time.
+    """
+    spark = stream.sparkSession
+    place = place or fresh_path(spark, name)
+
+    def put(batch: DataFrame, number: int) -> None:
+        version, score = current()
+        out = score(batch).withColumn("model_version", F.lit(version).cast("long"))
+        out.write.mode("overwrite").parquet(f"{place}/scores/batch={number}")
+
+    started = (
+        stream.writeStream.foreachBatch(put)
+        .option("checkpointLocation", f"{place}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    started.awaitTermination()
+    like = current()[1](spark.createDataFrame([], stream.schema)).withColumn("model_version", F.lit(0).cast("long"))
+    schema = T.StructType([*like.schema.fields, T.StructField("batch", T.LongType())])
+    if not exists(spark, f"{place}/scores"):
+        return spark.createDataFrame([], schema), place
+    return spark.read.schema(schema).option("basePath", f"{place}/scores").parquet(f"{place}/scores"), place
+
+
 class SessionFold:
     """What an operator does with the spans of a session.
 

@@ -69,10 +69,15 @@ def range_problems(ranges: dict[str, tuple[float | None, float | None]] | None =
     return F.filter(F.array(*reasons), lambda r: r.isNotNull())
 
 
+def validated(df, ranges=None):
+    """All rows with ``problems``, the reasons against them, and ``valid``: one pass for both sides."""
+    return df.withColumn("problems", range_problems(ranges)).withColumn("valid", F.size("problems") == 0)
+
+
 def split_valid(df, ranges=None):
-    """Accepted rows, and rejected rows with their reasons."""
-    checked = df.withColumn("problems", range_problems(ranges))
-    return checked.filter(F.size("problems") == 0).drop("problems"), checked.filter(F.size("problems") > 0)
+    """Accepted rows, and rejected rows with their reasons, as two tables (``validated`` reads once)."""
+    checked = validated(df, ranges)
+    return checked.filter("valid").drop("problems", "valid"), checked.filter("not valid").drop("valid")
 
 
 def predicted_state(confidence: Column, cut: float = 0.5) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wakeframe.constants import FEATURES, HISTOGRAM_BINS
 from wakeframe.functions.scalars import nan_to_null
-from wakeframe.plans.select_rank import quantiles
+from wakeframe.plans.select_rank import quantiles, value_counts
 
 QUANTILES = {"p5": 0.05, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p95": 0.95}
 
@@ -97,19 +97,20 @@ def widened(stats: DataFrame) -> DataFrame:
 
 
 def density_histogram(
-    long: DataFrame, stats: DataFrame, bins: int = HISTOGRAM_BINS, places: int = 6
+    long: DataFrame, stats: DataFrame, bins: int = HISTOGRAM_BINS, places: int = 6, times: str | None = None
 ) -> DataFrame:
     """``feature, histogram_density, histogram_bins`` for each row of ``stats``.
 
     ``stats`` has one row per feature column of the table, so its size is
-    bounded by the schema. All bins are counted by map-side partial sums.
+    bounded by the schema. All bins are counted by map-side partial sums. ``times``
+    names the column that says how often a row's value occurs.
     """
     ranges = widened(stats).select("feature", "n", "low", "high")
     counts = (
         long.filter(F.col("value").isNotNull())
         .join(F.broadcast(ranges), "feature")
         .groupBy("feature", bin_number(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("k"))
+        .agg((F.sum(times) if times else F.count(F.lit(1))).alias("k"))
         .groupBy("feature")
         .agg(F.map_from_entries(F.collect_list(F.struct("bin", "k"))).alias("by_bin"))  # at most ``bins`` entries
     )
@@ -138,11 +139,16 @@ def baseline(
     rows_per_segment: int | None = None,
     places: int = 6,
 ) -> DataFrame:
-    """One row per feature: statistics, five quantiles, density histogram."""
-    long = to_long(df, columns)
+    """One row per feature: statistics, five quantiles, density histogram.
+
+    The input is read twice: for the statistics, and for the number of times that each
+    value occurs, of which quantiles and histogram are taken.
+    """
+    long = to_long(df, columns).filter("value is not null")
     stats = gathered(summary_stats(df, columns, places))
-    q = quantiles(long, ["feature"], "value", list(QUANTILES.values()), rows_per_segment, approximate)
-    hist = density_histogram(long, stats, bins, places)
+    counts = None if approximate else value_counts(long, ["feature"], ["value"])
+    q = quantiles(long, ["feature"], "value", list(QUANTILES.values()), rows_per_segment, approximate, counts)
+    hist = density_histogram(long if approximate else counts, stats, bins, places, None if approximate else "__n")
     spread = q.select(
         "feature", *[F.round(F.get("q", F.lit(i)), places).alias(p) for i, p in enumerate(QUANTILES)]
     )

@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeframe.constants import SEED, TEST_SHARE
+from wakeframe.plans.ordered import KeyedRows
 from wakeframe.plans.select_rank import running_counts
 from wakeframe.session import cut_lineage
 
@@ -69,9 +70,11 @@ def stratified_split(
     tied = F.coalesce((F.col("__here") == F.col("__last")) & (F.col("__of_last") < F.col("__equal")), F.lit(False))
     plain = joined.withColumn("is_test", F.coalesce(F.col("__here") <= F.col("__last"), F.lit(False)))
     if not limits.filter("__of_last < __equal").isEmpty():
-        number = F.row_number().over(Window.partitionBy(label).orderBy("__here"))
-        numbered = joined.filter(tied).withColumn("is_test", number <= F.col("__of_last"))
-        plain = plain.filter(~tied).unionByName(numbered)
+        # written before they are numbered, so that a row keeps its place; a class may tie as a whole
+        alike = joined.filter(tied).withColumn("__row", F.monotonically_increasing_id())
+        numbered = KeyedRows(alike, [label], ["__row"], rows_per_segment=rows_per_segment, derived=True).position("__no")
+        numbered = numbered.rows().withColumn("is_test", F.col("__no") <= F.col("__of_last"))
+        plain = plain.filter(~tied).unionByName(numbered.drop("__row", "__no"))
     return plain.select(*df.columns, "is_test")
 
 

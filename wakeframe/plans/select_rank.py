@@ -18,24 +18,32 @@ from wakeframe.plans.ordered import same_key
 from wakeframe.session import cut_lineage
 
 PART = "__part"
+FEW = 1_000_000  # distinct rows, over all keys, that a window may rank without a layout
 
 
-def running_counts(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None = None
+def value_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Distinct ``keys, order`` with ``__n`` equal rows, written once."""
+    return cut_lineage(df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n")), "counts")
+
+
+def ranked_counts(
+    counts: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None = None
 ) -> DataFrame:
-    """Distinct ``keys, order`` with ``__n`` equal rows, ``__end`` and ``__total``.
+    """``counts`` with ``__end`` and ``__total``.
 
     ``__end`` is the number of the key's rows up to and with these, in order, and
-    ``__total`` all of them. Spark chooses the number of range partitions unless
-    ``rows_per_segment`` bounds the distinct rows of each.
+    ``__total`` all of them. A few distinct rows are summed by a window per key. More are
+    laid out in range partitions (of ``rows_per_segment`` distinct rows if given, else
+    Spark chooses) and summed per partition, which gives the same numbers.
     """
     keys, order = list(keys), list(order)
-    counts = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n"))
-    if rows_per_segment:
-        counts = cut_lineage(counts, "counts")
-        laid = counts.repartitionByRange(max(2, math.ceil(counts.count() / rows_per_segment)), *keys, *order)
-    else:
-        laid = counts.repartitionByRange(*keys, *order)
+    size = counts.count()
+    if size <= (rows_per_segment or FEW):
+        whole = Window.partitionBy(*keys)
+        end = F.sum("__n").over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        return counts.select(*keys, *order, "__n", end.alias("__end"), F.sum("__n").over(whole).alias("__total"))
+    into = [max(2, math.ceil(size / rows_per_segment))] if rows_per_segment else []
+    laid = counts.repartitionByRange(*into, *keys, *order)
     laid = cut_lineage(laid.withColumn(PART, F.spark_partition_id()), "ranges")
     parts = laid.groupBy(*keys, PART).agg(F.sum("__n").alias("__in"))
     before = F.sum("__in").over(Window.partitionBy(*keys).orderBy(PART)) - F.col("__in")
@@ -50,6 +58,13 @@ def running_counts(
     return joined.select(*keys, *order, "__n", (F.col("__before") + F.col("__here")).alias("__end"), "__total")
 
 
+def running_counts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None = None
+) -> DataFrame:
+    """``ranked_counts`` of the rows themselves."""
+    return ranked_counts(value_counts(df, keys, order), keys, order, rows_per_segment)
+
+
 def quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,11 +72,13 @@ def quantiles(
     probs: Sequence[float],
     rows_per_segment: int | None = None,
     approximate: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """``keys, n, q`` with ``q`` the linearly interpolated quantiles, in order.
 
     Exact by default, with one formula for groups of every size. ``approximate``
-    uses ``percentile_approx`` in one pass.
+    uses ``percentile_approx`` in one pass. ``counts``: the ``value_counts`` of the rows
+    that have a value, if they are there already.
     """
     keys = list(keys)
     if not keys:
@@ -72,7 +89,8 @@ def quantiles(
         probs_lit = F.array(*[F.lit(float(p)) for p in probs])
         counted = F.count(F.lit(1)).alias("n")
         return rows.groupBy(*keys).agg(counted, F.percentile_approx(value, probs_lit, 10_000).alias("q"))
-    ended = running_counts(rows, keys, [value], rows_per_segment)
+    counts = value_counts(rows, keys, [value]) if counts is None else counts
+    ended = ranked_counts(counts, keys, [value], rows_per_segment)
     spots = [F.lit(float(p)) * (F.col("__total") - 1) for p in probs]
     first = F.col("__end") - F.col("__n")
 

@@ -75,21 +75,29 @@ def baseline_histogram(spark, folder):
 
 @query(
     "baseline_document",
-    """
-    SELECT 'l_quantity' AS feature, count(*) AS n, round(avg(l_quantity), 6) AS mean,
-           round(var_samp(l_quantity), 6) AS variance, 20 AS bins FROM lineitem
-    UNION ALL
-    SELECT 'l_tax', count(*), round(avg(l_tax), 6), round(var_samp(l_tax), 6), 20 FROM lineitem
+    f"""
+    WITH wide AS (SELECT l_quantity, l_tax FROM lineitem),
+    long AS (UNPIVOT wide ON l_quantity, l_tax INTO NAME feature VALUE value),
+    s AS (SELECT feature, count(*) AS n, round(avg(value), 6) AS mean, round(var_samp(value), 6) AS variance,
+        {', '.join(f'round(quantile_cont(value, {q}), 6) AS {p}' for p, q in (('p5', 0.05), ('p25', 0.25), ('p50', 0.5), ('p95', 0.95)))},
+        min(value) AS low, (max(value) - min(value)) / 20 AS width FROM long GROUP BY feature),
+    place AS (SELECT feature, value, low, width, least(19, floor((value - low) / (width * 20) * 20))::INT AS i
+        FROM long JOIN s USING (feature)),
+    c AS (SELECT feature, i - CASE WHEN value < low + i * width THEN 1 ELSE 0 END
+        + CASE WHEN value >= low + (i + 1) * width AND i < 19 THEN 1 ELSE 0 END AS bin, count(*) AS k FROM place GROUP BY ALL)
+    SELECT s.feature, n, mean, variance, p5, p25, p50, p95, b.bin::INT AS bin, round(coalesce(k, 0) / (n * width), 6) AS density,
+      round(low + width * b.bin, 6) AS edge
+    FROM s CROSS JOIN (SELECT unnest(range(20)) AS bin) b LEFT JOIN c ON c.feature = s.feature AND c.bin = b.bin
     """,
 )
 def baseline_document(spark, folder):
-    """The baseline written as a JSON document and read back."""
+    """The baseline written as a JSON document and read back, quantiles and bins included."""
     path = fresh_path(spark, "baseline")
     wanted = table(spark, folder, "lineitem").select("l_quantity", "l_tax")
     tables.write_document(B.baseline_document(B.baseline(wanted, ["l_quantity", "l_tax"]), 30), path)
-    return tables.read_baseline(spark, path).select(
-        "feature", "n", "mean", "variance", F.size("histogram_density").alias("bins")
-    )
+    told = ["feature", "n", "mean", "variance", "p5", "p25", "p50", "p95"]
+    read = tables.read_baseline(spark, path).select(*told, "histogram_bins", F.posexplode("histogram_density").alias("bin", "density"))
+    return read.select(*told, "bin", "density", F.get("histogram_bins", F.col("bin")).alias("edge"))
 
 
 SIGNALS = ["ear", "mar", "head_pitch", "head_yaw", "head_roll"]

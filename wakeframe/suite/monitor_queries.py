@@ -47,18 +47,19 @@ def labelled_counters(spark, folder):
 @query(
     "bucket_histogram",
     f"""
-    WITH h AS (SELECT event_type, {le_sql('value')} FROM events GROUP BY event_type)
+    WITH h AS (SELECT event_type, {le_sql('value')}, round(sum(value), 4) AS total_sum FROM events GROUP BY event_type)
     SELECT event_type, b.i::INT AS bucket, CASE b.i {' '.join(f'WHEN {i} THEN le_{i}' for i in range(len(BOUNDS) + 1))} END
-      AS cumulative FROM h, (SELECT unnest(range({len(BOUNDS) + 1})) AS i) b
+      AS cumulative, total_sum FROM h, (SELECT unnest(range({len(BOUNDS) + 1})) AS i) b
     """,
 )
 def bucket_histogram(spark, folder):
     """Cumulative counts for fixed bounds and infinity, by event type."""
     ev = table(spark, folder, "events")
-    rows = M.bucket_rows(M.bucket_counts(ev, F.col("value"), BOUNDS, ["event_type"]), BOUNDS, ["event_type"])
+    counts = M.bucket_counts(ev, F.col("value"), BOUNDS, ["event_type"]).withColumn("total_sum", F.round("total_sum", 4))
+    rows = M.bucket_rows(counts, BOUNDS, ["event_type", "total_sum"])
     edges = F.array(*[F.lit(float(b)) for b in BOUNDS], F.lit(float("inf")))
     return rows.select(
-        "event_type", (F.array_position(edges, F.col("le")) - 1).cast("int").alias("bucket"), "cumulative"
+        "event_type", (F.array_position(edges, F.col("le")) - 1).cast("int").alias("bucket"), "cumulative", "total_sum"
     )
 
 

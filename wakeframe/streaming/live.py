@@ -217,10 +217,19 @@ _HEAD = "is_open boolean, started_us long, last_us long, last_id long"
 
 def _in_order(batches: Iterator[pd.DataFrame], last_us: int, last_id: int) -> pd.DataFrame:
     """The batch's rows after the last one seen, each (us, frame_id) once."""
-    rows = pd.concat(list(batches), ignore_index=True)
-    rows = rows.sort_values(["us", "frame_id"], kind="stable").drop_duplicates(["us", "frame_id"])
-    late = (rows["us"] < last_us) | ((rows["us"] == last_us) & (rows["frame_id"] <= last_id))
-    return rows[~late & (rows["kind"] != "tick")].reset_index(drop=True)
+    parts = list(batches)
+    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    us, number = rows["us"].to_numpy(), rows["frame_id"].to_numpy()
+    new = np.flatnonzero(((us > last_us) | ((us == last_us) & (number > last_id))) & (rows["kind"].to_numpy() != "tick"))
+    new = new[np.lexsort((number[new], us[new]))]
+    first = np.ones(len(new), bool)
+    first[1:] = (np.diff(us[new]) != 0) | (np.diff(number[new]) != 0)
+    return rows.take(new[first])
+
+
+def _frames(rows: pd.DataFrame) -> pd.DataFrame:
+    is_frame = (rows["kind"] == "frame").to_numpy()
+    return rows if is_frame.all() else rows[is_frame]
 
 
 def by_session(
@@ -231,14 +240,11 @@ def by_session(
     timeout = timeout_seconds * 1_000_000
     names = [f.split()[0] for f in fold.output.split(", ")]
 
-    def pieces(rows: pd.DataFrame, is_open: bool, last_us: int) -> Iterator[tuple[int, int, bool]]:
+    def pieces(us: np.ndarray, kinds: np.ndarray, is_open: bool, last_us: int) -> Iterator[tuple[int, int, bool]]:
         """(first, end, whether a gap stands before): a piece reaches to a close or a gap."""
-        us = rows["us"].to_numpy()
         before = np.concatenate([[last_us if last_us > FIRST else us[0]], us[:-1]])
         gap = us - before > timeout
-        closes = (rows["kind"] == "close").to_numpy()
-        starts = gap | np.concatenate([[not is_open], closes[:-1]])
-        starts[0] = True
+        starts = gap | np.concatenate([[True], kinds[:-1] == "close"])
         at = np.flatnonzero(starts)
         for first, end in zip(at.tolist(), [*at[1:].tolist(), len(us)], strict=True):
             yield first, end, bool(gap[first])
@@ -254,24 +260,25 @@ def by_session(
                 out.append(fold.ended(session, tuple(held), started, last_us, "timeout"))
         else:
             rows = _in_order(batches, last_us, last_id)
-            for first, end, gap in pieces(rows, is_open, last_us) if len(rows) else ():
+            us, kinds = rows["us"].to_numpy(), rows["kind"].to_numpy()
+            for first, end, gap in pieces(us, kinds, is_open, last_us) if len(rows) else ():
                 if is_open and gap:
                     out.append(fold.ended(session, tuple(held), started, last_us, "timeout"))
                     is_open = False
                 if not is_open:
-                    opens = np.ones(end - first, bool) if implicit else (rows["kind"].iloc[first:end] == "init").to_numpy()
+                    opens = np.ones(end - first, bool) if implicit else kinds[first:end] == "init"
                     begin = first + int(opens.argmax()) if opens.any() else end
                     if begin > first:
                         out.append(fold.lost(session, rows.iloc[first:begin]))
                     if begin < end:
-                        is_open, started = True, int(rows["us"].iloc[begin])
+                        is_open, started = True, int(us[begin])
                         held = fold.fresh(rows.iloc[begin])
                     first = begin
                 if is_open:
                     held, given_now = fold.advance(session, tuple(held), rows.iloc[first:end])
                     out.append(given_now)
-                last_us, last_id = int(rows["us"].iloc[end - 1]), int(rows["frame_id"].iloc[end - 1])
-                if is_open and rows["kind"].iloc[end - 1] == "close":
+                last_us, last_id = int(us[end - 1]), int(rows["frame_id"].iloc[end - 1])
+                if is_open and kinds[end - 1] == "close":
                     out.append(fold.ended(session, tuple(held), started, last_us, "close"))
                     is_open = False
             if last_us > FIRST:
@@ -279,7 +286,10 @@ def by_session(
                 due = (last_us + (timeout if is_open else 0)) // 1000 + 1
                 state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         whole = [x for x in out if x is not None and len(x)]
-        yield pd.concat(whole, ignore_index=True)[names] if whole else pd.DataFrame([], columns=names)
+        if whole:
+            yield (whole[0] if len(whole) == 1 else pd.concat(whole, ignore_index=True))[names]
+        else:
+            yield pd.DataFrame([], columns=names)
 
     kind = F.lit("frame") if implicit else F.coalesce("kind", F.lit("unknown"))
     return (
@@ -338,7 +348,7 @@ class _LiveFeatures(SessionFold):
 
     def advance(self, session, state, rows):
         window, seen, flat = state
-        rows = rows[rows["kind"] == "frame"]
+        rows = _frames(rows)
         old = np.array(flat, dtype=float).reshape(-1, len(SLOT))
         seq = seen + 1 + np.arange(len(rows))
         processed = seq % self.every == 0
@@ -398,7 +408,7 @@ class _Debounced(SessionFold):
 
     def advance(self, session, state, rows):
         seen, hit_at, miss_at, drowsy_at, alert_at, alerts = state
-        rows = rows[rows["kind"] == "frame"]
+        rows = _frames(rows)
         if not len(rows):
             return state, None
         hit = rows["hit"].fillna(False).to_numpy(dtype=bool)
@@ -455,7 +465,7 @@ class _Drift(SessionFold):
 
     def advance(self, session, state, rows):
         seen, *kept = state
-        rows = rows[rows["kind"] == "frame"]
+        rows = _frames(rows)
         if not len(rows):
             return state, None
         seq = rows["seq"].to_numpy() if self.numbered else seen + 1 + np.arange(len(rows))
@@ -504,7 +514,7 @@ class _Orphans(SessionFold):
         return (None,)
 
     def lost(self, session, rows):
-        rows = rows[rows["kind"] == "frame"]
+        rows = _frames(rows)
         return rows[["us", "frame_id"]].assign(session_id=session, message=NO_INIT)
 
 
@@ -531,7 +541,7 @@ class _Lifecycle(SessionFold):
         return 0, 0, 0.0, 0, 0.0, 0
 
     def advance(self, session, state, rows):
-        rows = rows[rows["kind"] == "frame"]
+        rows = _frames(rows)
         alerts = int(rows["new_alert"].fillna(False).astype(bool).sum())
         sums = []
         for c in ("ear", "confidence"):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeframe.session import Stages
@@ -69,8 +69,9 @@ class Compare(NamedTuple):
     """How to compare nodes, each of which is a set.
 
     ``overlaps`` takes distinct pairs (a, b) and adds the sizes ``na`` and ``nb`` and
-    the number of common members, ``both``. ``extras`` takes (node, leader) and returns
-    a row (node, leader, extra) for each member of the node that the leader hasn't.
+    the number of common members, ``both``. ``extras`` takes (node, leader, least) and
+    returns rows (node, leader, extra, rank) for members of the node that the leader
+    hasn't: ranked from the greatest down by one order for all nodes, from ``least`` on.
     """
 
     overlaps: Callable[[DataFrame], DataFrame]
@@ -99,8 +100,9 @@ def linked(
        they have at most min(|x & c|, |y & c|) members in common; where that is too
        few, no comparison is needed. Pairs that do share something c lacks are found
        by an equal join on it. A member that needs r such shares for any link can do
-       without its r - 1 commonest: two that share r share another one of both. Nor can
-       two share more than either has.
+       without its r - 1 greatest: the least of r that two share has r - 1 greater ones in
+       both. So few are written, and none of members that have fewer than they need. Nor
+       can two share more than either has.
 
     So the components are those of comparing all pairs of every bucket.
     """
@@ -142,8 +144,7 @@ def linked(
     able = (F.col("y.n") <= F.col("x.room")) & (F.col("x.n") <= F.col("y.room"))
     pick = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
     close = one.join(other, apart & able).select(*pick)
-    extra = stages.keep(compare.extras(rows.select("node", "leader")), "extras")
-    telling = stages.keep(_telling(extra, rows, similarity), "telling")
+    telling = stages.keep(compare.extras(_needing(rows, similarity)), "telling")
     one = outside.join(telling, ["node", "leader"]).alias("x")
     other = rows.join(telling, ["node", "leader"]).alias("y")
     need = similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - F.least("x.both", "y.both") - 1e-6
@@ -155,16 +156,12 @@ def linked(
     return components(links.unionByName(last), stages)
 
 
-def _telling(extra: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Extras without each member's commonest ones that any near pair can do without."""
-    common = extra.groupBy("leader", "extra").agg(F.count("*").alias("times")).filter("times > 1")
-    least = rows.groupBy("leader").agg(F.min("n").alias("least"))
-    need = F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("least")) - F.col("both") - 1e-6)
-    needed = rows.join(least, "leader").select("node", "leader", need.alias("need"))
-    ranked = extra.join(needed, ["node", "leader"]).join(common, ["leader", "extra"])
-    order = Window.partitionBy("node", "leader").orderBy(F.desc("times"), "extra")
-    ranked = ranked.withColumn("rank", F.row_number().over(order)).filter("rank >= need")
-    return ranked.select("node", "leader", "extra", "rank")
+def _needing(rows: DataFrame, similarity: float) -> DataFrame:
+    """(node, leader, least): members that may share enough that their leader lacks, and the least rank that tells."""
+    smallest = rows.groupBy("leader").agg(F.min("n").alias("smallest"))
+    need = F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("smallest")) - F.col("both") - 1e-6)
+    needed = rows.join(smallest, "leader").withColumn("least", F.greatest(need, F.lit(1)))
+    return needed.filter(F.col("least") <= F.col("n") - F.col("both")).select("node", "leader", "least")
 
 
 def _leaders(rows: DataFrame, group: str, name: str = "leader") -> DataFrame:

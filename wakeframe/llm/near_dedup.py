@@ -126,17 +126,23 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extras(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, leader, x, y) -> (node, leader, extra) for the members of x that y hasn't"""
+    """(node, leader, least, x, y) -> (node, leader, extra, rank) for the members of x that y hasn't.
+
+    Ranks count from the greatest down, and begin with ``least``.
+    """
     for batch in batches:
+        least = batch.column(2).to_numpy()
         found = [
-            np.setdiff1d(_sets(batch.column(2), i), _sets(batch.column(3), i), assume_unique=True)
+            np.sort(np.setdiff1d(_sets(batch.column(3), i), _sets(batch.column(4), i), assume_unique=True))[::-1][least[i] - 1 :]
             for i in range(batch.num_rows)
         ]
-        times = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        size = np.array([len(f) for f in found], dtype=np.int64)
+        times = np.repeat(np.arange(len(found)), size)
+        rank = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(least, size)
         extra = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(times)), batch.column(1).take(pa.array(times)), pa.array(extra)],
-            names=["node", "leader", "extra"],
+            [batch.column(0).take(pa.array(times)), batch.column(1).take(pa.array(times)), pa.array(extra), pa.array(rank, pa.int64())],
+            names=["node", "leader", "extra", "rank"],
         )
 
 
@@ -188,11 +194,12 @@ def near_classes(
         lists = stages.keep(lists.dropDuplicates(["node"]), "grams")
 
         def sets(rows: DataFrame, one: str, other: str) -> DataFrame:
-            return rows.join(lists.toDF(one, "x"), one).join(lists.toDF(other, "y"), other).select(one, other, "x", "y")
+            joined = rows.join(lists.toDF(one, "x"), one).join(lists.toDF(other, "y"), other)
+            return joined.select(one, other, *[c for c in rows.columns if c not in (one, other)], "x", "y")
 
         return Compare(
             lambda pairs: sets(pairs, "a", "b").mapInArrow(_overlaps, "a long, b long, na long, nb long, both long"),
-            lambda rows: sets(rows, "node", "leader").mapInArrow(_extras, "node long, leader long, extra long"),
+            lambda rows: sets(rows, "node", "leader").mapInArrow(_extras, "node long, leader long, extra long, rank long"),
         )
 
     root = linked(members, ready, similarity, stages)
@@ -213,12 +220,20 @@ def near_classes(
     return joined.unionByName(alone).withColumnRenamed("long_id", id_col)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` hasn't, in either case of letters."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def without(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of ``docs`` whose id and text tag are not in ``dropped`` (id_col, tag)."""
-    gone = dropped.select(F.col(id_col).alias("__id"), F.col("tag").alias("__tag")).distinct()
-    hit: Column = F.xxhash64(F.col(text_col)).eqNullSafe(F.col("__tag")) & F.col(id_col).cast("long").eqNullSafe(
-        F.col("__id")
-    )
+    i, t = free(docs, "id"), free(docs, "tag")
+    gone = dropped.select(F.col(id_col).alias(i), F.col("tag").alias(t)).distinct()
+    hit: Column = F.xxhash64(F.col(text_col)).eqNullSafe(F.col(t)) & F.col(id_col).cast("long").eqNullSafe(F.col(i))
     return docs.join(gone, hit, "left_anti")
 
 
@@ -238,9 +253,11 @@ def drop_near_duplicates(
     again = pairs.filter("k > 0")
     if repeats or again.isEmpty():
         return without(docs, pairs.filter("k = 0"), id_col, text_col)
-    marks = {"__id": F.col(id_col).cast("long"), "__tag": F.xxhash64(F.col(text_col))}
+    marks = {free(docs, "id"): F.col(id_col).cast("long"), free(docs, "tag"): F.xxhash64(F.col(text_col))}
     marked, some = docs.withColumns(marks), again.select(F.col(id_col).alias("i"), F.col("tag").alias("t"))
-    hit = marked["__tag"].eqNullSafe(some.t) & marked["__id"].eqNullSafe(some.i)
+    by_id, by_tag = (marked[c] for c in marks)
+    some = some.toDF(*[free(marked, c) for c in ("i", "t")])
+    hit = by_tag.eqNullSafe(some[some.columns[1]]) & by_id.eqNullSafe(some[some.columns[0]])
     one = marked.join(some, hit, "left_semi").dropDuplicates(list(marks)).select(*docs.columns)
     return without(docs, pairs, id_col, text_col).unionByName(one)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeframe.llm.line_dedup import dedup_lines
-from wakeframe.llm.near_dedup import drop_near_duplicates
+from wakeframe.llm.near_dedup import drop_near_duplicates, free
 from wakeframe.llm.packing import pack
 from wakeframe.llm.quality import keep_quality
 from wakeframe.llm.toxicity import drop_toxic
@@ -31,8 +31,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars`` follows the text. A document of which nothing is left, because all its
     lines stay in others, goes; one that was empty before stays.
     """
-    cleaned = dedup_lines(docs.withColumn("__had_text", F.length("text") > 0))
-    left = cleaned.filter(F.coalesce(~F.col("__had_text") | (F.length("text") > 0), F.lit(True)))
+    had_text = free(docs, "had_text")
+    cleaned = dedup_lines(docs.withColumn(had_text, F.length("text") > 0))
+    left = cleaned.filter(F.coalesce(~F.col(had_text) | (F.length("text") > 0), F.lit(True)))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

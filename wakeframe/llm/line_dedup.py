@@ -7,7 +7,9 @@ whole job is given.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeframe.llm.linking import Compare, linked
-from wakeframe.llm.near_dedup import _extras, _overlaps
+from wakeframe.llm.near_dedup import _overlaps, overlap
 from wakeframe.llm.suite import query, table
 from wakeframe.llm.words import Texts, blocks, mixed, seeds, texts_of
 from wakeframe.session import Stages
@@ -26,6 +28,10 @@ ROWS = 6
 BANDS = 14
 MIN_CHARS = 16
 LINE_BLOCK = 1 << 19  # bytes of lines handled at a time
+SKETCH = 512  # MinHash values, a byte of each, that say whether two lines can be near
+BLOCK_MEMBERS = 250  # members of a family that are compared with as many others at a time
+BLOCK_BYTES = 1 << 20  # bytes of their sets, about
+BLOCKS_AT_ONCE = 64  # pairs of blocks that a Python worker gets at a time
 
 _WEIGHT = seeds(CHARS * 16, 321) | np.uint64(1)
 
@@ -58,12 +64,12 @@ def shingle_sets(texts: Texts, first: int, last: int, width: int = CHARS) -> tup
     return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 48) - 1)
 
 
-def signatures(row: np.ndarray, shingle: np.ndarray, n: int, count: int) -> np.ndarray:
+def signatures(row: np.ndarray, shingle: np.ndarray, n: int, count: int, family: int = 0) -> np.ndarray:
     """n x count MinHash values: the least product of each shingle's hash with an odd number, per row."""
     low = (shingle >> np.uint64(16)).astype(np.uint32)
     start = np.searchsorted(row, np.arange(n))
-    factor = (seeds(count, 654) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    shift = (seeds(count, 987) >> np.uint64(32)).astype(np.uint32)
+    factor = (seeds(count, 654 + 5000 * family) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    shift = (seeds(count, 2987 + 5000 * family) >> np.uint64(32)).astype(np.uint32)
     out = np.empty((n, count), dtype=np.uint32)
     for i in range(count):
         value = (low ^ shift[i]) * factor[i]
@@ -105,8 +111,8 @@ def _signed(bands: int, rows: int, width: int):
     return run
 
 
-def _with_sets(at: int, then):
-    """``then`` on batches whose texts in columns ``at`` and ``at + 1`` have become sets of shingles."""
+def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, x, y), x and y texts -> (a, b, na, nb, both), of their sets of shingles."""
 
     def sets(column: pa.Array) -> pa.Array:
         texts, out = texts_of(column), []
@@ -116,16 +122,91 @@ def _with_sets(at: int, then):
             out += [shingle[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
         return pa.array(out, pa.binary())
 
+    for batch in batches:
+        for low in range(0, batch.num_rows, 1000):
+            a, b, x, y = batch.slice(low, 1000).columns
+            yield from _overlaps(iter([pa.RecordBatch.from_arrays([a, b, sets(x), sets(y)], ["a", "b", "x", "y"])]))
+
+
+def _sketched(count: int, width: int):
+    """(line, text) -> (node, sketch, shingles): a byte of each MinHash value, and the set as sorted 32-bit hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                columns = [sets(c) if i in (at, at + 1) else c for i, c in enumerate(part.columns)]
-                yield from then(iter([pa.RecordBatch.from_arrays(columns, names=part.schema.names)]))
+            texts = texts_of(batch.column(1))
+            for first, last in blocks(texts, LINE_BLOCK):
+                row, shingle = shingle_sets(texts, first, last, width)
+                sketch = (signatures(row, shingle, last - first, count, 1) & np.uint32(255)).astype(np.uint8)
+                cut = np.searchsorted(row, np.arange(last - first + 1))
+                low = (shingle >> np.uint64(16)).astype(np.uint32)
+                sets = [low[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, last - first),
+                        pa.array([v.tobytes() for v in sketch], pa.binary()),
+                        pa.array(sets, pa.binary()),
+                    ],
+                    names=["node", "sketch", "shingles"],
+                )
 
     return run
 
 
+def _possible(least: int, similarity: float):
+    """Blocks of members against blocks -> (a, b), of different roots, that are near by the hashes they carry.
+
+    Both blocks are (nodes, roots, sketches, sets). Pairs of which sketches agree in fewer
+    than ``least`` values aren't looked at any further.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(i) for i in range(8)]
+            for r in range(batch.num_rows):
+                node, root, sketch, sets, other, other_root, other_sketch, other_sets = (c[r].values for c in columns)
+                node, root, other, other_root = (v.to_numpy() for v in (node, root, other, other_root))
+                sketch, other_sketch = (
+                    np.frombuffer(b"".join(v.as_buffer() for v in x), np.uint8).reshape(len(x), -1) for x in (sketch, other_sketch)
+                )
+                sets, other_sets = ([np.frombuffer(v.as_buffer(), np.uint32) for v in x] for x in (sets, other_sets))
+                a, b = [], []
+                for low in range(0, len(node), 32):  # 32 x a block x the values at a time
+                    some = slice(low, low + 32)
+                    agree = (sketch[some, None, :] == other_sketch[None]).sum(axis=2)
+                    for i, j in np.argwhere((agree >= least) & (root[some, None] != other_root[None])).tolist():
+                        x, y = sets[low + i], other_sets[j]
+                        both = overlap(x, y)
+                        if both >= (similarity - 1e-3) * (len(x) + len(y) - both):
+                            a.append(node[low + i])
+                            b.append(other[j])
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _blocked(members: DataFrame) -> DataFrame:
+    """(leader, node, root, sketch, shingles) -> families in blocks of bounded size, one list per column."""
+    parts = F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum(F.octet_length("shingles")) / BLOCK_BYTES)
+    sizes = members.groupBy("leader").agg(F.ceil(parts).alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    held = F.collect_list(F.struct("node", "root", "sketch", "shingles"))
+    out = members.join(sizes, "leader").groupBy("leader", block.alias("block")).agg(held.alias("held"))
+    return out.select("leader", *[F.col(f"held.{c}").alias(f"{c}s") for c in ("node", "root", "sketch", "shingles")])
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within the block, Python workers of new queries get so many rows at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(id, tag, n, text, line): the lines that take part; ``line`` is the text's hash."""
     split = docs.select(
@@ -168,19 +249,25 @@ def line_classes(
         texts = lines.select("line", "text").join(wanted, "line", "left_semi").dropDuplicates(["line"])
         texts = stages.keep(texts, "line_texts")
 
-        def paired(pairs: DataFrame, one: str, other: str) -> DataFrame:
+        def overlaps(pairs: DataFrame) -> DataFrame:
             # texts travel, as sets of hashes are many times as long
-            both = pairs.join(texts.toDF(one, "x"), one).join(texts.toDF(other, "y"), other)
-            return both.select(one, other, *[c for c in pairs.columns if c not in (one, other)], "x", "y")
-
-        return Compare(
-            lambda pairs: paired(pairs, "a", "b").mapInArrow(
-                _with_sets(2, _overlaps), "a long, b long, na long, nb long, both long"
-            ),
-            lambda rows: paired(rows, "node", "leader").mapInArrow(
-                _with_sets(3, _extras), "node long, leader long, extra long, rank long"
-            ),
-        )
+            both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+            return both.select("a", "b", "x", "y").mapInArrow(_with_sets, "a long, b long, na long, nb long, both long")
+
+        def likely(outside: DataFrame, family: DataFrame) -> DataFrame:
+            wanted = family.select(F.col("node").alias("line")).distinct()
+            sketches = texts.join(wanted, "line", "left_semi").mapInArrow(
+                _sketched(SKETCH, CHARS), "node long, sketch binary, shingles binary"
+            )
+            sketches = stages.keep(sketches, "sketches")
+            one, other = (_blocked(x.select("leader", "node", "root").join(sketches, "node")) for x in (outside, family))
+            met = one.join(other.toDF("leader", *[f"other_{c}" for c in one.columns[1:]]), "leader").drop("leader")
+            # a pair just at the similarity agrees in so many but for 1 in 10 million
+            least = math.floor(SKETCH * similarity - 5.2 * math.sqrt(SKETCH * similarity * (1 - similarity)))
+            with arrow_rows(docs.sparkSession, BLOCKS_AT_ONCE):
+                return stages.keep(met.mapInArrow(_possible(least, similarity), "a long, b long"), "likely")
+
+        return Compare(overlaps, likely=likely)
 
     root = linked(members, ready, similarity, stages)
     occurrences = lines.select("long_id", "tag", "n", "line")

@@ -72,10 +72,13 @@ class Compare(NamedTuple):
     the number of common members, ``both``. ``extras`` takes (node, leader, least) and
     returns rows (node, leader, extra, rank) for members of the node that the leader
     hasn't: ranked from the greatest down by one order for all nodes, from ``least`` on.
+    ``likely``, instead, takes members outside and all members of families (leader, node,
+    root) and returns the pairs (a, b) of different roots that signatures leave possible.
     """
 
     overlaps: Callable[[DataFrame], DataFrame]
-    extras: Callable[[DataFrame], DataFrame]
+    extras: Callable[[DataFrame], DataFrame] | None = None
+    likely: Callable[[DataFrame, DataFrame], DataFrame] | None = None
 
 
 #: Leaders tried in turn before the rest of a family is compared member by member.
@@ -104,7 +107,9 @@ def linked(
        both. So few are written, and none of members that have fewer than they need. Nor
        can two share more than either has.
 
-    So the components are those of comparing all pairs of every bucket.
+    So the components are those of comparing all pairs of every bucket. With
+    ``likely`` step 3 asks signatures instead, a block of members against another at a
+    time, and compares only the pairs that they leave possible.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     sizes = stages.keep(sizes, "sizes")
@@ -136,6 +141,11 @@ def linked(
             rows, outside, settled = _unsettled(family, found, stages)
     if settled:
         return found
+    if compare.likely:
+        new = compare.likely(outside, rows)
+        new = stages.keep(_ordered(new).join(known, ["a", "b"], "left_anti"), "pairs")
+        last = _linked_of(stages.keep(compare.overlaps(new), "tests"), similarity)
+        return components(links.unionByName(last), stages)
     # how small the other must be for this one's part of the leader to be enough
     room = F.floor(F.col("both") / similarity + F.col("both") - F.col("n") + 1e-6)
     rows, outside = rows.withColumn("room", room), outside.withColumn("room", room)

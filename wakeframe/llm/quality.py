@@ -146,7 +146,8 @@ def rules() -> list[Rule]:
         Rule("punctuation", share("n_punct", words) > 0.6, never),
         Rule("digits", share("n_digits", F.greatest("word_chars", F.lit(1))) > 0.3, never),
         Rule("lines", share("n_dup_lines", F.greatest("n_lines", F.lit(1))) > 0.4, never),
-        Rule("variety", (share("n_distinct", words) < 0.15) & (F.col("n_words") < 2000), never),
+        # the number of distinct words grows at least with the root of a text's length
+        Rule("variety", F.col("n_distinct") < 2 * F.sqrt(words), never),
     ]
 
 

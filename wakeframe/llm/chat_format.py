@@ -50,8 +50,8 @@ def visit(part: Column) -> tuple[Column, Column, Column]:
     """(placeholder or text, expanded tokens, reference) of a content part, by its kind.
 
     Unknown kinds and null parts are empty text; missing sizes count as one tile, no
-    sound or one page. Placeholders carry no control strings of texts: those are
-    escaped first.
+    sound or one page. Control strings within a text are escaped here, those that two
+    parts make together in ``body_of``.
     """
     kind = F.lower(part["kind"])
     tiles = F.ceil(F.coalesce(part["width"], F.lit(1)) / TILE) * F.ceil(F.coalesce(part["height"], F.lit(1)) / TILE)
@@ -68,6 +68,17 @@ def visit(part: Column) -> tuple[Column, Column, Column]:
     return F.coalesce(shown, F.lit("")), F.coalesce(tokens, F.lit(0)).cast("long"), F.when(is_file, part["ref"])
 
 
+def body_of(shown: Column) -> Column:
+    """Parts end to end. A ``<|`` that only two neighbours make together is escaped as well.
+
+    So the text between two placeholders is ``escape`` of its parts' joined texts, however
+    they were cut.
+    """
+    full = F.filter(shown, lambda s: s != "")
+    seam = lambda s, i: (i > 0) & F.startswith(s, F.lit("|")) & F.endswith(F.get(full, i - 1), F.lit("<"))
+    return F.array_join(F.transform(full, lambda s, i: F.when(seam(s, i), F.concat(F.lit("\\"), s)).otherwise(s)), "")
+
+
 def text_part(text: Column) -> Column:
     """A text as the only content part of its turn."""
     none = {"ref": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
@@ -121,7 +132,7 @@ def format_chats(
             F.col("turn").isNotNull().alias("numbered"),
             "turn",
             "role",
-            F.array_join("parts.shown", "").alias("body"),
+            body_of(F.col("parts.shown")).alias("body"),
             F.filter("parts", lambda p: p["kind"].isin("image", "audio", "document")).alias("files"),
         ).alias("t"),
     )
@@ -168,18 +179,49 @@ def format_chats(
     ).withColumn("expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda a, f: a + f["tokens"]))
 
 
+def _blocks(formatted: Column) -> Column:
+    """What follows each turn's opening mark."""
+    return F.filter(F.split(formatted, r"<\|im_start\|>"), lambda b: b != "")
+
+
+def _role(block: Column) -> Column:
+    return unescape_role(F.substring_index(block, "\n", 1)).alias("role")
+
+
+def _body(block: Column) -> Column:
+    head = F.position(F.lit("\n"), block)
+    return F.substr(block, head + 1, F.length(block) - head - len(END) - 1)
+
+
 def read_back(formatted: Column) -> Column:
-    """The turns of a formatted text, (role, text) in order; placeholders stay in the text."""
-    blocks = F.filter(F.split(formatted, r"<\|im_start\|>"), lambda b: b != "")
-    return F.transform(
-        blocks,
-        lambda b: F.struct(
-            unescape_role(F.substring_index(b, "\n", 1)).alias("role"),
-            unescape(
-                F.substr(b, F.position(F.lit("\n"), b) + 1, F.length(b) - F.position(F.lit("\n"), b) - len(END) - 1)
-            ).alias("text"),
-        ),
-    )
+    """The turns of a formatted text, (role, text) in order.
+
+    Placeholders stay in the text and look like a text that says the same;
+    ``read_parts`` keeps them apart.
+    """
+    return F.transform(_blocks(formatted), lambda b: F.struct(_role(b), unescape(_body(b)).alias("text")))
+
+
+def read_parts(formatted: Column) -> Column:
+    """The turns of a formatted text as (role, parts), each part a (kind, text).
+
+    Neighbouring texts come back as one, empty ones not at all; files have no text.
+    """
+    mark = r"<\|(image|audio|document)\|>"
+
+    def parts(body: Column) -> Column:
+        kinds = F.regexp_extract_all(body, F.lit(mark), 1)
+        both = F.transform(
+            F.split(body, mark),
+            lambda t, i: F.array(
+                F.struct(F.get(kinds, i - 1).alias("kind"), F.lit(None).cast("string").alias("text")),
+                F.struct(F.lit("text").alias("kind"), unescape(t).alias("text")),
+            ),
+        )
+        real = lambda p: F.when(p["kind"] == "text", p["text"] != "").otherwise(p["kind"].isNotNull())
+        return F.filter(F.flatten(both), lambda p: F.coalesce(real(p), F.lit(False)))
+
+    return F.transform(_blocks(formatted), lambda b: F.struct(_role(b), parts(_body(b)).alias("parts")))
 
 
 @query(

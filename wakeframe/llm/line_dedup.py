@@ -284,10 +284,8 @@ def line_classes(
     return held.join(first, same_row, "left_anti").select("long_id", "tag", "n").distinct()
 
 
-def _without(text: Column, dropped: Column) -> Column:
-    """``text`` without the lines whose numbers are in the sorted array ``dropped``."""
-    lines = F.split(text, "\n")
-    edges = F.concat(F.array(F.lit(-1)), dropped, F.array(F.size(lines)))
+def _without(lines: Column, edges: Column) -> Column:
+    """The text of ``lines`` without those numbered in ``edges``, which are sorted from -1 to the lines' number."""
     kept = F.transform(
         F.sequence(F.lit(1), F.size(edges) - 1),
         lambda k: F.slice(
@@ -340,15 +338,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     here = F.col("tag").eqNullSafe(F.col("gone_tag")) & F.col("id").eqNullSafe(F.col("gone_id"))
     joined = _later(rows, stages).join(lists, here, "left")
-    parts = F.split("text", "\n")
-    all_of = F.filter(
-        F.sequence(F.lit(0), F.size(parts) - 1),
-        lambda i: F.length(F.trim(F.get(parts, i))) >= options.get("min_chars", MIN_CHARS),
-    )
-    joined = joined.withColumn("gone", F.when(F.col("later"), all_of).otherwise(F.col("gone")))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("gone")))
+    # columns of their own: within a lambda they would be worked out anew for every line
+    joined = joined.withColumn("lines", F.split("text", "\n"))
+    min_chars = options.get("min_chars", MIN_CHARS)
+    numbers = F.transform("lines", lambda line, i: F.when(F.length(F.trim(line)) >= min_chars, i))
+    joined = joined.withColumn("gone", F.when(F.col("later"), F.array_compact(numbers)).otherwise(F.col("gone")))
+    edges = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.size("lines")))
+    joined = joined.withColumn("edges", edges)
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(_without(F.col("lines"), F.col("edges")))
     counts = {
-        "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("long"),
+        "n_lines": F.coalesce(F.size("lines"), F.lit(0)).cast("long"),
         "n_dropped_lines": F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
     }
     return joined.select(

@@ -171,7 +171,8 @@ def pack(
     text is ``end_id`` alone. Documents are ordered by the Hilbert key of the mean of
     their tokens' hashed directions (then by id, text hash and row), so that similar
     ones are neighbours, and are laid end to end; a sequence is full except the last
-    one of each task's stretch of the curve, which holds ``partition_tokens`` tokens.
+    one of each task's stretch of the curve, which holds ``partition_tokens`` tokens on
+    average (rows are sampled, so that some hold over twice as many).
     Each id lies in exactly one piece.
 
     Columns: id, tag (hash of the text), curve, start and length of the piece within

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wakeframe.plans.ordered import KeyedRows, top_rows
-from wakeframe.plans.select_rank import quantiles, running_counts
+from wakeframe.plans.select_rank import quantiles, ranked_counts, running_counts
 
 HALO = 4
 
@@ -73,6 +73,25 @@ def test_more_hot_keys_than_partitions(spark):
         assert r["b"] == (r["id"] - 2700 if place >= 3 else None)
 
 
+def test_small_segments_do_not_make_more_tasks(spark):
+    df = spark.range(1200).select((F.col("id") % 3).alias("k"), F.floor(F.col("id") / 6).alias("t"), "id")
+    split = KeyedRows(df, ["k"], ["t"], rows_per_segment=3)
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(split.df.select(*df.columns, "__segment").inputFiles()) <= 2 * spread  # rows and segments
+    assert split.layout.count() > 10 * spread
+    parts = split.df.groupBy("k", "t").agg(F.countDistinct("__segment").alias("n"))
+    assert parts.filter("n > 1").isEmpty()  # equal rows stay together
+    got = KeyedRows(df, ["k"], ["t", "id"], rows_per_segment=3).position("pos").rows()
+    assert got.filter("pos <> floor(id / 3) + 1").isEmpty() and got.count() == 1200
+
+
+def test_small_ranges_of_counts_do_not_make_more_tasks(spark):
+    counts = spark.range(1000).select(F.lit("a").alias("g"), F.col("id").alias("v"), F.lit(2).cast("long").alias("__n"))
+    got = ranked_counts(counts, ["g"], ["v"], 3)
+    assert len(got.inputFiles()) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert got.filter("__end <> 2 * (v + 1) or __total <> 2000").isEmpty() and got.count() == 1000
+
+
 def test_timestamps_order_segments(spark):
     df = spark.range(300).select(
         F.timestamp_seconds(F.col("id") * 1800 + 1_711_800_000).alias("ts"), F.col("id")

@@ -10,8 +10,9 @@ becomes a window partition of its own:
 * running sums and maxima get the totals of the earlier segments as a *carry*;
 * row numbers get the exact number of earlier rows as an offset.
 
-Segments are known by their partition's number, which is written with the rows,
-so a recomputed task finds the same ones. All that is kept about them is a small
+Segments are numbered by range partition and, where several small ones are wanted of
+a partition, by rank in it. The number is written with the rows, so a recomputed task
+finds the same ones. All that is kept about them is a small
 table with one row per key and segment, joined on both; no array of cut points is
 searched, nothing is gathered on the driver, and keys and segments may be as many as
 they are. Tables whose keys are all small pay one count and an ordinary window.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from wakeframe.session import cut_lineage
 
 ROWS_PER_SEGMENT = 4_000_000
+ROWS_PER_RANGE = 1_000_000  # below it, more segments don't make more range partitions
 
 SEG = "__segment"
 BEFORE = "__before"
@@ -42,6 +44,26 @@ def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return cond
 
 
+def laid_out(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], total: int, limit: int, name: str = SEG
+) -> DataFrame:
+    """``df``, of ``total`` rows, with segments of about ``limit`` rows numbered in ``name``, written once.
+
+    Segments are range partitions as long as these hold enough rows for a task. Smaller
+    ones are cut off a key's part of a partition by rank, so that tasks, files and the
+    rows sampled for the ranges follow the rows of the table, not its segments.
+    """
+    wanted = math.ceil(total / limit)
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(wanted, max(spread, math.ceil(total / ROWS_PER_RANGE)))
+    laid = df.repartitionByRange(ranges, *dict.fromkeys([*keys, *order]))
+    laid = laid.withColumn(name, F.spark_partition_id().cast("long"))
+    if ranges < wanted:
+        place = F.rank().over(Window.partitionBy(*keys, name).orderBy(*order)) - 1  # equal rows stay together
+        laid = laid.withColumn(name, F.shiftleft(name, 32) + F.floor(place / limit))
+    return cut_lineage(laid, "segmented")
+
+
 def segments(laid: DataFrame, keys: Sequence[str], halo: int) -> DataFrame:
     """One row per key and segment of ``laid``: __k0.., __s, __rows, __first, __next.
 
@@ -54,7 +76,7 @@ def segments(laid: DataFrame, keys: Sequence[str], halo: int) -> DataFrame:
     order = Window.partitionBy(*names).orderBy("__s")
     out = sizes.agg(F.count(F.lit(1)).alias("__rows"))
     out = out.withColumn("__first", F.sum("__rows").over(order) - F.col("__rows"))
-    later = F.array().cast("array<struct<s: int, first: bigint>>")
+    later = F.array().cast("array<struct<s: bigint, first: bigint>>")
     if halo:
         after = F.collect_list(F.struct(F.col("__s").alias("s"), F.col("__first").alias("first")))
         after = after.over(order.rowsBetween(1, halo))
@@ -101,8 +123,7 @@ class KeyedRows:
         total, most = counts.agg(F.sum("__n"), F.max("__n")).first()
         if not total or most <= limit:
             return
-        laid = df.repartitionByRange(math.ceil(total / limit), *dict.fromkeys([*self.keys, *self.order]))
-        laid = cut_lineage(laid.withColumn(SEG, F.spark_partition_id()), "segmented")
+        laid = laid_out(df, self.keys, self.order, total, limit)
         self.layout = segments(laid, self.keys, halo)
         self.df = self._placed(laid)
 

@@ -8,13 +8,12 @@ scalar comes to the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeframe.plans.ordered import same_key
+from wakeframe.plans.ordered import laid_out, same_key
 from wakeframe.session import cut_lineage
 
 PART = "__part"
@@ -33,8 +32,8 @@ def ranked_counts(
 
     ``__end`` is the number of the key's rows up to and with these, in order, and
     ``__total`` all of them. A few distinct rows are summed by a window per key. More are
-    laid out in range partitions (of ``rows_per_segment`` distinct rows if given, else
-    Spark chooses) and summed per partition, which gives the same numbers.
+    laid out in range partitions (segments of ``rows_per_segment`` distinct rows if given,
+    else Spark chooses) and summed per partition, which gives the same numbers.
     """
     keys, order = list(keys), list(order)
     size = counts.count()
@@ -42,9 +41,11 @@ def ranked_counts(
         whole = Window.partitionBy(*keys)
         end = F.sum("__n").over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
         return counts.select(*keys, *order, "__n", end.alias("__end"), F.sum("__n").over(whole).alias("__total"))
-    into = [max(2, math.ceil(size / rows_per_segment))] if rows_per_segment else []
-    laid = counts.repartitionByRange(*into, *keys, *order)
-    laid = cut_lineage(laid.withColumn(PART, F.spark_partition_id()), "ranges")
+    if rows_per_segment:
+        laid = laid_out(counts, keys, order, size, rows_per_segment, PART)
+    else:
+        laid = counts.repartitionByRange(*keys, *order)
+        laid = cut_lineage(laid.withColumn(PART, F.spark_partition_id()), "ranges")
     parts = laid.groupBy(*keys, PART).agg(F.sum("__n").alias("__in"))
     before = F.sum("__in").over(Window.partitionBy(*keys).orderBy(PART)) - F.col("__in")
     parts = parts.withColumns({"__before": before, "__total": F.sum("__in").over(Window.partitionBy(*keys))})

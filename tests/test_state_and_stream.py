@@ -1,7 +1,9 @@
 """Debounced state in batch and stream, under any cut into batches."""
 
 import random
+from unittest.mock import MagicMock
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -483,3 +485,26 @@ def test_a_promotion_takes_effect_with_the_next_batch(spark, tmp_path):
     assert got == [(n, v, 1 if n < 2 else 2, v * (1 if n < 2 else 2)) for n, rows in enumerate(batches) for _, v in rows]
     again, _ = live.run_scored(stream, current, "t", place)
     assert again.count() == 12
+
+
+def test_a_session_makes_one_frame_however_many_spans_end(spark, monkeypatch):
+    caught = MagicMock()
+    caught.columns = ["session_id", "kind"]
+    grouped = caught.filter().select().withWatermark().groupBy()
+    live.by_session(caught, live._Lifecycle(), 1, "1 hour")
+    step = grouped.applyInPandasWithState.call_args[0][0]
+    us = np.arange(30) * 10_000_000  # a gap before each message
+    given = pd.DataFrame(
+        {"session_id": "s", "us": us, "frame_id": np.arange(30), "kind": "init", "ear": 0.5, "confidence": 0.5, "new_alert": False}
+    )
+    state = MagicMock(exists=False, hasTimedOut=False, getCurrentWatermarkMs=lambda: 0)
+    made, build = [], pd.DataFrame
+
+    def counted(*args, **named):
+        made.append(1)
+        return build(*args, **named)
+
+    monkeypatch.setattr(live.pd, "DataFrame", counted)
+    (out,) = step(("s",), iter([given]), state)
+    assert len(made) == 1
+    assert out["started_us"].tolist() == us[:-1].tolist() and set(out["session_id"]) == {"s"}

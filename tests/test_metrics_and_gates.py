@@ -402,3 +402,27 @@ def test_a_single_row_gets_the_score_of_the_table(spark, tmp_path, kind):
     odd = df.limit(30).unionByName(df.limit(5).withColumn("a", F.lit(None).cast("double")))
     times = [r["ms"] for r in L.single_row_latency(model, odd, calls=100).collect()]
     assert len(times) == 30 and all(t > 0 for t in times)
+
+
+def test_trees_grow_on_counted_bins(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 4, 9000), rng.integers(0, 3, 9000)
+    rows = [(float(x), float(y), int(x * y >= 3)) for x, y in zip(a, b)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1), (float("inf"), 1.0, 0)], "a double, b double, label int")
+    seen = []
+    fit = L.GBTClassifier.fit
+    monkeypatch.setattr(L.GBTClassifier, "fit", lambda self, d: seen.append(d) or fit(self, d))
+    model = L.train_boosted(df, ["a", "b"], trees=5, depth=3, weight=2.0)
+    given = seen[0].agg(F.count("*"), F.sum("__weight")).first()
+    assert given[0] <= 4 * 3 * L.PARTS < len(rows)
+    assert given[1] == sum(2.0 if r[2] else 1.0 for r in rows)
+    assert model.cuts == [[0.5, 1.5, 2.5], [0.5, 1.5]]
+    wrong = model.score(df.filter("a < 5")).filter("prediction <> label").count()
+    assert wrong == 0
+
+
+def test_features_are_cut_at_quantiles_of_all_rows(spark):
+    df = spark.range(0, 20000, 1, 5).select((F.col("id") * F.col("id")).cast("double").alias("a"), F.lit(7.0).alias("b"))
+    a, b = L._cuts(df, ["a", "b"])
+    assert b == [] and len(a) == L.BINS - 1
+    assert [math.sqrt(x) / 20000 for x in a] == pytest.approx([i / L.BINS for i in range(1, L.BINS)], abs=0.002)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LinearSVC, LogisticRegression
-from pyspark.ml.feature import StandardScaler
+from pyspark.ml.feature import Bucketizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,9 @@ from wakeframe.functions.scalars import is_finite, predicted_state
 from wakeframe.operators.evaluation import balanced_weights, positive_weight
 from wakeframe.session import cut_lineage, shared_dir
 
+BINS = 32  # of a feature, as many as Spark's trees tell apart
+PARTS = 8  # of the rows that share all bins, drawn apart for each tree
+
 
 def usable(features: Sequence[str]) -> Column:
     """Every feature is a finite number."""
@@ -29,8 +33,43 @@ def usable(features: Sequence[str]) -> Column:
 
 
 def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    filled = [F.when(is_finite(F.col(c)), F.col(c)).otherwise(F.lit(0.0)) for c in features]
-    return df.withColumn("__vector", array_to_vector(F.array(*[c.cast("double") for c in filled])))
+    return df.withColumn("__vector", array_to_vector(F.array(*_filled(features))))
+
+
+def _filled(features: Sequence[str]) -> list[Column]:
+    """The features as numbers; 0 for what isn't finite."""
+    return [F.when(is_finite(F.col(c)), F.col(c)).otherwise(F.lit(0.0)).cast("double") for c in features]
+
+
+def _cuts(rows: DataFrame, features: Sequence[str]) -> list[list[float]]:
+    """Where each feature is cut into at most ``BINS`` bins, over all rows.
+
+    Between neighbouring values where these are few, else at quantiles.
+    """
+    names = [f"v{i}" for i in range(len(features))]
+    values = rows.select(*[F.col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)])
+    many = values.agg(*[F.approx_count_distinct(n).alias(n) for n in names]).first()
+    few = [n for n in names if many[n] <= 2 * BINS]
+    found: dict[str, list[float]] = {n: [] for n in few}
+    if few:
+        each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in few]))
+        for r in values.select(each.alias("e")).select("e.*").distinct().collect():
+            found[r["name"]].append(r["value"])
+    found = {n: sorted(v) for n, v in found.items() if len(v) <= BINS}
+    cuts = {n: [a / 2 + b / 2 for a, b in zip(v, v[1:])] for n, v in found.items()}
+    rest = [n for n in names if n not in cuts]
+    if rest:
+        cuts |= dict(zip(rest, values.approxQuantile(rest, [i / BINS for i in range(1, BINS)], 0.001), strict=True))
+    return [sorted(set(cuts[n])) for n in names]
+
+
+def _binned(df: DataFrame, features: Sequence[str], cuts: Sequence[Sequence[float]]) -> DataFrame:
+    """Adds ``__vector``: the number of each feature's bin."""
+    ins, outs = ([f"__{kind}{i}" for i in range(len(features))] for kind in ("in", "bin"))
+    splits = [[-math.inf, *(c or [0.0]), math.inf] for c in cuts]
+    binner = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs)
+    out = binner.transform(df.withColumns(dict(zip(ins, _filled(features), strict=True))))
+    return out.withColumn("__vector", array_to_vector(F.array(*outs)))
 
 
 @dataclass
@@ -64,24 +103,35 @@ class Classifier:
         return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
+_INPUTS = "features array<string>, cuts array<array<double>>"
+
+
+@dataclass
 class BoostedTrees(Classifier):
+    """Trees over the numbers of the features' bins, which end at ``cuts``."""
+
+    cuts: list[list[float]]
+
     def probability(self, df):
-        scored = self.model.transform(_assembled(df, self.features))
+        scored = self.model.transform(_binned(df, self.features, self.cuts))
         return scored.withColumn("__p", F.get(vector_to_array("__probability"), F.lit(1)))
 
     def one(self, values):
-        return float(self.model.predictProbability(Vectors.dense(values))[1])
+        bins = [float(np.searchsorted(c or [0.0], v, side="right")) for v, c in zip(values, self.cuts, strict=True)]
+        return float(self.model.predictProbability(Vectors.dense(bins))[1])
 
     def save(self, path: str) -> None:
         """The model and its inputs below ``path``, on any file system that Spark writes."""
         self.model.write().overwrite().save(f"{path}/model")
         spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(self.features,)], "features array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/inputs")
+        inputs = spark.createDataFrame([(self.features, self.cuts)], _INPUTS)
+        inputs.coalesce(1).write.mode("overwrite").parquet(f"{path}/inputs")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> BoostedTrees:
-        inputs = spark.read.schema("features array<string>").json(f"{path}/inputs").first()
-        return cls(list(inputs["features"]), GBTClassificationModel.load(f"{path}/model"))
+        inputs = spark.read.schema(_INPUTS).parquet(f"{path}/inputs").first()
+        cuts = [list(c) for c in inputs["cuts"]]
+        return cls(list(inputs["features"]), GBTClassificationModel.load(f"{path}/model"), cuts)
 
     def importance(self, spark) -> DataFrame:
         """Rows ``feature, importance``, highest first; one row per feature."""
@@ -104,13 +154,21 @@ def train_boosted(
 ) -> BoostedTrees:
     """Gradient-boosted trees with the positive class weighted.
 
+    All rows are cut into bins once and counted by label, bins and one of ``PARTS`` random
+    parts, and the trees are grown on these counts: rows in the same bins are alike to a
+    tree. So a tree's passes grow with the bins that occur, not with the rows, unless
+    the features are so many that hardly two rows share their bins. A tree draws
+    ``row_share`` of the counted parts, which are single rows while rows are few.
     ``partitions`` spreads a training table that comes in too few pieces.
     """
     shared_dir(train.sparkSession)  # boosting cuts its lineage there
     given = weight if weight is not None else positive_weight(train, label).first()["positive_weight"] or 1.0
-    rows = train.filter(usable(features)).withColumn(
-        "__weight", F.when(F.col(label) == 1, F.lit(float(given))).otherwise(F.lit(1.0))
-    )
+    rows = train.filter(usable(features)).select(F.col(label).cast("double").alias(label), *features)
+    cuts = _cuts(rows, features)
+    part = F.floor(F.rand(seed) * PARTS).alias("__part")
+    bins = [f"__bin{i}" for i in range(len(features))]
+    counted = _binned(rows, features, cuts).groupBy(label, *bins, part).agg(F.count(F.lit(1)).alias("__n"))
+    counted = cut_lineage(counted, "counted")
     learner = GBTClassifier(
         featuresCol="__vector",
         labelCol=label,
@@ -125,9 +183,10 @@ def train_boosted(
         seed=seed,
     )
     learner.setProbabilityCol("__probability").setRawPredictionCol("__raw")
-    ready = _assembled(rows, features).select(F.col(label).cast("double").alias(label), "__vector", "__weight")
+    weight = F.col("__n") * F.when(F.col(label) == 1, F.lit(float(given))).otherwise(F.lit(1.0))
+    ready = counted.select(label, array_to_vector(F.array(*bins)).alias("__vector"), weight.alias("__weight"))
     model = learner.fit(ready.repartition(partitions) if partitions else ready)
-    return BoostedTrees(list(features), model)
+    return BoostedTrees(list(features), model, cuts)
 
 
 def fourier_features(gamma: float, inputs: int, size: int, seed: int) -> Callable[[Column], Column]:

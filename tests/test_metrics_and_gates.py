@@ -426,3 +426,38 @@ def test_features_are_cut_at_quantiles_of_all_rows(spark):
     a, b = L._cuts(df, ["a", "b"])
     assert b == [] and len(a) == L.BINS - 1
     assert [math.sqrt(x) / 20000 for x in a] == pytest.approx([i / L.BINS for i in range(1, L.BINS)], abs=0.002)
+
+
+def test_hinge_loss_and_gradient_by_hand(spark):
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(700, 2)) * [3.0, 0.1] + [100.0, 0.0], rng.integers(0, 2, 700).astype(float)
+    df = spark.createDataFrame([(float(c), *map(float, v)) for c, v in zip(y, x)], "label double, v0 double, v1 double").repartition(3)
+    lift = L.Lift(x.mean(axis=0), 1 / x.std(axis=0), rng.normal(size=(16, 2)), rng.uniform(0, 6, 16))
+    at, weights = rng.normal(size=17), {0.0: 0.5, 1.0: 2.0}
+    w = np.where(y == 1, 2.0, 0.5)
+    value, gradient = L._hinge(df, lift, weights, w.sum(), 0.25)(at)
+    waves = np.sqrt(2) * np.cos((x - lift.mean) * lift.factor @ lift.directions.T + lift.phases)
+    short = 1 - (2 * y - 1) * (waves @ at[:-1] + at[-1])
+    push = np.where(short > 0, w * (1 - 2 * y), 0)
+    assert value == pytest.approx((w * np.maximum(short, 0)).sum() / w.sum() + 0.125 * (at[:-1] ** 2).sum(), rel=1e-5)
+    assert gradient[:-1] == pytest.approx(push @ waves / w.sum() + 0.25 * at[:-1], abs=1e-5)
+    assert gradient[-1] == pytest.approx(push.sum() / w.sum(), abs=1e-5)
+
+
+def test_no_waves_of_training_rows_are_stored(spark, rings, monkeypatch):
+    written, cached = [], []
+    keep, descend = L.cut_lineage, L._descended
+    monkeypatch.setattr(L, "cut_lineage", lambda d, name: written.append(len(d.columns)) or keep(d, name))
+
+    def watched(loss, *given):
+        def call(at):
+            cached.append(len(spark.sparkContext._jsc.getPersistentRDDs()) - before)
+            return loss(at)
+
+        return descend(call, *given)
+
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    monkeypatch.setattr(L, "_descended", watched)
+    model = L.train_kernel(rings, ["ear_mean", "mar_max"], size=64, iterations=10)
+    assert written == [3, 3] and len(cached) > 5 and max(cached) <= 0
+    assert len(model.model[0].coefficients) == 64

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import Bucketizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,6 +23,7 @@ from wakeframe.operators.evaluation import balanced_weights, positive_weight
 from wakeframe.session import cut_lineage, shared_dir
 
 BINS = 32  # of a feature, as many as Spark's trees tell apart
+ROWS_AT_ONCE = 256  # whose waves are in memory
 PARTS = 8  # of the rows that share all bins, drawn apart for each tree
 
 
@@ -189,34 +192,38 @@ def train_boosted(
     return BoostedTrees(list(features), model, cuts)
 
 
-def fourier_features(gamma: float, inputs: int, size: int, seed: int) -> Callable[[Column], Column]:
-    """Random Fourier features of the kernel exp(-gamma |x - y|^2) (Rahimi, Recht 2007).
+@dataclass
+class Lift:
+    """Random Fourier features of the kernel exp(-gamma |x - y|^2) (Rahimi, Recht 2007) of scaled numbers.
 
-    Maps an array column of ``inputs`` numbers to ``size`` numbers.
+    A wave is worked out where it is needed and never stored: ``size`` numbers a row
+    are many times as long as the row.
     """
+
+    mean: np.ndarray
+    factor: np.ndarray
+    directions: np.ndarray
+    phases: np.ndarray
+
+    def waves(self, values: np.ndarray) -> np.ndarray:
+        """rows x size, of variance 1 about, in single precision: the angle is reduced to a turn before it is cut."""
+        turns = ((values - self.mean) * (self.factor / (2.0 * np.pi))) @ self.directions.T
+        turns += self.phases / (2.0 * np.pi)
+        turns -= np.rint(turns)
+        angle = turns.astype(np.float32)
+        angle *= np.float32(2.0 * np.pi)
+        np.cos(angle, out=angle)
+        angle *= np.float32(math.sqrt(2.0))
+        return angle
+
+
+def fourier_features(scaler, gamma: float, size: int, seed: int) -> Lift:
+    """``size`` features of the numbers that ``scaler`` was fitted on."""
+    mean, std = scaler.mean.toArray(), scaler.std.toArray()
     draw = np.random.default_rng(seed)
-    directions = draw.normal(scale=np.sqrt(2.0 * gamma), size=(size, inputs))
+    directions = draw.normal(scale=np.sqrt(2.0 * gamma), size=(size, len(mean)))
     phases = draw.uniform(0.0, 2.0 * np.pi, size=size)
-    scale = float(np.sqrt(2.0 / size))
-
-    def lift(x: Column) -> Column:
-        waves = F.array(
-            *[
-                F.struct(F.array(*[F.lit(float(v)) for v in row]).alias("w"), F.lit(float(phase)).alias("p"))
-                for row, phase in zip(directions, phases)
-            ]
-        )
-
-        def wave(d: Column) -> Column:
-            angle = d["p"]
-            for i in range(inputs):
-                angle = angle + F.get(d["w"], F.lit(i)) * F.get(x, F.lit(i))
-            return F.cos(angle) * scale
-
-        return F.transform(waves, wave)
-
-    lift.directions, lift.phases, lift.scale = directions, phases, scale
-    return lift
+    return Lift(mean, np.divide(1.0, std, out=np.zeros_like(std), where=std > 0), directions, phases)
 
 
 def single_row_latency(model: Classifier, rows: DataFrame, calls: int = 100, warm_up: int = 10) -> DataFrame:
@@ -236,30 +243,115 @@ def single_row_latency(model: Classifier, rows: DataFrame, calls: int = 100, war
     return rows.sparkSession.createDataFrame(times, "ms double")
 
 
+@dataclass
+class Linear:
+    """A linear machine over waves."""
+
+    lift: Lift
+    coefficients: np.ndarray
+    intercept: float
+
+    def margins(self, values: np.ndarray) -> np.ndarray:
+        out, along = np.empty(len(values)), self.coefficients.astype(np.float32)
+        for low in range(0, len(values), ROWS_AT_ONCE):
+            some = slice(low, low + ROWS_AT_ONCE)
+            out[some] = self.lift.waves(values[some]) @ along + self.intercept
+        return out
+
+
 class KernelMachine(Classifier):
     def one(self, values):
-        scaler, lift, svc, platt = self.model
-        scaled = (np.asarray(values, dtype=float) - scaler.mean.toArray()) / scaler.std.toArray()
-        lifted = np.cos(lift.directions @ scaled + lift.phases) * lift.scale
-        margin = float(svc.coefficients.toArray() @ lifted + svc.intercept)
+        svc, platt = self.model
+        margin = float(svc.margins(np.asarray([values], dtype=float))[0])
         return float(platt.predictProbability(Vectors.dense([margin]))[1])
 
     def probability(self, df):
-        scaler, lift, svc, platt = self.model
-        return _margin(_assembled(df, self.features), scaler, lift, svc, platt).withColumn(
+        svc, platt = self.model
+        return platt.transform(_margin(df, _filled(self.features), svc)).withColumn(
             "__p", F.get(vector_to_array("__probability"), F.lit(1))
         )
 
 
-def _lifted(df, scaler, lift):
-    scaled = scaler.transform(df).withColumn("__scaled", vector_to_array("__scaled"))
-    return scaled.withColumn("__lifted", array_to_vector(lift(F.col("__scaled"))))
+def _margin(df: DataFrame, values: Sequence[Column], svc: Linear) -> DataFrame:
+    """Adds ``__margin``, a vector of one number."""
 
+    @F.pandas_udf("double")
+    def margin(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in parts:
+            yield pd.Series(svc.margins(np.column_stack(columns)))
 
-def _margin(df, scaler, lift, svc, platt=None):
-    out = svc.transform(_lifted(df, scaler, lift))
-    out = out.withColumn("__margin", array_to_vector(F.array(F.get(vector_to_array("__raw"), F.lit(1)))))
-    return platt.transform(out) if platt else out
+    return df.withColumn("__side", margin(*values)).withColumn("__margin", array_to_vector(F.array("__side")))
+
+
+def _hinge(rows: DataFrame, lift: Lift, weights: dict[float, float], total: float, penalty: float) -> Callable:
+    """The mean weighted hinge loss with its penalty, and the gradient, as a function of (coefficients, intercept).
+
+    ``rows``: the label and the features; ``total``: the sum of their weights. A call is a
+    pass over them; a task sends back its sums.
+    """
+
+    def loss(at: np.ndarray) -> tuple[float, np.ndarray]:
+        along = at[:-1].astype(np.float32)
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            value, gradient = 0.0, np.zeros_like(at)
+            for batch in batches:
+                label, *columns = (c.to_numpy() for c in batch.columns)
+                values, side = np.column_stack(columns), 2.0 * label - 1.0
+                weight = np.where(label == 1.0, weights.get(1.0, 0.0), weights.get(0.0, 0.0))
+                for low in range(0, len(values), ROWS_AT_ONCE):
+                    some = slice(low, low + ROWS_AT_ONCE)
+                    waves = lift.waves(values[some])
+                    short = 1.0 - side[some] * (waves @ along + at[-1])
+                    push = np.where(short > 0.0, weight[some], 0.0)
+                    value += float(push @ short)
+                    push *= -side[some]
+                    gradient[:-1] += push.astype(np.float32) @ waves
+                    gradient[-1] += push.sum()
+            yield pa.RecordBatch.from_arrays([pa.array([value]), pa.array([gradient])], names=["value", "gradient"])
+
+        parts = rows.mapInArrow(sums, "value double, gradient array<double>").collect()
+        value, gradient = sum(p["value"] for p in parts), np.sum([p["gradient"] for p in parts], axis=0)
+        inner = np.append(at[:-1], 0.0) * penalty
+        return value / total + 0.5 * float(inner @ at), gradient / total + inner
+
+    return loss
+
+
+def _descended(loss: Callable, at: np.ndarray, iterations: int, history: int = 10, tolerance: float = 1e-6) -> np.ndarray:
+    """L-BFGS with backtracking (Nocedal, Wright 2006), until the last ``history`` steps gain next to nothing."""
+    value, gradient = loss(at)
+    values, steps = [value], []
+    for _ in range(iterations):
+        direction, used = -gradient, []
+        for s, y in reversed(steps):
+            used.append(float(s @ direction) / float(s @ y))
+            direction = direction - used[-1] * y
+        if steps:
+            s, y = steps[-1]
+            direction = direction * (float(s @ y) / float(y @ y))
+        for (s, y), share in zip(steps, reversed(used), strict=True):
+            direction = direction + s * (share - float(y @ direction) / float(s @ y))
+        slope = float(gradient @ direction)
+        step = 1.0 if steps else 1.0 / max(float(np.linalg.norm(gradient)), 1e-12)
+        for _ in range(20):
+            there, (new, new_gradient) = at + step * direction, loss(at + step * direction)
+            if new <= value + 1e-4 * step * slope:
+                break
+            step /= 2 if steps else 10
+        else:  # no way down that floating point or a kink of the loss allows
+            if not steps:
+                return at
+            steps = []
+            continue
+        s, y = there - at, new_gradient - gradient
+        if float(s @ y) > 1e-10 * float(y @ y):
+            steps = [*steps[1 - history :], (s, y)]
+        at, value, gradient = there, new, new_gradient
+        values.append(value)
+        if len(values) > history and values[-1 - history] - value <= tolerance * max(values[0], 1e-12):
+            break
+    return at
 
 
 def train_kernel(
@@ -275,33 +367,35 @@ def train_kernel(
     """Scaled RBF-kernel support vector machine with probabilities.
 
     The kernel is approximated by random features, so training is a linear
-    machine over a table instead of a kernel matrix. Classes are balanced by
-    weight and margins become probabilities by a logistic fit (Platt 1999).
+    machine over a table instead of a kernel matrix. The features of a row are worked
+    out anew in each pass; what is written is the label and the inputs. Classes are balanced
+    by weight and margins become probabilities by a logistic fit (Platt 1999).
     ``partitions`` spreads a training table that comes in too few pieces.
     """
-    rows = _assembled(train.filter(usable(features)), features)
+    rows = train.filter(usable(features))
     classes = balanced_weights(rows, label).collect()  # one row per class
-    weight = F.lit(1.0)
-    for r in classes:
-        weight = F.when(F.col(label) == r[label], F.lit(float(r["weight"]))).otherwise(weight)
-    rows = rows.select(F.col(label).cast("double").alias(label), "__vector", weight.alias("__weight"))
-    rows = rows.repartition(partitions) if partitions else rows
-    scaler = StandardScaler(inputCol="__vector", outputCol="__scaled", withMean=True, withStd=True).fit(rows)
+    given = {float(r[label]): float(r["weight"]) for r in classes if r[label] is not None}
+    n = {float(r[label]): r["n_class"] for r in classes if r[label] is not None}
+    if not set(n) <= {0.0, 1.0} or len(n) < len(classes):
+        raise ValueError(f"labels must be 0 or 1, found {sorted(str(r[label]) for r in classes)}")
+    names = [f"v{i}" for i in range(len(features))]
+    rows = rows.select(
+        F.col(label).cast("double").alias(label), *[F.col(c).cast("double").alias(v) for c, v in zip(features, names, strict=True)]
+    )
+    rows = cut_lineage(rows.repartition(partitions) if partitions else rows, "training")
+    scaler = StandardScaler(inputCol="__vector", outputCol="__scaled", withMean=True, withStd=True).fit(_assembled(rows, names))
     gamma = 1.0 / len(features)  # 1 / (n * variance), variance 1 after scaling
-    lift = fourier_features(gamma, len(features), size, seed)
-    lifted = _lifted(rows, scaler, lift)
-    svc = LinearSVC(
-        featuresCol="__lifted",
-        labelCol=label,
-        weightCol="__weight",
-        rawPredictionCol="__raw",
-        predictionCol="__svc",
-        regParam=1.0 / (cost * max(1, sum(r["n_class"] for r in classes))),
-        maxIter=iterations,
-        standardization=False,
-    ).fit(lifted)
+    lift = fourier_features(scaler, gamma, size, seed)
+    # the penalty is on the coefficients of features of norm 1, which waves are sqrt(size) times as long as
+    loss = _hinge(rows, lift, given, sum(given[c] * n[c] for c in n), size / (cost * max(1, sum(n.values()))))
+    at = _descended(loss, np.zeros(size + 1), iterations)
+    svc = Linear(lift, at[:-1], float(at[-1]))
+    weight = F.lit(1.0)
+    for c, w in given.items():
+        weight = F.when(F.col(label) == c, F.lit(w)).otherwise(weight)
     # one number per row, read in every iteration of the fit
-    margins = cut_lineage(_margin(rows, scaler, lift, svc).select(label, "__weight", "__margin"), "margins")
+    margins = _margin(rows, [F.col(v) for v in names], svc).select(label, weight.alias("__weight"), "__margin")
+    margins = cut_lineage(margins, "margins")
     platt = LogisticRegression(
         featuresCol="__margin",
         labelCol=label,
@@ -310,4 +404,4 @@ def train_kernel(
         rawPredictionCol="__platt_raw",
         predictionCol="__platt",
     ).fit(margins)
-    return KernelMachine(list(features), (scaler, lift, svc, platt))
+    return KernelMachine(list(features), (svc, platt))

@@ -74,6 +74,33 @@ def test_near_classes_equal_all_pairs(spark):
     assert {x["doc_id"]: x["class_id"] for x in got} == wanted
 
 
+class Counting(Stages):
+    """Keeps tables as others do, and the number of rows of each name."""
+
+    def keep(self, df, name="stage"):
+        kept = super().keep(df, name)
+        self.rows = getattr(self, "rows", Counter())
+        self.rows[name] += kept.count()
+        return kept
+
+
+def test_what_a_family_has_in_common_brings_nobody_together(spark):
+    r = random.Random(21)
+    base = [f"v{r.randrange(10**6)}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for i in range(120):  # one edit that all share, and four that put each far from the others
+        w = texts[r.randrange(1, i)].split() if i % 10 == 9 else [*base[:70], "common", *base[71:]]
+        for _ in range(1 if i % 10 == 9 else 4):
+            w[r.randrange(0, 60)] = f"w{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    stages = Counting(spark)
+    got = near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), stages=stages).collect()
+    bags = [bag(t) for t in texts]
+    wanted = closure(range(len(texts)), [(i, j) for i, j in combinations(range(len(texts)), 2) if alike(bags[i], bags[j])])
+    assert {x["doc_id"]: x["class_id"] for x in got} == wanted
+    assert stages.rows["pairs"] < 1000  # of 7,260
+
+
 def odd_rows():
     text = " ".join(f"w{i}" for i in range(60))
     return [

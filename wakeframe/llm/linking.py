@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeframe.session import Stages
@@ -69,15 +69,15 @@ class Compare(NamedTuple):
     """How to compare nodes, each of which is a set.
 
     ``overlaps`` takes distinct pairs (a, b) and adds the sizes ``na`` and ``nb`` and
-    the number of common members, ``both``. ``extras`` takes (node, leader, least) and
-    returns rows (node, leader, extra, rank) for members of the node that the leader
-    hasn't: ranked from the greatest down by one order for all nodes, from ``least`` on.
+    the number of common members, ``both``. ``differences`` takes (node, leader, root) and
+    returns rows (node, leader, root, member), one for each member that only one of the
+    node and the leader has.
     ``likely``, instead, takes members outside and all members of families (leader, node,
     root) and returns the pairs (a, b) of different roots that signatures leave possible.
     """
 
     overlaps: Callable[[DataFrame], DataFrame]
-    extras: Callable[[DataFrame], DataFrame] | None = None
+    differences: Callable[[DataFrame], DataFrame] | None = None
     likely: Callable[[DataFrame, DataFrame], DataFrame] | None = None
 
 
@@ -99,13 +99,14 @@ def linked(
     2. In families that still hold several components, members outside the largest
        one are compared with further leaders from among themselves.
     3. Members still outside are compared with the rest of their family where that
-       can succeed. If two members x and y share nothing that their leader c lacks,
-       they have at most min(|x & c|, |y & c|) members in common; where that is too
-       few, no comparison is needed. Pairs that do share something c lacks are found
-       by an equal join on it. A member that needs r such shares for any link can do
-       without its r - 1 greatest: the least of r that two share has r - 1 greater ones in
-       both. So few are written, and none of members that have fewer than they need. Nor
-       can two share more than either has.
+       can succeed. What tells x from its leader is the set of members that only one of
+       the two has. Two members x and y differ in what only one of their two such sets
+       holds, and a link allows them few differences, so that far from the leader it needs
+       many of them in common. Pairs that share one are found by an equal join on it. If r
+       must be shared, a set can do without its r - 1 commonest: the rarest that two share
+       has r - 1 commoner ones in both. So what much of a family has in common brings
+       nobody together. A member of another component than its leader needs one at
+       least, since it isn't linked with the leader.
 
     So the components are those of comparing all pairs of every bucket. With
     ``likely`` step 3 asks signatures instead, a block of members against another at a
@@ -122,8 +123,9 @@ def linked(
     stages.drop(sizes, shared, scored, lead)
     known, links = _compared(led, compare, similarity, stages)
     ends = led.withColumns({"a": F.greatest("node", "leader"), "b": F.least("node", "leader")})
-    size = F.when(F.col("node") == F.col("a"), F.col("na")).otherwise(F.col("nb"))
-    family = ends.join(known, ["a", "b"]).select("leader", "node", "score", size.alias("n"), "both")
+    first = F.col("node") == F.col("a")
+    size, lead_size = (F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("na", "nb"), ("nb", "na")))
+    family = ends.join(known, ["a", "b"]).select("leader", "node", "score", size.alias("n"), lead_size.alias("m"), "both")
     family = stages.keep(family, "family")
     known = known.select("a", "b")
     found = components(links, stages)
@@ -146,32 +148,44 @@ def linked(
         new = stages.keep(_ordered(new).join(known, ["a", "b"], "left_anti"), "pairs")
         last = _linked_of(stages.keep(compare.overlaps(new), "tests"), similarity)
         return components(links.unionByName(last), stages)
-    # how small the other must be for this one's part of the leader to be enough
-    room = F.floor(F.col("both") / similarity + F.col("both") - F.col("n") + 1e-6)
-    rows, outside = rows.withColumn("room", room), outside.withColumn("room", room)
-    one, other = outside.alias("x"), rows.alias("y")
-    apart = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.root") != F.col("y.root"))
-    able = (F.col("y.n") <= F.col("x.room")) & (F.col("x.n") <= F.col("y.room"))
-    pick = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
-    close = one.join(other, apart & able).select(*pick)
-    telling = stages.keep(compare.extras(_needing(rows, similarity)), "telling")
-    one = outside.join(telling, ["node", "leader"]).alias("x")
-    other = rows.join(telling, ["node", "leader"]).alias("y")
-    need = similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - F.least("x.both", "y.both") - 1e-6
-    able = need <= F.least(F.col("x.n") - F.col("x.both"), F.col("y.n") - F.col("y.both"))
+    telling = stages.keep(_telling(rows, compare, similarity, stages), "telling")
+    one, other = outside.select("node", "leader").join(telling, ["node", "leader"]).alias("x"), telling.alias("y")
+    need = (F.col("x.weight") + F.col("y.weight")) / 2 - 1e-6
+    met = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.member") == F.col("y.member"))
+    able = (F.col("x.root") != F.col("y.root")) & (need <= F.least("x.apart", "y.apart"))
     able &= (F.col("x.rank") >= need) & (F.col("y.rank") >= need)
-    near = one.join(other, apart & able & (F.col("x.extra") == F.col("y.extra")))
-    new = _ordered(close.unionByName(near.select(*pick))).join(known, ["a", "b"], "left_anti")
+    near = one.join(other, met & able).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    new = _ordered(near).join(known, ["a", "b"], "left_anti")
     last = _linked_of(stages.keep(compare.overlaps(stages.keep(new, "pairs")), "tests"), similarity)
+    stages.drop(telling)
     return components(links.unionByName(last), stages)
 
 
-def _needing(rows: DataFrame, similarity: float) -> DataFrame:
-    """(node, leader, least): members that may share enough that their leader lacks, and the least rank that tells."""
-    smallest = rows.groupBy("leader").agg(F.min("n").alias("smallest"))
-    need = F.ceil(similarity / (1 + similarity) * (F.col("n") + F.col("smallest")) - F.col("both") - 1e-6)
-    needed = rows.join(smallest, "leader").withColumn("least", F.greatest(need, F.lit(1)))
-    return needed.filter(F.col("least") <= F.col("n") - F.col("both")).select("node", "leader", "least")
+def _telling(rows: DataFrame, compare: Compare, similarity: float, stages: Stages) -> DataFrame:
+    """(node, leader, root, apart, weight, member, rank): the members that can bring two of a family together.
+
+    A set of ``apart`` members tells the node from its leader. x and y are linked if they
+    share (x.weight + y.weight) / 2 of these at least. Ranks count from the commonest of
+    a family down, among members that several of its components have, and begin with
+    the least number that the node shares with anyone it is linked with.
+    """
+    share = (1 - similarity) / (1 + similarity)
+    rows = rows.withColumn("apart", F.col("n") + F.col("m") - 2 * F.col("both"))
+    rows = rows.withColumn("weight", F.col("apart") - share * F.col("n"))
+    most = rows.groupBy("leader").agg(F.min("weight").alias("lightest"), F.max("n").alias("largest"))
+    # the other has as many as are shared at least, and no more members than the largest
+    least = F.greatest((F.col("weight") + F.col("lightest")) / 2, F.col("weight") - share * F.col("largest"))
+    needed = rows.join(most, "leader").withColumn("least", F.greatest(F.ceil(least - 1e-6), F.lit(1)))
+    needed = needed.filter("least <= apart").select("node", "leader", "root", "apart", "weight", "least")
+    needed = stages.keep(needed, "needed")
+    told = stages.keep(compare.differences(needed.select("node", "leader", "root")), "differences")
+    common = told.groupBy("leader", "member").agg(
+        F.count("*").alias("k"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    common = common.filter("low < high").select("leader", "member", "k")
+    rank = F.row_number().over(Window.partitionBy("leader", "node").orderBy(F.desc("k"), "member"))
+    ranked = told.drop("root").join(common, ["leader", "member"]).withColumn("rank", rank).drop("k")
+    return ranked.join(needed, ["leader", "node"]).filter("rank >= least").drop("least")
 
 
 def _leaders(rows: DataFrame, group: str, name: str = "leader") -> DataFrame:

@@ -125,25 +125,16 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _extras(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, leader, least, x, y) -> (node, leader, extra, rank) for the members of x that y hasn't.
-
-    Ranks count from the greatest down, and begin with ``least``.
-    """
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, leader, root, x, y) -> (node, leader, root, member) for the members that only one of x and y has."""
     for batch in batches:
-        least = batch.column(2).to_numpy()
         found = [
-            np.sort(np.setdiff1d(_sets(batch.column(3), i), _sets(batch.column(4), i), assume_unique=True))[::-1][least[i] - 1 :]
-            for i in range(batch.num_rows)
+            np.setxor1d(_sets(batch.column(3), i), _sets(batch.column(4), i), assume_unique=True) for i in range(batch.num_rows)
         ]
-        size = np.array([len(f) for f in found], dtype=np.int64)
-        times = np.repeat(np.arange(len(found)), size)
-        rank = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(least, size)
-        extra = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(times)), batch.column(1).take(pa.array(times)), pa.array(extra), pa.array(rank, pa.int64())],
-            names=["node", "leader", "extra", "rank"],
-        )
+        times = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+        member = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
+        columns = [batch.column(c).take(times) for c in range(3)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(member)], names=["node", "leader", "root", "member"])
 
 
 def near_classes(
@@ -199,7 +190,7 @@ def near_classes(
 
         return Compare(
             lambda pairs: sets(pairs, "a", "b").mapInArrow(_overlaps, "a long, b long, na long, nb long, both long"),
-            lambda rows: sets(rows, "node", "leader").mapInArrow(_extras, "node long, leader long, extra long, rank long"),
+            lambda rows: sets(rows, "node", "leader").mapInArrow(_differences, "node long, leader long, root long, member long"),
         )
 
     root = linked(members, ready, similarity, stages)

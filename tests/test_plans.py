@@ -2,6 +2,7 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from wakeframe.operators import baseline as B
 from wakeframe.operators import state as ST
 from wakeframe.operators import windows as W
 from wakeframe.operators.quality import TABLE_CHECKS, run_checks
+from wakeframe.session import ARROW_BYTES, BATCH_BYTES, Stages
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +76,17 @@ def test_filters_and_columns_reach_the_scan(frames):
 def test_latest_rows_limit_before_the_shuffle(frames):
     text = plan(W.latest_rows(frames.select("subject_id", "frame_id"), ["subject_id"], ["frame_id"], 5))
     assert text.count("WindowGroupLimit") == 2
+
+
+def _batch_bytes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+
+def test_python_gets_few_bytes_at_a_time_whatever_the_rows(spark):
+    rows = spark.range(4000, numPartitions=1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    before = spark.conf.get(ARROW_BYTES)
+    kept = Stages(spark).keep(rows.mapInArrow(_batch_bytes, "rows long, bytes long")).collect()
+    assert sum(x["rows"] for x in kept) == 4000
+    assert max(x["bytes"] for x in kept) < 2 * BATCH_BYTES  # 40 MB in one batch otherwise
+    assert spark.conf.get(ARROW_BYTES) == before

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wakeframe.llm.line_dedup import band_keys, dedup_lines, shingle_sets, signatures
+from wakeframe.llm.line_dedup import band_keys, dedup_lines, line_classes, shingle_sets, signatures, signed_lines
 from wakeframe.llm.linking import components
 from wakeframe.llm.near_dedup import drop_near_duplicates, near_classes
 from wakeframe.llm.vector_dedup import estimate, rotation, vector_links
@@ -372,3 +372,44 @@ def test_columns_of_any_name(spark, run):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in names})
     got = run(docs).collect()
     assert all(r[c] == c for r in got for c in names) and len(got) >= 2
+
+
+def test_line_dedup_runs_no_python_on_the_executors(spark):
+    near = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, near), (2, near + " more"), (3, "a line of its own, unlike others")], "doc_id long, text string")
+    plans = []
+
+    class Seeing(Stages):
+        def keep(self, df, name="stage"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().keep(df, name)
+
+    assert line_classes(docs, stages=Seeing(spark)).count() == 1
+    assert plans and not [p for p in plans if "Python" in p or "Pandas" in p or "Arrow" in p]
+
+
+@pytest.mark.parametrize("size", [4, 12, 20, 38, 45, 102, 110, 300])
+def test_signed_lines_meet_when_near(spark, size):
+    """Of pairs of sets just at 0.8, 95 in 100 share a key, whatever their size; of pairs at 0.3 few do."""
+    r = random.Random(size)
+    letters = [chr(c) for c in range(0x4E00, 0x9F00)]
+    lines = []
+    for near in (True, False):
+        for _ in range(250):
+            # characters of their own make n shingles of n + 4; an end cut off leaves a subset
+            base = "".join(r.sample(letters, size + 4))
+            other = base[: 4 + -(-size * 4 // 5)] if near else base[: 4 + -(-size * 3 // 10)]
+            lines += [base, other]
+    table = spark.createDataFrame(list(enumerate(lines)), "line long, text string")
+    keys = {}
+    for x in signed_lines(table).collect():
+        keys.setdefault(x["line"], set()).update(x["bands"])
+    met = [bool(keys[2 * i] & keys[2 * i + 1]) for i in range(500)]
+    assert sum(met[:250]) >= 0.95 * 250
+    assert sum(met[250:]) <= 0.25 * 250
+
+
+def test_lines_of_few_shingles_meet(spark):
+    rows = [(1, "=" * 30), (2, "=" * 90), (3, "ab" * 10), (4, "ab" * 40), (5, "-=" * 20 + "x"), (6, "\U0001f600" * 20)]
+    got = {x["doc_id"]: x["text"] for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, t in got.items() if not t] == [2, 4]

@@ -1,25 +1,18 @@
-"""Near-duplicate lines by MinHash over character shingles.
+"""Near-duplicate lines by locality-sensitive hashing of character shingles.
 
-Signatures and exact sets are computed with NumPy on Arrow batches: with DataFrame
-functions alone 32 minima of every position's shingle take most of the time that the
-whole job is given.
+The job is DataFrame functions only. ``shingle_sets``, ``signatures`` and ``band_keys``
+are NumPy helpers for MinHash values of independent orders; the job doesn't call them.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeframe.llm.linking import Compare, linked
-from wakeframe.llm.near_dedup import _overlaps, overlap
 from wakeframe.llm.suite import query, table
-from wakeframe.llm.words import Texts, blocks, mixed, seeds, texts_of
+from wakeframe.llm.words import Texts, mixed, seeds
 from wakeframe.session import Stages
 
 SIMILARITY = 0.8
@@ -27,11 +20,9 @@ CHARS = 5
 ROWS = 6
 BANDS = 14
 MIN_CHARS = 16
-LINE_BLOCK = 1 << 19  # bytes of lines handled at a time
-SKETCH = 512  # MinHash values, a byte of each, that say whether two lines can be near
-BLOCK_MEMBERS = 250  # members of a family that are compared with as many others at a time
-BLOCK_BYTES = 1 << 20  # bytes of their sets, about
-BLOCKS_AT_ONCE = 64  # pairs of blocks that a Python worker gets at a time
+#: Sets of fewer shingles than the first number get bands from as many rings as the second says.
+RINGS = ((104, 2), (40, 4))
+TINY = 16  # sets of fewer shingles get bands of independent minima as well
 
 _WEIGHT = seeds(CHARS * 16, 321) | np.uint64(1)
 
@@ -86,125 +77,69 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def _signed(bands: int, rows: int, width: int):
-    """(line, text) -> (line, bands), each line of a batch once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            line = batch.column(0).to_numpy()
-            once = pa.array(np.sort(np.unique(line, return_index=True)[1]))
-            line, texts = line[once.to_numpy()], texts_of(batch.column(1).take(once))
-            for first, last in blocks(texts, LINE_BLOCK):
-                n = last - first
-                row, shingle = shingle_sets(texts, first, last, width)
-                keys = band_keys(signatures(row, shingle, n, bands * rows), rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(line[first:last]),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1).view(np.int64))
-                        ),
-                    ],
-                    names=["line", "bands"],
-                )
-
-    return run
-
-
-def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, x, y), x and y texts -> (a, b, na, nb, both), of their sets of shingles."""
-
-    def sets(column: pa.Array) -> pa.Array:
-        texts, out = texts_of(column), []
-        for first, last in blocks(texts, LINE_BLOCK):
-            row, shingle = shingle_sets(texts, first, last)
-            cut = np.searchsorted(row, np.arange(last - first + 1))
-            out += [shingle[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        return pa.array(out, pa.binary())
-
-    for batch in batches:
-        for low in range(0, batch.num_rows, 1000):
-            a, b, x, y = batch.slice(low, 1000).columns
-            yield from _overlaps(iter([pa.RecordBatch.from_arrays([a, b, sets(x), sets(y)], ["a", "b", "x", "y"])]))
-
-
-def _sketched(count: int, width: int):
-    """(line, text) -> (node, sketch, shingles): a byte of each MinHash value, and the set as sorted 32-bit hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch.column(1))
-            for first, last in blocks(texts, LINE_BLOCK):
-                row, shingle = shingle_sets(texts, first, last, width)
-                sketch = (signatures(row, shingle, last - first, count, 1) & np.uint32(255)).astype(np.uint8)
-                cut = np.searchsorted(row, np.arange(last - first + 1))
-                low = (shingle >> np.uint64(16)).astype(np.uint32)
-                sets = [low[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, last - first),
-                        pa.array([v.tobytes() for v in sketch], pa.binary()),
-                        pa.array(sets, pa.binary()),
-                    ],
-                    names=["node", "sketch", "shingles"],
-                )
-
-    return run
-
-
-def _possible(least: int, similarity: float):
-    """Blocks of members against blocks -> (a, b), of different roots, that are near by the hashes they carry.
-
-    Both blocks are (nodes, roots, sketches, sets). Pairs of which sketches agree in fewer
-    than ``least`` values aren't looked at any further.
-    """
+def _set(text: str, width: int) -> Column:
+    """The distinct hashes of the ``width`` characters from every position; a shorter line is one shingle."""
+
+    def hashes(points: Column) -> Column:
+        # four bytes a character, so that a shingle is found without counting characters
+        at = F.sequence(F.lit(1), F.greatest(F.octet_length(points) - (4 * width - 1), F.lit(1)), F.lit(4))
+        return F.transform(at, lambda i: F.xxhash64(F.substring(points, i, F.lit(4 * width))))
+
+    # as the element of an array the bytes are one object; a column of bytes would be copied for every shingle
+    return F.array_distinct(F.element_at(F.transform(F.array(F.encode(text, "UTF-32")), hashes), 1))
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column(i) for i in range(8)]
-            for r in range(batch.num_rows):
-                node, root, sketch, sets, other, other_root, other_sketch, other_sets = (c[r].values for c in columns)
-                node, root, other, other_root = (v.to_numpy() for v in (node, root, other, other_root))
-                sketch, other_sketch = (
-                    np.frombuffer(b"".join(v.as_buffer() for v in x), np.uint8).reshape(len(x), -1) for x in (sketch, other_sketch)
-                )
-                sets, other_sets = ([np.frombuffer(v.as_buffer(), np.uint32) for v in x] for x in (sets, other_sets))
-                a, b = [], []
-                for low in range(0, len(node), 32):  # 32 x a block x the values at a time
-                    some = slice(low, low + 32)
-                    agree = (sketch[some, None, :] == other_sketch[None]).sum(axis=2)
-                    for i, j in np.argwhere((agree >= least) & (root[some, None] != other_root[None])).tolist():
-                        x, y = sets[low + i], other_sets[j]
-                        both = overlap(x, y)
-                        if both >= (similarity - 1e-3) * (len(x) + len(y) - both):
-                            a.append(node[low + i])
-                            b.append(other[j])
-                if a:
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return run
-
-
-def _blocked(members: DataFrame) -> DataFrame:
-    """(leader, node, root, sketch, shingles) -> families in blocks of bounded size, one list per column."""
-    parts = F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum(F.octet_length("shingles")) / BLOCK_BYTES)
-    sizes = members.groupBy("leader").agg(F.ceil(parts).alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    held = F.collect_list(F.struct("node", "root", "sketch", "shingles"))
-    out = members.join(sizes, "leader").groupBy("leader", block.alias("block")).agg(held.alias("held"))
-    return out.select("leader", *[F.col(f"held.{c}").alias(f"{c}s") for c in ("node", "root", "sketch", "shingles")])
-
-
-@contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Within the block, Python workers of new queries get so many rows at a time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def _marks(bands: int) -> list[int]:
+    """Places in the ring of 64-bit hashes, evenly spaced and in order."""
+    return [(2 * j + 1) * (1 << 63) // bands - (1 << 63) for j in range(bands)]
+
+
+def _windows(bands: int, rows: int) -> Column:
+    """Keys of the ``rows`` hashes of ``ring`` that follow each mark; ``marked`` has hashes and marks in order."""
+    # a mark's place among both, less the marks before it, is that of the first hash after it
+    first = [F.array_position("marked", F.lit(t)).cast("int") - j for j, t in enumerate(_marks(bands))]
+    return F.array(*[F.xxhash64(F.slice("ring", at, rows)) for at in first])
+
+
+def signed_lines(lines: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = CHARS) -> DataFrame:
+    """(line, text) -> (line, part, bands): keys that near lines share, each line and part once.
+
+    Hashes of shingles lie on a ring. A band is the ``rows`` hashes that follow one of
+    ``bands`` marks: two sets have it in common if none of the first ``rows`` of their
+    union there is in one set only, which is as likely as that ``rows`` MinHash values agree.
+    In large sets the windows hardly overlap. Smaller sets get more rings, of hashes of the
+    hashes, and the smallest also bands of independent minima; so the parts of two
+    sets of different sizes are those of the larger one at least.
+    """
+    sets = lines.select("line", _set("text", width).alias("shingles"))
+    size = F.size("shingles")
+
+    def ring(k: int) -> Column:
+        return F.transform("shingles", lambda x: F.xxhash64(x, F.lit(k))) if k else F.col("shingles")
+
+    rings = F.array(ring(0))
+    for below, count in RINGS:
+        rings = F.when(size < below, F.array(*map(ring, range(count)))).otherwise(rings)
+
+    def least(j: Column) -> Column:
+        one = F.transform(F.sequence(F.lit(1), F.lit(rows)), lambda i: F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, j, i))))
+        return F.xxhash64(one)
+
+    none = F.array().cast("array<long>")
+    minima = F.when(size < TINY, F.transform(F.sequence(F.lit(1), F.lit(bands)), least)).otherwise(none)
+    parts = sets.select("line", minima.alias("minima"), F.posexplode(rings).alias("part", "hashes"))
+    marks = F.array(*map(F.lit, _marks(bands)))
+    parts = parts.select(
+        "line",
+        "part",
+        F.when(F.col("part") == 0, F.col("minima")).otherwise(none).alias("minima"),
+        F.sort_array("hashes").alias("hashes"),
+        F.sort_array(F.concat("hashes", marks)).alias("marked"),
+    )
+    parts = parts.withColumn("ring", F.concat("hashes", F.slice("hashes", 1, rows)))
+    keys = F.array_distinct(F.concat(_windows(bands, rows), F.col("minima")))
+    # a line's keys are the same wherever it stands
+    return parts.select("line", "part", keys.alias("bands")).groupBy("line", "part").agg(F.first("bands").alias("bands"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -233,15 +168,13 @@ def line_classes(
     blanks; shorter ones are no evidence of copying and stay. Equal lines are one
     node. Distinct lines are linked when the sets of their character shingles, taken at
     every position, have a Jaccard similarity of at least ``similarity``; candidates
-    share one of ``bands`` bands of ``rows`` MinHash values (at the defaults, 98.6 % of
-    pairs just at 0.8 do, and 99.9 % at 0.87). Of a component the first occurrence by
+    share one of ``bands`` bands of ``rows`` hashes (``signed_lines``; at the defaults,
+    about 98 % of pairs just at 0.8 do, and 99.9 % at 0.87). Of a component the first occurrence by
     (id, place) stays.
     """
     stages = stages or Stages(docs.sparkSession)
     lines = _lines(docs, id_col, text_col, min_chars)
-    signed = lines.select("line", "text").mapInArrow(_signed(bands, rows, CHARS), "line long, bands array<long>")
-    # a line's bands are the same wherever it stands
-    signed = stages.keep(signed.groupBy("line").agg(F.first("bands").alias("bands")), "bands")
+    signed = stages.keep(signed_lines(lines.select("line", "text"), bands, rows), "bands")
     members = signed.select(F.explode("bands").alias("bucket"), F.col("line").alias("node"))
 
     def ready(shared: DataFrame):
@@ -249,25 +182,21 @@ def line_classes(
         texts = lines.select("line", "text").join(wanted, "line", "left_semi").dropDuplicates(["line"])
         texts = stages.keep(texts, "line_texts")
 
-        def overlaps(pairs: DataFrame) -> DataFrame:
+        def sets(pairs: DataFrame, one: str, other: str) -> DataFrame:
             # texts travel, as sets of hashes are many times as long
-            both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-            return both.select("a", "b", "x", "y").mapInArrow(_with_sets, "a long, b long, na long, nb long, both long")
-
-        def likely(outside: DataFrame, family: DataFrame) -> DataFrame:
-            wanted = family.select(F.col("node").alias("line")).distinct()
-            sketches = texts.join(wanted, "line", "left_semi").mapInArrow(
-                _sketched(SKETCH, CHARS), "node long, sketch binary, shingles binary"
-            )
-            sketches = stages.keep(sketches, "sketches")
-            one, other = (_blocked(x.select("leader", "node", "root").join(sketches, "node")) for x in (outside, family))
-            met = one.join(other.toDF("leader", *[f"other_{c}" for c in one.columns[1:]]), "leader").drop("leader")
-            # a pair just at the similarity agrees in so many but for 1 in 10 million
-            least = math.floor(SKETCH * similarity - 5.2 * math.sqrt(SKETCH * similarity * (1 - similarity)))
-            with arrow_rows(docs.sparkSession, BLOCKS_AT_ONCE):
-                return stages.keep(met.mapInArrow(_possible(least, similarity), "a long, b long"), "likely")
-
-        return Compare(overlaps, likely=likely)
+            both = pairs.join(texts.toDF(one, "x"), one).join(texts.toDF(other, "y"), other)
+            return both.select(*pairs.columns, _set("x", CHARS).alias("x"), _set("y", CHARS).alias("y"))
+
+        def overlaps(pairs: DataFrame) -> DataFrame:
+            shared = F.size(F.array_intersect("x", "y"))
+            counts = {"na": F.size("x"), "nb": F.size("y"), "both": shared}
+            return sets(pairs, "a", "b").select("a", "b", *[n.cast("long").alias(c) for c, n in counts.items()])
+
+        def differences(rows: DataFrame) -> DataFrame:
+            apart = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
+            return sets(rows, "node", "leader").select("node", "leader", "root", F.explode(apart).alias("member"))
+
+        return Compare(overlaps, differences)
 
     root = linked(members, ready, similarity, stages)
     occurrences = lines.select("long_id", "tag", "n", "line")

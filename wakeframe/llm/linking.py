@@ -72,13 +72,10 @@ class Compare(NamedTuple):
     the number of common members, ``both``. ``differences`` takes (node, leader, root) and
     returns rows (node, leader, root, member), one for each member that only one of the
     node and the leader has.
-    ``likely``, instead, takes members outside and all members of families (leader, node,
-    root) and returns the pairs (a, b) of different roots that signatures leave possible.
     """
 
     overlaps: Callable[[DataFrame], DataFrame]
-    differences: Callable[[DataFrame], DataFrame] | None = None
-    likely: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+    differences: Callable[[DataFrame], DataFrame]
 
 
 #: Leaders tried in turn before the rest of a family is compared member by member.
@@ -108,19 +105,19 @@ def linked(
        nobody together. A member of another component than its leader needs one at
        least, since it isn't linked with the leader.
 
-    So the components are those of comparing all pairs of every bucket. With
-    ``likely`` step 3 asks signatures instead, a block of members against another at a
-    time, and compares only the pairs that they leave possible.
+    So the components are those of comparing all pairs of every bucket.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = stages.keep(sizes, "sizes")
-    shared = stages.keep(members.join(sizes, "bucket"), "shared")
+    # members are dealt once, for the sizes of buckets and for those that are in one of several
+    dealt = members.repartition("bucket")
+    ends = F.min("node").alias("low"), F.max("node").alias("high")
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n"), *ends).filter("low < high").select("bucket", "n")
+    shared = stages.keep(dealt.join(sizes.hint("shuffle_hash"), "bucket"), "shared")
     scores = stages.keep(shared.groupBy("node").agg(F.sum("n").alias("score")), "scores")
     compare = ready(scores.select("node"))
     scored = stages.keep(shared.select("bucket", "node").join(scores, "node"), "scored")
     lead = stages.keep(_leaders(scored, "bucket"), "leaders")
     led = stages.keep(scored.join(lead, "bucket").filter("node <> leader").drop("bucket").distinct(), "led")
-    stages.drop(sizes, shared, scored, lead)
+    stages.drop(shared, scored, lead)
     known, links = _compared(led, compare, similarity, stages)
     ends = led.withColumns({"a": F.greatest("node", "leader"), "b": F.least("node", "leader")})
     first = F.col("node") == F.col("a")
@@ -143,11 +140,6 @@ def linked(
             rows, outside, settled = _unsettled(family, found, stages)
     if settled:
         return found
-    if compare.likely:
-        new = compare.likely(outside, rows)
-        new = stages.keep(_ordered(new).join(known, ["a", "b"], "left_anti"), "pairs")
-        last = _linked_of(stages.keep(compare.overlaps(new), "tests"), similarity)
-        return components(links.unionByName(last), stages)
     telling = stages.keep(_telling(rows, compare, similarity, stages), "telling")
     one, other = outside.select("node", "leader").join(telling, ["node", "leader"]).alias("x"), telling.alias("y")
     need = (F.col("x.weight") + F.col("y.weight")) / 2 - 1e-6

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wakeframe.llm import linking
 from wakeframe.llm.line_dedup import band_keys, dedup_lines, line_classes, shingle_sets, signatures, signed_lines
 from wakeframe.llm.linking import components
 from wakeframe.llm.near_dedup import drop_near_duplicates, near_classes
@@ -413,3 +414,53 @@ def test_lines_of_few_shingles_meet(spark):
     rows = [(1, "=" * 30), (2, "=" * 90), (3, "ab" * 10), (4, "ab" * 40), (5, "-=" * 20 + "x"), (6, "\U0001f600" * 20)]
     got = {x["doc_id"]: x["text"] for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [i for i, t in got.items() if not t] == [2, 4]
+
+
+def _family(spark, told):
+    """(members, ready) of one bucket: a leader with copies, and a pair far from it and near each other."""
+    base = list(range(100))
+    sets = {1: base, 2: base[5:] + [200], 3: base[:96]}
+    sets |= {4: base[:40] + list(range(300, 360)), 5: base[:40] + list(range(300, 359)) + [400]}
+    sets |= {6: base[60:] + list(range(500, 530)), 7: list(range(100, 190)), 8: base[30:] + list(range(100, 120))}
+    scramble = 0x9E3779B97F4A7C15
+    rows = [(n, [((x + 1) * scramble & (2**64 - 1)) - 2**63 for x in s]) for n, s in sets.items()]
+    table = spark.createDataFrame(rows, "node long, members array<long>").cache()
+    # node 1 shares two buckets with others, so it leads
+    members = spark.createDataFrame([(1, n) for n in sets] + [(2, n) for n in (1, 2, 3)], "bucket long, node long")
+
+    def overlaps(pairs):
+        both = pairs.join(table.toDF("a", "x"), "a").join(table.toDF("b", "y"), "b")
+        sizes = {"na": F.size("x"), "nb": F.size("y"), "both": F.size(F.array_intersect("x", "y"))}
+        return both.select("a", "b", *[n.cast("long").alias(c) for c, n in sizes.items()])
+
+    def differences(rows):
+        told.append("differences")
+        both = rows.join(table.toDF("node", "x"), "node").join(table.toDF("leader", "y"), "leader")
+        apart = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
+        return both.select("node", "leader", "root", F.explode(apart).alias("member"))
+
+    def contents(nodes):
+        return nodes.join(table, "node").select("node", F.explode("members").alias("member"))
+
+    return sets, members, lambda shared: linking.Compare(overlaps, differences, contents)
+
+
+@pytest.mark.parametrize("largest", [512, 0])
+def test_small_families_are_compared_without_their_differences(spark, monkeypatch, largest):
+    monkeypatch.setattr(linking, "SKETCHED", largest)
+    monkeypatch.setattr(linking, "LEADERS", 1)
+    told = []
+    sets, members, ready = _family(spark, told)
+    found = {r.node: r.root for r in linking.linked(members, ready, 0.8, Stages(spark)).collect()}
+    near = [(a, b) for a in sets for b in sets if a < b and len(set(sets[a]) & set(sets[b])) >= 0.8 * len({*sets[a], *sets[b]})]
+    assert (4, 5) in near
+    assert found == {n: t for n, t in closure(sets, near).items() if n != t}
+    assert bool(told) == (largest == 0)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_members(spark):
+    a, b = range(-5000, 5000, 7), range(-4000, 6000, 7)
+    hashed = [(n, x * 0x632BE59BD9B4E019 % 2**64 - 2**63) for n, s in ((1, a), (2, b)) for x in s]
+    one, other = linking._sketches(spark.createDataFrame(hashed, "node long, member long")).orderBy("node").collect()
+    bits = sum(bin((one[f"s{w}"] ^ other[f"s{w}"]) & (2**64 - 1)).count("1") for w in range(linking.WORDS))
+    assert 50 < bits <= len({x for _, x in hashed[: len(a)]} ^ {x for _, x in hashed[len(a) :]})

@@ -196,7 +196,11 @@ def line_classes(
             apart = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
             return sets(rows, "node", "leader").select("node", "leader", "root", F.explode(apart).alias("member"))
 
-        return Compare(overlaps, differences)
+        def contents(nodes: DataFrame) -> DataFrame:
+            both = nodes.join(texts.toDF("node", "x"), "node")
+            return both.select("node", F.explode(_set("x", CHARS)).alias("member"))
+
+        return Compare(overlaps, differences, contents)
 
     root = linked(members, ready, similarity, stages)
     occurrences = lines.select("long_id", "tag", "n", "line")

@@ -71,15 +71,21 @@ class Compare(NamedTuple):
     ``overlaps`` takes distinct pairs (a, b) and adds the sizes ``na`` and ``nb`` and
     the number of common members, ``both``. ``differences`` takes (node, leader, root) and
     returns rows (node, leader, root, member), one for each member that only one of the
-    node and the leader has.
+    node and the leader has. ``contents`` takes (node) and returns rows (node, member) of
+    distinct 64-bit members; without it no family is compared by sketches.
     """
 
     overlaps: Callable[[DataFrame], DataFrame]
     differences: Callable[[DataFrame], DataFrame]
+    contents: Callable[[DataFrame], DataFrame] | None = None
 
 
 #: Leaders tried in turn before the rest of a family is compared member by member.
 LEADERS = 2
+#: Members of the largest family whose pairs are told apart by sketches.
+SKETCHED = 512
+#: 64-bit words of a sketch.
+WORDS = 8
 
 
 def linked(
@@ -96,7 +102,10 @@ def linked(
     2. In families that still hold several components, members outside the largest
        one are compared with further leaders from among themselves.
     3. Members still outside are compared with the rest of their family where that
-       can succeed. What tells x from its leader is the set of members that only one of
+       can succeed. In families of at most ``SKETCHED`` members that is told pair by pair
+       from the sizes and from sketches (``_sketches``), which take no more room than a few
+       members; most families are small, and what tells unlike sets apart is larger than they are.
+       In larger families, what tells x from its leader is the set of members that only one of
        the two has. Two members x and y differ in what only one of their two such sets
        holds, and a link allows them few differences, so that far from the leader it needs
        many of them in common. Pairs that share one are found by an equal join on it. If r
@@ -140,19 +149,56 @@ def linked(
             rows, outside, settled = _unsettled(family, found, stages)
     if settled:
         return found
-    telling = stages.keep(_telling(rows, compare, similarity, stages), "telling")
-    one, other = outside.select("node", "leader").join(telling, ["node", "leader"]).alias("x"), telling.alias("y")
-    need = (F.col("x.weight") + F.col("y.weight")) / 2 - 1e-6
-    met = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.member") == F.col("y.member"))
-    able = (F.col("x.root") != F.col("y.root")) & (need <= F.least("x.apart", "y.apart"))
-    able &= (F.col("x.rank") >= need) & (F.col("y.rank") >= need)
-    near = one.join(other, met & able).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    near, used = None, []
+    if compare.contents:
+        sizes = rows.groupBy("leader").agg(F.count("*").alias("k"))
+        small = stages.keep(sizes.filter(F.col("k") <= SKETCHED).select("leader"), "small")
+        few = stages.keep(rows.join(small, "leader").join(outside.select("leader").distinct(), "leader", "left_semi"), "few")
+        near = stages.keep(_by_sketches(few, outside.select("node", "leader"), compare, similarity, stages), "near")
+        stages.drop(few)
+        rows = stages.keep(rows.join(small, "leader", "left_anti"), "large")
+    if near is None or not rows.isEmpty():
+        telling = stages.keep(_telling(rows, compare, similarity, stages), "telling")
+        used.append(telling)
+        one, other = outside.select("node", "leader").join(telling, ["node", "leader"]).alias("x"), telling.alias("y")
+        need = (F.col("x.weight") + F.col("y.weight")) / 2 - 1e-6
+        met = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.member") == F.col("y.member"))
+        able = (F.col("x.root") != F.col("y.root")) & (need <= F.least("x.apart", "y.apart"))
+        able &= (F.col("x.rank") >= need) & (F.col("y.rank") >= need)
+        more = one.join(other, met & able).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        near = near.unionByName(more) if near is not None else more
     new = _ordered(near).join(known, ["a", "b"], "left_anti")
     last = _linked_of(stages.keep(compare.overlaps(stages.keep(new, "pairs")), "tests"), similarity)
-    stages.drop(telling)
+    stages.drop(*used)
     return components(links.unionByName(last), stages)
 
 
+def _sketches(contents: DataFrame) -> DataFrame:
+    """(node, s0, s1, ..): of each of 64 ``WORDS`` classes of members, whether a node has an odd number.
+
+    A member that only one of two sets has changes one bit, so sketches differ in no more bits
+    than the sets do in members.
+    """
+    word, bit = F.col("member").bitwiseAND(WORDS - 1), F.shiftright("member", 8).bitwiseAND(63).cast("int")
+    flip = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = [F.bit_xor(F.when(word == w, flip).otherwise(F.lit(0).cast("long"))).alias(f"s{w}") for w in range(WORDS)]
+    return contents.groupBy("node").agg(*words)
+
+
+def _by_sketches(rows: DataFrame, outside: DataFrame, compare: Compare, similarity: float, stages: Stages) -> DataFrame:
+    """(a, b): pairs of a family and different components, one of them ``outside``, that sizes and sketches let be linked."""
+    sketches = stages.keep(_sketches(compare.contents(rows.select("node").distinct())), "sketches")
+    marked = rows.select("node", "leader", "root", "n", (F.col("n") + F.col("m") - 2 * F.col("both")).alias("apart"))
+    marked = marked.join(sketches, "node")
+    one, other = marked.join(outside, ["node", "leader"], "left_semi").alias("x"), marked.alias("y")
+    # the members that only one of the two may have
+    most = (F.col("x.n") + F.col("y.n")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    met = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.root") != F.col("y.root"))
+    able = (F.abs(F.col("x.n") - F.col("y.n")) <= most) & (F.abs(F.col("x.apart") - F.col("y.apart")) <= most)
+    bits = sum(F.bit_count(F.col(f"x.s{w}").bitwiseXOR(F.col(f"y.s{w}"))) for w in range(WORDS))
+    return one.join(other, met & able & (bits <= most)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def _telling(rows: DataFrame, compare: Compare, similarity: float, stages: Stages) -> DataFrame:
     """(node, leader, root, apart, weight, member, rank): the members that can bring two of a family together.
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wakeframe.llm import linking
+from wakeframe.llm import line_dedup, linking
 from wakeframe.llm.line_dedup import band_keys, dedup_lines, line_classes, shingle_sets, signatures, signed_lines
 from wakeframe.llm.linking import components
 from wakeframe.llm.near_dedup import drop_near_duplicates, near_classes
@@ -464,3 +464,33 @@ def test_sketches_differ_in_no_more_bits_than_sets_in_members(spark):
     one, other = linking._sketches(spark.createDataFrame(hashed, "node long, member long")).orderBy("node").collect()
     bits = sum(bin((one[f"s{w}"] ^ other[f"s{w}"]) & (2**64 - 1)).count("1") for w in range(linking.WORDS))
     assert 50 < bits <= len({x for _, x in hashed[: len(a)]} ^ {x for _, x in hashed[len(a) :]})
+
+
+@pytest.mark.parametrize("places", [1 << 26, 1 << 12])
+def test_a_bitmap_lets_all_wanted_rows_through_and_few_others(spark, monkeypatch, places):
+    monkeypatch.setattr(line_dedup, "PLACES", places)
+    rows = spark.range(20000).select(F.xxhash64("id").alias("line"), "id")
+    wanted = rows.filter("id % 40 = 0").select("line")
+    found = {r.id for r in line_dedup._among(rows, "line", wanted).collect()}
+    assert set(range(0, 20000, 40)) <= found
+    assert len(found) < 20000 * (0.1 if places > 1 << 12 else 0.2)
+    assert line_dedup._among(rows, "line", wanted.limit(0)).count() == 0
+
+
+def test_lines_without_a_shared_band_do_not_travel_to_be_compared(spark, monkeypatch):
+    """Of the texts of all lines only those that can be linked are dealt out."""
+    seen = []
+    among = line_dedup._among
+
+    def counted(rows, key, wanted):
+        out = among(rows, key, wanted)
+        seen.append((rows.count(), wanted.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "_among", counted)
+    r = random.Random(5)
+    lone = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(60)) for _ in range(300)]
+    near = ["the quick brown fox jumps over the lazy dog and runs far away " + c for c in "abcdef"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lone + near)], "doc_id long, text string")
+    assert line_classes(docs).count() == 5
+    assert seen[0][0] == 306 and seen[0][1] <= 20 and seen[0][2] <= 40

@@ -23,6 +23,7 @@ MIN_CHARS = 16
 #: Sets of fewer shingles than the first number get bands from as many rings as the second says.
 RINGS = ((104, 2), (40, 4))
 TINY = 16  # sets of fewer shingles get bands of independent minima as well
+PLACES = 1 << 26  # of the largest bitmap: 8 MB
 
 _WEIGHT = seeds(CHARS * 16, 321) | np.uint64(1)
 
@@ -152,6 +153,25 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
     return split.filter(F.length(F.trim("text")) >= min_chars).withColumn("line", F.xxhash64("text"))
 
 
+def _among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``key``, a hash, is one of ``wanted`` (a table of one column), and a few others.
+
+    Keys are looked up in a bitmap of 16 to 32 places each, up to ``PLACES``, so that the rest
+    of a table needn't travel to be left out by a join. A fuller bitmap lets more rows through.
+    """
+    places = min(max(1 << (16 * wanted.count()).bit_length(), 1 << 12), PLACES)
+    at = lambda c: (F.shiftright(F.col(c).bitwiseAND(places - 1), 6), F.col(c).bitwiseAND(63).cast("int"))
+    (word, bit), (here, there) = at(wanted.columns[0]), at(key)
+    set_bits = wanted.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
+    words = rows.sparkSession.range(places // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = words.unionByName(set_bits).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    # one row of at most 8 MB
+    bitmap = words.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
+    bitmap = bitmap.select(F.transform("words", lambda w: w["bits"]).alias("__bitmap"))
+    hit = F.call_function("shiftright", F.get("__bitmap", here.cast("int")), there).bitwiseAND(1) == 1
+    return rows.join(F.broadcast(bitmap), hit).select(*rows.columns)
+
+
 def line_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -179,12 +199,20 @@ def line_classes(
 
     def ready(shared: DataFrame):
         wanted = shared.select(F.col("node").alias("line"))
-        texts = lines.select("line", "text").join(wanted, "line", "left_semi").dropDuplicates(["line"])
+        texts = _among(lines.select("line", "text"), "line", wanted)
+        texts = texts.join(wanted, "line", "left_semi").dropDuplicates(["line"])
         texts = stages.keep(texts, "line_texts")
+        known = texts.count()
+
+        def texts_of(nodes: DataFrame) -> DataFrame:
+            """The texts, less what a few nodes leave out."""
+            return _among(texts, "line", nodes) if 2 * nodes.count() < known else texts
 
         def sets(pairs: DataFrame, one: str, other: str) -> DataFrame:
             # texts travel, as sets of hashes are many times as long
-            both = pairs.join(texts.toDF(one, "x"), one).join(texts.toDF(other, "y"), other)
+            pairs = stages.keep(pairs, "compared")
+            some = texts_of(pairs.select(one).union(pairs.select(other)).distinct())
+            both = pairs.join(some.toDF(one, "x"), one).join(some.toDF(other, "y"), other)
             return both.select(*pairs.columns, _set("x", CHARS).alias("x"), _set("y", CHARS).alias("y"))
 
         def overlaps(pairs: DataFrame) -> DataFrame:
@@ -197,7 +225,8 @@ def line_classes(
             return sets(rows, "node", "leader").select("node", "leader", "root", F.explode(apart).alias("member"))
 
         def contents(nodes: DataFrame) -> DataFrame:
-            both = nodes.join(texts.toDF("node", "x"), "node")
+            nodes = stages.keep(nodes, "sketched")
+            both = nodes.join(texts_of(nodes).toDF("node", "x"), "node")
             return both.select("node", F.explode(_set("x", CHARS)).alias("member"))
 
         return Compare(overlaps, differences, contents)

@@ -461,3 +461,39 @@ def test_no_waves_of_training_rows_are_stored(spark, rings, monkeypatch):
     model = L.train_kernel(rings, ["ear_mean", "mar_max"], size=64, iterations=10)
     assert written == [3, 3] and len(cached) > 5 and max(cached) <= 0
     assert len(model.model[0].coefficients) == 64
+
+
+def test_few_passes_of_a_kernel_machine_are_over_all_rows(spark, rings, monkeypatch):
+    calls, losses = [], []
+    hinge = L._hinge
+
+    def watched(rows, *given):
+        n, loss = rows.count(), hinge(rows, *given)
+
+        def call(at):
+            calls.append(n)
+            losses.append(loss(at))
+            return losses[-1]
+
+        return call
+
+    n = rings.count()
+    monkeypatch.setattr(L, "_hinge", watched)
+    L.train_kernel(rings, ["ear_mean", "mar_max"], size=32, iterations=40)
+    assert set(calls) == {n}
+    whole, passes = min(v for v, _ in losses), len(calls)
+    calls.clear(), losses.clear()
+    monkeypatch.setattr(L, "FIRST_ROWS", n // 20)
+    L.train_kernel(rings, ["ear_mean", "mar_max"], size=32, iterations=40)
+    assert calls == sorted(calls) and len(set(calls)) == 3 and calls[-1] == n
+    assert calls.count(n) < passes
+    assert min(v for (v, _), k in zip(losses, calls, strict=True) if k == n) <= 1.02 * whole
+
+
+def test_waves_of_far_values_are_as_exact_as_of_near_ones():
+    rng = np.random.default_rng(3)
+    lift = L.Lift(np.zeros(2), np.ones(2), rng.normal(size=(16, 2)), rng.uniform(0, 6, 16))
+    for scale in (1.0, 20.0, 1e6):
+        x = rng.normal(size=(50, 2)) * scale
+        exact = np.sqrt(2) * np.cos(x @ lift.directions.T + lift.phases)
+        assert lift.waves(x) == pytest.approx(exact, abs=5e-5)

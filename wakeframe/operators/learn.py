@@ -24,7 +24,11 @@ from wakeframe.session import cut_lineage, shared_dir
 
 BINS = 32  # of a feature, as many as Spark's trees tell apart
 ROWS_AT_ONCE = 256  # whose waves are in memory
+FAR = 4.0  # of a scaled number over a full turn, from where its waves need double precision
 PARTS = 8  # of the rows that share all bins, drawn apart for each tree
+FIRST_ROWS = 100_000  # that a descent on a part of the rows has at least
+LEAST_STEPS = 20  # of a descent that goes on from a smaller part of the rows
+DRAWN = 1 << 14  # values of the number by which parts of the rows are told
 
 
 def usable(features: Sequence[str]) -> Column:
@@ -207,10 +211,16 @@ class Lift:
 
     def waves(self, values: np.ndarray) -> np.ndarray:
         """rows x size, of variance 1 about, in single precision: the angle is reduced to a turn before it is cut."""
-        turns = ((values - self.mean) * (self.factor / (2.0 * np.pi))) @ self.directions.T
-        turns += self.phases / (2.0 * np.pi)
-        turns -= np.rint(turns)
-        angle = turns.astype(np.float32)
+        scaled = (values - self.mean) * (self.factor / (2.0 * np.pi))
+        if np.abs(scaled).max(initial=0.0) > FAR:
+            turns = scaled @ self.directions.T
+            turns += self.phases / (2.0 * np.pi)
+            turns -= np.rint(turns)
+            angle = turns.astype(np.float32)
+        else:  # some turns at most, which single precision tells apart well enough
+            angle = scaled.astype(np.float32) @ self.directions.T.astype(np.float32)
+            angle += (self.phases / (2.0 * np.pi)).astype(np.float32)
+            angle -= np.rint(angle)
         angle *= np.float32(2.0 * np.pi)
         np.cos(angle, out=angle)
         angle *= np.float32(math.sqrt(2.0))
@@ -318,10 +328,15 @@ def _hinge(rows: DataFrame, lift: Lift, weights: dict[float, float], total: floa
     return loss
 
 
-def _descended(loss: Callable, at: np.ndarray, iterations: int, history: int = 10, tolerance: float = 1e-6) -> np.ndarray:
-    """L-BFGS with backtracking (Nocedal, Wright 2006), until the last ``history`` steps gain next to nothing."""
+def _descended(
+    loss: Callable, at: np.ndarray, iterations: int, steps: Sequence = (), history: int = 10, tolerance: float = 1e-6
+) -> tuple[np.ndarray, list]:
+    """L-BFGS with backtracking (Nocedal, Wright 2006), until the last ``history`` steps gain next to nothing.
+
+    Also returns the last steps and changes of the gradient, which a further descent can begin with.
+    """
     value, gradient = loss(at)
-    values, steps = [value], []
+    values, steps = [value], list(steps)
     for _ in range(iterations):
         direction, used = -gradient, []
         for s, y in reversed(steps):
@@ -341,7 +356,7 @@ def _descended(loss: Callable, at: np.ndarray, iterations: int, history: int = 1
             step /= 2 if steps else 10
         else:  # no way down that floating point or a kink of the loss allows
             if not steps:
-                return at
+                return at, steps
             steps = []
             continue
         s, y = there - at, new_gradient - gradient
@@ -351,7 +366,15 @@ def _descended(loss: Callable, at: np.ndarray, iterations: int, history: int = 1
         values.append(value)
         if len(values) > history and values[-1 - history] - value <= tolerance * max(values[0], 1e-12):
             break
-    return at
+    return at, steps
+
+
+def _shares(rows: int) -> list[float]:
+    """Parts of the rows to descend on in turn, each four times the one before, and at last all."""
+    out = [1.0]
+    while rows * out[0] / 4 >= FIRST_ROWS and out[0] * DRAWN >= 64:
+        out.insert(0, out[0] / 4)
+    return out
 
 
 def train_kernel(
@@ -368,8 +391,11 @@ def train_kernel(
 
     The kernel is approximated by random features, so training is a linear
     machine over a table instead of a kernel matrix. The features of a row are worked
-    out anew in each pass; what is written is the label and the inputs. Classes are balanced
-    by weight and margins become probabilities by a logistic fit (Platt 1999).
+    out anew in each pass; what is written is the label and the inputs. Large tables are first
+    descended on random parts of growing size, each from where the last one ended (Byrd, Chin,
+    Nocedal, Wu 2012), so that few passes over all rows are left. The first descent, which is the
+    only one on small tables, takes ``iterations`` steps at most, each further one half as many as
+    the one before but ``LEAST_STEPS``; the last is over all rows. Classes are balanced by weight and margins become probabilities by a logistic fit (Platt 1999).
     ``partitions`` spreads a training table that comes in too few pieces.
     """
     rows = train.filter(usable(features))
@@ -382,13 +408,22 @@ def train_kernel(
     rows = rows.select(
         F.col(label).cast("double").alias(label), *[F.col(c).cast("double").alias(v) for c, v in zip(features, names, strict=True)]
     )
-    rows = cut_lineage(rows.repartition(partitions) if partitions else rows, "training")
+    shares = _shares(sum(n.values()))
+    inputs = [label, *names]
+    if len(shares) > 1:
+        rows = rows.withColumn("__drawn", F.floor(F.rand(seed) * DRAWN).cast("short"))
+    drawn = cut_lineage(rows.repartition(partitions) if partitions else rows, "training")
+    rows = drawn.select(*inputs)
     scaler = StandardScaler(inputCol="__vector", outputCol="__scaled", withMean=True, withStd=True).fit(_assembled(rows, names))
     gamma = 1.0 / len(features)  # 1 / (n * variance), variance 1 after scaling
     lift = fourier_features(scaler, gamma, size, seed)
     # the penalty is on the coefficients of features of norm 1, which waves are sqrt(size) times as long as
-    loss = _hinge(rows, lift, given, sum(given[c] * n[c] for c in n), size / (cost * max(1, sum(n.values()))))
-    at = _descended(loss, np.zeros(size + 1), iterations)
+    total, penalty = sum(given[c] * n[c] for c in n), size / (cost * max(1, sum(n.values())))
+    at, steps = np.zeros(size + 1), []
+    for i, share in enumerate(shares):
+        some = rows if share == 1.0 else drawn.filter(F.col("__drawn") < int(share * DRAWN)).select(*inputs)
+        loss = _hinge(some, lift, given, total * share, penalty)
+        at, steps = _descended(loss, at, min(iterations, max(iterations >> i, LEAST_STEPS)), steps)
     svc = Linear(lift, at[:-1], float(at[-1]))
     weight = F.lit(1.0)
     for c, w in given.items():

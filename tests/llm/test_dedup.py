@@ -494,3 +494,12 @@ def test_lines_without_a_shared_band_do_not_travel_to_be_compared(spark, monkeyp
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(lone + near)], "doc_id long, text string")
     assert line_classes(docs).count() == 5
     assert seen[0][0] == 306 and seen[0][1] <= 20 and seen[0][2] <= 40
+
+
+def test_texts_are_looked_up_before_they_are_joined(spark):
+    lines = spark.range(300).select(F.xxhash64("id").alias("line"), F.col("id").cast("string").alias("text"))
+    wanted = lines.filter("text < '2'").select("line")
+    texts = line_dedup._texts(lines.unionByName(lines), wanted)
+    assert sorted(r.text for r in texts.collect()) == sorted(str(i) for i in range(300) if str(i) < "2")
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and 0 <= plan.index("Join Inner, (line#") < plan.index("Join Inner, ((shiftright(__bitmap")

@@ -172,6 +172,13 @@ def _among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(bitmap), hit).select(*rows.columns)
 
 
+def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(line, text) of the lines that are one of ``wanted`` (line), each once."""
+    some = _among(lines.select("line", "text"), "line", wanted)
+    # a semi-join would be moved before the look-up, and all texts dealt out for it
+    return some.join(wanted, "line").dropDuplicates(["line"])
+
+
 def line_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -199,9 +206,7 @@ def line_classes(
 
     def ready(shared: DataFrame):
         wanted = shared.select(F.col("node").alias("line"))
-        texts = _among(lines.select("line", "text"), "line", wanted)
-        texts = texts.join(wanted, "line", "left_semi").dropDuplicates(["line"])
-        texts = stages.keep(texts, "line_texts")
+        texts = stages.keep(_texts(lines, wanted), "line_texts")
         known = texts.count()
 
         def texts_of(nodes: DataFrame) -> DataFrame:
